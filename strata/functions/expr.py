@@ -188,3 +188,15 @@ def update_cols(df, updates: Mapping[str, Column], where: Column | None = None):
     if where is None:
         return df.withColumns(dict(updates))
     return df.withColumns({k: F.when(where, v).otherwise(F.col(k)) for k, v in updates.items()})
+
+
+def round_half(c, digits: int = 2) -> Column:
+    """ROUND half away from zero for non-negative money, as floor(x * 10^d + 0.5) / 10^d
+    (bit-identical to the SQL oracle; built-in ``round`` differs between engines on ties)."""
+    s = float(10 ** digits)
+    return F.floor(col(c) * F.lit(s) + F.lit(0.5)) / F.lit(s)
+
+
+def sql_round_half(e: str, digits: int = 2) -> str:
+    s = float(10 ** digits)
+    return f"(floor(({e}) * {s!r} + 0.5) / {s!r})"

@@ -97,3 +97,12 @@ def sql_hash32(key_sql: str, salt: str) -> str:
 
 def sql_u01(key_sql: str, salt: str) -> str:
     return f"(({sql_hash32(key_sql, salt)} + 0.5) / 4294967296.0)"
+
+
+def sql_normal(key_sql: str, salt: str, mu: float = 0.0, sd: float = 1.0) -> str:
+    z = (f"sqrt(-2 * ln({sql_u01(key_sql, salt + ':1')})) * cos(2 * pi() * {sql_u01(key_sql, salt + ':2')})")
+    return f"({mu!r} + {sd!r} * {z})"
+
+
+def sql_uniform(key_sql: str, salt: str, lo: float, hi: float) -> str:
+    return f"({float(lo)!r} + {sql_u01(key_sql, salt)} * {float(hi) - float(lo)!r})"
