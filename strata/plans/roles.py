@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expr import round_half
 from ..sources.io import scan
 
 # Fixed values (as-of dates chosen one day after the last event / order).
@@ -75,7 +76,7 @@ class Roles:
         return o.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("session_id"),
                         F.col("o_orderdate").alias("log_in"),
                         F.timestamp_add("HOUR", F.lit(1), F.col("o_orderdate")).alias("log_out"),
-                        F.round(F.col("o_totalprice") / 10000, 1).alias("minutes"))
+                        round_half(F.col("o_totalprice") / 10000, 1).alias("minutes"))
 
     def tickets(self) -> DataFrame:
         o = self.t("orders").where(F.col("o_orderpriority") == "1-URGENT")
@@ -136,7 +137,7 @@ class Roles:
             (30 + (F.col("event_id") % 4) * 15).alias("service_duration_mins"),
             F.when(F.col("event_id") % 3 == 0, F.lit("app")).otherwise(F.lit("phone")).alias("booking_source"),
             (F.col("event_id") % 14).alias("days_booked_in_advance"),
-            F.col("value").alias("line_total"), F.round(F.col("value") * 0.15, 2).alias("tip_amount"))
+            F.col("value").alias("line_total"), round_half(F.col("value") * 0.15, 2).alias("tip_amount"))
 
     # ------------------------------------------------------------ screening
     def scr_orders(self) -> DataFrame:
@@ -187,7 +188,7 @@ ROLE_SQL = {
                      "CASE WHEN o_orderstatus = 'P' THEN 'none' ELSE 'order' END AS purchase_type, "
                      "o_orderdate AS purchase_ts FROM orders",
     "ord_sessions": "SELECT o_custkey AS user_id, o_orderkey AS session_id, o_orderdate AS log_in, "
-                    "o_orderdate + INTERVAL 1 HOUR AS log_out, round(o_totalprice / 10000, 1) AS minutes FROM orders",
+                    "o_orderdate + INTERVAL 1 HOUR AS log_out, floor(o_totalprice / 10000 * 10.0 + 0.5) / 10.0 AS minutes FROM orders",
     "tickets": "SELECT o_orderkey AS case_id, o_custkey AS user_id, o_orderstatus AS category, "
                "((o_totalprice % 200) - 100) / 100 AS sentiment, o_orderdate AS date_created "
                "FROM orders WHERE o_orderpriority = '1-URGENT'",
@@ -216,7 +217,7 @@ ROLE_SQL = {
                     "30 + (event_id % 4) * 15 AS service_duration_mins, "
                     "CASE WHEN event_id % 3 = 0 THEN 'app' ELSE 'phone' END AS booking_source, "
                     "event_id % 14 AS days_booked_in_advance, value AS line_total, "
-                    "round(value * 0.15, 2) AS tip_amount FROM events",
+                    "floor(value * 0.15 * 100.0 + 0.5) / 100.0 AS tip_amount FROM events",
     "scr_orders": "SELECT o.o_orderkey AS order_id, o.o_custkey AS candidate_id, c.c_nationkey AS client_id, "
                   "CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS raw_status "
                   "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
