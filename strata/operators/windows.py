@@ -4,7 +4,7 @@ Global (un-partitioned) windows run in one task, so every global rank / row
 number here is computed distributed:
 
 * ``row_number_distributed``: range-partition by the order keys, sort within
-  partitions, take the in-partition position from
+  partitions, checkpoint (so every branch reads identical partitions), take the in-partition position from
   ``monotonically_increasing_id`` (its low 33 bits are the row index inside
   the partition), and add the number of rows in all earlier partitions.  The
   offsets table has one row per partition - a size bound known before the
@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -37,7 +39,10 @@ def row_number_distributed(df: DataFrame, order: Sequence, name: str = "rn",
     """
     cols = _sort_cols(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Materialise the range-partitioned, sorted rows once (reliable checkpoint in the
+    # shared checkpoint folder): the per-partition counts and the in-partition
+    # positions must see exactly the same partitions.
+    ranged = cut_lineage(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols))
     ided = ranged.withColumn("_mid", F.monotonically_increasing_id())
     ided = ided.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
     counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -60,7 +65,7 @@ def rank_distributed(df: DataFrame, c: str, name: str = "rank", descending: bool
     order = [F.col(c).desc_nulls_last()] if descending else [F.col(c).asc_nulls_last()]
     # cumulative counts over distinct values via the distributed row-number recipe
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = vals.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = cut_lineage(vals.repartitionByRange(n, *order).sortWithinPartitions(*order))
     part_tot = ranged.withColumn("_pid", F.spark_partition_id())
     totals = part_tot.groupBy("_pid").agg(F.sum("_cnt").alias("_ptot"))
     offsets = totals.select("_pid", F.coalesce(F.sum("_ptot").over(
