@@ -155,3 +155,14 @@ def top_k_per(df: DataFrame, key, order: Sequence, k: int, name: str = "rn") ->
 def first_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
     """SORT-03 first N entities by id."""
     return top_k(df, order, n)
+
+
+def top_k_per_salted(df: DataFrame, key, order: Sequence, k: int, salt_cols: Sequence[str],
+                     salts: int = 64, name: str = "rank") -> DataFrame:
+    """Exact top-k per group when one group can be very large (a query matching most
+    documents): top-k within (group, salt) sub-groups first, then top-k over at most
+    salts*k survivors per group.  ``order`` must be total for an exact, stable result."""
+    keys = [key] if isinstance(key, str) else list(key)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salts)))
+    first = top_k_per(salted, keys + ["_salt"], order, k, "_r1").drop("_r1", "_salt")
+    return top_k_per(first, keys, order, k, name)
