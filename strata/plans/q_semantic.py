@@ -1,3 +1,72 @@
-"""Queries: q_semantic."""
+"""Semantic-layer queries: every metric of the four models (SEM metrics 1-59) plus the
+SEM-02..12 behaviours and the questions answered through the layer (Q-06, Q-07)."""
 
 from __future__ import annotations
+
+from . import models as MD
+from .catalog import register
+
+# (model, metric, dimensions) for every declared metric
+_BY = {
+    "player": {"users": ["country"], "sessions": ["device_type"], "purchases": ["ad_type"], "game": ["country"],
+               "retention": ["segment"]},
+    "retail": {"interactions": ["product_line"], "ml_features": ["segment"], "campaign_perf": ["campaign_type"],
+               "sales": ["channel"], "kpi": ["kpi_channel"]},
+    "spa": {"appointments": ["city"], "daily_volume": ["volume_city"], "providers": ["provider_city"]},
+    "screening": {"orders": ["current_status"], "calls": ["client_name"]},
+}
+
+
+def _metric_query(model_fn, metric, dims, **kw):
+    def q(spark, d):
+        return model_fn().query(spark, d, [metric] if isinstance(metric, str) else metric, dims, **kw)
+    q.__doc__ = f"Semantic metric {metric} by {', '.join(dims) or 'all'}."
+    return q
+
+
+def _register_metrics():
+    for mname, fn in MD.MODELS.items():
+        model = fn()
+        for m in model.metrics:
+            dims = _BY[mname][m.table]
+            register(f"sem_{mname}_{m.name}", model.to_sql([m.name], dims), dbl=m.name)(_metric_query(fn, m.name, dims))
+
+
+_register_metrics()
+
+
+def _reg(name, model_fn, metrics, dims, dbl, note="", **kw):
+    m = model_fn()
+    register(name, m.to_sql(metrics, dims, **kw), dbl=dbl, note=note)(_metric_query(model_fn, metrics, dims, **kw))
+
+
+_reg("sem_multi_fact", MD.retail, ["total_net_revenue", "purchase_count"], ["product_line"], "total_net_revenue",
+     "SEM-03 metrics of two facts aggregated separately, full-outer joined on the shared dimension")
+_reg("sem_multi_hop", MD.screening, ["call_count", "order_count", "avg_days_in_status"], ["client_name"],
+     "avg_days_in_status", "SEM-04 call -> order -> client path")
+_reg("sem_expression_dimension", MD.retail, ["total_orders"], ["customer_label"], "",
+     "SEM-05 expression dimension (name + country)")
+_reg("sem_derived_cross_fact", MD.player, ["revenue_per_player", "total_revenue", "total_players"], ["country"],
+     "revenue_per_player total_revenue", "SEM-07 derived metric computed from two facts' components")
+_reg("sem_filtered_enum", MD.retail, ["total_net_revenue", "avg_discount"], ["region"], "total_net_revenue avg_discount",
+     "SEM-08 enum-checked filter", filters={"segment": ["BUILDING", "MACHINERY"]})
+_reg("sem_default_filter", MD.player, ["total_revenue", "total_purchases"], ["country"], "total_revenue",
+     "SEM-12 business default: exclude 'none' purchases", apply_defaults=True)
+_reg("sem_synonyms", MD.retail, ["net revenue", "aov"], ["sales channel"], "total_net_revenue avg_order_value",
+     "SEM-09 names resolved through synonyms")
+_reg("q06_net_revenue_by_channel", MD.retail, ["total_net_revenue"], ["channel"], "total_net_revenue", "Q-06")
+_reg("q11_sem_top_lines", MD.retail, ["total_net_revenue"], ["product_line"], "total_net_revenue",
+     "Q-11 through the layer: order + limit", order=["total_net_revenue DESC", "product_line"], limit=10)
+
+
+def _trend_q(spark, d):
+    return MD.retail().trend(spark, d, "total_net_revenue", "sale_date", "month", ["region"])
+
+
+_r = MD.retail()
+_g = _r.grain_dim("sale_date", "month")
+register("q07_monthly_revenue_by_region",
+         _r.to_sql(["total_net_revenue"], [_g, "region"]).replace(
+             "SELECT sale_date_month, region, total_net_revenue FROM _c",
+             "SELECT sale_date_month, region, floor(floor(total_net_revenue * 1e6 + 0.5) / 1e6 * 100.0 + 0.5) / 100.0 AS total_net_revenue FROM _c"),
+         dbl="total_net_revenue", note="Q-07 / SEM-11 monthly trend, money rounded to 2")(_trend_q)

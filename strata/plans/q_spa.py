@@ -244,3 +244,16 @@ _RB_DBL = ("no_show_rate cancellation_rate avg_days_between_visits avg_duration_
 def mart_rebooking_features(spark, d):
     """MART-53/54 client rebooking features and at-risk label (ref date 2024-01-31, window 30)."""
     return S.rebooking_features(Roles(spark, d).appointments(), EV)
+
+
+@register("staff_providers", f"WITH {_PROV_SQL} SELECT * FROM prov", big="max_daily_hours hourly_rate")
+def staff_providers(spark, d):
+    """STAFF-04 provider roster: city, comma-separated skills, hours, rate (one provider per supplier)."""
+    return S.providers(scan(spark, d, "supplier"))
+
+
+@register("staff_availability", f"WITH {_PROV_SQL} SELECT * FROM avail")
+def staff_availability(spark, d):
+    """MART-52 weekly availability grid (7 days per provider, two days off)."""
+    prov = S.providers(scan(spark, d, "supplier"))
+    return S.availability(prov).select("provider_id", "day_of_week", "is_available")
