@@ -22,6 +22,23 @@ SCREENING_COMPONENTS = ["County Criminal Search", "County Criminal Search", "Edu
                         "Federal Criminal Search", "Professional License Verification"]
 
 
+def sessions_from_events(e: DataFrame) -> DataFrame:
+    """Login sessions from events (batch or streaming frame)."""
+    return e.select("user_id", F.col("event_id").alias("session_id"), F.col("ts").alias("log_in"),
+                    F.least(F.col("value"), F.lit(99.9)).alias("minutes"), F.col("event_type").alias("device_type"))
+
+
+def purchases_from_events(e: DataFrame) -> DataFrame:
+    """Ad views / purchases from events (batch or streaming frame)."""
+    buy = F.col("event_type") == "purchase"
+    return e.select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("event_id").alias("ad_interaction_id"),
+        F.when(buy, F.col("value")).otherwise(F.lit(0.0)).alias("purchase_amount"),
+        F.when(buy, F.lit("in_app")).otherwise(F.lit("none")).alias("purchase_type"),
+        F.col("event_type").alias("ad_type"), (F.floor("value").cast("bigint") % 28 + 1).alias("ad_engagement_time"),
+        buy.alias("ad_conversion"), F.col("ts").alias("purchase_ts"))
+
+
 class Roles:
     """Lazily built role frames over one scale-factor directory."""
 
@@ -33,21 +50,10 @@ class Roles:
 
     # ------------------------------------------------------------ player
     def ev_sessions(self) -> DataFrame:
-        e = self.t("events")
-        return e.select("user_id", F.col("event_id").alias("session_id"), F.col("ts").alias("log_in"),
-                        F.least(F.col("value"), F.lit(99.9)).alias("minutes"),
-                        F.col("event_type").alias("device_type"))
+        return sessions_from_events(self.t("events"))
 
     def ev_purchases(self) -> DataFrame:
-        e = self.t("events")
-        buy = F.col("event_type") == "purchase"
-        return e.select(
-            "user_id", F.col("event_id").alias("purchase_id"), F.col("event_id").alias("ad_interaction_id"),
-            F.when(buy, F.col("value")).otherwise(F.lit(0.0)).alias("purchase_amount"),
-            F.when(buy, F.lit("in_app")).otherwise(F.lit("none")).alias("purchase_type"),
-            F.col("event_type").alias("ad_type"),
-            (F.floor("value").cast("bigint") % 28 + 1).alias("ad_engagement_time"),
-            buy.alias("ad_conversion"), F.col("ts").alias("purchase_ts"))
+        return purchases_from_events(self.t("events"))
 
     def users(self) -> DataFrame:
         c = self.t("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
