@@ -807,3 +807,78 @@ def qa_orphans(spark, d):
     a = S.orphans(T(spark, d, "lineitem"), T(spark, d, "part"), "l_partkey", "p_partkey").agg(F.count(F.lit(1)).alias("orphan_lines"))
     b = S.orphans(T(spark, d, "orders"), T(spark, d, "customer"), "o_custkey", "c_custkey").agg(F.count(F.lit(1)).alias("orphan_lines"))
     return S.union_all(a, b)
+
+
+# ================================================================== refresh, synthesis, hooks
+_GEN_SQL = ("WITH s AS (SELECT c.c_custkey AS user_id, g.seq, TIMESTAMP '2024-01-01 00:00:00' + to_seconds("
+            + K.sql_hash32("c.c_custkey, g.seq", "login") + " % (30 * 86400)) AS log_in FROM customer c, "
+            "range(1, 1 + 20 + " + K.sql_hash32("c.c_custkey", "nsess") + " % 40) g(seq)) "
+            "SELECT user_id, count(*) AS sessions, min(log_in) AS first_login, max(log_in) AS last_login FROM s GROUP BY 1")
+
+
+@register("gen_sessions", _GEN_SQL)
+def gen_sessions(spark, d):
+    """GEN-09 keyed session synthesis: 20..59 sessions per customer (fan-out by explode), login
+    time in a 30-day range by (user, seq) hash; summarised per user."""
+    s = gen_session_rows(spark, d)
+    return s.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.min("log_in").alias("first_login"),
+                                    F.max("log_in").alias("last_login"))
+
+
+def gen_session_rows(spark, d, lo: int = 20, span: int = 40):
+    c = T(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    s = K.fan_out(c, "user_id", lo, span, salt="nsess")
+    return s.select("user_id", "seq", K.ts_between(["user_id", "seq"], "login", "2024-01-01 00:00:00", 30).alias("log_in"))
+
+
+@register("gen_game_events", "WITH s AS (SELECT c.c_custkey AS user_id, g.seq FROM customer c, range(1, 1 + 20 + "
+          + K.sql_hash32("c.c_custkey", "nsess") + " % 40) g(seq)), e AS (SELECT user_id, "
+          + K.sql_hash32("user_id, seq", "kills") + " % 10 AS kills, " + K.sql_hash32("user_id, seq", "assists") + " % 6 AS assists, "
+          "substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(seq AS VARCHAR)), 1, 12) AS match_id FROM s) "
+          "SELECT kills, count(*) AS events, sum(assists) AS assists, count(DISTINCT match_id) AS matches FROM e GROUP BY 1", big="assists")
+def gen_game_events(spark, d):
+    """GEN-10 game events from synthesised sessions: stats by salted hash buckets, md5-prefix match ids."""
+    s = gen_session_rows(spark, d)
+    e = s.select("user_id", K.bucket(["user_id", "seq"], "kills", 10).alias("kills"),
+                 K.bucket(["user_id", "seq"], "assists", 6).alias("assists"),
+                 F.substring(F.md5(F.concat_ws("-", F.col("user_id").cast("string"), F.col("seq").cast("string"))), 1, 12).alias("match_id"))
+    return e.groupBy("kills").agg(F.count(F.lit(1)).alias("events"), F.sum("assists").alias("assists"),
+                                  F.countDistinct("match_id").alias("matches"))
+
+
+@register("expr_variant_path", "SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_total FROM events GROUP BY 1")
+def expr_variant_path(spark, d):
+    """EXPR-27 path access into a semi-structured payload: parse_json -> variant_get(v, '$.k', 'bigint')."""
+    e = T(spark, d, "events").withColumn("v", F.parse_json("props"))
+    return e.groupBy("event_type").agg(F.sum(F.variant_get("v", "$.k", "bigint")).alias("k_total"))
+
+
+@register("udf_text_model_batches")
+def udf_text_model_batches(spark, d):
+    """UDF-03/04 a user's Python text model on Arrow batches (mapInPandas), over every document."""
+    from ..operators.udf import apply_text_model, text_stats
+    docs = T(spark, d, "documents").select("doc_id", "text")
+    return apply_text_model(docs, text_stats, "doc_id long, sentences long, mean_word_len double, words_per_sentence double")
+
+
+@register("fc_forecast_with_user_model")
+def fc_forecast_with_user_model(spark, d):
+    """FC-04 / UDF-05 user-supplied per-series model (applyInPandas over the zero-filled series)."""
+    from ..marts import spa as SP
+    from ..operators.forecast import zero_fill
+    from ..operators.udf import apply_per_group, linear_trend_forecast
+    keys = ["location_city", "service_category"]
+    dd = SP.daily_demand(Roles(spark, d).appointments())
+    s = zero_fill(dd.select(*keys, "ts", F.col("appointment_count").alias("y")), keys, "ts", "y")
+    return apply_per_group(s, keys, linear_trend_forecast(14),
+                           "ts date, forecast double, location_city string, service_category string")
+
+
+@register("src_pandas_handover")
+def src_pandas_handover(spark, d):
+    """SRC-16 pandas hand-over for a small, bounded result (one row per region) and back."""
+    agg = T(spark, d, "region").join(T(spark, d, "nation"), F.col("r_regionkey") == F.col("n_regionkey")) \
+        .groupBy("r_name").agg(F.count(F.lit(1)).alias("nations"))
+    pdf = agg.toPandas()                      # 1 row per region: bounded by the region dimension
+    pdf["share"] = pdf["nations"] / pdf["nations"].sum()
+    return spark.createDataFrame(pdf)

@@ -345,3 +345,18 @@ def q03_retention_rates(spark, d):
     r = P.retention(Roles(spark, d).ev_sessions(), EV)
     return r.agg((rate(F.col("logged_in_after_1_day")) * 100).alias("day1_retention_pct"),
                  (rate(F.col("logged_in_after_7_days")) * 100).alias("day7_retention_pct"))
+
+
+@register("src_refresh_rankings_dag", f"WITH {R('game_events', 'ord_sessions')}, {_PPE_SQL}, {_PPU_SQL}, {_TIERS_SQL}, "
+          f"{_RANK_SQL} SELECT * FROM ranks", dbl="total_points percentile")
+def src_refresh_rankings_dag(spark, d):
+    """SRC-05/06/13 dependency-ordered refresh: points per event -> points per user -> rankings,
+    each materialised (overwrite) in the shared folder before the next table reads it."""
+    from .refresh import refresh
+    r = Roles(spark, d)
+    graph = {
+        "points_per_event": ((), lambda i: P.points_per_event(r.game_events(), r.ord_sessions())),
+        "points_per_user": (("points_per_event",), lambda i: P.points_per_user(i["points_per_event"])),
+        "user_rankings": (("points_per_user",), lambda i: P.user_rankings(i["points_per_user"], P.tiers_frame(spark))),
+    }
+    return refresh(spark, graph)["user_rankings"]
