@@ -116,21 +116,51 @@ def surrogate(df: DataFrame, order: Sequence, prefix: str, width: int, name: str
     return r.withColumn(name, F.concat(F.lit(prefix), F.lpad(F.col("_rn").cast("string"), width, "0"))).drop("_rn")
 
 
-def gap_days(df: DataFrame, key: str, date: str, name: str = "gap_days") -> DataFrame:
-    """WIN-10 days since the previous event of the same key."""
-    w = Window.partitionBy(key).orderBy(date)
-    return df.withColumn(name, F.datediff(F.to_date(date), F.to_date(F.lag(date).over(w))))
+def seq_within(df: DataFrame, key, order: Sequence, name: str = "seq", partitions: int | None = None) -> DataFrame:
+    """1-based position of each row inside its key by a total ``order``, without a per-key window.
+
+    Range partitioning on (key, order) lets a hot key span several partitions;
+    after a checkpoint (identical partitions for every branch) each row's
+    position is its in-partition index minus the key's first index in that
+    partition, plus the key's row count in earlier partitions.  The offsets
+    table has one row per (partition, key) and is joined, not broadcast.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [F.col(k) for k in keys] + _sort_cols(order)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols))
+    ided = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    ided = ided.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+    pk = ided.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = pk.select("_pid", *keys, "_first", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    out = ided.join(off, ["_pid", *keys])
+    return out.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("bigint")) \
+        .drop("_mid", "_pid", "_pos", "_first", "_off")
+
+
+def gap_days(df: DataFrame, key: str, date: str, order: Sequence | None = None, name: str = "gap_days") -> DataFrame:
+    """WIN-10 days since the previous event of the same key (``order`` = total order, default date).
+
+    The previous row is found by joining each row's (key, seq) to (key, seq + 1)
+    of the sequence from ``seq_within``, so a hot key is spread over the join.
+    """
+    order = list(order) if order else [date]
+    s = seq_within(df, key, order, "_seq")
+    prev = s.select(F.col(key), (F.col("_seq") + 1).alias("_seq"), F.col(date).alias("_prev"))
+    return s.join(prev, [key, "_seq"], "left") \
+        .withColumn(name, F.datediff(F.to_date(date), F.to_date("_prev"))).drop("_seq", "_prev")
 
 
 def half_trend(df: DataFrame, key: str, order: Sequence[str], val: str) -> DataFrame:
     """WIN-11 second-half mean minus first-half mean, relative to the first half.
 
-    Rows are numbered per key (ties broken by all ``order`` columns), split at
-    n // 2; 0 when n < 4 or the first-half mean <= 0.
+    Rows are numbered per key (ties broken by all ``order`` columns, distributed
+    ``seq_within``), split at n // 2; 0 when n < 4 or the first-half mean <= 0.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    x = df.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    x = seq_within(df.select(key, *order, val), key, order, "_rn")
+    n = x.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    x = x.join(n, key)
     g = x.groupBy(key).agg(
         F.max("_n").alias("_n"),
         F.avg(F.when(F.col("_rn") <= F.floor(F.col("_n") / 2), F.col(val))).alias("_first"),

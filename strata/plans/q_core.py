@@ -586,10 +586,9 @@ def win_slot_index(spark, d):
 @register("win_gap_days", "SELECT o_orderkey, date_diff('day', CAST(lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS DATE), "
           "CAST(o_orderdate AS DATE)) AS gap_days FROM orders")
 def win_gap_days(spark, d):
-    """WIN-10 previous-event gap per entity."""
+    """WIN-10 previous-event gap per entity (distributed per-key sequence, no per-key window)."""
     o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select("o_orderkey", F.datediff(F.to_date("o_orderdate"), F.to_date(F.lag("o_orderdate").over(w))).alias("gap_days"))
+    return W.gap_days(o, "o_custkey", "o_orderdate", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "gap_days")
 
 
 @register("win_half_trend", "WITH x AS (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn, "
@@ -623,7 +622,7 @@ def sort_first_n_subpop(spark, d):
 def sort_top_k_per_group(spark, d):
     """SORT-04 top-k per group."""
     o = T(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return W.top_k_per(o, "o_custkey", [F.desc("o_totalprice"), F.asc("o_orderkey")], 3)
+    return W.top_k_per_salted(o, "o_custkey", [F.desc("o_totalprice"), F.asc("o_orderkey")], 3, ["o_orderkey"], name="rn")
 
 
 # ================================================================== expressions

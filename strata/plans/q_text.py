@@ -258,6 +258,6 @@ def q24_last_calls_per_person(spark, d):
     r = Roles(spark, d)
     i = _insights(spark, d).join(r.scr_orders().select("order_id", "candidate_id"), "order_id")
     i = i.join(r.calls().select("contact_id", "transcript"), "contact_id")
-    t = W.top_k_per(i, "candidate_id", [F.desc("started_at"), F.asc("contact_id")], 3)
+    t = W.top_k_per_salted(i, "candidate_id", [F.desc("started_at"), F.asc("contact_id")], 3, ["contact_id"], name="rn")
     t = G.apply_policies(t, {"transcript": "string"}, "SUPPORT_AGENT")
     return t.select("candidate_id", "contact_id", "started_at", "commitment", "rn", "transcript")

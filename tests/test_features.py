@@ -107,3 +107,18 @@ def test_overwrite_idempotent(spark):
     io.overwrite(df, d)
     io.overwrite(df, d)
     assert spark.read.parquet(d).count() == 10
+
+
+def test_seq_within_matches_window_with_hot_key(spark):
+    from pyspark.sql import Window
+    # key 0 holds a third of the rows (hot key)
+    df = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"),
+                                     ((F.col("id") * 31) % 997).alias("v"), F.col("id"))
+    a = W.seq_within(df, "k", ["v", "id"], "seq")
+    b = df.withColumn("seq2", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")))
+    assert a.join(b.select("id", "seq2"), "id").where("seq != seq2").count() == 0
+    g = W.gap_days(df.withColumn("d", F.expr("date_add(DATE'2024-01-01', CAST(v AS INT))")), "k", "d", ["d", "id"])
+    ref = df.withColumn("d", F.expr("date_add(DATE'2024-01-01', CAST(v AS INT))")).withColumn(
+        "g2", F.datediff("d", F.lag("d").over(Window.partitionBy("k").orderBy("d", "id"))))
+    j = g.join(ref.select("id", "g2"), "id")
+    assert j.where("NOT (gap_days <=> g2)").count() == 0
