@@ -118,7 +118,7 @@ def player() -> SemanticModel:
                  Metric("day7_retention_rate", "retention", "avg(CASE WHEN retention.logged_in_after_7_days THEN 1.0 ELSE 0.0 END)")],
         derived=[DerivedMetric("revenue_per_player", "total_revenue / total_players", ["total_revenue", "total_players"])],
         default_filters={"purchases": "purchases.purchase_type != 'none'"},
-        comment="Player 360")
+        comment="Player analytics")
 
 
 @lru_cache(maxsize=None)
@@ -194,7 +194,7 @@ def retail() -> SemanticModel:
                  Metric("avg_ltv_cac_ratio", "kpi", "avg(kpi.ltv_to_cac_ratio)")],
         derived=[DerivedMetric("revenue_per_interaction", "CASE WHEN total_interactions = 0 THEN 0 ELSE total_net_revenue / total_interactions END",
                                ["total_net_revenue", "total_interactions"])],
-        comment="Retail athletic")
+        comment="Retail sales")
 
 
 @lru_cache(maxsize=None)
@@ -214,7 +214,7 @@ def spa() -> SemanticModel:
                  Metric("avg_duration", "appointments", "avg(appointments.service_duration_mins)"),
                  Metric("total_volume", "daily_volume", "sum(daily_volume.appointment_count)"),
                  Metric("provider_count", "providers", "count(providers.provider_id)")],
-        comment="Spa bookings")
+        comment="Salon bookings")
 
 
 @lru_cache(maxsize=None)
