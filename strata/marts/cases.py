@@ -94,7 +94,8 @@ def cases(calls: DataFrame) -> DataFrame:
 
 def ops_notes(st: DataFrame) -> DataFrame:
     """MART-66 ops notes: two per open order, one per sampled (key mod 10 = 0) complete order;
-    note text templated by component and status; ids from a distributed row number."""
+    note text is a nested string template with CASE branches (EXPR-28) by component and status;
+    ids from a distributed row number."""
     open_ = st.where(F.col("current_status") != "Complete")
     closed = st.where((F.col("current_status") == "Complete") & (F.pmod(F.col("order_id"), F.lit(10)) == 0))
     rows = union_all(open_.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))), closed.withColumn("k", F.lit(1)))

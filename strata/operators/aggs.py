@@ -104,18 +104,3 @@ def rollup2(df: DataFrame, inner_keys: Sequence[str], inner: dict[str, Column],
     """AGG-10 two-level aggregate: pre-aggregate then roll up."""
     g = df.groupBy(*inner_keys).agg(*[c.alias(n) for n, c in inner.items()])
     return g.groupBy(*outer_keys).agg(*[c.alias(n) for n, c in outer.items()])
-
-
-def salted_count_distinct(df: DataFrame, by: Sequence[str], c: str, salts: int = 16,
-                          name: str = "n_distinct") -> DataFrame:
-    """Exact COUNT(DISTINCT c) per group that survives a hot group.
-
-    Stage 1 dedups (group, c) pairs spread over ``salts`` sub-groups derived
-    from c itself (so each distinct value lands in exactly one sub-group);
-    stage 2 sums per group.  No single task has to hold all values of a group
-    holding a third of the rows.
-    """
-    salt = F.pmod(F.xxhash64(F.col(c)), F.lit(salts))
-    d = df.select(*by, c).where(F.col(c).isNotNull()).withColumn("_s", salt).distinct()
-    g = d.groupBy(*by, "_s").agg(F.count(F.lit(1)).alias("_n"))
-    return g.groupBy(*by).agg(F.sum("_n").cast("bigint").alias(name))

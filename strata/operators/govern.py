@@ -1,4 +1,4 @@
-"""Role-based column masks.
+"""Role-based column masks.
 
 A policy is a Column builder evaluated for a given role; ``apply_policies``
 rewrites the listed columns in one projection and leaves the others as they

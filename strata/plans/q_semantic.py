@@ -60,6 +60,7 @@ _reg("q11_sem_top_lines", MD.retail, ["total_net_revenue"], ["product_line"], "t
 
 
 def _trend_q(spark, d):
+    """Q-07 / SEM-11 monthly net revenue trend by region (month grain, money rounded to 2)."""
     return MD.retail().trend(spark, d, "total_net_revenue", "sale_date", "month", ["region"])
 
 

@@ -257,3 +257,15 @@ def staff_availability(spark, d):
     """MART-52 weekly availability grid (7 days per provider, two days off)."""
     prov = S.providers(scan(spark, d, "supplier"))
     return S.availability(prov).select("provider_id", "day_of_week", "is_available")
+
+
+@register("src_requery_cached", _REC_SQL.replace("{S}", "2024-01-31").replace("{E}", "2024-02-13")
+          + "SELECT staffing_status, count(*) AS cells, sum(gap) AS total_gap FROM res GROUP BY 1", big="total_gap")
+def src_requery_cached(spark, d):
+    """SRC-18 re-query of the previous result: the schedule is persisted once and the caller's
+    follow-up questions (understaffed / overstaffed cells) are answered from it."""
+    r = _recommend(spark, d, "2024-01-31", "2024-02-13").persist()
+    under = r.where(F.col("staffing_status") == "Understaffed")
+    rest = r.where(F.col("staffing_status") != "Understaffed")
+    return under.unionByName(rest).groupBy("staffing_status").agg(F.count(F.lit(1)).alias("cells"),
+                                                                  F.sum("gap").alias("total_gap"))
