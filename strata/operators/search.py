@@ -20,13 +20,14 @@ from .windows import top_k_per_salted
 K1, B = 1.2, 0.75
 
 
-def build_index(corpus: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame]:
-    """Postings (key, term, tf, dl) and corpus statistics (n_docs, avgdl) as a 1-row frame."""
+def build_index(corpus: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Postings (key, term, tf), document lengths (key, dl) and corpus statistics
+    (n_docs, avgdl) as a 1-row frame; one tokenisation pass over the whole texts."""
     tok = corpus.select(key, F.explode(tokens(col)).alias("term")).where(F.length("term") > 0)
     post = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dl = tok.groupBy(key).agg(F.count(F.lit(1)).alias("dl"))
+    dl = post.groupBy(key).agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return post.join(dl, key), stats
+    return post, dl, stats
 
 
 def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey: str, qcol: str,
@@ -35,13 +36,13 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     ties by document key).  ``where`` filters the corpus first (attribute filters)."""
     if where is not None:
         corpus = corpus.where(where)
-    post, stats = build_index(corpus, key, col)
+    post, dl, stats = build_index(corpus, key, col)
     dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     q = queries.select(qkey, F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
     qt = q.join(dfreq, "term").crossJoin(F.broadcast(stats))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     qt = qt.select(qkey, "term", idf.alias("idf"), "avgdl")
-    m = qt.join(post, "term")
+    m = qt.join(post, "term").join(dl, key)     # lengths attached to matched postings only
     tfn = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     # scores snapped to 1e-9 so exact ties (duplicate documents) break by key, not by float noise
     sc = m.groupBy(qkey, key).agg(round_half(F.sum(F.col("idf") * tfn), 9).alias("score"))

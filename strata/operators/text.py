@@ -54,12 +54,18 @@ def tokens(c) -> Column:
     return F.split(F.lower(c), TOKEN_SPLIT)
 
 
+# A pattern can only match text containing its guard, so the regex is skipped otherwise.
+_GUARDS = {"email": lambda c: c.contains("@"), "phone": lambda c: c.contains("+1 ("),
+           "card": lambda c: c.rlike("[0-9]"), "ssn": lambda c: c.rlike("[0-9]"),
+           "ip": lambda c: c.rlike("[0-9]"), "dob": lambda c: c.contains("/")}
+
+
 def redact(df: DataFrame, col: str, kinds: Sequence[str] | None = None, out: str | None = None) -> DataFrame:
-    """TXT-01 ordered regex replacement of PII to typed placeholders."""
+    """TXT-01 ordered regex replacement of PII to typed placeholders (whole texts)."""
     e = F.col(col)
     for kind, pat, rep in PII_PATTERNS:
         if kinds is None or kind in kinds:
-            e = F.regexp_replace(e, pat, rep)
+            e = F.when(_GUARDS[kind](e), F.regexp_replace(e, pat, rep)).otherwise(e)
     return df.withColumn(out or col, e)
 
 

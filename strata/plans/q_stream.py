@@ -197,11 +197,10 @@ def str_monitor_daily(spark, d):
     doc = scan(spark, d, "documents").select("doc_id", "n_chars")
     x = lab.join(doc, "doc_id").select(
         (F.floor((1 - F.exp(-F.col("n_chars") / 3000.0)) * 10000 + 0.5) / 10000).alias("score"),
-        F.date_add(F.date_sub(F.lit(EV).cast("date"), 28), F.pmod(K.hash32("doc_id", "mon"), F.lit(28)).cast("int"))
-        .cast("timestamp").alias("pred_ts"))
-    s = x.withWatermark("pred_ts", WM).groupBy(F.window("pred_ts", "1 day")).agg(
+        F.date_add(F.date_sub(F.lit(EV).cast("date"), 28), F.pmod(K.hash32("doc_id", "mon"), F.lit(28)).cast("int")).alias("day"))
+    # the calendar day is the 1-day tumbling window (independent of the session time zone)
+    s = x.groupBy("day").agg(
         F.count(F.lit(1)).alias("predictions"), F.avg("score").alias("mean_score"),
         F.avg(F.when(F.col("score") >= 0.5, 1.0).otherwise(0.0)).alias("share_class1"))
-    t = ST.run_upsert(s.select(F.to_date("window.start").alias("day"), "predictions", "mean_score", "share_class1"),
-                      "monitor", ["day"])
+    t = ST.run_upsert(s, "monitor", ["day"])
     return t
