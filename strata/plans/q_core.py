@@ -845,7 +845,8 @@ def gen_game_events(spark, d):
                                   F.countDistinct("match_id").alias("matches"))
 
 
-@register("expr_variant_path", "SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_total FROM events GROUP BY 1")
+@register("expr_variant_path", "SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_total FROM events GROUP BY 1",
+          big="k_total")
 def expr_variant_path(spark, d):
     """EXPR-27 path access into a semi-structured payload: parse_json -> variant_get(v, '$.k', 'bigint')."""
     e = T(spark, d, "events").withColumn("v", F.parse_json("props"))

@@ -24,12 +24,22 @@ def _metric_query(model_fn, metric, dims, **kw):
     return q
 
 
+# metrics whose value is an integer (sums of integer columns or of 1/0 flags); counts are detected by form
+_INTEGER_SUMS = {"total_kills", "churn_count", "total_kpi_orders", "total_new_customers", "total_repeat_customers",
+                 "total_volume"}
+
+
+def _is_integer(m) -> bool:
+    return m.expr.lower().startswith("count(") or m.name in _INTEGER_SUMS
+
+
 def _register_metrics():
     for mname, fn in MD.MODELS.items():
         model = fn()
         for m in model.metrics:
             dims = _BY[mname][m.table]
-            register(f"sem_{mname}_{m.name}", model.to_sql([m.name], dims), dbl=m.name)(_metric_query(fn, m.name, dims))
+            kind = {"big": m.name} if _is_integer(m) else {"dbl": m.name}
+            register(f"sem_{mname}_{m.name}", model.to_sql([m.name], dims), **kind)(_metric_query(fn, m.name, dims))
 
 
 _register_metrics()

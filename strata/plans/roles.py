@@ -224,10 +224,10 @@ ROLE_SQL = {
                     "CASE WHEN event_id % 3 = 0 THEN 'app' ELSE 'phone' END AS booking_source, "
                     "event_id % 14 AS days_booked_in_advance, value AS line_total, "
                     "floor(value * 0.15 * 100.0 + 0.5) / 100.0 AS tip_amount FROM events",
-    "scr_orders": "SELECT o.o_orderkey AS order_id, o.o_custkey AS candidate_id, c.c_nationkey AS client_id, "
+    "scr_orders": "SELECT o.o_orderkey AS order_id, o.o_custkey AS candidate_id, CAST(c.c_nationkey AS BIGINT) AS client_id, "
                   "CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderstatus AS raw_status "
                   "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
-    "clients": "SELECT n_nationkey AS client_id, n_name AS client_name FROM nation",
+    "clients": "SELECT CAST(n_nationkey AS BIGINT) AS client_id, n_name AS client_name FROM nation",
     "calls": "SELECT CAST(conv_id AS VARCHAR) AS contact_id, conv_id AS order_id, "
              "CAST(DATE '2001-06-01' + CAST(conv_id % 60 AS INTEGER) AS TIMESTAMP) "
              "+ to_hours(CAST(conv_id % 9 + 8 AS BIGINT)) AS started_at, "
