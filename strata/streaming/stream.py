@@ -44,29 +44,51 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 class VersionedTable:
-    """Upsert target kept as versioned parquet folders ``v000001, v000002, ...``."""
+    """Upsert target kept as versioned parquet folders ``v000001, v000002, ...``.
+
+    Version ``e + 1`` is the state after micro-batch ``e``.  Committed versions are
+    discovered from the shared folder (a ``_SUCCESS`` marker), so a restarted query
+    resumes from the state its checkpoint expects, and a re-executed batch reads the
+    state before its epoch and rewrites the same version (idempotent).
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
         self.spark, self.path, self.keys = spark, path, list(keys)
-        self.version = 0
 
-    def latest(self) -> DataFrame | None:
-        if self.version == 0:
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions(self) -> list[int]:
+        p, fs = self._fs()
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("v") and name[1:].isdigit() and fs.exists(
+                    self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[1:]))
+        return sorted(out)
+
+    def latest(self, before: int | None = None) -> DataFrame | None:
+        vs = [v for v in self.versions() if before is None or v < before]
+        if not vs:
             return None
-        return self.spark.read.parquet(os.path.join(self.path, f"v{self.version:06d}"))
+        return self.spark.read.parquet(os.path.join(self.path, f"v{vs[-1]:06d}"))
 
     def upsert(self, batch: DataFrame, epoch: int, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None):
-        """Replace rows of changed keys (or ``combine(old, batch)`` them) and write a new version."""
-        old = self.latest()
+        """Replace rows of changed keys (or ``combine(old, batch)`` them) and write version epoch + 1."""
+        v = epoch + 1
+        old = self.latest(before=v)
         if old is None:
             merged = batch
         elif combine is not None:
             merged = combine(old, batch)
         else:
             merged = old.join(batch.select(*self.keys), self.keys, "left_anti").unionByName(batch)
-        v = epoch + 1
         merged.write.mode("overwrite").parquet(os.path.join(self.path, f"v{v:06d}"))
-        self.version = v
 
 
 def run_upsert(df: DataFrame, name: str, keys: Sequence[str], mode: str = "update",
