@@ -285,9 +285,8 @@ def churn_rate_monthly(sess: DataFrame, compat: bool = False) -> DataFrame:
                                  F.count(F.lit(1)).alias("active_users"))
     g = g.select(F.year("m").alias("year"), F.month("m").alias("month"), "churned_users", "active_users", "m")
     if compat:
-        mins = g.agg(F.min("year").alias("_y"), F.min("month").alias("_mo"))
-        g = g.crossJoin(F.broadcast(mins)).where(~((F.col("year") == F.col("_y")) & (F.col("month") == F.col("_mo")))) \
-            .drop("_y", "_mo")
+        mins = g.select(F.struct(F.min("year").alias("y"), F.min("month").alias("mo"))).scalar()
+        g = g.where(~((F.col("year") == mins.getField("y")) & (F.col("month") == mins.getField("mo"))))
     else:
         g = joins.drop_first_period(g, "m")
     return g.drop("m").withColumn(
@@ -300,8 +299,7 @@ def lost_next(sess: DataFrame) -> DataFrame:
     active = sess.select(F.to_date("log_in").alias("d"), "user_id").distinct()
     nxt = active.select("user_id", F.date_sub("d", 1).alias("d"), F.lit(True).alias("_next"))
     j = active.join(nxt, ["user_id", "d"], "left")
-    last = active.agg(F.max("d").alias("_last"))
-    j = j.crossJoin(F.broadcast(last)).where(F.col("d") != F.col("_last"))
+    j = j.where(F.col("d") != active.agg(F.max("d")).scalar())
     return j.groupBy(F.col("d").alias("log_in_date")).agg(count_if(F.col("_next").isNull()).alias("lost_users"),
                                                           F.count(F.lit(1)).alias("active_users"))
 

@@ -60,22 +60,26 @@ def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
     """ML-08 AP = sum over distinct thresholds (descending) of Δrecall × precision."""
     c = _score_counts(df, score, label)
     p = prefix_sums(c, score, ["pos", "neg"], descending=True, inclusive=True)
-    tot = c.agg(F.sum("pos").alias("_P"))
-    x = p.crossJoin(F.broadcast(tot))
-    return x.agg(F.sum(F.col("pos") / F.col("_P") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
+    tot = c.agg(F.sum("pos")).scalar()
+    s = p.agg(F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_s"))
+    return s.select((F.col("_s") / tot)
                   .alias("average_precision"))
 
 
 def classification_report(df: DataFrame, pred: str, label: str) -> DataFrame:
     """ML-06 accuracy and per-class precision / recall / F1 / support from confusion counts."""
     cm = df.groupBy(F.col(label).alias("y"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    classes = cm.select(F.col("y").alias("cls")).union(cm.select(F.col("p").alias("cls"))).distinct()
-    x = classes.crossJoin(F.broadcast(cm))  # confusion matrix has at most classes^2 rows
-    g = x.groupBy("cls").agg(
-        F.sum(F.when((F.col("y") == F.col("cls")) & (F.col("p") == F.col("cls")), F.col("n")).otherwise(0)).alias("tp"),
-        F.sum(F.when((F.col("y") != F.col("cls")) & (F.col("p") == F.col("cls")), F.col("n")).otherwise(0)).alias("fp"),
-        F.sum(F.when((F.col("y") == F.col("cls")) & (F.col("p") != F.col("cls")), F.col("n")).otherwise(0)).alias("fn"),
-        F.sum("n").alias("total"))
+    # each confusion cell (y, p, n) counts for class y (tp if p == y, else fn) and for
+    # class p (fp if p != y): two rows per cell, then one grouped sum per class
+    hit = F.col("y") == F.col("p")
+    zero = F.lit(0).cast("bigint")
+    cell = F.explode(F.array(
+        F.struct(F.col("y").alias("cls"), F.when(hit, F.col("n")).otherwise(zero).alias("tp"), zero.alias("fp"),
+                 F.when(hit, zero).otherwise(F.col("n")).alias("fn")),
+        F.struct(F.col("p").alias("cls"), zero.alias("tp"), F.when(hit, zero).otherwise(F.col("n")).alias("fp"),
+                 zero.alias("fn")))).alias("c")
+    g = cm.select(cell).select("c.*").groupBy("cls").agg(
+        F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
     prec = F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp"))
     rec = F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fn"))
     acc = cm.agg(F.try_divide(F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).cast("double"),
@@ -83,7 +87,7 @@ def classification_report(df: DataFrame, pred: str, label: str) -> DataFrame:
     out = g.select(F.col("cls").alias("class"), prec.alias("precision"), rec.alias("recall"),
                    (F.col("tp") + F.col("fn")).alias("support"))
     out = out.withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
-    return out.crossJoin(F.broadcast(acc))
+    return out.withColumn("accuracy", acc.scalar())
 
 
 def stratified_split(df: DataFrame, key: str, label: str, frac: float = 0.8, salt: str = "split") -> DataFrame:
@@ -102,24 +106,23 @@ def stratified_split(df: DataFrame, key: str, label: str, frac: float = 0.8, sal
 
 def quantile_edges(df: DataFrame, col: str, key: str, bins: int = 10) -> DataFrame:
     """Exact decile edges: value at row number ceil(k n / bins), k = 1..bins-1 (distributed)."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    r = row_number_distributed(df.select(col, key), [col, key], "_rn").crossJoin(F.broadcast(n))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    r = row_number_distributed(df.select(col, key), [col, key], "_rn")
     ks = df.sparkSession.range(1, bins).withColumnRenamed("id", "k")
-    targets = ks.crossJoin(F.broadcast(n)).select("k", F.ceil(F.col("k") * F.col("_n") / bins).alias("_rn"))
+    targets = ks.select("k", F.ceil(F.col("k") * n / bins).alias("_rn"))  # bins - 1 rows
     return r.join(F.broadcast(targets), "_rn").select("k", F.col(col).alias("edge"))
 
 
 def psi(base: DataFrame, cur: DataFrame, col: str, key: str, bins: int = 10, floor: float = 1e-6) -> DataFrame:
     """MON-03 population stability index of ``col``: baseline decile edges, bin shares with a
     floor, sum (cur - base) * ln(cur / base)."""
-    edges = quantile_edges(base, col, key, bins).agg(F.array_sort(F.collect_list("edge")).alias("_edges"))  # bins-1 values
+    edges = quantile_edges(base, col, key, bins).agg(F.array_sort(F.collect_list("edge"))).scalar()  # bins-1 values
 
     def shares(df, name):
-        b = df.select(col).crossJoin(F.broadcast(edges)).select(
-            F.size(F.filter("_edges", lambda e: e < F.col(col))).alias("bin"))
+        b = df.select(col, edges.alias("_edges")) \
+            .select(F.size(F.filter("_edges", lambda e: e < F.col(col))).alias("bin"))
         g = b.groupBy("bin").agg(F.count(F.lit(1)).alias("_c"))
-        t = g.agg(F.sum("_c").alias("_t"))
-        return g.crossJoin(F.broadcast(t)).select("bin", (F.col("_c") / F.col("_t")).alias(name))
+        return g.select("bin", (F.col("_c") / g.agg(F.sum("_c")).scalar()).alias(name))
 
     allbins = base.sparkSession.range(0, bins).withColumnRenamed("id", "bin")
     s = allbins.join(shares(base, "b"), "bin", "left").join(shares(cur, "c"), "bin", "left")

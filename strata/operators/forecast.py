@@ -20,14 +20,13 @@ from ..functions.expr import dow_sun0
 def zero_fill(series: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
     """FC-01 one row per (series, day) between the global first and last day; missing = 0.
 
-    Each series key row is expanded with ``explode(sequence(first, last))``
-    against a 1-row bounds aggregate (broadcast of one row), which replaces a
-    cross join with a calendar table.
+    Each series key row is expanded with ``explode(sequence(first, last))``; the
+    global bounds are one scalar subquery, so no calendar table is cross joined.
     """
     keys = list(keys)
-    bounds = series.agg(F.min(ts).alias("_s"), F.max(ts).alias("_e"))
-    grid = series.select(*keys).distinct().crossJoin(F.broadcast(bounds)) \
-        .select(*keys, F.explode(F.sequence("_s", "_e")).alias(ts))
+    b = series.select(F.struct(F.min(ts).alias("s"), F.max(ts).alias("e"))).scalar()
+    grid = series.select(*keys).distinct() \
+        .select(*keys, F.explode(F.sequence(b.getField("s"), b.getField("e"))).alias(ts))
     return grid.join(series.select(*keys, ts, y), keys + [ts], "left") \
         .withColumn(y, F.coalesce(F.col(y), F.lit(0.0)))
 
@@ -54,13 +53,8 @@ def forecast(series: DataFrame, keys: Sequence[str], ts: str, y: str, h: int = 1
     the weekday effect.  ``origin`` fixes the day index 0 (default: global min).
     """
     keys = list(keys)
-    o = F.lit(origin).cast("date") if origin else None
-    if o is None:
-        o = F.col("_origin")
-        series = series.crossJoin(F.broadcast(series.agg(F.min(ts).alias("_origin"))))
+    o = F.lit(origin).cast("date") if origin else series.agg(F.min(ts)).scalar()
     params, eff = _fit(series, keys, ts, y, o)
-    if origin is None:
-        params = params.crossJoin(F.broadcast(series.select("_origin").limit(1)))
     fut = params.withColumn(ts, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", h))))
     fut = fut.withColumn("_dow", dow_sun0(ts)).join(eff, keys + ["_dow"], "left")
     t = F.datediff(F.col(ts), o).cast("double")
@@ -78,8 +72,9 @@ def backtest(series: DataFrame, keys: Sequence[str], ts: str, y: str, h: int = 7
     The fold id is a column, so all folds of all series fit in the same grouped jobs.
     """
     keys = list(keys)
-    last = series.agg(F.max(ts).alias("_end"), F.min(ts).alias("_origin"))
-    x = series.crossJoin(F.broadcast(last)).withColumn("_fold", F.explode(F.sequence(F.lit(1), F.lit(folds))))
+    b = series.select(F.struct(F.max(ts).alias("e"), F.min(ts).alias("o"))).scalar()
+    x = series.withColumns({"_end": b.getField("e"), "_origin": b.getField("o")}) \
+        .withColumn("_fold", F.explode(F.sequence(F.lit(1), F.lit(folds))))
     x = x.withColumn("_cut", F.date_sub("_end", F.col("_fold") * h))
     train = x.where(F.col(ts) <= F.col("_cut"))
     test = x.where((F.col(ts) > F.col("_cut")) & (F.col(ts) <= F.date_add("_cut", h)))

@@ -51,9 +51,28 @@ def grid(*dfs: DataFrame) -> DataFrame:
     return out
 
 
+def scalar_struct(scalar: DataFrame) -> Column:
+    """The single row of a global aggregate as one scalar-subquery column (a struct of its
+    columns).  Spark runs the subquery once, as its own job, and inlines the value."""
+    return scalar.select(F.struct(*scalar.columns).alias("_s")).scalar()
+
+
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """JOIN-06 attach a 1-row aggregate to every row (broadcast of one row)."""
-    return df.crossJoin(F.broadcast(scalar.limit(1)))
+    """JOIN-06 attach the columns of a 1-row aggregate to every row.
+
+    Planned as a scalar subquery (one struct, fields projected), not as a join:
+    no nested-loop join and nothing collected by the caller.  A relation with more
+    than one row fails at run time instead of multiplying rows.
+    """
+    s = scalar_struct(scalar)
+    return df.withColumns({c: s.getField(c) for c in scalar.columns})
+
+
+def with_scalars(df: DataFrame, *scalars: DataFrame) -> DataFrame:
+    """Side-by-side combination of several 1-row results (metric rows) as scalar subqueries."""
+    for s in scalars:
+        df = with_scalar(df, s)
+    return df
 
 
 def tier_join(df: DataFrame, x: str, tiers: DataFrame, lo: str = "lower_bound",
@@ -136,9 +155,9 @@ def exists_flag(a: DataFrame, b: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def drop_first_period(df: DataFrame, period: str) -> DataFrame:
-    """JOIN-15 drop rows of the earliest period (scalar min joined as a 1-row broadcast)."""
-    m = df.agg(F.min(period).alias("_first"))
-    return df.crossJoin(F.broadcast(m)).where(F.col(period) != F.col("_first")).drop("_first")
+    """JOIN-15 drop rows of the earliest period (the global min is a scalar subquery)."""
+    first = df.agg(F.min(period)).scalar()
+    return df.where(F.col(period) != first)
 
 
 def join_cast(a: DataFrame, b: DataFrame, ka: str, kb: str, how: str = "left") -> DataFrame:

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import round_half
+from .joins import with_scalar
 from .text import tokens
-from .windows import top_k_per_salted
+from ..session import cut_lineage
+from .windows import row_number_distributed, top_k_per_salted
 
 K1, B = 1.2, 0.75
 
@@ -39,7 +41,7 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     post, dl, stats = build_index(corpus, key, col)
     dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     q = queries.select(qkey, F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
-    qt = q.join(dfreq, "term").crossJoin(F.broadcast(stats))
+    qt = with_scalar(q.join(dfreq, "term"), stats)
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     qt = qt.select(qkey, "term", idf.alias("idf"), "avgdl")
     m = qt.join(post, "term").join(dl, key)     # lengths attached to matched postings only
@@ -56,6 +58,7 @@ def cosine(a, b):
     return dot / (na * nb)
 
 
+# query vectors per broadcast block of the exact vector search
 MAX_BROADCAST_QUERIES = 10_000
 
 
@@ -63,16 +66,29 @@ def vector_search(corpus: DataFrame, key: str, vec: str, queries: DataFrame, qke
                   k: int = 5) -> DataFrame:
     """TXT-12 exact cosine top-k per query.
 
-    Exact search scores every (query, document) pair, so the query batch is
-    broadcast only after its size is checked; a larger batch is scored with a
-    regular (shuffled) nested-loop join.  The top-k per query is a window over
-    the scores of that query.
+    Exact search scores every (query, document) pair by definition.  The corpus
+    is scored where it lies (never shuffled for the join): the query batch is
+    counted, and query vectors are broadcast in blocks of at most
+    MAX_BROADCAST_QUERIES rows; a larger batch is cut into numbered blocks by a
+    distributed row number, and each block is one broadcast nested-loop pass
+    over the corpus.  The top-k per query is the salted two-stage top-k over the
+    union of the blocks' scores (exact: the order is total).
     """
-    n_q = queries.count()
     q = queries.select(qkey, F.col(qvec).alias("_q"))
-    q = F.broadcast(q) if n_q <= MAX_BROADCAST_QUERIES else q
-    pairs = corpus.select(key, vec).crossJoin(q)
-    sc = pairs.select(qkey, key, round_half(cosine(F.col(vec), F.col("_q")), 12).alias("score"))
+    n_q = q.count()
+    if n_q <= MAX_BROADCAST_QUERIES:
+        blocks = [q]
+    else:
+        qb = cut_lineage(row_number_distributed(q, [qkey], "_qi")
+                         .withColumn("_blk", F.floor((F.col("_qi") - 1) / MAX_BROADCAST_QUERIES)))
+        blocks = [qb.where(F.col("_blk") == b).drop("_qi", "_blk")
+                  for b in range(-(-n_q // MAX_BROADCAST_QUERIES))]
+    docs = corpus.select(key, vec)
+    sc = None
+    for b in blocks:
+        s = docs.crossJoin(F.broadcast(b)) \
+            .select(qkey, key, round_half(cosine(F.col(vec), F.col("_q")), 12).alias("score"))
+        sc = s if sc is None else sc.unionByName(s)
     return top_k_per_salted(sc, qkey, [F.desc("score"), F.asc(key)], k, [key])
 
 

@@ -128,9 +128,9 @@ def summarize(df: DataFrame, key: str, col: str, k: int = 2, out: str = "summary
     tok = s.select(key, "pos", F.explode(tokens("sentence")).alias("term")).where(F.length("term") > 0)
     tf = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = df.select(key).distinct().agg(F.count(F.lit(1)).alias("_n"))
-    w = tf.join(dfreq, "term").crossJoin(F.broadcast(n_docs)) \
-        .select(key, "term", (F.col("tf") * F.log(F.col("_n") / F.col("df"))).alias("tfidf"))
+    n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()
+    w = tf.join(dfreq, "term") \
+        .select(key, "term", (F.col("tf") * F.log(n_docs / F.col("df"))).alias("tfidf"))
     sc = tok.join(w, [key, "term"]).groupBy(key, "pos").agg((F.sum("tfidf") / F.count(F.lit(1))).alias("score"))
     top = sc.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), F.asc("pos")))) \
         .where(F.col("_r") <= k)

@@ -77,8 +77,7 @@ def rank_distributed(df: DataFrame, c: str, name: str = "rank", descending: bool
         c, (F.col("_off") + F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("bigint").alias(name))
     out = df.join(ranks, c, "left")
     if with_total:
-        tot = vals.agg(F.sum("_cnt").cast("bigint").alias(with_total))
-        out = out.crossJoin(F.broadcast(tot))
+        out = out.withColumn(with_total, vals.agg(F.sum("_cnt").cast("bigint")).scalar())
     return out
 
 
@@ -88,8 +87,8 @@ def rank_desc(df: DataFrame, c: str, name: str = "rank") -> DataFrame:
 
 
 def with_total(df: DataFrame, name: str = "total") -> DataFrame:
-    """WIN-02 COUNT(*) OVER () as a 1-row aggregate broadcast to all rows."""
-    return df.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).cast("bigint").alias(name))))
+    """WIN-02 COUNT(*) OVER () as a scalar subquery (no single-partition window)."""
+    return df.withColumn(name, df.agg(F.count(F.lit(1)).cast("bigint")).scalar())
 
 
 def rank_pct(df: DataFrame, c: str, name: str = "percentile") -> DataFrame:

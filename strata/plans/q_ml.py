@@ -10,6 +10,7 @@ from ..marts import retail as M
 from ..marts import spa as S
 from ..ml import churn as CH
 from ..ml import metrics as MT
+from ..operators import joins as J
 from ..operators import windows as W
 from ..sources.io import scan
 from .catalog import ORACLE, register
@@ -212,7 +213,7 @@ def ml_gbt_vs_legacy(spark, d):
     a = MT.roc_auc(p, "score", "label").withColumnRenamed("roc_auc", "model_auc")
     b = MT.roc_auc(p, "legacy_score", "label").withColumnRenamed("roc_auc", "legacy_auc")
     c = MT.average_precision(p, "score", "label")
-    return a.crossJoin(b).crossJoin(c)
+    return J.with_scalars(a, b, c)
 
 
 @register("ml_feature_importances")
@@ -229,7 +230,7 @@ def ml_model_versioning(spark, d):
     auc = MT.roc_auc(CH.score(model, test), "score", "label").first()["roc_auc"]
     path, row = CH.save_model(model, "churn_gbt", "v1", spark, {"roc_auc": auc or 0.0})
     again = CH.score(CH.load_model(path), test)
-    return row.crossJoin(again.agg(F.count(F.lit(1)).alias("rows_scored_after_reload")))
+    return J.with_scalars(row, again.agg(F.count(F.lit(1)).alias("rows_scored_after_reload")))
 
 
 @register("ml_rebooking_model")
@@ -254,4 +255,4 @@ def txt_trained_classifier(spark, d):
     model = CH.text_classifier(sp.where(F.col("split") == "train"), num_features=1 << 16)
     p = model.transform(sp.where(F.col("split") == "test"))
     p = p.select("doc_id", "label", F.round(vector_to_array("probability")[1], 4).alias("score"))
-    return MT.roc_auc(p, "score", "label").crossJoin(p.agg(F.count(F.lit(1)).alias("test_rows")))
+    return J.with_scalars(MT.roc_auc(p, "score", "label"), p.agg(F.count(F.lit(1)).alias("test_rows")))

@@ -28,6 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import with_scalar
+
 
 def _sort_col(spec: str):
     parts = spec.split()
@@ -229,7 +231,7 @@ class SemanticModel:
                 out = j.select(*keep, *[out[c] for c in out.columns if c not in dims],
                                *[p[c] for c in p.columns if c not in dims])
             else:
-                out = out.crossJoin(p)
+                out = with_scalar(out, p)  # both sides are 1-row totals
         for m in metrics:
             if m in self._dm:
                 out = out.withColumn(m, F.expr(self._dm[m].expr))

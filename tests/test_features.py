@@ -122,3 +122,44 @@ def test_seq_within_matches_window_with_hot_key(spark):
         "g2", F.datediff("d", F.lag("d").over(Window.partitionBy("k").orderBy("d", "id"))))
     j = g.join(ref.select("id", "g2"), "id")
     assert j.where("NOT (gap_days <=> g2)").count() == 0
+
+
+def test_vector_search_blocks_match_brute_force(spark, monkeypatch):
+    import numpy as np
+    from strata.operators import search as SE
+    rng = np.random.default_rng(7)
+    docs = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(40)]
+    qs = [(100 + j, [float(x) for x in rng.normal(size=6)]) for j in range(10)]
+    monkeypatch.setattr(SE, "MAX_BROADCAST_QUERIES", 3)        # 10 queries -> 4 broadcast blocks
+    d = spark.createDataFrame(docs, "doc_id long, v array<double>")
+    q = spark.createDataFrame(qs, "qid long, qv array<double>")
+    got = {(r.qid, r.doc_id) for r in SE.vector_search(d, "doc_id", "v", q, "qid", "qv", k=3).collect()}
+    D = np.array([v for _, v in docs])
+    want = set()
+    for qid, qv in qs:
+        s = D @ np.array(qv) / (np.linalg.norm(D, axis=1) * np.linalg.norm(qv))
+        want |= {(qid, docs[i][0]) for i in np.argsort(-s)[:3]}
+    assert got == want
+
+
+def test_with_scalar_is_a_subquery_not_a_join(spark):
+    from strata.operators import joins as J
+    df = spark.range(0, 100).withColumnRenamed("id", "x")
+    out = J.with_scalar(df, df.agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "Cartesian" not in plan
+    assert {(r.n, r.s) for r in out.collect()} == {(100, 4950)}
+    with pytest.raises(Exception):
+        J.with_scalar(df, df.select("x")).collect()                # more than one row: error, no fan-out
+
+
+def test_classification_report_counts(spark):
+    from strata.ml import metrics as MT
+    rows = [(1, 1)] * 5 + [(1, 0)] * 2 + [(0, 0)] * 4 + [(0, 1)] * 1 + [(2, 1)] * 3
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    rep = {r["class"]: r for r in MT.classification_report(df, "prediction", "label").collect()}
+    assert set(rep) == {0, 1, 2}
+    assert rep[1].precision == 5 / 9 and rep[1].recall == 5 / 7 and rep[1].support == 7
+    assert rep[0].precision == 4 / 6 and rep[0].recall == 4 / 5 and rep[2].precision is None
+    assert rep[2].recall == 0.0 and rep[2].support == 3
+    assert all(r.accuracy == 9 / 15 for r in rep.values())
