@@ -10,11 +10,11 @@ postings of its own terms.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import round_half
-from .joins import with_scalar
+from .joins import scalar_struct
 from .text import tokens
 from ..session import cut_lineage
 from .windows import row_number_distributed, top_k_per_salted
@@ -32,23 +32,90 @@ def build_index(corpus: DataFrame, key: str, col: str) -> tuple[DataFrame, DataF
     return post, dl, stats
 
 
+# rarest terms per query whose documents seed the score threshold of the pruning pass
+SEED_TERMS = 4
+# query-term relations at or under this many rows are broadcast to the candidate scoring
+MAX_BROADCAST_QUERY_TERMS = 200_000
+# a batch whose query terms have at most this many postings in total is scored directly
+# (one term join); above it the exact pruning below keeps common terms out of the join
+MAX_DIRECT_PAIRS = 50_000_000
+# margin below the threshold: pruned documents score at least this much below it, so the
+# 1e-9 snapping of scores can never turn a pruned document into a tie
+_PRUNE_MARGIN = 1e-6
+
+
 def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey: str, qcol: str,
                 k: int = 8, where=None) -> DataFrame:
-    """TXT-11 BM25 top-k documents per query (k1=1.2, b=0.75; distinct query terms;
-    ties by document key).  ``where`` filters the corpus first (attribute filters)."""
+    """TXT-11 exact BM25 top-k documents per query (k1=1.2, b=0.75; distinct query terms;
+    ties by document key).  ``where`` filters the corpus first (attribute filters).
+
+    Joining every query term with its postings pairs each query with every document
+    sharing any word with it: a term such as "the" is one hot join key whose postings
+    cover the corpus.  The search therefore prunes exactly, in the manner of MaxScore:
+
+    1. weights: one BM25 term weight per posting; per term its document frequency and
+       maximum weight, so ``ub = idf * max weight`` bounds what the term can add;
+    2. seed: documents holding one of the query's SEED_TERMS rarest terms are scored
+       exactly; the k-th best seed score ``theta`` is a lower bound of the final k-th score;
+    3. essential terms: the query terms sorted by ``ub`` whose running sum of bounds
+       reaches ``theta``; a document holding only the other (common, low-bound) terms
+       scores below ``theta`` and cannot enter the top k, so only essential terms' postings
+       produce candidates (a query without k seed documents keeps all its terms);
+    4. the essential terms' postings give the candidates and part of their score; the
+       pruned terms are added by (document, term) lookups; then top-k per query.
+
+    The hot postings of common terms are read only through (document, term) equi-joins
+    for candidates, never expanded per query.  A batch small enough that the direct term
+    join emits at most MAX_DIRECT_PAIRS rows (sum of the document frequencies of its query
+    terms, measured on the index) is scored by that one join instead; both plans are exact.
+    """
     if where is not None:
         corpus = corpus.where(where)
     post, dl, stats = build_index(corpus, key, col)
-    dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    st = scalar_struct(stats)
+    tfn = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / st.getField("avgdl")))
+    w = cut_lineage(post.join(dl, key).select(key, "term", tfn.alias("w")))          # the weighted index
+    terms = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("wmax"))
+    idf = F.log(1 + (st.getField("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     q = queries.select(qkey, F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
-    qt = with_scalar(q.join(dfreq, "term"), stats)
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    qt = qt.select(qkey, "term", idf.alias("idf"), "avgdl")
-    m = qt.join(post, "term").join(dl, key)     # lengths attached to matched postings only
-    tfn = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    # scores snapped to 1e-9 so exact ties (duplicate documents) break by key, not by float noise
-    sc = m.groupBy(qkey, key).agg(round_half(F.sum(F.col("idf") * tfn), 9).alias("score"))
-    return top_k_per_salted(sc, qkey, [F.desc("score"), F.asc(key)], k, [key])
+    qt = cut_lineage(q.join(terms, "term").select(qkey, "term", "df", idf.alias("idf"),
+                                                  (idf * F.col("wmax")).alias("ub")))
+
+    size = qt.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("df"), F.lit(0)).alias("pairs")).first()
+    order = [F.desc("score"), F.asc(key)]
+    if size["pairs"] <= MAX_DIRECT_PAIRS:
+        sc = qt.select(qkey, "term", "idf").join(w, "term").groupBy(qkey, key) \
+            .agg(round_half(F.sum(F.col("idf") * F.col("w")), 9).alias("score"))
+        return top_k_per_salted(sc, qkey, order, k, [key])
+    small_batch = size["n"] <= MAX_BROADCAST_QUERY_TERMS
+
+    def split_by(terms: DataFrame, flag) -> tuple[DataFrame, DataFrame]:
+        """(generating, looked-up) terms of each query as (query, term, idf) relations;
+        the looked-up side is broadcast when the query batch is under the size bound."""
+        x = terms.withColumn("_gen", flag)
+        g = x.where(F.col("_gen")).select(qkey, "term", "idf")
+        r = x.where(~F.col("_gen")).select(qkey, "term", "idf")
+        return g, (F.broadcast(r) if small_batch else r)
+
+    def exact(gen: DataFrame, rest: DataFrame) -> DataFrame:
+        """Exact scores of the documents holding a ``gen`` term of their query: the postings of
+        ``gen`` give the candidates and their part of the score; the query's ``rest`` terms
+        are looked up per candidate by (document, term)."""
+        a = gen.join(w, "term").groupBy(qkey, key).agg(F.sum(F.col("idf") * F.col("w")).alias("_a"))
+        b = a.select(qkey, key).join(rest, qkey).join(w, [key, "term"]) \
+            .groupBy(qkey, key).agg(F.sum(F.col("idf") * F.col("w")).alias("_b"))
+        return a.join(b, [qkey, key], "left") \
+            .select(qkey, key, round_half(F.col("_a") + F.coalesce(F.col("_b"), F.lit(0.0)), 9).alias("score"))
+
+    rare = qt.withColumn("_r", F.row_number().over(Window.partitionBy(qkey).orderBy("df", "term")))
+    seed = top_k_per_salted(exact(*split_by(rare, F.col("_r") <= SEED_TERMS)), qkey, order, k, [key])
+    theta = seed.groupBy(qkey).agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_theta")) \
+        .where(F.col("_n") >= k).select(qkey, "_theta")
+    run = F.sum("ub").over(Window.partitionBy(qkey).orderBy("ub", "term")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    flagged = qt.join(theta, qkey, "left").withColumn("_run", run)
+    essential = F.col("_theta").isNull() | (F.col("_run") >= F.col("_theta") - _PRUNE_MARGIN)
+    return top_k_per_salted(exact(*split_by(flagged, essential)), qkey, order, k, [key])
 
 
 def cosine(a, b):

@@ -163,3 +163,14 @@ def test_classification_report_counts(spark):
     assert rep[0].precision == 4 / 6 and rep[0].recall == 4 / 5 and rep[2].precision is None
     assert rep[2].recall == 0.0 and rep[2].support == 3
     assert all(r.accuracy == 9 / 15 for r in rep.values())
+
+
+def test_bm25_pruned_plan_equals_direct_plan(spark, monkeypatch):
+    from strata.operators import search as SE
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    direct = {tuple(r) for r in SE.bm25_search(docs, "doc_id", "text", qs, "item_id", "text", k=8).collect()}
+    monkeypatch.setattr(SE, "MAX_DIRECT_PAIRS", -1)             # force the pruning plan
+    monkeypatch.setattr(SE, "SEED_TERMS", 2)
+    pruned = {tuple(r) for r in SE.bm25_search(docs, "doc_id", "text", qs, "item_id", "text", k=8).collect()}
+    assert direct and pruned == direct
