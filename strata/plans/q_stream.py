@@ -130,12 +130,14 @@ def str_retention(spark, d):
           "s AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e) "
           "SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events FROM s GROUP BY user_id, sid")
 def str_sessions(spark, d):
-    """STR-09 login -> session reconstruction with a 30-minute gap (session windows)."""
-    s = _events(spark, d).withWatermark("ts", WM).groupBy("user_id", F.session_window("ts", "30 minutes")).agg(
-        F.count(F.lit(1)).alias("events"))
-    s = s.select("user_id", F.col("session_window.start").alias("session_start"),
-                 F.col("session_window.end").alias("session_end"), "events")
-    t = ST.run_upsert(s, "sessions", ["user_id", "session_start"], mode="complete", combine=lambda old, new: new)
+    """STR-09 login -> session reconstruction with a 30-minute gap (session windows).
+
+    Update mode through a custom stateful operator (``session_stream``): state holds only
+    sessions the watermark can still extend; each micro-batch's changed sessions replace
+    the stored sessions of the same user they overlap (a late event can merge two)."""
+    s = ST.session_stream(_events(spark, d).withWatermark("ts", WM), "user_id", "ts", 30)
+    t = ST.run_upsert(s, "sessions", ["user_id", "session_start"], combine=ST.replace_overlapping(
+        "user_id", "session_start", "session_end"))
     return _ntz(t, "session_start", "session_end")
 
 

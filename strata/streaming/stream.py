@@ -91,6 +91,16 @@ class VersionedTable:
         merged.write.mode("overwrite").parquet(os.path.join(self.path, f"v{v:06d}"))
 
 
+def replace_overlapping(key: str, start: str, end: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Upsert rule for session windows: a changed session replaces every stored session of
+    the same key whose interval it overlaps (the stored ones were merged into it)."""
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        n = new.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"))
+        keep = old.join(n, (old[key] == n["_k"]) & (old[start] < n["_e"]) & (n["_s"] < old[end]), "left_anti")
+        return keep.unionByName(new)
+    return combine
+
+
 def run_upsert(df: DataFrame, name: str, keys: Sequence[str], mode: str = "update",
                after: Callable[[VersionedTable, int], None] | None = None,
                combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -122,6 +132,62 @@ def run_append(df: DataFrame, name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stream definitions
+def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
+    """STR-09 gap sessions per key as a custom stateful operator (update mode).
+
+    Spark's own session windows run only in append mode (a session appears after the
+    watermark closes it) or complete mode (state and output = every session ever).
+    Here each key's state holds only the sessions the watermark can still extend,
+    as (start, last event, count) in microseconds.  A micro-batch merges its events
+    into them (consecutive events less than the gap apart share a session), emits
+    every session that changed -- the stored copies it absorbed are replaced by the
+    sink (``replace_overlapping``) -- and keeps the sessions ending after the
+    watermark; an event-time timeout drops the state once the watermark passes them.
+    Events are grouped by key (a hot key is one group, but its state is bounded by
+    the sessions open within the watermark delay, not by its history).
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    gap = gap_minutes * 60 * 1_000_000
+    key_type = events.schema[key].dataType.simpleString()
+    out_schema = f"{key} {key_type}, session_start timestamp, session_end timestamp, events long"
+    state_schema = "starts array<long>, lasts array<long>, counts array<long>"
+
+    def step(k, batches, state):
+        if state.hasTimedOut:                   # every open session is past the watermark and was emitted
+            state.remove()
+            return
+        starts, lasts, counts = (list(x) for x in state.get) if state.exists else ([], [], [])
+        new = np.concatenate([b[ts].to_numpy().astype("datetime64[us]").astype("int64") for b in batches])
+        spans = sorted([(a, b, c, False) for a, b, c in zip(starts, lasts, counts)]
+                       + [(int(t), int(t), 1, True) for t in new])
+        merged = []
+        for a, b, c, fresh in spans:
+            if merged and a - merged[-1][1] < gap:
+                m = merged[-1]
+                merged[-1] = (m[0], max(m[1], b), m[2] + c, m[3] or fresh)
+            else:
+                merged.append((a, b, c, fresh))
+        changed = [m for m in merged if m[3]]
+        if changed:
+            yield pd.DataFrame({key: [k[0]] * len(changed),
+                                "session_start": pd.to_datetime([m[0] for m in changed], unit="us"),
+                                "session_end": pd.to_datetime([m[1] + gap for m in changed], unit="us"),
+                                "events": [m[2] for m in changed]})
+        wm = state.getCurrentWatermarkMs() * 1000
+        keep = [m for m in merged if m[1] + gap > wm]
+        if keep:
+            state.update(([m[0] for m in keep], [m[1] for m in keep], [m[2] for m in keep]))
+            state.setTimeoutTimestamp(max(m[1] + gap for m in keep) // 1000)
+        else:
+            state.remove()
+
+    return events.select(key, ts).groupBy(key).applyInPandasWithState(
+        step, out_schema, state_schema, "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def ad_engagement_stream(purch: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """STR-02 running per-user ad metrics (update mode; ratios derived from running counts)."""
     recent = F.col("purchase_ts") >= F.lit(as_of).cast("date") - F.expr(f"INTERVAL {days} DAYS")

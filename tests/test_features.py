@@ -174,3 +174,24 @@ def test_bm25_pruned_plan_equals_direct_plan(spark, monkeypatch):
     monkeypatch.setattr(SE, "SEED_TERMS", 2)
     pruned = {tuple(r) for r in SE.bm25_search(docs, "doc_id", "text", qs, "item_id", "text", k=8).collect()}
     assert direct and pruned == direct
+
+
+def test_session_stream_merges_across_batches(spark):
+    import datetime as dt
+    import time
+    from strata.streaming import stream as ST
+    src = tempfile.mkdtemp(prefix="strata-sess-")
+    t0 = dt.datetime(2024, 1, 1, 10, 0)
+    batches = [[(1, t0), (1, t0 + dt.timedelta(minutes=60))],                      # two sessions
+               [(1, t0 + dt.timedelta(minutes=20)), (1, t0 + dt.timedelta(minutes=45))],  # late: merges them
+               [(1, t0 + dt.timedelta(hours=5)), (2, t0 + dt.timedelta(hours=5, minutes=10))]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "user_id long, ts timestamp").coalesce(1).write.parquet(f"{src}/b{i}")
+        time.sleep(1.1)
+    sch = spark.createDataFrame([], "user_id long, ts timestamp").schema
+    ev = ST.stream_scan(spark, f"{src}/b*/*.parquet", sch, max_files=1).withWatermark("ts", "1 hour")
+    out = ST.run_upsert(ST.session_stream(ev, "user_id", "ts", 30), "sess_test", ["user_id", "session_start"],
+                        combine=ST.replace_overlapping("user_id", "session_start", "session_end"))
+    got = sorted((r.user_id, r.session_start, r.session_end, r.events) for r in out.collect())
+    m = dt.timedelta(minutes=1)
+    assert got == [(1, t0, t0 + 90 * m, 4), (1, t0 + 300 * m, t0 + 330 * m, 1), (2, t0 + 310 * m, t0 + 340 * m, 1)]
