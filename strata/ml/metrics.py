@@ -35,7 +35,9 @@ def prefix_sums(vals: DataFrame, order_col: str, weights: Sequence[str], descend
     frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
     wi = Window.partitionBy(*keys, "_pid").orderBy(o).rowsBetween(*frame)
     x = x.select("*", *[F.coalesce(F.sum(w).over(wi), F.lit(0)).alias(f"_i_{w}") for w in weights])
-    x = x.join(F.broadcast(off), keys + ["_pid"])
+    # one offset row per partition is bounded and broadcast; per (group, partition) it grows
+    # with the groups, so AQE decides after measuring it
+    x = x.join(off if group else F.broadcast(off), keys + ["_pid"])
     return x.select(*vals.columns, *[(F.col(f"_o_{w}") + F.col(f"_i_{w}")).alias(f"cum_{w}") for w in weights])
 
 
@@ -98,7 +100,7 @@ def stratified_split(df: DataFrame, key: str, label: str, frac: float = 0.8, sal
     x = df.withColumn("_h", hash32(key, salt))
     r = row_number_distributed(x, [label, "_h", key], "_rn")
     per = r.groupBy(label).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_nl"))
-    r = r.join(F.broadcast(per), label)  # one row per label value
+    r = r.join(per, label)  # one row per label value: AQE broadcasts it after measuring
     rank = F.col("_rn") - F.col("_start") + 1
     return r.withColumn("split", F.when(rank <= F.floor(F.col("_nl") * frac + 0.5), F.lit("train")).otherwise(F.lit("test"))) \
         .drop("_h", "_rn", "_start", "_nl")
