@@ -16,20 +16,23 @@ from pyspark.sql import functions as F
 from ..functions.expr import round_half
 from .joins import scalar_struct
 from .text import tokens
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_table_path
+from ..sources.io import materialize
 from .windows import row_number_distributed, top_k_per_salted
 
 K1, B = 1.2, 0.75
 
 
-def build_index(corpus: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Postings (key, term, tf), document lengths (key, dl) and corpus statistics
-    (n_docs, avgdl) as a 1-row frame; one tokenisation pass over the whole texts."""
-    tok = corpus.select(key, F.explode(tokens(col)).alias("term")).where(F.length("term") > 0)
-    post = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dl = post.groupBy(key).agg(F.sum("tf").alias("dl"))
-    stats = dl.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return post, dl, stats
+def build_index(corpus: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame]:
+    """Postings (key, dl, term, tf) -- the document length dl is the size of the document's
+    token array, carried through the grouping instead of joined back -- and corpus statistics
+    (n_docs, avgdl) as a 1-row frame.  One tokenisation of the whole texts; ``key`` is unique;
+    documents without a token hold no postings and are not counted."""
+    toks = corpus.select(key, F.filter(tokens(col), lambda t: F.length(t) > 0).alias("_t")).where(F.size("_t") > 0)
+    post = toks.select(key, F.size("_t").alias("dl"), F.explode("_t").alias("term")) \
+        .groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    stats = toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("_t")).alias("avgdl"))
+    return post, stats
 
 
 # rarest terms per query whose documents seed the score threshold of the pruning pass
@@ -71,10 +74,11 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     """
     if where is not None:
         corpus = corpus.where(where)
-    post, dl, stats = build_index(corpus, key, col)
+    post, stats = build_index(corpus, key, col)
     st = scalar_struct(stats)
     tfn = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / st.getField("avgdl")))
-    w = cut_lineage(post.join(dl, key).select(key, "term", tfn.alias("w")))          # the weighted index
+    # the weighted index is written once as a table in the shared folder and read by every pass
+    w = materialize(post.select(key, "term", tfn.alias("w")), shared_table_path(corpus.sparkSession, "bm25_index"))
     terms = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("wmax"))
     idf = F.log(1 + (st.getField("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     q = queries.select(qkey, F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
