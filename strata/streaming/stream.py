@@ -159,28 +159,33 @@ def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30)
         if state.hasTimedOut:                   # every open session is past the watermark and was emitted
             state.remove()
             return
-        starts, lasts, counts = (list(x) for x in state.get) if state.exists else ([], [], [])
-        new = np.concatenate([b[ts].to_numpy().astype("datetime64[us]").astype("int64") for b in batches])
-        spans = sorted([(a, b, c, False) for a, b, c in zip(starts, lasts, counts)]
-                       + [(int(t), int(t), 1, True) for t in new])
-        merged = []
-        for a, b, c, fresh in spans:
-            if merged and a - merged[-1][1] < gap:
-                m = merged[-1]
-                merged[-1] = (m[0], max(m[1], b), m[2] + c, m[3] or fresh)
-            else:
-                merged.append((a, b, c, fresh))
-        changed = [m for m in merged if m[3]]
-        if changed:
-            yield pd.DataFrame({key: [k[0]] * len(changed),
-                                "session_start": pd.to_datetime([m[0] for m in changed], unit="us"),
-                                "session_end": pd.to_datetime([m[1] + gap for m in changed], unit="us"),
-                                "events": [m[2] for m in changed]})
+        old = [np.asarray(x, dtype="int64") for x in state.get] if state.exists else [np.empty(0, "int64")] * 3
+        new = np.concatenate([b[ts].to_numpy().astype("datetime64[us]").astype("int64") for b in batches]
+                             or [np.empty(0, "int64")])
+        if len(new) + len(old[0]) == 0:
+            return
+        start = np.concatenate([old[0], new])
+        last = np.concatenate([old[1], new])
+        cnt = np.concatenate([old[2], np.ones(len(new), "int64")])
+        fresh = np.concatenate([np.zeros(len(old[0]), bool), np.ones(len(new), bool)])
+        o = np.argsort(start, kind="stable")
+        start, last, cnt, fresh = start[o], last[o], cnt[o], fresh[o]
+        # a span opens a new session when it starts at least one gap after everything before it
+        opens = np.ones(len(start), bool)
+        opens[1:] = start[1:] - np.maximum.accumulate(last)[:-1] >= gap
+        at = np.flatnonzero(opens)
+        s_start, s_last = start[at], np.maximum.reduceat(last, at)
+        s_cnt, s_fresh = np.add.reduceat(cnt, at), np.logical_or.reduceat(fresh, at)
+        if s_fresh.any():
+            yield pd.DataFrame({key: [k[0]] * int(s_fresh.sum()),
+                                "session_start": pd.to_datetime(s_start[s_fresh], unit="us"),
+                                "session_end": pd.to_datetime(s_last[s_fresh] + gap, unit="us"),
+                                "events": s_cnt[s_fresh]})
         wm = state.getCurrentWatermarkMs() * 1000
-        keep = [m for m in merged if m[1] + gap > wm]
-        if keep:
-            state.update(([m[0] for m in keep], [m[1] for m in keep], [m[2] for m in keep]))
-            state.setTimeoutTimestamp(max(m[1] + gap for m in keep) // 1000)
+        keep = s_last + gap > wm
+        if keep.any():
+            state.update((s_start[keep].tolist(), s_last[keep].tolist(), s_cnt[keep].tolist()))
+            state.setTimeoutTimestamp(int(s_last[keep].max() + gap) // 1000)
         else:
             state.remove()
 
