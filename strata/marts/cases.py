@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import keyed as K
 from ..functions.expr import lit_date, map_value, update_cols
 from ..operators.sets import union_all
-from ..operators.windows import row_number_distributed, top_k_per
+from ..operators.windows import row_number_distributed, top_k_per_salted
 
 # Screening statuses by source status, components, awaiting-candidate items.
 STATUS_MAP = {"O": "In Progress", "P": "On Hold", "F": "Complete"}
@@ -114,5 +114,6 @@ def ops_notes(st: DataFrame) -> DataFrame:
 
 def latest_for(df: DataFrame, key: str, order: list, k: int = 1) -> DataFrame:
     """MART-67 latest k rows per key (e.g. status of one order, last 3 calls of a person);
-    ``order`` must be a total order, newest first."""
-    return top_k_per(df, key, order, k).drop("rn")
+    ``order`` must be a total order, newest first.  Two-stage salted top-k, so a key holding
+    a large share of the rows is ranked by many tasks first."""
+    return top_k_per_salted(df, key, order, k, [c for c in df.columns if c != key]).drop("rank")

@@ -53,7 +53,7 @@ def mart_status_history(spark, d):
 def mart_latest_status(spark, d):
     """MART-67 latest status per order (top-1 per group)."""
     h = C.status_history(_st(spark, d))
-    return W.top_k_per(h, "order_id", [F.desc("changed_at"), F.asc("status")], 1).drop("rn")
+    return C.latest_for(h, "order_id", [F.desc("changed_at"), F.asc("status")], 1)
 
 
 @register("mart_stuck_orders", f"WITH {_ST_SQL} SELECT client_id, current_component, count(*) AS stuck_orders FROM st "
