@@ -23,16 +23,20 @@ from .windows import row_number_distributed, top_k_per_salted
 K1, B = 1.2, 0.75
 
 
-def build_index(corpus: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame]:
-    """Postings (key, dl, term, tf) -- the document length dl is the size of the document's
-    token array, carried through the grouping instead of joined back -- and corpus statistics
-    (n_docs, avgdl) as a 1-row frame.  One tokenisation of the whole texts; ``key`` is unique;
-    documents without a token hold no postings and are not counted."""
+def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
+    """Inverted index: postings (key, dl, term, tf).  The document length dl is the size of
+    the document's token array, carried through the grouping instead of joined back.  One
+    tokenisation of the whole texts; ``key`` is unique; documents without a token hold no
+    postings."""
     toks = corpus.select(key, F.filter(tokens(col), lambda t: F.length(t) > 0).alias("_t")).where(F.size("_t") > 0)
-    post = toks.select(key, F.size("_t").alias("dl"), F.explode("_t").alias("term")) \
+    return toks.select(key, F.size("_t").alias("dl"), F.explode("_t").alias("term")) \
         .groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("_t")).alias("avgdl"))
-    return post, stats
+
+
+def index_stats(index: DataFrame, key: str) -> DataFrame:
+    """Corpus statistics (n_docs, avgdl) of an inverted index as a 1-row frame."""
+    per_doc = index.groupBy(key).agg(F.max("dl").alias("dl"))
+    return per_doc.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
 
 
 # rarest terms per query whose documents seed the score threshold of the pruning pass
@@ -56,7 +60,7 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     sharing any word with it: a term such as "the" is one hot join key whose postings
     cover the corpus.  The search therefore prunes exactly, in the manner of MaxScore:
 
-    1. weights: one BM25 term weight per posting; per term its document frequency and
+    1. weights: one BM25 term weight per posting of the written index; per term its document frequency and
        maximum weight, so ``ub = idf * max weight`` bounds what the term can add;
     2. seed: documents holding one of the query's SEED_TERMS rarest terms are scored
        exactly; the k-th best seed score ``theta`` is a lower bound of the final k-th score;
@@ -74,11 +78,12 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     """
     if where is not None:
         corpus = corpus.where(where)
-    post, stats = build_index(corpus, key, col)
-    st = scalar_struct(stats)
+    # the inverted index is written once as a table in the shared folder and read by every pass;
+    # BM25 weights are derived from (tf, dl) when it is read
+    index = materialize(build_index(corpus, key, col), shared_table_path(corpus.sparkSession, "bm25_index"))
+    st = scalar_struct(index_stats(index, key))
     tfn = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / st.getField("avgdl")))
-    # the weighted index is written once as a table in the shared folder and read by every pass
-    w = materialize(post.select(key, "term", tfn.alias("w")), shared_table_path(corpus.sparkSession, "bm25_index"))
+    w = index.select(key, "term", tfn.alias("w"))
     terms = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("wmax"))
     idf = F.log(1 + (st.getField("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     q = queries.select(qkey, F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
