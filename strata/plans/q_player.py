@@ -351,11 +351,12 @@ def q03_retention_rates(spark, d):
           f"{_RANK_SQL} SELECT * FROM ranks", dbl="total_points percentile")
 def src_refresh_rankings_dag(spark, d):
     """SRC-05/06/13 dependency-ordered refresh: points per event -> points per user -> rankings,
-    each materialised (overwrite) in the shared folder before the next table reads it."""
+    each materialised (overwrite) in the shared folder before the next table reads it; points
+    per event is bucketed by user, so points per user aggregates it without a shuffle."""
     from .refresh import refresh
     r = Roles(spark, d)
     graph = {
-        "points_per_event": ((), lambda i: P.points_per_event(r.game_events(), r.ord_sessions())),
+        "points_per_event": ((), lambda i: P.points_per_event(r.game_events(), r.ord_sessions()), ["user_id"]),
         "points_per_user": (("points_per_event",), lambda i: P.points_per_user(i["points_per_event"])),
         "user_rankings": (("points_per_user",), lambda i: P.user_rankings(i["points_per_user"], P.tiers_frame(spark))),
     }

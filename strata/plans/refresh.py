@@ -10,23 +10,26 @@ The continuous form of the same chain is the streaming variant (§2.15).
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from ..sources.io import materialize
+from ..sources.io import materialize, materialize_bucketed
 
 
-def refresh(spark: SparkSession, graph: Mapping[str, tuple[Sequence[str], Callable[..., DataFrame]]],
-            root: str | None = None) -> dict[str, DataFrame]:
-    """Rebuild ``graph`` = {name: (dependencies, build(inputs: dict) -> DataFrame)} in
-    topological order; returns the materialised tables."""
+def refresh(spark: SparkSession, graph: Mapping[str, tuple], root: str | None = None) -> dict[str, DataFrame]:
+    """Rebuild ``graph`` = {name: (dependencies, build(inputs: dict) -> DataFrame[, cluster keys])}
+    in topological order; returns the materialised tables.  A table with cluster keys is
+    written bucketed by them, so the next table's aggregation or join on those keys reads
+    it without a shuffle."""
     root = root or os.path.join(ensure_checkpoint_dir(spark), "refresh")
     order = TopologicalSorter({k: set(v[0]) for k, v in graph.items()}).static_order()
     built: dict[str, DataFrame] = {}
     for name in order:
-        deps, build = graph[name]
-        built[name] = materialize(build({d: built[d] for d in deps}), os.path.join(root, name))
+        deps, build, *cluster = graph[name]
+        df = build({d: built[d] for d in deps})
+        path = os.path.join(root, name)
+        built[name] = materialize_bucketed(df, path, cluster[0]) if cluster else materialize(df, path)
     return built

@@ -195,3 +195,12 @@ def test_session_stream_merges_across_batches(spark):
     got = sorted((r.user_id, r.session_start, r.session_end, r.events) for r in out.collect())
     m = dt.timedelta(minutes=1)
     assert got == [(1, t0, t0 + 90 * m, 4), (1, t0 + 300 * m, t0 + 330 * m, 1), (2, t0 + 310 * m, t0 + 340 * m, 1)]
+
+
+def test_bucketed_table_aggregates_without_shuffle(spark):
+    d = tempfile.mkdtemp(prefix="strata-bucket-")
+    df = spark.range(0, 2000).select((F.col("id") % 37).alias("user_id"), F.col("id").cast("double").alias("x"))
+    t = io.materialize_bucketed(df, os.path.join(d, "ppe"), ["user_id"])
+    g = t.groupBy("user_id").agg(F.sum("x").alias("s"))
+    assert "Exchange" not in g._jdf.queryExecution().executedPlan().toString()
+    assert g.count() == 37 and abs(g.agg(F.sum("s")).first()[0] - 1999 * 2000 / 2) < 1e-6
