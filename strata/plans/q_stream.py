@@ -132,10 +132,11 @@ def str_retention(spark, d):
 def str_sessions(spark, d):
     """STR-09 login -> session reconstruction with a 30-minute gap (session windows).
 
-    Update mode through a custom stateful operator (``session_stream``): state holds only
-    sessions the watermark can still extend; each micro-batch's changed sessions replace
-    the stored sessions of the same user they overlap (a late event can merge two)."""
-    s = ST.session_stream(_events(spark, d).withWatermark("ts", WM), "user_id", "ts", 30)
+    Update mode through a custom stateful operator (``session_stream``): events are combined
+    map-side into gap-bucket spans first (a hot user leaves each partition as few spans); state
+    holds only sessions the watermark can still extend; each micro-batch's changed sessions
+    replace the stored sessions of the same user they overlap (a late event can merge two)."""
+    s = ST.session_stream(_events(spark, d), "user_id", "ts", 30, watermark=WM)
     t = ST.run_upsert(s, "sessions", ["user_id", "session_start"], combine=ST.replace_overlapping(
         "user_id", "session_start", "session_end"))
     return _ntz(t, "session_start", "session_end")

@@ -132,19 +132,46 @@ def run_append(df: DataFrame, name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stream definitions
-def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
+def session_spans(events: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
+    """Map-side combine for gap sessions: each input partition collapses its events per
+    (key, gap-wide time bucket) to a span (first, last, count).  Two events of one bucket are
+    less than a gap apart, so a span never straddles a session boundary; a key's rows leave
+    the partition as at most one span per bucket, whatever its share of the events."""
+    import pandas as pd
+
+    gap = gap_minutes * 60 * 1_000_000
+    key_type = events.schema[key].dataType.simpleString()
+    schema = f"{key} {key_type}, span_start timestamp, span_last timestamp, span_events long"
+
+    def combine(batches):
+        parts = []
+        for b in batches:
+            t = b[ts].to_numpy().astype("datetime64[us]").astype("int64")
+            x = pd.DataFrame({key: b[key].to_numpy(), "_b": t // gap, "_t": t})
+            parts.append(x.groupby([key, "_b"], dropna=False)["_t"].agg(["min", "max", "count"]).reset_index())
+        if parts:
+            x = pd.concat(parts).groupby([key, "_b"], dropna=False) \
+                .agg({"min": "min", "max": "max", "count": "sum"}).reset_index()
+            yield pd.DataFrame({key: x[key], "span_start": pd.to_datetime(x["min"], unit="us"),
+                                "span_last": pd.to_datetime(x["max"], unit="us"),
+                                "span_events": x["count"].astype("int64")})
+
+    return events.select(key, ts).mapInPandas(combine, schema)
+
+
+def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30,
+                   watermark: str = "2 days") -> DataFrame:
     """STR-09 gap sessions per key as a custom stateful operator (update mode).
 
     Spark's own session windows run only in append mode (a session appears after the
     watermark closes it) or complete mode (state and output = every session ever).
-    Here each key's state holds only the sessions the watermark can still extend,
-    as (start, last event, count) in microseconds.  A micro-batch merges its events
-    into them (consecutive events less than the gap apart share a session), emits
-    every session that changed -- the stored copies it absorbed are replaced by the
-    sink (``replace_overlapping``) -- and keeps the sessions ending after the
-    watermark; an event-time timeout drops the state once the watermark passes them.
-    Events are grouped by key (a hot key is one group, but its state is bounded by
-    the sessions open within the watermark delay, not by its history).
+    Here events are first combined map-side into spans (``session_spans``); each key's
+    state holds only the sessions the watermark can still extend, as (start, last event,
+    count) in microseconds.  A micro-batch merges its spans into them (spans less than a
+    gap apart share a session), emits every session that changed -- the stored copies it
+    absorbed are replaced by the sink (``replace_overlapping``) -- and keeps the sessions
+    ending after the watermark (on the spans' last event); an event-time timeout drops the
+    state once the watermark passes them.
     """
     import numpy as np
     import pandas as pd
@@ -155,19 +182,21 @@ def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30)
     out_schema = f"{key} {key_type}, session_start timestamp, session_end timestamp, events long"
     state_schema = "starts array<long>, lasts array<long>, counts array<long>"
 
+    def us(col):
+        return col.to_numpy().astype("datetime64[us]").astype("int64")
+
     def step(k, batches, state):
         if state.hasTimedOut:                   # every open session is past the watermark and was emitted
             state.remove()
             return
         old = [np.asarray(x, dtype="int64") for x in state.get] if state.exists else [np.empty(0, "int64")] * 3
-        new = np.concatenate([b[ts].to_numpy().astype("datetime64[us]").astype("int64") for b in batches]
-                             or [np.empty(0, "int64")])
-        if len(new) + len(old[0]) == 0:
+        bs = list(batches)
+        start = np.concatenate([old[0]] + [us(b["span_start"]) for b in bs])
+        last = np.concatenate([old[1]] + [us(b["span_last"]) for b in bs])
+        cnt = np.concatenate([old[2]] + [b["span_events"].to_numpy().astype("int64") for b in bs])
+        fresh = np.concatenate([np.zeros(len(old[0]), bool)] + [np.ones(len(b), bool) for b in bs])
+        if len(start) == 0:
             return
-        start = np.concatenate([old[0], new])
-        last = np.concatenate([old[1], new])
-        cnt = np.concatenate([old[2], np.ones(len(new), "int64")])
-        fresh = np.concatenate([np.zeros(len(old[0]), bool), np.ones(len(new), bool)])
         o = np.argsort(start, kind="stable")
         start, last, cnt, fresh = start[o], last[o], cnt[o], fresh[o]
         # a span opens a new session when it starts at least one gap after everything before it
@@ -189,7 +218,8 @@ def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30)
         else:
             state.remove()
 
-    return events.select(key, ts).groupBy(key).applyInPandasWithState(
+    spans = session_spans(events, key, ts, gap_minutes).withWatermark("span_last", watermark)
+    return spans.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "update", GroupStateTimeout.EventTimeTimeout)
 
 

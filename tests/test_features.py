@@ -189,8 +189,8 @@ def test_session_stream_merges_across_batches(spark):
         spark.createDataFrame(rows, "user_id long, ts timestamp").coalesce(1).write.parquet(f"{src}/b{i}")
         time.sleep(1.1)
     sch = spark.createDataFrame([], "user_id long, ts timestamp").schema
-    ev = ST.stream_scan(spark, f"{src}/b*/*.parquet", sch, max_files=1).withWatermark("ts", "1 hour")
-    out = ST.run_upsert(ST.session_stream(ev, "user_id", "ts", 30), "sess_test", ["user_id", "session_start"],
+    ev = ST.stream_scan(spark, f"{src}/b*/*.parquet", sch, max_files=1)
+    out = ST.run_upsert(ST.session_stream(ev, "user_id", "ts", 30, watermark="1 hour"), "sess_test", ["user_id", "session_start"],
                         combine=ST.replace_overlapping("user_id", "session_start", "session_end"))
     got = sorted((r.user_id, r.session_start, r.session_end, r.events) for r in out.collect())
     m = dt.timedelta(minutes=1)
@@ -204,3 +204,25 @@ def test_bucketed_table_aggregates_without_shuffle(spark):
     g = t.groupBy("user_id").agg(F.sum("x").alias("s"))
     assert "Exchange" not in g._jdf.queryExecution().executedPlan().toString()
     assert g.count() == 37 and abs(g.agg(F.sum("s")).first()[0] - 1999 * 2000 / 2) < 1e-6
+
+
+def test_session_spans_stay_inside_sessions_for_a_hot_user(spark):
+    import numpy as np
+    import pandas as pd
+    from strata.streaming import stream as ST
+    rng = np.random.default_rng(3)
+    n = 3000
+    user = np.where(rng.random(n) < 0.8, 1, rng.integers(2, 9, n))           # user 1 holds ~80% of events
+    ts = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.sort(rng.integers(0, 6 * 3600, n)), unit="s")
+    pdf = pd.DataFrame({"user_id": user.astype("int64"), "ts": ts})
+    spans = ST.session_spans(spark.createDataFrame(pdf).repartition(4), "user_id", "ts", 30).toPandas()
+    assert spans["span_events"].sum() == n
+    assert (spans["user_id"] == 1).sum() <= 4 * (6 * 60 // 30 + 1)             # <= partitions x buckets
+    for u, g in pdf.sort_values("ts").groupby("user_id"):
+        t = g["ts"].to_numpy()
+        sid = np.concatenate([[0], np.cumsum(np.diff(t) >= np.timedelta64(30, "m"))])
+        sess = pd.DataFrame({"ts": t, "sid": sid})
+        for _, sp in spans[spans.user_id == u].iterrows():
+            a = sess.loc[sess.ts == sp.span_start, "sid"].iloc[0]
+            b = sess.loc[sess.ts == sp.span_last, "sid"].iloc[0]
+            assert a == b
