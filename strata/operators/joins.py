@@ -15,7 +15,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import col
 
 # Literal relations at or under this many rows may be broadcast explicitly.
 LITERAL_BROADCAST_MAX_ROWS = 10_000
