@@ -65,3 +65,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shared_table_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written intermediate table under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 200 << 20,
+               split_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a run whose largest shuffle moves about ``shuffle_bytes`` on
+    ``cores`` executor cores (all runtime SQL settings, applied with ``apply_conf``).
+
+    Shuffle partitions start at about ``partition_bytes`` each (at least three tasks per
+    core, at most ``max_partitions`` to keep shuffle metadata small); AQE then coalesces
+    small partitions towards the same advisory size and splits partitions of hot keys
+    that exceed five times the median and the skew threshold.  Parquet scans are split
+    at ``split_bytes``.  Example: a 100 TB scan whose widest shuffle moves 20 TB on 8,000
+    cores gives 95,368 shuffle partitions of about 200 MB each.
+    """
+    n = min(max(3 * cores, -(-shuffle_bytes // partition_bytes)), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on an existing (e.g. the platform's) session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)

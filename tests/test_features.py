@@ -226,3 +226,11 @@ def test_session_spans_stay_inside_sessions_for_a_hot_user(spark):
             a = sess.loc[sess.ts == sp.span_start, "sid"].iloc[0]
             b = sess.loc[sess.ts == sp.span_last, "sid"].iloc[0]
             assert a == b
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+    c = scale_conf(20 * 10**12, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "95368"                        # ~200 MB per partition
+    assert scale_conf(10**9, 8000)["spark.sql.shuffle.partitions"] == "24000"  # at least 3 tasks per core
+    assert scale_conf(10**15, 8000)["spark.sql.shuffle.partitions"] == "100000"
