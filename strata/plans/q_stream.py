@@ -99,7 +99,11 @@ def str_dau_approx(spark, d):
     return _ntz(t, "day_start")
 
 
-@register("str_last_30d")
+@register("str_last_30d", "WITH p AS (SELECT CAST(ts AS DATE) AS d, CASE WHEN event_type = 'purchase' THEN value ELSE 0.0 END AS amt, "
+          "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_p FROM events), "
+          "w AS (SELECT CAST(d - CAST(k AS INTEGER) AS TIMESTAMP) AS window_start, amt, is_p FROM p, range(0, 30) r(k)) "
+          "SELECT window_start, window_start + INTERVAL 30 DAY AS window_end, sum(amt) AS revenue_30d, "
+          "sum(is_p) AS purchases_30d FROM w GROUP BY 1", dbl="revenue_30d", big="purchases_30d")
 def str_last_30d(spark, d):
     """STR-07 trailing 30-day revenue and purchases, sliding 30-day windows every day."""
     p = purchases_from_events(_events(spark, d)).withWatermark("purchase_ts", WM)
