@@ -166,7 +166,18 @@ def _summarize_rounded(df, key, col, round_half):
     return g.select(key, F.concat_ws(". ", F.transform("_s", lambda x: F.trim(x["sentence"]))).alias("summary"))
 
 
-@register("txt_search_corpus")
+def _corpus_sql() -> str:
+    from . import q_cases  # noqa: F401  (registers the ops-notes oracle used below)
+    from .catalog import ORACLE
+    return (f"WITH {_INSIGHT_SQL}, {sql_summary('ins', 'contact_id', 'transcript_redacted')} "
+            "SELECT 'CALL' AS doc_type, ins.contact_id AS doc_id, ins.order_id, ins.started_at AS doc_ts, ins.call_reason, "
+            "concat_ws(chr(10), ins.transcript_redacted, 'Summary: ' || coalesce(summ.summary, ''), ins.commitment) AS content "
+            "FROM ins LEFT JOIN summ USING (contact_id) UNION ALL "
+            "SELECT 'OPS_NOTE', CAST(n.note_id AS VARCHAR), n.order_id, CAST(n.created_at AS TIMESTAMP), NULL, n.note_text "
+            f"FROM ({ORACLE['mart_ops_notes']}) n")
+
+
+@register("txt_search_corpus", _corpus_sql(), big="order_id")
 def txt_search_corpus(spark, d):
     """TXT-10 / SET-02 search corpus: redacted calls (text + summary + commitment) UNION ALL ops notes,
     NULL-padded columns."""
