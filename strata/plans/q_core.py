@@ -852,7 +852,18 @@ def expr_variant_path(spark, d):
     return e.groupBy("event_type").agg(F.sum(F.variant_get("v", "$.k", "bigint")).alias("k_total"))
 
 
-@register("udf_text_model_batches")
+# The characters Python's str.split() treats as whitespace, as an RE2 class.
+_PY_WS = r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@register("udf_text_model_batches",
+          "WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents), "
+          f"w AS (SELECT doc_id, x, list_filter(regexp_split_to_array(x, '{_PY_WS}'), lambda v: v <> '') AS ws FROM t), "
+          "m AS (SELECT doc_id, greatest(length(x) - length(regexp_replace(x, '[.!?]', '', 'g')), 1) AS sentences, "
+          "coalesce(list_sum(list_transform(ws, lambda v: length(v))), 0) / greatest(len(ws), 1) AS mean_word_len, "
+          "greatest(len(ws), 1) AS n_words FROM w) "
+          "SELECT doc_id, sentences, mean_word_len, n_words / sentences AS words_per_sentence FROM m",
+          big="sentences", dbl="mean_word_len words_per_sentence")
 def udf_text_model_batches(spark, d):
     """UDF-03/04 a user's Python text model on Arrow batches (mapInPandas), over every document."""
     from ..operators.udf import apply_text_model, text_stats
@@ -873,7 +884,8 @@ def fc_forecast_with_user_model(spark, d):
                            "ts date, forecast double, location_city string, service_category string")
 
 
-@register("src_pandas_handover")
+@register("src_pandas_handover", "SELECT r_name, count(*) AS nations, count(*) / sum(count(*)) OVER () AS share "
+          "FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY 1", big="nations", dbl="share")
 def src_pandas_handover(spark, d):
     """SRC-16 pandas hand-over for a small, bounded result (one row per region) and back."""
     agg = T(spark, d, "region").join(T(spark, d, "nation"), F.col("r_regionkey") == F.col("n_regionkey")) \
