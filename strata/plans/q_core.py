@@ -871,7 +871,18 @@ def udf_text_model_batches(spark, d):
     return apply_text_model(docs, text_stats, "doc_id long, sentences long, mean_word_len double, words_per_sentence double")
 
 
-@register("fc_forecast_with_user_model")
+def _user_model_sql() -> str:
+    from .q_spa import _SERIES_SQL
+    return (f"WITH {_SERIES_SQL}, p AS (SELECT location_city, service_category, min(ts) AS t0, max(ts) AS last, "
+            "count(*) AS n, avg(y) AS ybar FROM zf GROUP BY 1, 2), "
+            "f AS (SELECT z.location_city, z.service_category, regr_slope(z.y, date_diff('day', p.t0, z.ts)) AS b, "
+            "regr_intercept(z.y, date_diff('day', p.t0, z.ts)) AS a FROM zf z JOIN p USING (location_city, service_category) GROUP BY 1, 2) "
+            "SELECT CAST(p.last + CAST(k AS INTEGER) AS DATE) AS ts, greatest(CASE WHEN p.n > 1 THEN f.a + f.b * "
+            "(date_diff('day', p.t0, p.last) + k) ELSE p.ybar END, 0.0) AS forecast, p.location_city, p.service_category "
+            "FROM p JOIN f USING (location_city, service_category), range(1, 15) r(k)")
+
+
+@register("fc_forecast_with_user_model", _user_model_sql(), dbl="forecast")
 def fc_forecast_with_user_model(spark, d):
     """FC-04 / UDF-05 user-supplied per-series model (applyInPandas over the zero-filled series)."""
     from ..marts import spa as SP
