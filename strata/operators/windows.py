@@ -77,7 +77,8 @@ def rank_distributed(df: DataFrame, c: str, name: str = "rank", descending: bool
         c, (F.col("_off") + F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("bigint").alias(name))
     out = df.join(ranks, c, "left")
     if with_total:
-        out = out.withColumn(with_total, vals.agg(F.sum("_cnt").cast("bigint")).scalar())
+        # the total comes from the checkpointed counts, not from a second run of the input lineage
+        out = out.withColumn(with_total, ranged.agg(F.sum("_cnt").cast("bigint")).scalar())
     return out
 
 
