@@ -2,10 +2,12 @@
 
 The reference runs a hosted search service; here a batch of queries is
 answered with joins and grouped aggregates over an inverted index built from
-the whole corpus: postings (doc, term, tf), document frequency per term and
-document length.  The index is a DataFrame that can be written once and
-reused (``materialize``); queries join on term, so each query touches only the
-postings of its own terms.
+the whole corpus: postings (doc, document length, term, tf), written once as a
+table in the shared folder and read by every pass; document frequencies and
+corpus statistics are aggregates of it.  Queries join on term, so each query
+touches only the postings of its own terms (and, above a measured size, only
+those of its essential terms).  Vector search is exact cosine over broadcast
+query blocks of checked size.
 """
 
 from __future__ import annotations
@@ -14,10 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import round_half
-from .joins import scalar_struct
-from .text import tokens
 from ..session import cut_lineage, shared_table_path
 from ..sources.io import materialize
+from .joins import scalar_struct
+from .text import tokens
 from .windows import row_number_distributed, top_k_per_salted
 
 K1, B = 1.2, 0.75
