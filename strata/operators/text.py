@@ -86,7 +86,7 @@ def classify_rules(df: DataFrame, col: str, lexicon: Mapping[str, Sequence[str]]
     labels = list(lexicon)
     allterms = sorted({t for l in labels for t in lexicon[l]})
     # one pass over the tokens keeps only lexicon hits; labels are counted on that short array
-    x = df.withColumn("_hits", F.filter(tokens(col), lambda t: F.array_contains(F.array(*[F.lit(a) for a in allterms]), t)))
+    x = df.withColumn("_hits", F.filter(tokens(col), lambda t: t.isin(allterms)))
     x = x.withColumn("_scores", F.array(*[_term_hits(F.col("_hits"), lexicon[l]) for l in labels]))
     pos = F.array_position(F.col("_scores"), F.array_max("_scores"))
     return x.withColumn(out, F.get(F.array(*[F.lit(l) for l in labels]), (pos - 1).cast("int"))).drop("_scores", "_hits")
@@ -96,7 +96,7 @@ def sentiment(df: DataFrame, col: str, out: str = "sentiment") -> DataFrame:
     """TXT-05 lexicon sentiment: neutral without hits, mixed when both sides are within one hit,
     else the larger side."""
     allterms = sorted(set(POSITIVE_TERMS) | set(NEGATIVE_TERMS))
-    x = df.withColumn("_tok", F.filter(tokens(col), lambda t: F.array_contains(F.array(*[F.lit(a) for a in allterms]), t)))
+    x = df.withColumn("_tok", F.filter(tokens(col), lambda t: t.isin(allterms)))
     x = x.withColumns({"_p": _term_hits(F.col("_tok"), POSITIVE_TERMS), "_n": _term_hits(F.col("_tok"), NEGATIVE_TERMS)})
     lab = (F.when((F.col("_p") == 0) & (F.col("_n") == 0), F.lit("neutral"))
            .when((F.col("_p") > 0) & (F.col("_n") > 0) & (F.abs(F.col("_p") - F.col("_n")) <= 1), F.lit("mixed"))
