@@ -75,8 +75,7 @@ def pii_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def _term_hits(tok: Column, terms: Sequence[str]) -> Column:
-    arr = F.array(*[F.lit(t) for t in terms])
-    return F.size(F.filter(tok, lambda x: F.array_contains(arr, x)))
+    return F.size(F.filter(tok, lambda x: x.isin(list(terms))))
 
 
 def classify_rules(df: DataFrame, col: str, lexicon: Mapping[str, Sequence[str]] = REASON_TERMS,
