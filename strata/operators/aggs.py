@@ -51,13 +51,15 @@ def new_repeat(df: DataFrame, key: str, date: str, by: Sequence[str]) -> DataFra
     first = min(date) over the *whole* fact per customer (computed as a
     per-customer aggregate joined back, which shuffles by customer once instead
     of a window that sorts each customer's rows); new = distinct customers whose
-    date equals first inside the cell; repeat = all - new.
+    date equals first inside the cell; repeat = all - new.  Both distinct counts
+    come from one (cell, customer) aggregate -- "has a row on the first date" --
+    and a plain count per cell, not from two COUNT(DISTINCT) expansions.
     """
     first = df.groupBy(key).agg(F.min(date).alias("_first"))
-    x = df.join(first, key)
-    g = x.groupBy(*by).agg(
-        F.countDistinct(F.when(F.col(date) == F.col("_first"), F.col(key))).alias("new_customers"),
-        F.countDistinct(key).alias("_all"))
+    x = df.where(F.col(key).isNotNull()).select(*by, key, date).join(first, key)
+    per = x.groupBy(*by, key).agg(F.max((F.col(date) == F.col("_first")).cast("int")).alias("_new"))
+    g = per.groupBy(*by).agg(F.coalesce(F.sum("_new"), F.lit(0)).cast("bigint").alias("new_customers"),
+                             F.count(F.lit(1)).alias("_all"))
     return g.withColumn("repeat_customers", F.col("_all") - F.col("new_customers")).drop("_all")
 
 
