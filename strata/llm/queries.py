@@ -45,3 +45,57 @@ FROM d LEFT JOIN h USING (doc_id)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix import remove_repeats
     return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False).drop("kept_text")
+
+
+OP8_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN {WORDS.format('text')}] AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)])
+                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS e FROM d),
+x AS (SELECT doc_id, unnest(e) AS g FROM s),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
+         WHERE 100 * i >= 80 * (len(sa.e) + len(sb.e) - i)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(e) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
+@register("op8_minhash_near_dedup", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sketch import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents"), k=4, num=80, den=100)
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS x FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY x, n) AS last FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(x, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1) FOR i IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m
+"""
+
+
+@register("op1_warc", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.session import shared_table_path
+
+    from .warc import read_payloads, write_archive
+    path = shared_table_path(spark, "warc")
+    write_archive(read(spark, sf_dir, "pages"), path, min_bytes=0)
+    return read_payloads(spark, path).drop("payload")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
