@@ -99,3 +99,40 @@ def tokenizer_path(name: str) -> str:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+OP3_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e,
+    embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0 AS ok FROM embeddings),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.ok AND b.ok AND len(a.e) = len(b.e)
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+@register("op3_sorted_projection", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .projection import near_vectors
+    return near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@register("op5_exact_topk", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mtree import top_products
+    table = read(spark, sf_dir, "embeddings")
+    return top_products(table, table.where("vec_id % 100 = 0"), k=10)
