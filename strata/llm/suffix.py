@@ -79,10 +79,17 @@ def _anchor_rows(window: int):
 
 
 def _suffix_rows(window: int):
-    """Suffixes with a repeated anchor: (tag, path, doc_id, start, n); n = 0 for a leaf, else n windows known to be repeats."""
+    """Suffixes with a repeated anchor: (path, rest, doc_id, leaf).
+
+    A leaf's 96-bit path (prefix, then window) is ``path`` and the upper half of ``rest``, its start the
+    lower half.  Other rows are runs of windows already known to be repeats: number and start in ``rest``.
+    """
+    low = np.uint64(0xFFFFFFFF)
+    half = np.uint64(32)
 
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("anchors")))
             for part in bw.slices(batch, "text"):
                 w = bw.split(*bw.string_buffers(part.column("text")))
                 got = _windows(w, window)
@@ -92,7 +99,7 @@ def _suffix_rows(window: int):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
                 lists = part.column("anchors")
                 known = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                owner = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists).fill_null(0)))
+                owner = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
                 # anchor and text together are looked up among the texts' repeated anchors
                 key = np.sort(known ^ bw.mix(owner.astype(np.uint64) + np.uint64(1)))
                 mine = anchor ^ bw.mix(text[:len(anchor)].astype(np.uint64) + np.uint64(1))
@@ -101,7 +108,7 @@ def _suffix_rows(window: int):
                 if not len(s):
                     continue
                 path = bw.run_hashes(w.hashes, window)[s]
-                tag = (bw.run_hashes(w.hashes, PREFIX)[s] >> np.uint64(32)).astype(np.int64)
+                tag = bw.run_hashes(w.hashes, PREFIX)[s] >> half
                 doc, start = ids[text[s]], s - w.first[text[s]]
                 order = np.lexsort((start, doc, tag, path))
                 path, tag, doc, start = path[order], tag[order], doc[order], start[order]
@@ -111,12 +118,12 @@ def _suffix_rows(window: int):
                 again = same & ((doc != doc[lead]) | (start != start[lead]))
                 leaf = ~same
                 d, a, n = _chains(doc[again], start[again])
+                path, tag = path[leaf], tag[leaf]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([tag[leaf], bw.mix(a.astype(np.uint64)).view(np.int64) >> 32])),
-                     pa.array(np.concatenate([path[leaf].view(np.int64), bw.mix(d.astype(np.uint64)).view(np.int64)])),
-                     pa.array(np.concatenate([doc[leaf], d])), pa.array(np.concatenate([start[leaf], a]).astype(np.int32)),
-                     pa.array(np.concatenate([np.zeros(leaf.sum(), np.int64), n]).astype(np.int32))],
-                    ["tag", "path", "doc_id", "start", "n"])
+                    [pa.array(np.concatenate([(tag << half | path >> half).view(np.int64), bw.mix(d.view(np.uint64) + a.view(np.uint64)).view(np.int64)])),
+                     pa.array(np.concatenate([((path & low) << half | start[leaf].view(np.uint64)).view(np.int64), n << 32 | a])),
+                     pa.array(np.concatenate([doc[leaf], d])), pa.array(np.arange(len(path) + len(d)) < len(path))],
+                    ["path", "rest", "doc_id", "leaf"])
 
     return run
 
@@ -134,13 +141,13 @@ def _chains(doc: np.ndarray, start: np.ndarray):
 
 def _subtree_rows(batches):
     """Leaves in path order: those of each deep node after its first are repeats."""
-    held = None  # path, tag and first leaf of the node that the last batch ended in
+    held = None  # path and first leaf of the node that the last batch ended in
     for batch in batches:
-        tag, path, doc, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tag", "path", "doc_id", "start", "n"))
-        leaf = np.flatnonzero(n == 0)
-        d, a, m = doc[n > 0], start[n > 0].astype(np.int64), n[n > 0].astype(np.int64)
+        path, rest, doc, is_leaf = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "rest", "doc_id", "leaf"))
+        leaf, run = np.flatnonzero(is_leaf), ~is_leaf
+        d, a, m = doc[run], rest[run] & 0xFFFFFFFF, rest[run] >> 32
         if len(leaf):
-            t, p, ld, ls = tag[leaf], path[leaf], doc[leaf], start[leaf].astype(np.int64)
+            t, p, ld, ls = path[leaf], rest[leaf] >> 32, doc[leaf], rest[leaf] & 0xFFFFFFFF
             same = np.zeros(len(leaf), bool)
             same[1:] = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(leaf))))
@@ -155,16 +162,25 @@ def _subtree_rows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(m)], ["doc_id", "start", "n"])
 
 
-def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
-    """(doc_id, start, n): ``n`` windows from word ``start`` on whose words also start earlier in the corpus."""
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
-    anchors = d.mapInArrow(_anchor_rows(window), "anchor long, doc_id long")
+def _repeats(d: DataFrame, window: int) -> DataFrame:
+    anchors = d.where("doc_id is not null and text is not null").mapInArrow(_anchor_rows(window), "anchor long, doc_id long")
     repeated = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
     per_doc = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    leaves = d.join(per_doc, "doc_id").select("doc_id", "text", "anchors").mapInArrow(
-        _suffix_rows(window), "tag long, path long, doc_id long, start int, n int")
-    groups = leaves.repartitionByRange("tag", "path").sortWithinPartitions("tag", "path", "doc_id", "start")
-    return groups.mapInArrow(_subtree_rows, "doc_id long, start long, n long")
+    # a left join, so that remove_repeats' own join reuses the exchange of the texts
+    leaves = d.join(per_doc, "doc_id", "left").select("doc_id", "text", "anchors").mapInArrow(
+        _suffix_rows(window), "path long, rest long, doc_id long, leaf boolean")
+    rest = F.shiftright("rest", 32)
+    groups = leaves.repartitionByRange("path", rest).sortWithinPartitions("path", rest, "doc_id", "rest")
+    return groups.select("path", "rest", "doc_id", "leaf").mapInArrow(_subtree_rows, "doc_id long, start long, n long")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
+    """(doc_id, start, n): ``n`` windows from word ``start`` on whose words also start earlier in the corpus."""
+    return _repeats(_texts(docs, id_col, text_col), window)
 
 
 def _cover(n_words: int, runs, window: int) -> np.ndarray:
@@ -221,7 +237,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept_sha256`` is of the kept words joined by one space; ``kept_text`` (null unless ``keep_text``)
     keeps the white space between kept words; a null text gives an empty one.
     """
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    runs = repeated_windows(docs, id_col, text_col, window).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    d = _texts(docs, id_col, text_col)
+    runs = _repeats(d, window).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     return d.join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(
         _cut_rows(window, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
