@@ -136,3 +136,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mtree import top_products
     table = read(spark, sf_dir, "embeddings")
     return top_products(table, table.where("vec_id % 100 = 0"), k=10)
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import THRESHOLD, fit, held_out, score
+    docs = read(spark, sf_dir, "documents")
+    model = fit(docs, read(spark, sf_dir, "labels").where(~held_out()))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
