@@ -144,3 +144,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit(docs, read(spark, sf_dir, "labels").where(~held_out()))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op6_line_templates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .templates import drop_template_lines
+    out = drop_template_lines(read(spark, sf_dir, "documents"), min_docs=10)
+    return out.select("doc_id", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op7_kneser_ney")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kneser_ney import quality
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels").where("quality = 1"))
+
+
+@register("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .unigram import Pieces, decode, encode
+    pieces = spark.sparkContext.broadcast(Pieces.load(tokenizer_path("piece_bpe_32k.model")))
+    out = decode(encode(read(spark, sf_dir, "documents"), pieces), pieces)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
+                      F.col("decoded").eqNullSafe(F.translate("text", "▁", " ")).alias("round_trip"))

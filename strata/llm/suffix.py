@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import cut_lineage
+
 from . import bytewords as bw
 
 ANCHOR = 6
@@ -164,7 +166,8 @@ def _subtree_rows(batches):
 
 def _repeats(d: DataFrame, window: int) -> DataFrame:
     anchors = d.where("doc_id is not null and text is not null").mapInArrow(_anchor_rows(window), "anchor long, doc_id long")
-    repeated = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
+    # written out, so that both sides of the join are exchanges of their own and AQE can split a hot anchor
+    repeated = cut_lineage(anchors.groupBy("anchor").count().where("count > 1").select("anchor"))
     per_doc = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     # a left join, so that remove_repeats' own join reuses the exchange of the texts
     leaves = d.join(per_doc, "doc_id", "left").select("doc_id", "text", "anchors").mapInArrow(
