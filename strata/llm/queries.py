@@ -44,7 +44,7 @@ FROM d LEFT JOIN h USING (doc_id)
 @register("op10_substring_dedup", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix import remove_repeats
-    return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False).drop("kept_text")
+    return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 OP8_SQL = f"""
@@ -150,7 +150,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .templates import drop_template_lines
     out = drop_template_lines(read(spark, sf_dir, "documents"), min_docs=10)
-    return out.select("doc_id", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+    return out.select("rest.doc_id", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 @register("op7_kneser_ney")

@@ -30,10 +30,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import cut_lineage
 
 from . import bytewords as bw
+from .carry import rest
 
 ANCHOR = 6
 PREFIX = 4
@@ -81,10 +83,10 @@ def _anchor_rows(window: int):
 
 
 def _suffix_rows(window: int):
-    """Suffixes with a repeated anchor: (path, rest, doc_id, leaf).
+    """Suffixes with a repeated anchor: (path, tail, doc_id, leaf).
 
-    A leaf's 96-bit path (prefix, then window) is ``path`` and the upper half of ``rest``, its start the
-    lower half.  Other rows are runs of windows already known to be repeats: number and start in ``rest``.
+    A leaf's 96-bit path (prefix, then window) is ``path`` and the upper half of ``tail``, its start the
+    lower half.  Other rows are runs of windows already known to be repeats: number and start in ``tail``.
     """
     low = np.uint64(0xFFFFFFFF)
     half = np.uint64(32)
@@ -125,7 +127,7 @@ def _suffix_rows(window: int):
                     [pa.array(np.concatenate([(tag << half | path >> half).view(np.int64), bw.mix(d.view(np.uint64) + a.view(np.uint64)).view(np.int64)])),
                      pa.array(np.concatenate([((path & low) << half | start[leaf].view(np.uint64)).view(np.int64), n << 32 | a])),
                      pa.array(np.concatenate([doc[leaf], d])), pa.array(np.arange(len(path) + len(d)) < len(path))],
-                    ["path", "rest", "doc_id", "leaf"])
+                    ["path", "tail", "doc_id", "leaf"])
 
     return run
 
@@ -145,11 +147,11 @@ def _subtree_rows(batches):
     """Leaves in path order: those of each deep node after its first are repeats."""
     held = None  # path and first leaf of the node that the last batch ended in
     for batch in batches:
-        path, rest, doc, is_leaf = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "rest", "doc_id", "leaf"))
+        path, tail, doc, is_leaf = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "tail", "doc_id", "leaf"))
         leaf, run = np.flatnonzero(is_leaf), ~is_leaf
-        d, a, m = doc[run], rest[run] & 0xFFFFFFFF, rest[run] >> 32
+        d, a, m = doc[run], tail[run] & 0xFFFFFFFF, tail[run] >> 32
         if len(leaf):
-            t, p, ld, ls = path[leaf], rest[leaf] >> 32, doc[leaf], rest[leaf] & 0xFFFFFFFF
+            t, p, ld, ls = path[leaf], tail[leaf] >> 32, doc[leaf], tail[leaf] & 0xFFFFFFFF
             same = np.zeros(len(leaf), bool)
             same[1:] = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(leaf))))
@@ -170,20 +172,20 @@ def _repeats(d: DataFrame, window: int) -> DataFrame:
     repeated = cut_lineage(anchors.groupBy("anchor").count().where("count > 1").select("anchor"))
     per_doc = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     # a left join, so that remove_repeats' own join reuses the exchange of the texts
-    leaves = d.join(per_doc, "doc_id", "left").select("doc_id", "text", "anchors").mapInArrow(
-        _suffix_rows(window), "path long, rest long, doc_id long, leaf boolean")
-    rest = F.shiftright("rest", 32)
-    groups = leaves.repartitionByRange("path", rest).sortWithinPartitions("path", rest, "doc_id", "rest")
-    return groups.select("path", "rest", "doc_id", "leaf").mapInArrow(_subtree_rows, "doc_id long, start long, n long")
+    leaves = d.join(per_doc, "doc_id", "left").select("doc_id", "text", "anchors", "rest").mapInArrow(
+        _suffix_rows(window), "path long, tail long, doc_id long, leaf boolean")
+    tail = F.shiftright("tail", 32)
+    groups = leaves.repartitionByRange("path", tail).sortWithinPartitions("path", tail, "doc_id", "tail")
+    return groups.select("path", "tail", "doc_id", "leaf").mapInArrow(_subtree_rows, "doc_id long, start long, n long")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), rest(docs, text_col))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """(doc_id, start, n): ``n`` windows from word ``start`` on whose words also start earlier in the corpus."""
-    return _repeats(_texts(docs, id_col, text_col), window)
+    return _repeats(_texts(docs.select(id_col, text_col), id_col, text_col), window)
 
 
 def _cover(n_words: int, runs, window: int) -> np.ndarray:
@@ -235,12 +237,12 @@ def _without(raw: bytes, begin: int, end: int, starts: np.ndarray, gone: np.ndar
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, keep_text: bool = True) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_words, n_removed, kept_sha256, kept_text).
+    """One row per row of ``docs``: (rest, doc_id, n_words, n_removed, kept_sha256, kept_text).
 
-    ``kept_sha256`` is of the kept words joined by one space; ``kept_text`` (null unless ``keep_text``)
-    keeps the white space between kept words; a null text gives an empty one.
+    ``rest`` has the other columns; ``kept_sha256`` is of the kept words joined by one space;
+    ``kept_text`` (null unless ``keep_text``) keeps the white space between kept words and is empty for a null text.
     """
     d = _texts(docs, id_col, text_col)
     runs = _repeats(d, window).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    return d.join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(
-        _cut_rows(window, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    schema = T.StructType([d.schema["rest"], d.schema["doc_id"]]).add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string").add("kept_text", "string")
+    return d.join(runs, "doc_id", "left").select("rest", "doc_id", "text", "runs").mapInArrow(_cut_rows(window, keep_text), schema)

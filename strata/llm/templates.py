@@ -26,10 +26,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import cut_lineage, shared_table_path
 
 from . import bytewords as bw
+from .carry import rest
 
 DEPTH = 3
 SHARE = 0.9
@@ -136,8 +138,8 @@ def template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = _recurring(lines.select("key", "template", "before", "after"), "template", min_docs)
     dropped = lines.select("key", "line", "template").join(known, "template").select("key", "line")
     # the other lines, leaf by leaf
-    rest = lines.where(F.col("words") >= LONG).select("leaf", "template").join(known, "template", "left_anti")
-    crowded = cut_lineage(rest.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"))
+    other = lines.where(F.col("words") >= LONG).select("leaf", "template").join(known, "template", "left_anti")
+    crowded = cut_lineage(other.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"))
     bitmap = spark.sparkContext.broadcast(_bitmap(crowded))
     path = shared_table_path(spark, "leaf_lines")
     d.mapInArrow(lambda b: _open_rows(bitmap.value)(b), "key long, line int, template long, leaf long, before long, after long, tokens array<long>").write.parquet(path)
@@ -173,8 +175,8 @@ def _drop_rows(batches):
 
 
 def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10) -> DataFrame:
-    """(id, text, n_dropped) of every row of ``docs``: the text without lines of recurring templates."""
+    """(rest, text, n_dropped) of every row of ``docs``: its other columns, and the text without lines of recurring templates."""
     gone = template_lines(docs, id_col, text_col, min_docs).groupBy("key").agg(F.collect_set("line").alias("gone"))
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
-    out = d.join(gone, "key", "left").select("doc_id", "text", "gone")
-    return out.mapInArrow(_drop_rows, f"doc_id {dict(d.dtypes)['doc_id']}, text string, n_dropped long")
+    d = docs.select(rest(docs, text_col), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("key"))
+    out = d.join(gone, "key", "left").select("rest", "text", "gone")
+    return out.mapInArrow(_drop_rows, T.StructType([d.schema["rest"], d.schema["text"], T.StructField("n_dropped", T.LongType())]))
