@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bytewords as bw
 
@@ -249,4 +250,4 @@ def decode(encoded: DataFrame, pieces) -> DataFrame:
                 [*batch.columns, pa.array([None if x is None else p.decode(x) for x in batch.column(at).to_pylist()], pa.string())],
                 [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "string"))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
