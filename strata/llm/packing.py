@@ -17,6 +17,7 @@ documents of their own.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -30,28 +31,72 @@ from . import bytewords as bw
 BUCKET = 2500
 STEP = 1 << 17
 TIERS = (256, 512, 1024, 2048)
-CACHE = 300_000
+CACHE = 600_000
+SIGNS = ".,;:!?"
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row int"
 
 
 class ChunkTokenizer:
-    """Ids of texts through a cache of chunks between plain white space, which the tokenizer never joins."""
+    """Ids of texts through caches of chunks between plain white space, which the tokenizer never joins.
+
+    A chunk of letters and closing signs is the ids of the letters and those of the signs.  Runs of
+    letters, by far the most, are encoded many at a time: each ends with the one token that ends a word.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.cache, self.runs = {"": b""}, {}
+
+    def _encode_each(self, chunks: list[str]):
+        for got in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False):
+            yield np.array(got.ids, "<u4").tobytes()
+
+    def _encode_runs(self, runs: list[str]) -> None:
+        lines = [runs[at:at + 100] for at in range(0, len(runs), 100)]
+        for line, got in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(got.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(line) and (len(ids) == ends[-1]):
+                flat, at = ids.tobytes(), 0
+                for run, end in zip(line, (4 * ends).tolist()):
+                    self.runs[run] = flat[at:end]
+                    at = end
+            else:
+                self.runs.update(zip(line, self._encode_each(line)))
+
+    def _add(self, chunks: list[str]) -> None:
+        split, plain, other = {}, set(), []
+        for c in chunks:
+            core = c.rstrip(SIGNS)
+            # letters that neither case nor composition changes into anything but letters
+            if core.isalpha() and (core.isascii() or (core.lower().isalpha() and unicodedata.is_normalized("NFC", core))):
+                run = core.lower() if core.isascii() else core
+                split[c] = (run, c[len(core):])
+                plain.add(run)
+                if len(core) < len(c) and c[len(core):] not in self.cache:
+                    other.append(c[len(core):])
+            else:
+                other.append(c)
+        self._encode_runs([r for r in plain if r not in self.runs])
+        other = list(set(other))
+        self.cache.update(zip(other, self._encode_each(other)))
+        for c, (run, signs) in split.items():
+            self.cache[c] = self.runs[run] + self.cache[signs] if signs else self.runs[run]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.cache) > CACHE:
             self.cache = {"": b""}
+        if len(self.runs) > CACHE:
+            self.runs = {}
         chunks = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         new = list(set().union(*chunks).difference(self.cache))
         for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for chunk, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[chunk] = np.array(got.ids, "<u4").tobytes()
+            self._add(new[at:at + 10_000])
         get = self.cache.__getitem__
         return [b"".join(map(get, c)) for c in chunks]
 
