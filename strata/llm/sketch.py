@@ -8,10 +8,11 @@ two sketches estimate the Jaccard similarity with concentration.  Bins are cut i
 with an equal band share a bucket.
 
 Equal sets are one class from the start (128-bit set hash and size).  Within buckets, candidate pairs
-are verified on the full sets, star by star: one member is the centre, all members of another
-component are compared with it, and it leaves the bucket.  Buckets in which one component is left
-need no more pairs.  After ``STARS`` rounds the pairs that are still open are compared outright, so no
-bucket is cut; groups of copies cost one row a member, not one a pair.
+are verified on the full sets.  First by stars: the member that meets the most others (an original rather
+than one of its copies) is compared with all members, one row each.  Where a bucket then still holds
+several components, the members of the buckets with that centre are compared exactly: they are cut into
+blocks, and a pair of blocks is a product of 0/1 matrices over their shared shingles.  So no bucket is
+cut or sampled, and no pairs are written but those that join components.
 
 Documents without words have the empty set and link with nothing, as do rows with a null id; these
 come back with a null component and are kept.  Rows that repeat an id share its component.
@@ -29,7 +30,9 @@ from strata.session import cut_lineage, shared_table_path
 from . import bytewords as bw
 from .graph import components
 
-STARS = 6
+BLOCK = 256  # sets, and
+ELEMENTS = 200_000  # shingles, of a block about
+WIDTH = 4096
 _U = np.uint64
 
 
@@ -127,6 +130,77 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         F.expr(f"{den} * i >= {num} * (n - i)")).select("a", "b")
 
 
+def _block_links(rows: list, num: int, den: int):
+    """Links between sets of different components, of block i with block j; only those that join more of them."""
+    ids, comps, second = ([r[k] for r in rows] for k in (0, 1, 2))
+    sets = [np.frombuffer(r[3], np.int64) if isinstance(r[3], bytes) else np.asarray(r[3], np.int64) for r in rows]
+    size = np.array([len(x) for x in sets])
+    value, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = np.cumsum(count > 1) - 1  # elements of one set alone can't be shared
+    owner = np.repeat(np.arange(len(sets)), size)
+    use = count[column] > 1
+    owner, column = owner[use], often[column[use]]
+    side = np.array(second)
+    a, b = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(sets)),) * 2
+    both = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, WIDTH):
+        lo, hi = np.searchsorted(column, [at, at + WIDTH])
+        x = np.zeros((len(sets), WIDTH), np.float32)
+        x[owner[lo:hi], column[lo:hi] - at] = 1
+        both += x[a] @ x[b].T
+    linked = den * both >= num * (size[a][:, None] + size[b][None, :] - both)
+    up: dict = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(linked)):
+        i, j = int(a[i]), int(b[j])
+        u, v = find(comps[i]), find(comps[j])
+        if u != v:
+            up[max(u, v)] = min(u, v)
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def _run_links(num: int, den: int):
+    def run(batches):
+        held: list = []
+        key = None
+
+        def done():
+            links = _block_links(held, num, den) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            lists = batch.column("elements")
+            columns = [batch.column(c).to_pylist() for c in ("centre", "i", "j", "doc_id", "component", "second")]
+            for k, (c, i, j, d, o, s) in enumerate(zip(*columns)):
+                if key != (c, i, j):
+                    if held:
+                        yield done()
+                    held, key = [], (c, i, j)
+                held.append((d, o, s, lists[k].values.to_numpy().tobytes()))
+        yield done()
+
+    return run
+
+
+def _crowd_links(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links within crowds (centre, doc_id, n_shingles, component), compared exactly block by block."""
+    size = crowd.groupBy("centre").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / ELEMENTS)).cast("int").alias("blocks"))
+    x = crowd.join(size, "centre").withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "centre", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("second"), "doc_id", "component")
+    run = ["centre", "i", "j"]
+    return x.join(sets, "doc_id").repartition(*run).sortWithinPartitions(*run).mapInArrow(_run_links(num, den), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100,
                     bands: int = 24, rows: int = 4) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
@@ -139,37 +213,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = real.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     heads = real.join(reps.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
     spread = heads.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     open_ = _written(spread.join(shared, "bucket"), "buckets")
+    # members that meet many others make the first centres: an original is closer to its copies than they to each other
+    weight = open_.groupBy("doc_id").agg(F.sum("c").alias("weight"))
+    open_ = cut_lineage(open_.join(weight, "doc_id").select("doc_id", "n_shingles", "weight", "bucket"))
     wanted = open_.select("doc_id").distinct()
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = _written(d.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_set_rows(k), "doc_id long, elements array<long>"), "shingles")
-    close = F.expr(f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b)")
-    links = comp = None
-    for turn in range(STARS + 1):
-        if comp is None:
-            members = open_.withColumn("component", F.col("doc_id"))
-        else:
-            members = open_.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-                "component", F.coalesce("component", "doc_id"))
-            mixed = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-            members = cut_lineage(members.join(mixed, "bucket"))
-            if members.isEmpty():
-                break
-        if turn < STARS:
-            first = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("ca")))
-            centre = members.groupBy("bucket").agg(first.alias("s")).select("bucket", "s.a", "s.n_a", "s.ca")
-            star = members.join(centre, "bucket")
-            pairs = star.where("component <> ca").select("a", F.col("doc_id").alias("b"), "n_a", F.col("n_shingles").alias("n_b"))
-            open_ = star.where("doc_id <> a").select("doc_id", "n_shingles", "bucket")
-        else:
-            other = members.select("bucket", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("ca"))
-            pairs = members.join(other, "bucket").where("component <> ca and a < doc_id").select(
-                "a", F.col("doc_id").alias("b"), "n_a", F.col("n_shingles").alias("n_b"))
-        pairs = pairs.where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = verified(pairs, sets, num, den)
-        links = cut_lineage(new if links is None else links.union(new))
-        comp = components(links)
+    # stars
+    centre = open_.groupBy("bucket").agg(F.max(F.struct("weight", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"))).alias("s")).select(
+        "bucket", "s.a", "s.n_a")
+    star = cut_lineage(open_.join(centre, "bucket").where("doc_id <> a").select("bucket", "a", "n_a", "doc_id", "n_shingles"))
+    close = F.expr(f"{den} * least(n_a, n_shingles) >= {num} * greatest(n_a, n_shingles)")
+    pairs = star.where(close).select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
+    comp = components(verified(pairs, sets, num, den))
+    # buckets in which several components are left, by centre
+    left = star.join(comp.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    crowd = cut_lineage(left.join(mixed, "bucket").select(F.col("a").alias("centre"), "doc_id", "n_shingles", "component").distinct())
+    new = cut_lineage(_crowd_links(crowd, sets, num, den))
+    if not new.isEmpty():
+        of = comp.select("node", "component")
+        ends = new.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left").select(
+            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"), F.col("a").alias("x"), F.col("b").alias("y"))
+        more = components(ends).toDF("component", "to")
+        seen = of.union(ends.select("x", "a")).union(ends.select("y", "b")).distinct()
+        comp = cut_lineage(seen.join(more, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
     rep_of = reps.join(comp, F.col("rep") == F.col("node"), "left").select(
         F.col("n_shingles").alias("n_"), F.col("h1").alias("h1_"), F.col("h2").alias("h2_"), F.coalesce("component", "rep").alias("c"))
     out = sig.drop("bands").join(rep_of, (F.col("n_shingles") == F.col("n_")) & (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_")), "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import catalog
 from .roles import ROLE_SQL, Roles
-from .semantic import DerivedMetric, Dimension, Metric, Relationship, SemanticModel, Table
+from .semantic import DerivedMetric, Dimension, Fact, Metric, Relationship, SemanticModel, Table
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -101,14 +101,17 @@ def player() -> SemanticModel:
                     Dimension("login_date", "sessions", "CAST(sessions.log_in AS DATE)"),
                     Dimension("ad_type", "purchases", "purchases.ad_type"),
                     Dimension("purchase_date", "purchases", "CAST(purchases.purchase_ts AS DATE)")],
-        facts=[],
+        facts=[Fact("purchase_value", "purchases", "purchases.purchase_amount"),
+               Fact("session_minutes", "sessions", "sessions.minutes"),
+               Fact("bought", "purchases", "CASE WHEN purchases.purchase_type != 'none' THEN 1 ELSE 0 END")],
         metrics=[Metric("total_players", "users", "count(users.user_id)", ["players", "player count"]),
                  Metric("total_sessions", "sessions", "count(sessions.session_id)", ["sessions"]),
-                 Metric("avg_session_duration", "sessions", "avg(sessions.minutes)"),
-                 Metric("total_revenue", "purchases", "sum(purchases.purchase_amount)", ["revenue"]),
-                 Metric("avg_purchase_amount", "purchases", "avg(purchases.purchase_amount)"),
+                 Metric("avg_session_duration", "sessions", "avg({session_minutes})"),
+                 Metric("total_revenue", "purchases", "sum({purchase_value})", ["revenue"]),
+                 Metric("avg_purchase_amount", "purchases", "avg({purchase_value})"),
                  Metric("total_purchases", "purchases", "count(purchases.purchase_id)"),
                  Metric("ad_conversion_rate", "purchases", "avg(CASE WHEN purchases.ad_conversion THEN 1.0 ELSE 0.0 END)"),
+                 Metric("bought_count", "purchases", "sum({bought})"),
                  Metric("total_matches", "game", "count(game.match_id)"),
                  Metric("avg_kills", "game", "avg(game.kills)"),
                  Metric("avg_damage", "game", "avg(game.damage_dealt)"),
@@ -155,7 +158,8 @@ def retail() -> SemanticModel:
                     Dimension("campaign_type", "campaign_perf", "campaign_perf.campaign_type"),
                     Dimension("kpi_channel", "kpi", "kpi.channel"),
                     Dimension("kpi_region", "kpi", "kpi.region")],
-        facts=[],
+        facts=[Fact("net", "sales", "sales.net_revenue"), Fact("cost", "sales", "sales.cost_of_goods"),
+               Fact("margin_value", "sales", "sales.net_revenue - sales.cost_of_goods")],
         metrics=[Metric("total_interactions", "interactions", "count(interactions.interaction_id)"),
                  Metric("interaction_customers", "interactions", "count(DISTINCT interactions.customer_id)", ["unique interacting customers"]),
                  Metric("avg_page_views", "interactions", "avg(interactions.page_views)"),
@@ -173,12 +177,13 @@ def retail() -> SemanticModel:
                  Metric("total_campaign_cost", "campaign_perf", "sum(campaign_perf.cost)"),
                  Metric("campaign_roas", "campaign_perf", "CASE WHEN sum(campaign_perf.cost) = 0 THEN 0 ELSE sum(campaign_perf.revenue_attributed) / sum(campaign_perf.cost) END", ["roas"]),
                  Metric("total_gross_revenue", "sales", "sum(sales.gross_revenue)"),
-                 Metric("total_net_revenue", "sales", "sum(sales.net_revenue)", ["net revenue", "revenue"]),
+                 Metric("total_net_revenue", "sales", "sum({net})", ["net revenue", "revenue"]),
                  Metric("total_orders", "sales", "count(sales.order_id)"),
                  Metric("total_units_sold", "sales", "sum(sales.quantity)"),
                  Metric("avg_order_value", "sales", "CASE WHEN count(sales.order_id) = 0 THEN 0 ELSE sum(sales.net_revenue) / count(sales.order_id) END", ["aov"]),
-                 Metric("total_cogs", "sales", "sum(sales.cost_of_goods)"),
-                 Metric("gross_margin", "sales", "CASE WHEN sum(sales.net_revenue) = 0 THEN 0 ELSE (sum(sales.net_revenue) - sum(sales.cost_of_goods)) / sum(sales.net_revenue) END", ["margin"]),
+                 Metric("total_cogs", "sales", "sum({cost})"),
+                 Metric("gross_margin", "sales", "CASE WHEN sum({net}) = 0 THEN 0 ELSE sum({margin_value}) / sum({net}) END", ["margin"]),
+                 Metric("total_margin", "sales", "sum({margin_value})"),
                  Metric("avg_discount", "sales", "avg(sales.discount_pct)"),
                  Metric("return_rate", "sales", "CASE WHEN count(sales.order_id) = 0 THEN 0 ELSE count(CASE WHEN sales.return_flag THEN 1 END) / count(sales.order_id) END"),
                  Metric("sales_customers", "sales", "count(DISTINCT sales.customer_id)", ["unique customers"]),
@@ -210,8 +215,9 @@ def spa() -> SemanticModel:
                     Dimension("service_category", "appointments", "appointments.service_category", ["category"]),
                     Dimension("volume_city", "daily_volume", "daily_volume.location_city"),
                     Dimension("provider_city", "providers", "providers.location_city")],
+        facts=[Fact("service_minutes", "appointments", "appointments.service_duration_mins")],
         metrics=[Metric("total_appointments", "appointments", "count(appointments.appointment_id)"),
-                 Metric("avg_duration", "appointments", "avg(appointments.service_duration_mins)"),
+                 Metric("avg_duration", "appointments", "avg({service_minutes})"),
                  Metric("total_volume", "daily_volume", "sum(daily_volume.appointment_count)"),
                  Metric("provider_count", "providers", "count(providers.provider_id)")],
         comment="Salon bookings")
@@ -232,11 +238,12 @@ def screening() -> SemanticModel:
                     Dimension("current_status", "orders", "orders.current_status", ["status"],
                               ["In Progress", "On Hold", "Complete"]),
                     Dimension("current_component", "orders", "orders.current_component", ["component"])],
+        facts=[Fact("call_minutes", "calls", "calls.duration_sec / 60")],
         metrics=[Metric("order_count", "orders", "count(DISTINCT orders.order_id)"),
                  Metric("avg_days_in_status", "orders", "avg(orders.days_in_status)"),
                  Metric("call_count", "calls", "count(calls.contact_id)"),
                  Metric("callers", "calls", "count(DISTINCT calls.candidate_id)"),
-                 Metric("avg_duration_min", "calls", "avg(calls.duration_sec) / 60")],
+                 Metric("avg_duration_min", "calls", "avg({call_minutes})")],
         comment="Screening")
 
 

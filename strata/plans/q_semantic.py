@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from . import models as MD
 from .catalog import register
+from .roles import ROLE_SQL
 
 # (model, metric, dimensions) for every declared metric
 _BY = {
@@ -25,7 +26,7 @@ def _metric_query(model_fn, metric, dims, **kw):
 
 
 # metrics whose value is an integer (sums of integer columns or of 1/0 flags); counts are detected by form
-_INTEGER_SUMS = {"total_kills", "churn_count", "total_kpi_orders", "total_new_customers", "total_repeat_customers",
+_INTEGER_SUMS = {"bought_count", "total_kills", "churn_count", "total_kpi_orders", "total_new_customers", "total_repeat_customers",
                  "total_volume"}
 
 
@@ -69,6 +70,37 @@ _reg("q11_sem_top_lines", MD.retail, ["total_net_revenue"], ["product_line"], "t
      "Q-11 through the layer: order + limit", order=["total_net_revenue DESC", "product_line"], limit=10)
 
 
+# hand-written SQL, independent of the layer's own planner
+@register("sem_filter_unrequested", f"""
+SELECT s.channel, sum(s.net_revenue) AS total_net_revenue FROM ({ROLE_SQL['sales']}) s
+JOIN customer c ON s.customer_id = c.c_custkey WHERE c.c_mktsegment = 'BUILDING' GROUP BY 1""", dbl="total_net_revenue")
+def sem_filter_unrequested(spark, d):
+    """SEM-02/08 a filter on a dimension that isn't requested: its table joins along the path."""
+    return MD.retail().query(spark, d, ["total_net_revenue"], ["channel"], filters={"segment": ["BUILDING"]})
+
+
+@register("sem_filter_multi_fact", f"""
+WITH a AS (SELECT p.p_brand AS product_line, sum(s.net_revenue) AS total_net_revenue FROM ({ROLE_SQL['sales']}) s
+           JOIN customer c ON s.customer_id = c.c_custkey LEFT JOIN part p ON s.product_id = p.p_partkey WHERE c.c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1),
+b AS (SELECT p.p_brand AS product_line, count(CASE WHEN l.l_linestatus = 'F' THEN 1 END) AS purchase_count
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+      LEFT JOIN part p ON l.l_partkey = p.p_partkey WHERE c.c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1)
+SELECT coalesce(a.product_line, b.product_line) AS product_line, total_net_revenue, purchase_count
+FROM a FULL JOIN b ON a.product_line IS NOT DISTINCT FROM b.product_line""", dbl="total_net_revenue", big="purchase_count")
+def sem_filter_multi_fact(spark, d):
+    """SEM-03/08 two facts under one filter: each reaches the filter's table by its own path."""
+    return MD.retail().query(spark, d, ["total_net_revenue", "purchase_count"], ["product_line"], filters={"segment": ["BUILDING", "MACHINERY"]})
+
+
+@register("sem_fact_metric", f"""
+SELECT s.channel, sum(s.net_revenue - s.cost_of_goods) AS total_margin,
+       CASE WHEN sum(s.net_revenue) = 0 THEN 0 ELSE (sum(s.net_revenue) - sum(s.cost_of_goods)) / sum(s.net_revenue) END AS gross_margin
+FROM ({ROLE_SQL['sales']}) s GROUP BY 1""", dbl="total_margin gross_margin")
+def sem_fact_metric(spark, d):
+    """SEM-06 metrics defined on declared facts."""
+    return MD.retail().query(spark, d, ["total_margin", "gross_margin"], ["channel"])
+
+
 def _trend_q(spark, d):
     """Q-07 / SEM-11 monthly net revenue trend by region (month grain, money rounded to 2)."""
     return MD.retail().trend(spark, d, "total_net_revenue", "sale_date", "month", ["region"])

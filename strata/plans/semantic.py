@@ -166,7 +166,9 @@ class SemanticModel:
         raise ValueError(f"{self.name}: dimension table {target} is not reachable from {base} (SEM-10)")
 
     # ------------------------------------------------------------------ planning
-    def _plan(self, metrics: Sequence[str], dims: Sequence[str]):
+    def _plan(self, metrics: Sequence[str], dims: Sequence[str], filters: Sequence[str] = ()):
+        """Per fact table: its metrics and the relationships that the dimensions and filters need;
+        a dimension or filter that a fact can't reach raises (SEM-10)."""
         metrics = [self.resolve(m) for m in metrics]
         dims = [self.resolve(d) for d in dims]
         base_metrics: list[str] = []
@@ -182,7 +184,7 @@ class SemanticModel:
         plans = []
         for base, ms in by_table.items():
             rels: list[Relationship] = []
-            for d in dims:
+            for d in [*dims, *(self.resolve(f) for f in filters)]:
                 for r in self.path(base, self._d[d].table):
                     if r not in rels:
                         rels.append(r)
@@ -194,8 +196,8 @@ class SemanticModel:
               filters: Mapping[str, Sequence] | None = None, where: str | None = None,
               order: Sequence[str] = (), limit: int | None = None, apply_defaults: bool = False) -> DataFrame:
         """SEM-02/03 compile and run a metrics query; returns dims + metrics columns."""
-        metrics, dims, plans = self._plan(metrics, dims)
         filters = filters or {}
+        metrics, dims, plans = self._plan(metrics, dims, filters)
         for dname, vals in filters.items():
             self.check_filter(dname, vals)
         parts = []
@@ -211,9 +213,7 @@ class SemanticModel:
             if apply_defaults and base in self.default_filters:
                 df = df.where(F.expr(self.default_filters[base]))
             for dname, vals in filters.items():
-                d = self._d[self.resolve(dname)]
-                if d.table == base or d.table in [r.right for r in rels]:
-                    df = df.where(F.expr(d.expr).isin(list(vals)))
+                df = df.where(F.expr(self._d[self.resolve(dname)].expr).isin(list(vals)))
             if where:
                 df = df.where(F.expr(where))
             aggs = [F.expr(self._metric_expr(m)).alias(m.name) for m in ms]
@@ -267,8 +267,8 @@ class SemanticModel:
     def to_sql(self, metrics: Sequence[str], dims: Sequence[str] = (), filters: Mapping[str, Sequence] | None = None,
                where: str | None = None, order: Sequence[str] = (), limit: int | None = None,
                apply_defaults: bool = False, roles_sql: str = "") -> str:
-        metrics, dims, plans = self._plan(metrics, dims)
         filters = filters or {}
+        metrics, dims, plans = self._plan(metrics, dims, filters)
         ctes = []
         for i, (base, ms, rels) in enumerate(plans):
             frm = f"{self._t[base].sql} AS {base}"
@@ -279,9 +279,7 @@ class SemanticModel:
             if apply_defaults and base in self.default_filters:
                 preds.append(self.default_filters[base])
             for dname, vals in filters.items():
-                d = self._d[self.resolve(dname)]
-                if d.table == base or d.table in [r.right for r in rels]:
-                    preds.append(f"({d.expr}) IN (" + ", ".join(repr(v) for v in vals) + ")")
+                preds.append(f"({self._d[self.resolve(dname)].expr}) IN (" + ", ".join(repr(v) for v in vals) + ")")
             if where:
                 preds.append(where)
             sel = [f"{self._d[d].expr} AS {d}" for d in dims] + [f"{self._metric_expr(m)} AS {m.name}" for m in ms]
