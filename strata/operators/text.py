@@ -14,11 +14,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import round_half
+
 # PII kinds in replacement order -> (pattern, placeholder).  Patterns use the
 # regex subset shared by Java and RE2 (no look-around, no back-references, no \b).
 PII_PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
-    ("phone", r"\+1 \(\d{3}\) \d{3}-\d{4}", "[PHONE]"),
+    ("phone", r"(\+1 )?\(\d{3}\) \d{3}-\d{4}", "[PHONE]"),
     ("card", r"\d{4}[- ]?\d{4}[- ]?\d{4}[- ]?\d{4}", "[CARD]"),
     ("ssn", r"\d{3}-\d{2}-\d{4}", "[SSN]"),
     ("ip", r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}", "[IP]"),
@@ -55,7 +57,7 @@ def tokens(c) -> Column:
 
 
 # A pattern can only match text containing its guard, so the regex is skipped otherwise.
-_GUARDS = {"email": lambda c: c.contains("@"), "phone": lambda c: c.contains("+1 ("),
+_GUARDS = {"email": lambda c: c.contains("@"), "phone": lambda c: c.contains(") "),
            "card": lambda c: c.rlike("[0-9]"), "ssn": lambda c: c.rlike("[0-9]"),
            "ip": lambda c: c.rlike("[0-9]"), "dob": lambda c: c.contains("/")}
 
@@ -130,7 +132,8 @@ def summarize(df: DataFrame, key: str, col: str, k: int = 2, out: str = "summary
     n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()
     w = tf.join(dfreq, "term") \
         .select(key, "term", (F.col("tf") * F.log(n_docs / F.col("df"))).alias("tfidf"))
-    sc = tok.join(w, [key, "term"]).groupBy(key, "pos").agg((F.sum("tfidf") / F.count(F.lit(1))).alias("score"))
+    # snapped to 1e-9, so that exact ties (repeated lines) break by position in every engine
+    sc = tok.join(w, [key, "term"]).groupBy(key, "pos").agg(round_half(F.sum("tfidf") / F.count(F.lit(1)), 9).alias("score"))
     top = sc.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), F.asc("pos")))) \
         .where(F.col("_r") <= k)
     picked = top.join(s, [key, "pos"])

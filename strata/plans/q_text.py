@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import round_half
 from ..marts import cases as C
 from ..operators import govern as G
 from ..operators import search as SE
@@ -64,9 +63,11 @@ def sql_summary(table: str, key: str, col: str) -> str:
             f"summ AS (SELECT tp.{key}, string_agg(trim(s2.sentence), '. ' ORDER BY tp.pos) AS summary FROM tp JOIN s2 USING ({key}, pos) GROUP BY 1)")
 
 
+# promises are taken from redacted turns, never from the raw text
 _COMMIT_SQL = (
+    f"rt AS (SELECT conv_id, turn, role, {sql_redact('text')} AS text FROM conversations), "
     "ag AS (SELECT conv_id, turn, unnest(string_split_regex(text, '" + TX.SENTENCE_SPLIT + "')) AS sentence, "
-    "generate_subscripts(string_split_regex(text, '" + TX.SENTENCE_SPLIT + "'), 1) - 1 AS pos FROM conversations WHERE role = 'assistant'), "
+    "generate_subscripts(string_split_regex(text, '" + TX.SENTENCE_SPLIT + "'), 1) - 1 AS pos FROM rt WHERE role = 'assistant'), "
     "hit AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, pos) AS r FROM ag WHERE regexp_matches(lower(sentence), '"
     + _q(TX.PROMISE_PATTERN) + "')), "
     "cm AS (SELECT k.conv_id, 'Commitment: ' || coalesce(trim(h.sentence), 'None') AS commitment FROM (SELECT DISTINCT conv_id FROM conversations) k "
@@ -80,12 +81,17 @@ _INSIGHT_SQL = (f"{R('calls')}, {_COMMIT_SQL}, red AS (SELECT contact_id, order_
                 "LEFT JOIN cm ON CAST(red.contact_id AS BIGINT) = cm.conv_id)")
 
 
+def _commitments(spark, d):
+    turns = TX.redact(scan(spark, d, "conversations"), "text")
+    return TX.commitments(turns, "conv_id", "turn", "role", "text")
+
+
 def _insights(spark, d):
     r = Roles(spark, d)
     calls = TX.redact(r.calls(), "transcript", out="transcript_redacted").drop("transcript")
     calls = TX.classify_rules(calls, "transcript_redacted")
     calls = TX.sentiment(calls, "transcript_redacted")
-    cm = TX.commitments(scan(spark, d, "conversations"), "conv_id", "turn", "role", "text")
+    cm = _commitments(spark, d)
     calls = calls.join(cm.select(F.col("conv_id").cast("string").alias("contact_id"), "commitment"), "contact_id", "left")
     return calls.select("contact_id", "order_id", "started_at", F.to_date("started_at").alias("call_date"), "duration_sec",
                         "transcript_redacted", "call_reason", "sentiment", "commitment")
@@ -105,11 +111,11 @@ def txt_pii_counts(spark, d):
 
 
 @register("gov_redaction_check", f"SELECT count(*) AS leaked FROM (SELECT {sql_redact('text')} AS t FROM documents) WHERE "
-          + " OR ".join(f"regexp_matches(t, '{_q(p)}')" for k, p, _ in TX.PII_PATTERNS[:3]))
+          + " OR ".join(f"regexp_matches(t, '{_q(p)}')" for k, p, _ in TX.PII_PATTERNS))
 def gov_redaction_check(spark, d):
-    """GOV-05 nothing downstream of redaction still matches e-mail / phone / card patterns."""
+    """GOV-05 nothing downstream of redaction still matches a pattern of any of the six kinds."""
     red = TX.redact(scan(spark, d, "documents").select("doc_id", "text"), "text", out="t")
-    return G.assert_redacted_before(red, "t", [p for _, p, _ in TX.PII_PATTERNS[:3]]).agg(F.count(F.lit(1)).alias("leaked"))
+    return G.assert_redacted_before(red, "t", [p for _, p, _ in TX.PII_PATTERNS]).agg(F.count(F.lit(1)).alias("leaked"))
 
 
 @register("txt_classify_documents", f"SELECT doc_id, {sql_reason('text')} AS call_reason, {sql_sentiment('text')} AS sentiment FROM documents")
@@ -130,40 +136,24 @@ def txt_label_distribution(spark, d):
 @register("txt_commitments", f"WITH {_COMMIT_SQL} SELECT * FROM cm")
 def txt_commitments(spark, d):
     """TXT-09 'Commitment:' line per conversation from the agent's promise sentences, else 'None'."""
-    return TX.commitments(scan(spark, d, "conversations"), "conv_id", "turn", "role", "text")
+    return _commitments(spark, d)
 
 
-@register("txt_call_insights", f"WITH {_INSIGHT_SQL} SELECT * FROM ins")
+@register("txt_call_insights", f"WITH {_INSIGHT_SQL}, {sql_summary('ins', 'contact_id', 'transcript_redacted')}, {R('scr_orders')} "
+          "SELECT ins.*, summ.summary, o.candidate_id FROM ins LEFT JOIN summ ON ins.contact_id = summ.contact_id "
+          "LEFT JOIN scr_orders o ON ins.order_id = o.order_id", big="candidate_id")
 def txt_call_insights(spark, d):
-    """TXT-07 CALL_INSIGHTS: redacted transcript, reason, sentiment, commitment per call."""
-    return _insights(spark, d)
+    """TXT-07 CALL_INSIGHTS: redacted transcript, reason, sentiment, commitment, summary and candidate per call."""
+    i = _insights(spark, d)
+    i = i.join(TX.summarize(i.select("contact_id", "transcript_redacted"), "contact_id", "transcript_redacted"), "contact_id", "left")
+    return i.join(Roles(spark, d).scr_orders().select("order_id", "candidate_id"), "order_id", "left")
 
 
 @register("txt_summarize_documents", f"WITH {sql_summary('documents', 'doc_id', 'text')} SELECT * FROM summ")
 def txt_summarize_documents(spark, d):
     """TXT-08 two-sentence extractive summary (TF-IDF sentence scores) of every whole document."""
     docs = scan(spark, d, "documents").select("doc_id", "text")
-    return _summarize_rounded(docs, "doc_id", "text", round_half)
-
-
-def _summarize_rounded(df, key, col, round_half):
-    # identical to TX.summarize, with the sentence score snapped to 1e-9 so exact ties
-    # (repeated lines) break by position in every engine
-    from pyspark.sql import Window
-    s = TX.sentences(df, key, col)
-    tok = s.select(key, "pos", F.explode(TX.tokens("sentence")).alias("term")).where(F.length("term") > 0)
-    tf = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()
-    w = tf.join(dfreq, "term") \
-        .select(key, "term", (F.col("tf") * F.log(n_docs / F.col("df"))).alias("tfidf"))
-    sc = tok.join(w, [key, "term"]).groupBy(key, "pos").agg(
-        round_half(F.sum("tfidf") / F.count(F.lit(1)), 9).alias("score"))
-    top = sc.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), F.asc("pos")))) \
-        .where(F.col("_r") <= 2)
-    picked = top.join(s, [key, "pos"])
-    g = picked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("_s"))
-    return g.select(key, F.concat_ws(". ", F.transform("_s", lambda x: F.trim(x["sentence"]))).alias("summary"))
+    return TX.summarize(docs, "doc_id", "text")
 
 
 def _corpus_sql() -> str:
@@ -182,7 +172,7 @@ def txt_search_corpus(spark, d):
     """TXT-10 / SET-02 search corpus: redacted calls (text + summary + commitment) UNION ALL ops notes,
     NULL-padded columns."""
     ins = _insights(spark, d)
-    summ = _summarize_rounded(ins.select("contact_id", "transcript_redacted"), "contact_id", "transcript_redacted", round_half)
+    summ = TX.summarize(ins.select("contact_id", "transcript_redacted"), "contact_id", "transcript_redacted")
     calls = ins.join(summ, "contact_id", "left").select(
         F.lit("CALL").alias("doc_type"), F.col("contact_id").alias("doc_id"), "order_id", F.col("started_at").alias("doc_ts"),
         "call_reason", F.concat_ws("\n", "transcript_redacted", F.concat(F.lit("Summary: "), F.coalesce("summary", F.lit(""))),
@@ -193,6 +183,14 @@ def txt_search_corpus(spark, d):
     return calls.unionByName(notes, allowMissingColumns=True)
 
 
+@register("gov_corpus_check", f"WITH c AS ({_corpus_sql()}) SELECT count(*) AS leaked FROM c WHERE "
+          + " OR ".join(f"regexp_matches(content, '{_q(p)}')" for _, p, _ in TX.PII_PATTERNS), big="leaked")
+def gov_corpus_check(spark, d):
+    """GOV-05 rows of the search corpus (transcripts, summaries, promises, notes) that still match a PII pattern."""
+    leaked = G.assert_redacted_before(txt_search_corpus(spark, d), "content", [p for _, p, _ in TX.PII_PATTERNS])
+    return leaked.agg(F.count(F.lit(1)).alias("leaked"))
+
+
 _BM25_SQL = (
     f"tok AS (SELECT doc_id, unnest({sql_tokens('text')}) AS term FROM documents), tok2 AS (SELECT * FROM tok WHERE length(term) > 0), "
     "post AS (SELECT doc_id, term, count(*) AS tf FROM tok2 GROUP BY 1, 2), dl AS (SELECT doc_id, count(*) AS dl FROM tok2 GROUP BY 1), "
