@@ -5,13 +5,14 @@ answered with joins and grouped aggregates over an inverted index built from
 the whole corpus: postings (doc, document length, term, tf), written once as a
 table in the shared folder and read by every pass; document frequencies and
 corpus statistics are aggregates of it.  Queries join on term, so each query
-touches only the postings of its own terms (and, above a measured size, only
-those of its essential terms).  Vector search is exact cosine over broadcast
-query blocks of checked size.
+touches only the postings of its essential terms.  Vector search is exact cosine,
+block of queries by part of the corpus.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from ..session import cut_lineage, shared_table_path
 from ..sources.io import materialize
 from .joins import scalar_struct
 from .text import tokens
-from .windows import row_number_distributed, top_k_per_salted
+from .windows import top_k_per_salted
 
 K1, B = 1.2, 0.75
 
@@ -43,11 +44,6 @@ def index_stats(index: DataFrame, key: str) -> DataFrame:
 
 # rarest terms per query whose documents seed the score threshold of the pruning pass
 SEED_TERMS = 4
-# query-term relations at or under this many rows are broadcast to the candidate scoring
-MAX_BROADCAST_QUERY_TERMS = 200_000
-# a batch whose query terms have at most this many postings in total is scored directly
-# (one term join); above it the exact pruning below keeps common terms out of the join
-MAX_DIRECT_PAIRS = 50_000_000
 # margin below the threshold: pruned documents score at least this much below it, so the
 # 1e-9 snapping of scores can never turn a pruned document into a tie
 _PRUNE_MARGIN = 1e-6
@@ -74,9 +70,7 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
        pruned terms are added by (document, term) lookups; then top-k per query.
 
     The hot postings of common terms are read only through (document, term) equi-joins
-    for candidates, never expanded per query.  A batch small enough that the direct term
-    join emits at most MAX_DIRECT_PAIRS rows (sum of the document frequencies of its query
-    terms, measured on the index) is scored by that one join instead; both plans are exact.
+    for candidates, never expanded per query.
     """
     if where is not None:
         corpus = corpus.where(where)
@@ -92,21 +86,14 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     qt = cut_lineage(q.join(terms, "term").select(qkey, "term", "df", idf.alias("idf"),
                                                   (idf * F.col("wmax")).alias("ub")))
 
-    size = qt.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("df"), F.lit(0)).alias("pairs")).first()
     order = [F.desc("score"), F.asc(key)]
-    if size["pairs"] <= MAX_DIRECT_PAIRS:
-        sc = qt.select(qkey, "term", "idf").join(w, "term").groupBy(qkey, key) \
-            .agg(round_half(F.sum(F.col("idf") * F.col("w")), 9).alias("score"))
-        return top_k_per_salted(sc, qkey, order, k, [key])
-    small_batch = size["n"] <= MAX_BROADCAST_QUERY_TERMS
 
     def split_by(terms: DataFrame, flag) -> tuple[DataFrame, DataFrame]:
-        """(generating, looked-up) terms of each query as (query, term, idf) relations;
-        the looked-up side is broadcast when the query batch is under the size bound."""
+        """(generating, looked-up) terms of each query as (query, term, idf) relations."""
         x = terms.withColumn("_gen", flag)
         g = x.where(F.col("_gen")).select(qkey, "term", "idf")
         r = x.where(~F.col("_gen")).select(qkey, "term", "idf")
-        return g, (F.broadcast(r) if small_batch else r)
+        return g, r
 
     def exact(gen: DataFrame, rest: DataFrame) -> DataFrame:
         """Exact scores of the documents holding a ``gen`` term of their query: the postings of
@@ -129,45 +116,43 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     return top_k_per_salted(exact(*split_by(flagged, essential)), qkey, order, k, [key])
 
 
-def cosine(a, b):
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    na = F.sqrt(F.aggregate(F.transform(a, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda s, v: s + v))
-    nb = F.sqrt(F.aggregate(F.transform(b, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda s, v: s + v))
-    return dot / (na * nb)
-
-
-# query vectors per broadcast block of the exact vector search
-MAX_BROADCAST_QUERIES = 10_000
+# rows of a block of queries: what one task holds beside its Arrow batch of documents
+QUERY_BLOCK = 1024
 
 
 def vector_search(corpus: DataFrame, key: str, vec: str, queries: DataFrame, qkey: str, qvec: str,
                   k: int = 5) -> DataFrame:
     """TXT-12 exact cosine top-k per query.
 
-    Exact search scores every (query, document) pair by definition.  The corpus
-    is scored where it lies (never shuffled for the join): the query batch is
-    counted, and query vectors are broadcast in blocks of at most
-    MAX_BROADCAST_QUERIES rows; a larger batch is cut into numbered blocks by a
-    distributed row number, and each block is one broadcast nested-loop pass
-    over the corpus.  The top-k per query is the salted two-stage top-k over the
-    union of the blocks' scores (exact: the order is total).
+    Documents are dealt to parts and queries to blocks by a hash; every part meets every block
+    once, as one product of two matrices of unit vectors, and hands on its k best documents per
+    query.  No (query, document) rows are written: what is shuffled are the vectors, once per
+    block of queries or part of documents, and k rows per query and part.
     """
-    q = queries.select(qkey, F.col(qvec).alias("_q"))
-    n_q = q.count()
-    if n_q <= MAX_BROADCAST_QUERIES:
-        blocks = [q]
-    else:
-        qb = cut_lineage(row_number_distributed(q, [qkey], "_qi")
-                         .withColumn("_blk", F.floor((F.col("_qi") - 1) / MAX_BROADCAST_QUERIES)))
-        blocks = [qb.where(F.col("_blk") == b).drop("_qi", "_blk")
-                  for b in range(-(-n_q // MAX_BROADCAST_QUERIES))]
-    docs = corpus.select(key, vec)
-    sc = None
-    for b in blocks:
-        s = docs.crossJoin(F.broadcast(b)) \
-            .select(qkey, key, round_half(cosine(F.col(vec), F.col("_q")), 12).alias("score"))
-        sc = s if sc is None else sc.unionByName(s)
-    return top_k_per_salted(sc, qkey, [F.desc("score"), F.asc(key)], k, [key])
+    spark = corpus.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    q = queries.select(F.col(qkey).alias("_q"), F.col(qvec).cast("array<double>").alias("_v"))
+    blocks = q.agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("b")).select(F.greatest("b", F.lit(1)).alias("b"))
+    q = q.join(F.broadcast(blocks)).withColumn("_block", F.pmod(F.xxhash64("_q"), "b")).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select("_part", "_block", "_q", "_v")
+    d = corpus.select(F.col(key).alias("_k"), F.col(vec).cast("array<double>").alias("_v")).withColumn(
+        "_part", F.pmod(F.xxhash64("_k"), F.lit(parts)).cast("int"))
+    d = d.join(F.broadcast(blocks)).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).select("_part", "_block", "_k", "_v")
+    kq, kk = queries.schema[qkey].dataType.simpleString(), corpus.schema[key].dataType.simpleString()
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            right = right.sort_values("_k")
+            a, b = (np.vstack(x["_v"]) / np.sqrt((np.vstack(x["_v"]) ** 2).sum(axis=1))[:, None] for x in (left, right))
+            score = np.floor((a @ b.T) * 1e12 + 0.5) / 1e12  # snapped, so that ties go by key
+            for i, one in zip(left["_q"], score):
+                top = np.argsort(-one, kind="stable")[:k]
+                out += [(i, right["_k"].iloc[j], one[j]) for j in top]
+        return pd.DataFrame(out, columns=[qkey, key, "score"])
+
+    found = q.groupBy("_part", "_block").cogroup(d.groupBy("_part", "_block")).applyInPandas(best, f"{qkey} {kq}, {key} {kk}, score double")
+    return top_k_per_salted(found, qkey, [F.desc("score"), F.asc(key)], k, [key])
 
 
 def centroids(df: DataFrame, group: str, vec: str, dim: int) -> DataFrame:

@@ -57,9 +57,9 @@ def row_number_distributed(df: DataFrame, order: Sequence, name: str = "rn",
 
 def rank_distributed(df: DataFrame, c: str, name: str = "rank", descending: bool = True,
                      with_total: str | None = None) -> DataFrame:
-    """WIN-09 RANK() OVER (ORDER BY c [DESC]) computed distributed.
+    """WIN-09 RANK() OVER (ORDER BY c [DESC] NULLS LAST) computed distributed.
 
-    rank(v) = 1 + number of rows with a strictly better value.
+    rank(v) = 1 + number of rows with a strictly better value; nulls rank after all values.
     """
     vals = df.groupBy(c).agg(F.count(F.lit(1)).alias("_cnt"))
     order = [F.col(c).desc_nulls_last()] if descending else [F.col(c).asc_nulls_last()]
@@ -75,7 +75,8 @@ def rank_distributed(df: DataFrame, c: str, name: str = "rank", descending: bool
                                       .rowsBetween(Window.unboundedPreceding, -1)))
     ranks = within.join(F.broadcast(offsets), "_pid").select(
         c, (F.col("_off") + F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("bigint").alias(name))
-    out = df.join(ranks, c, "left")
+    # null-safe on both sides: a null value has a rank too
+    out = df.join(ranks.withColumnRenamed(c, "_v"), F.col(c).eqNullSafe(F.col("_v")), "left").drop("_v")
     if with_total:
         # the total comes from the checkpointed counts, not from a second run of the input lineage
         out = out.withColumn(with_total, ranged.agg(F.sum("_cnt").cast("bigint")).scalar())

@@ -47,11 +47,13 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """Return the shared checkpoint folder; only a local session gets a scratch one when it is unset."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -70,18 +72,18 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
 
 
 def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 200 << 20,
-               split_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+               split_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a run whose largest shuffle moves about ``shuffle_bytes`` on
     ``cores`` executor cores (all runtime SQL settings, applied with ``apply_conf``).
 
     Shuffle partitions start at about ``partition_bytes`` each (at least three tasks per
-    core, at most ``max_partitions`` to keep shuffle metadata small); AQE then coalesces
+    core); AQE then coalesces
     small partitions towards the same advisory size and splits partitions of hot keys
     that exceed five times the median and the skew threshold.  Parquet scans are split
     at ``split_bytes``.  Example: a 100 TB scan whose widest shuffle moves 20 TB on 8,000
     cores gives 95,368 shuffle partitions of about 200 MB each.
     """
-    n = min(max(3 * cores, -(-shuffle_bytes // partition_bytes)), max_partitions)
+    n = max(3 * cores, -(-shuffle_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(split_bytes),

@@ -87,7 +87,9 @@ class VersionedTable:
         elif combine is not None:
             merged = combine(old, batch)
         else:
-            merged = old.join(batch.select(*self.keys), self.keys, "left_anti").unionByName(batch)
+            new = batch.select(*(F.col(k).alias(f"_new_{k}") for k in self.keys))
+            same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.keys]  # a null key is a key
+            merged = old.join(new, same, "left_anti").unionByName(batch)
         merged.write.mode("overwrite").parquet(os.path.join(self.path, f"v{v:06d}"))
 
 

@@ -130,7 +130,7 @@ def test_vector_search_blocks_match_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(7)
     docs = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(40)]
     qs = [(100 + j, [float(x) for x in rng.normal(size=6)]) for j in range(10)]
-    monkeypatch.setattr(SE, "MAX_BROADCAST_QUERIES", 3)        # 10 queries -> 4 broadcast blocks
+    monkeypatch.setattr(SE, "QUERY_BLOCK", 3)        # 10 queries -> 4 blocks
     d = spark.createDataFrame(docs, "doc_id long, v array<double>")
     q = spark.createDataFrame(qs, "qid long, qv array<double>")
     got = {(r.qid, r.doc_id) for r in SE.vector_search(d, "doc_id", "v", q, "qid", "qv", k=3).collect()}
@@ -165,15 +165,33 @@ def test_classification_report_counts(spark):
     assert all(r.accuracy == 9 / 15 for r in rep.values())
 
 
-def test_bm25_pruned_plan_equals_direct_plan(spark, monkeypatch):
+def test_bm25_pruned_plan_equals_definition(spark, monkeypatch):
     from strata.operators import search as SE
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
-    direct = {tuple(r) for r in SE.bm25_search(docs, "doc_id", "text", qs, "item_id", "text", k=8).collect()}
-    monkeypatch.setattr(SE, "MAX_DIRECT_PAIRS", -1)             # force the pruning plan
-    monkeypatch.setattr(SE, "SEED_TERMS", 2)
-    pruned = {tuple(r) for r in SE.bm25_search(docs, "doc_id", "text", qs, "item_id", "text", k=8).collect()}
-    assert direct and pruned == direct
+    import math
+    import re
+    from collections import Counter
+    tok = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
+    tf = {r.doc_id: Counter(tok(r.text)) for r in docs.collect()}
+    tf = {k: v for k, v in tf.items() if v}
+    df = Counter(t for c in tf.values() for t in c)
+    mean = sum(sum(c.values()) for c in tf.values()) / len(tf)
+    want = {}
+    for r in qs.collect():
+        score = {}
+        for d, c in tf.items():
+            own = [t for t in set(tok(r.text)) if t in c]
+            if own:
+                s = sum(math.log(1 + (len(tf) - df[t] + 0.5) / (df[t] + 0.5)) * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for t in own)
+                score[d] = math.floor(s * 1e9 + 0.5) / 1e9
+        want[r.item_id] = [d for d, _ in sorted(score.items(), key=lambda x: (-x[1], x[0]))[:8]]
+    for seeds in (2, 4):
+        monkeypatch.setattr(SE, "SEED_TERMS", seeds)
+        got = {}
+        for r in SE.bm25_search(docs, "doc_id", "text", qs, "item_id", "text", k=8).orderBy("item_id", "rank").collect():
+            got.setdefault(r.item_id, []).append(r.doc_id)
+        assert got == {k: v for k, v in want.items() if v}
 
 
 def test_session_stream_merges_across_batches(spark):
@@ -234,3 +252,38 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.shuffle.partitions"] == "95368"                        # ~200 MB per partition
     assert scale_conf(10**9, 8000)["spark.sql.shuffle.partitions"] == "24000"  # at least 3 tasks per core
     assert scale_conf(10**15, 8000)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_semantic_filters_reach_or_raise():
+    from strata.plans import models as MD
+    m = MD.retail()
+    _, _, plans = m._plan(["total_net_revenue"], ["channel"], ["segment"])
+    assert any(r.right == "customers" for r in plans[0][2])
+    with pytest.raises(ValueError):
+        m._plan(["total_kpi_orders"], ["kpi_channel"], ["segment"])        # a fact without a path to the filter's table
+
+
+def test_rank_of_nulls_equals_the_window(spark):
+    from pyspark.sql import Window
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 7), (4, None), (5, 5)], "id int, v int")
+    for down in (True, False):
+        order = F.col("v").desc_nulls_last() if down else F.col("v").asc_nulls_last()
+        want = {r.id: r.w for r in df.withColumn("w", F.rank().over(Window.orderBy(order))).collect()}
+        assert {r.id: r["rank"] for r in W.rank_distributed(df, "v", descending=down).collect()} == want
+
+
+def test_upsert_replaces_null_keys(spark):
+    from strata.streaming.stream import VersionedTable
+    t = VersionedTable(spark, tempfile.mkdtemp(prefix="strata-up-"), ["k"])
+    t.upsert(spark.createDataFrame([(None, 1), ("a", 1)], "k string, v int"), 0)
+    t.upsert(spark.createDataFrame([(None, 2)], "k string, v int"), 1)
+    assert {(r.k, r.v) for r in t.latest().collect()} == {(None, 2), ("a", 1)}
+
+
+def test_promises_come_from_redacted_text(spark):
+    from strata.operators import text as TX
+    text = ("I will email you at jane.doe@corp.com or (212) 555-0143 or +1 (212) 555-0143, card 1234 5678 9012 3456, "
+            "ssn 123-45-6789, host 10.0.0.1, born 01/02/1990 today.")
+    turns = spark.createDataFrame([(1, 1, "assistant", text)], "conv_id int, turn int, role string, text string")
+    got = TX.commitments(TX.redact(turns, "text"), "conv_id", "turn", "role", "text").first()["commitment"]
+    assert got == ("Commitment: I will email you at [EMAIL] or [PHONE] or [PHONE], card [CARD], ssn [SSN], host [IP], born [DOB] today.")
