@@ -23,7 +23,7 @@ RETAIL_GBT = dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, f
 SPA_GBT = dict(maxIter=200, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42)
 
 CHURN_FEATURES = ["days_since", "tenure_days", "total_orders", "purchase_frequency", "avg_order_value", "total_spend_12m",
-                  "email_engagement_rate", "web_visits_30d", "nps_score", "return_rate", "lifetime_value"]
+                  "promo_share", "recent_lines", "satisfaction", "return_rate", "lifetime_value"]
 # Leak-free rebooking features (T11: days_since_last_visit defines the label, so it is left out).
 REBOOK_FEATURES = ["tenure_days", "total_appointments", "completed_count", "no_show_rate", "cancellation_rate",
                    "avg_days_between_visits", "avg_duration_mins", "avg_days_booked_advance", "app_booking_pct",

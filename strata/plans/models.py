@@ -170,7 +170,7 @@ def retail() -> SemanticModel:
                  Metric("return_count", "interactions", "count(CASE WHEN interactions.returned THEN 1 END)"),
                  Metric("cart_add_count", "interactions", "count(CASE WHEN interactions.added_to_cart THEN 1 END)"),
                  Metric("avg_lifetime_value", "ml_features", "avg(ml_features.lifetime_value)"),
-                 Metric("avg_nps", "ml_features", "avg(ml_features.nps_score)"),
+                 Metric("avg_satisfaction", "ml_features", "avg(ml_features.satisfaction)"),
                  Metric("avg_churn_probability", "ml_features", "avg(ml_features.churn_probability)", ["churn risk"]),
                  Metric("avg_predicted_clv", "ml_features", "avg(ml_features.clv_predicted_12m)"),
                  Metric("total_campaign_revenue", "campaign_perf", "sum(campaign_perf.revenue_attributed)"),

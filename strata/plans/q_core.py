@@ -703,14 +703,14 @@ def expr_math(spark, d):
                      X.ape(F.col("l_quantity") * 10, F.col("l_extendedprice") / 100).alias("ape"))
 
 
-@register("expr_arrays", "SELECT o_orderkey, ['Standard', 'Healthcare', 'Driver', 'Financial', 'Gig'][CAST(o_orderkey % 7 AS INTEGER) + 1] AS package, "
+@register("expr_arrays", "SELECT o_orderkey, ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][CAST(o_orderkey % 7 AS INTEGER) + 1] AS segment, "
           "[o_orderstatus, o_orderpriority][1] AS first_elem FROM orders")
 def expr_arrays(spark, d):
     """EXPR-24/25 array literal pick by 0-based index (NULL past end), array as composite key."""
     o = T(spark, d, "orders")
     key = F.array("o_orderstatus", "o_orderpriority")
-    return o.select("o_orderkey", X.pick_index(["Standard", "Healthcare", "Driver", "Financial", "Gig"],
-                                               F.col("o_orderkey") % 7).alias("package"),
+    return o.select("o_orderkey", X.pick_index(["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+                                               F.col("o_orderkey") % 7).alias("segment"),
                     F.get(key, 0).alias("first_elem"))
 
 

@@ -250,9 +250,10 @@ def txt_trained_classifier(spark, d):
     """TXT-04 trained text classifier (TF-IDF + logistic regression) on labelled documents;
     held-out predictions with ROC AUC per split."""
     lab = scan(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
-    docs = scan(spark, d, "documents").select("doc_id", "text").join(lab, "doc_id")
-    sp = MT.stratified_split(docs, "doc_id", "label")
-    model = CH.text_classifier(sp.where(F.col("split") == "train"), num_features=1 << 16)
+    docs = scan(spark, d, "documents").select("doc_id", "text")
+    # ids and labels alone are numbered and checkpointed; the texts are joined to their split afterwards
+    sp = docs.join(MT.stratified_split(lab.join(docs.select("doc_id"), "doc_id", "left_semi"), "doc_id", "label"), "doc_id")
+    model = CH.text_classifier(sp.where(F.col("split") == "train"))
     p = model.transform(sp.where(F.col("split") == "test"))
     p = p.select("doc_id", "label", F.round(vector_to_array("probability")[1], 4).alias("score"))
     return J.with_scalars(MT.roc_auc(p, "score", "label"), p.agg(F.count(F.lit(1)).alias("test_rows")))

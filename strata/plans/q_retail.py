@@ -74,30 +74,30 @@ def mart_price_lines(spark, d):
 
 _CV_SQL = (
     f"WITH {R('sales')}, cf AS (SELECT customer_id, max(sale_date) AS last_date, min(sale_date) AS first_date, "
-    f"count(DISTINCT order_id) AS total_orders, {RH('sum(net_revenue)', 6)} AS net, avg(CASE WHEN return_flag THEN 1.0 ELSE 0.0 END) AS return_rate "
+    f"count(DISTINCT order_id) AS total_orders, {RH('sum(net_revenue)', 6)} AS net, avg(CASE WHEN return_flag THEN 1.0 ELSE 0.0 END) AS return_rate, "
+    "avg(CASE WHEN discount_pct > 0.05 THEN 1.0 ELSE 0.0 END) AS promo_share, "
+    f"count(CASE WHEN date_diff('day', sale_date, DATE '{ORD}') <= 90 THEN 1 END) AS recent_lines "
     "FROM sales GROUP BY 1), "
     f"f1 AS (SELECT *, date_diff('day', last_date, DATE '{ORD}') AS days_since, "
     f"greatest(date_diff('day', first_date, DATE '{ORD}'), date_diff('day', last_date, DATE '{ORD}') + 30) AS tenure_days, "
     "net / total_orders AS aov FROM cf), "
     "f2 AS (SELECT *, least(greatest(total_orders / greatest(tenure_days / 91.25, 1.0), 0.1), 5.0) AS freq, "
-    f"least(greatest(0.25 + 0.08 * {N('customer_id', 'email')}, 0.0), 0.9) AS email_eng, "
-    f"greatest(0, floor(12 + 5 * {N('customer_id', 'web')} + 0.5)) AS web_visits, "
-    f"least(greatest(floor(7 + 1.5 * {N('customer_id', 'nps')} + 0.5), 0), 10) AS nps FROM f1), "
-    "f3 AS (SELECT *, 1 / (1 + exp(-(-1.1 + 0.012 * (days_since - 120) - 0.6 * (freq - 1.5) - 4.0 * (email_eng - 0.25) "
-    f"- 0.05 * (web_visits - 12) + 6.0 * (return_rate - 0.08) - 0.15 * (nps - 7) + 0.6 * {N('customer_id', 'noise')}))) AS churn_risk FROM f2), "
+    "greatest(date_diff('day', first_date, last_date) / greatest(total_orders - 1, 1), 30.0) AS gap, "
+    "floor(10 * (1 - return_rate) + 0.5) AS satisfaction FROM f1), "
+    "f3 AS (SELECT *, (days_since / gap) / (days_since / gap + 1) AS churn_risk FROM f2), "
     f"f4 AS (SELECT *, {RH('aov * freq * 4 * greatest(0.1, 1 - days_since / 365)')} AS total_spend_12m FROM f3) "
     f"SELECT customer_id, days_since, tenure_days, total_orders, {RH('freq', 4)} AS purchase_frequency, {RH('aov')} AS avg_order_value, "
-    f"total_spend_12m, {RH('email_eng', 4)} AS email_engagement_rate, CAST(web_visits AS BIGINT) AS web_visits_30d, "
-    f"CAST(nps AS BIGINT) AS nps_score, {RH('return_rate', 4)} AS return_rate, {RH('churn_risk', 4)} AS churn_probability, "
-    f"{RH('least(greatest(churn_risk + 0.15 * ' + N('customer_id', 'legacy') + ', 0.01), 0.99)', 4)} AS legacy_churn_score, "
+    f"total_spend_12m, {RH('promo_share', 4)} AS promo_share, recent_lines, "
+    f"CAST(satisfaction AS BIGINT) AS satisfaction, {RH('return_rate', 4)} AS return_rate, {RH('churn_risk', 4)} AS churn_probability, "
+    f"{RH('least(greatest(days_since / 365, 0.01), 0.99)', 4)} AS legacy_churn_score, "
     f"{RH('aov * total_orders')} AS lifetime_value, "
     "CASE WHEN total_orders <= 2 AND tenure_days < 150 THEN 'New Customer' WHEN days_since > 270 THEN 'Lapsed' "
     "WHEN days_since > 180 THEN 'Win-Back Target' WHEN aov * total_orders >= 2500 AND churn_risk >= 0.5 THEN 'High-Value At-Risk' "
-    "WHEN total_orders >= 12 AND churn_risk < 0.35 THEN 'Loyal VIP' WHEN web_visits >= 15 AND total_orders <= 3 THEN 'Browser' "
+    "WHEN total_orders >= 12 AND churn_risk < 0.35 THEN 'Loyal VIP' WHEN recent_lines >= 3 AND total_orders <= 3 THEN 'Browser' "
     "ELSE 'Active Regular' END AS segment, "
     f"DATE '{ORD}' + CAST(least(365, floor(90 / freq * (1 + churn_risk) + 0.5)) AS INTEGER) AS predicted_next_purchase, "
     f"{RH('total_spend_12m * (1 - churn_risk) * 1.15')} AS clv_predicted_12m FROM f4")
-_CV_DBL = ("purchase_frequency avg_order_value total_spend_12m email_engagement_rate return_rate churn_probability "
+_CV_DBL = ("purchase_frequency avg_order_value total_spend_12m promo_share return_rate churn_probability "
            "legacy_churn_score lifetime_value clv_predicted_12m")
 
 
@@ -156,12 +156,11 @@ def q09_roas_by_type(spark, d):
 
 @register("mart_campaigns", f"WITH {_CAMP_SQL} SELECT campaign_id, campaign_type, start_date, duration, budget, end_date, "
           f"least(end_date, DATE '{ORD}') AS end_date_capped, CASE WHEN end_date < DATE '{ORD}' THEN 'Completed' "
-          f"WHEN start_date > DATE '{ORD}' THEN 'Planned' ELSE 'Active' END AS status, "
-          "CASE campaign_type WHEN 'Social' THEN 'Browser' WHEN 'Search' THEN 'Active Regular' WHEN 'Email' THEN 'Lapsed' "
-          "WHEN 'Display' THEN 'New Customer' WHEN 'Influencer' THEN 'Loyal VIP' END AS target_segment FROM camp2",
+          f"WHEN start_date > DATE '{ORD}' THEN 'Planned' ELSE 'Active' END AS status "
+          "FROM camp2",
           dbl="budget", big="duration")
 def mart_campaigns(spark, d):
-    """MART-35 campaign attributes: capped end date, status, target segment by type."""
+    """MART-35 campaign attributes: capped end date, status."""
     return M.campaigns(scan(spark, d, "supplier"), ORD)
 
 
@@ -227,16 +226,14 @@ def mart_assortment(spark, d):
     return M.assortment(scan(spark, d, "lineitem"), scan(spark, d, "part"), ORD)
 
 
-@register("mart_product_development", "SELECT p_partkey AS product_id, p_brand AS product_line, "
-          "['Concept','Design','Prototype','Testing','Production'][CAST(" + K.sql_hash32("p_partkey", "stage") + " % 5 AS INTEGER) + 1] AS current_stage, "
-          "['Fall 2002','Spring 2002','Winter 2002','Fall 2001','Summer 2001'][CAST(" + K.sql_hash32("p_partkey", "stage") + " % 5 AS INTEGER) + 1] AS target_season, "
-          f"DATE '{ORD}' + [420, 300, 210, 120, 30][CAST(" + K.sql_hash32("p_partkey", "stage") + " % 5 AS INTEGER) + 1] AS target_launch_date, "
-          "['Low','Medium','High'][CAST(" + K.sql_hash32("p_partkey", "risk") + " % 3 AS INTEGER) + 1] AS risk_level, "
-          "CASE ['Low','Medium','High'][CAST(" + K.sql_hash32("p_partkey", "risk") + " % 3 AS INTEGER) + 1] WHEN 'Low' THEN 'On schedule' "
-          "WHEN 'Medium' THEN 'Supplier lead time under review' ELSE 'Material sourcing delayed' END AS notes FROM part")
+@register("mart_product_development", "WITH l AS (SELECT l_partkey, CAST(min(l_shipdate) AS DATE) AS launch_date, CAST(max(l_shipdate) AS DATE) AS last_sale, "
+          "sum(l_quantity) AS units FROM lineitem GROUP BY 1) SELECT p_partkey AS product_id, p_brand AS product_line, launch_date, last_sale, units, "
+          f"CASE WHEN launch_date IS NULL THEN 'Not launched' WHEN date_diff('day', launch_date, DATE '{ORD}') <= 365 THEN 'Ramping' "
+          f"WHEN date_diff('day', last_sale, DATE '{ORD}') > 180 THEN 'Fading' ELSE 'Established' END AS current_stage "
+          "FROM part LEFT JOIN l ON p_partkey = l_partkey", dbl="units")
 def mart_product_development(spark, d):
-    """MART-43 product development stages: target season by stage, launch date, note by risk."""
-    return M.product_development(scan(spark, d, "part"), ORD)
+    """MART-43 life stage of every product, measured on its sales."""
+    return M.product_stage(scan(spark, d, "part"), scan(spark, d, "lineitem"), ORD)
 
 
 @register("mart_product_attrs", "WITH l AS (SELECT l_partkey, min(l_shipdate) AS launch FROM lineitem GROUP BY 1) "

@@ -17,9 +17,6 @@ from ..sources.io import scan
 AS_OF_EVENTS = "2024-01-31"
 AS_OF_ORDERS = "2001-08-02"
 SPA_CITIES = ["Austin", "Boston", "Chicago", "Denver", "Seattle"]
-SCREENING_COMPONENTS = ["County Criminal Search", "County Criminal Search", "Education Verification",
-                        "Employment Verification", "Motor Vehicle Record", "Drug Screen",
-                        "Federal Criminal Search", "Professional License Verification"]
 
 
 def sessions_from_events(e: DataFrame) -> DataFrame:
