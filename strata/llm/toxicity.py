@@ -117,83 +117,86 @@ def decode(word: str, model: np.ndarray) -> str:
     return max(ends)[1]
 
 
-# A run of white-space-free signs with letters in it, or single letters set apart.
-_ODD = re.compile(r"(?=\S*[^\W\d_])(?=\S*[^\W\d_][0-9@$!|+(<€£¡*#%._\-]+[^\W\d_]|[0-9@$!|+(<€£¡]+[^\W\d_]|\S*([^\W\d_])\1\1)\S{3,40}")
+# Single letters set apart by one sign each.
 _LOOSE = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,2}){3,30}[^\W_](?!\S)")
+_EDGE = ".,;:!?\"'()[]{}<>"
+_LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
+_SIGNS = np.array([c < 128 and (chr(c).isdigit() or chr(c) in "@$!|+*#%") or c in (0xAC, 0xA3, 0xA1) for c in range(256)])
+_GAP = np.array([chr(c) in " .-_*\n" for c in range(256)])
+
+
+def _restore(span: str, model: np.ndarray, cache: dict) -> str:
+    got = cache.get(span)
+    if got is None:
+        if len(cache) > 50_000:
+            for key in [k for k in cache if isinstance(k, str)]:
+                del cache[key]
+        got = cache[span] = decode(span, model)
+    return got
+
 
+def restored(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: dict) -> tuple[list[int], list[str]]:
+    """(text, word): what the odd spans of some texts stand for.
 
-def restored(text: str, model: np.ndarray, cache: dict) -> list[str]:
-    """Words restored from the odd spans of a text."""
-    out = []
-    spans = [m.group().strip(".,;:!?\"'()[]{}") for m in _ODD.finditer(text)]
-    spans += [m.group() for m in _LOOSE.finditer(text)]
-    for span in spans:
-        got = cache.get(span)
-        if got is None:
-            if len(cache) > 50_000:
-                cache.clear()
-            got = cache[span] = decode(span, model)
-        if len(got) > 2:
-            out.append(got)
-    return out
-
-
-def _may_be_odd(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Texts that may hold an odd span: a digit or sign beside a letter, a triple, or single letters."""
-    n = len(offsets) - 1
-    if not len(data):
-        return np.zeros(n, bool)
+    Odd are words with a sign or digit before a letter or a letter three times running, and runs of single letters.
+    """
+    owner: list[int] = []
+    words: list[str] = []
+    if len(data) < 3:
+        return owner, words
     letter = _LETTER[data]
-    sign = _SIGNS[data]
     odd = np.zeros(len(data), bool)
-    odd[1:] |= (letter[1:] & sign[:-1])
-    odd[2:] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
+    odd[1:] = letter[1:] & _SIGNS[data[:-1]]
+    odd[2:] |= (data[2:] < 128) & letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
+    at = np.flatnonzero(odd)
+    raw = data.tobytes()
+    if len(at):
+        cuts = np.concatenate([[-1], np.flatnonzero(bw.SPACE_TABLE[data]), [len(data)]])
+        k, text = np.searchsorted(cuts, at), np.searchsorted(offsets, at, "right") - 1
+        begin, first = np.unique(np.maximum(cuts[k - 1] + 1, offsets[text]), return_index=True)
+        k, text = k[first], text[first]
+        end = np.minimum(cuts[k], offsets[text + 1])
+        fine = np.flatnonzero(end - begin <= 40)  # longer runs are not words
+        for b, e, t in zip(begin[fine].tolist(), end[fine].tolist(), text[fine].tolist()):
+            span = raw[b:e].decode("utf-8", "replace").strip(_EDGE)
+            if len(span) > 2:
+                owner.append(t)
+                words.append(_restore(span, model, cache))
+    single = np.zeros(len(data), bool)
     gap = _GAP[data]
-    if len(data) > 4:
-        odd[4:] |= letter[4:] & gap[3:-1] & letter[2:-2] & gap[1:-3] & letter[:-4]
-    total = np.concatenate([[0], np.cumsum(odd)])
-    return total[offsets[1:]] > total[offsets[:-1]]
-
-
-_LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
-_SIGNS = np.array([c < 128 and (chr(c).isdigit() or chr(c) in "@$!|+(<*#%._-") or c in (0xAC, 0xA3, 0xA1) for c in range(256)])
-_GAP = np.array([chr(c) in " .-_*" for c in range(256)])
+    single[1:-1] = gap[:-2] & letter[1:-1] & gap[2:]
+    loose = np.flatnonzero(single[:-4] & single[2:-2] & single[4:]) if len(data) > 4 else at[:0]
+    for t in np.unique(np.searchsorted(offsets, loose, "right") - 1).tolist():
+        for m in _LOOSE.finditer(raw[offsets[t]:offsets[t + 1]].decode("utf-8", "replace")):
+            owner.append(t)
+            words.append(_restore(m.group(), model, cache))
+    return owner, words
 
 
 def term_hashes(w: bw.Words) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash) of the distinct words and word beginnings of each text."""
+    """(text, hash) of the words and word beginnings of each text."""
     text = np.repeat(np.arange(len(w.first) - 1), w.counts())
     hashes, owner = [w.hashes], [text]
-    for k in PREFIXES:
-        longer = np.flatnonzero(w.ends - w.starts > k)
-        if len(longer):
-            s = w.starts[longer]
-            grams = np.zeros(len(s), np.uint64)
-            for j in range(k):
-                grams = bw.mix(grams + _lower(w.data[s + j]).astype(np.uint64) + np.uint64(k))
-            hashes.append(grams)
-            owner.append(text[longer])
-    h, o = np.concatenate(hashes), np.concatenate(owner)
-    return o, h
+    own, gram = np.arange(len(text)), np.zeros(len(text), np.uint64)
+    for j in range(max(PREFIXES)):
+        more = w.ends[own] - w.starts[own] > j
+        own, gram = own[more], gram[more]
+        gram = gram * np.uint64(0x100000001B3) + _LOWER[w.data[w.starts[own] + j]]
+        if j + 1 in PREFIXES:
+            longer = w.ends[own] - w.starts[own] > j + 1
+            hashes.append(bw.mix(gram[longer] + np.uint64(j)))
+            owner.append(text[own[longer]])
+    return np.concatenate(owner), np.concatenate(hashes)
 
 
-def _lower(x: np.ndarray) -> np.ndarray:
-    return np.where((x >= 65) & (x <= 90), x + 32, x)
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint64)
 
 
 def _text_terms(part, model, cache):
     """(text, hash) of the terms of each text's words, plain and restored."""
     data, offsets = bw.string_buffers(part.column("text"))
     o, h = term_hashes(bw.split(data, offsets, lower=True, table=_WORD_TABLE))
-    odd = np.flatnonzero(_may_be_odd(data, offsets))
-    extra, owner = [], []
-    if len(odd):
-        texts = part.column("text").take(pa.array(odd)).to_pylist()
-        for i, t in zip(odd.tolist(), texts):
-            got = " ".join(restored(t or "", model, cache))
-            if got:
-                extra.append(got)
-                owner.append(i)
+    owner, extra = restored(data, offsets, model, cache)
     if extra:
         o2, h2 = term_hashes(bw.split(*bw.string_buffers(pa.array(extra)), lower=True, table=_WORD_TABLE))
         o, h = np.concatenate([o, np.array(owner)[o2]]), np.concatenate([h, h2])
@@ -240,9 +243,14 @@ def _evidence(part, model, cache, known) -> np.ndarray:
     for j, (terms, weights) in enumerate(known):
         if not len(terms):
             continue
-        place = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-        hit = terms[place] == h
-        both = np.unique(o[hit] * len(terms) + place[hit])
+        sieve = cache.get(("sieve", j))
+        if sieve is None:  # most terms are unknown: they fall through here
+            sieve = cache[("sieve", j)] = np.zeros(1 << 20, bool)
+            sieve[(terms >> np.uint64(44)).astype(np.int64)] = True
+        may = np.flatnonzero(sieve[(h >> np.uint64(44)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(terms, h[may]), len(terms) - 1)
+        hit = terms[place] == h[may]
+        both = np.unique(o[may[hit]] * len(terms) + place[hit])
         if len(both):
             np.maximum.at(out[:, 2 * j], both // len(terms), weights[both % len(terms)])
             np.add.at(out[:, 2 * j + 1], both // len(terms), weights[both % len(terms)])
