@@ -21,14 +21,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
     e = edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"), F.isnull(x).alias("n1"), F.isnull(y).alias("n2"))
-    e = cut_lineage(e.where("not n1 and not n2").select("u", "v").distinct())
+    e = cut_lineage(e.where("not n1 and not n2").select("u", "v"))
     state = None
     while True:
         # large-star: every neighbour above a node moves to the node's smallest neighbour (itself included)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         e = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            e.where("u = v")).distinct()
+            e.where("u = v"))
         # small-star: a node and its smaller neighbours move to the smallest of them
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()

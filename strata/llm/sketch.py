@@ -9,8 +9,8 @@ with an equal band share a bucket.
 
 Equal sets are one class from the start (128-bit set hash and size).  Within buckets, candidate pairs
 are verified on the full sets.  First by stars: the member that meets the most others (an original rather
-than one of its copies) is compared with all members, one row each.  Where a bucket then still holds
-several components, the members of the buckets with that centre are compared exactly: they are cut into
+than one of its copies) is compared with all members, one row each.  Where not all members of a
+bucket are linked to it, the members of such buckets of that centre are compared exactly: they are cut into
 blocks, and a pair of blocks is a product of 0/1 matrices over their shared shingles.  So no bucket is
 cut or sampled, and no pairs are written but those that join components.
 
@@ -198,7 +198,7 @@ def _crowd_links(crowd: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "centre", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("second"), "doc_id", "component")
     run = ["centre", "i", "j"]
-    return x.join(sets, "doc_id").repartition(*run).sortWithinPartitions(*run).mapInArrow(_run_links(num, den), "a long, b long").distinct()
+    return x.join(sets, "doc_id").repartition(*run).sortWithinPartitions(*run).mapInArrow(_run_links(num, den), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100,
@@ -226,20 +226,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "bucket", "s.a", "s.n_a")
     star = cut_lineage(open_.join(centre, "bucket").where("doc_id <> a").select("bucket", "a", "n_a", "doc_id", "n_shingles"))
     close = F.expr(f"{den} * least(n_a, n_shingles) >= {num} * greatest(n_a, n_shingles)")
-    pairs = star.where(close).select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-    comp = components(verified(pairs, sets, num, den))
-    # buckets in which several components are left, by centre
-    left = star.join(comp.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    crowd = cut_lineage(left.join(mixed, "bucket").select(F.col("a").alias("centre"), "doc_id", "n_shingles", "component").distinct())
-    new = cut_lineage(_crowd_links(crowd, sets, num, den))
-    if not new.isEmpty():
-        of = comp.select("node", "component")
-        ends = new.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left").select(
-            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"), F.col("a").alias("x"), F.col("b").alias("y"))
-        more = components(ends).toDF("component", "to")
-        seen = of.union(ends.select("x", "a")).union(ends.select("y", "b")).distinct()
-        comp = cut_lineage(seen.join(more, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+    pairs = star.where(close).select("a", F.col("doc_id").alias("b")).distinct()
+    links = cut_lineage(verified(pairs, sets, num, den))
+    # buckets whose members aren't all linked to the centre: their members are compared with one another
+    seen = star.join(links.select("a", F.col("b").alias("doc_id"), F.lit(1).alias("linked")), ["a", "doc_id"], "left")
+    open_ends = seen.groupBy("bucket").agg(F.count("*").alias("n"), F.count("linked").alias("m")).where("n > 1 and m < n").select("bucket")
+    crowd = seen.join(open_ends, "bucket").select(
+        F.col("a").alias("centre"), "doc_id", "n_shingles", F.when(F.col("linked") == 1, F.col("a")).otherwise(F.col("doc_id")).alias("component"))
+    comp = components(links.union(_crowd_links(cut_lineage(crowd.distinct()), sets, num, den)))
     rep_of = reps.join(comp, F.col("rep") == F.col("node"), "left").select(
         F.col("n_shingles").alias("n_"), F.col("h1").alias("h1_"), F.col("h2").alias("h2_"), F.coalesce("component", "rep").alias("c"))
     out = sig.drop("bands").join(rep_of, (F.col("n_shingles") == F.col("n_")) & (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_")), "left")
