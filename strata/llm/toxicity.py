@@ -91,11 +91,18 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 _AS_IS, _SIGN, _DROP, _REPEAT = 0.0, -0.7, -1.5, -0.4
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The letters most probably meant by ``word``: Viterbi over its lattice, with states of two letters."""
-    best = {(0, 0): (0.0, "")}
+# Longer runs of one letter or sign are cut to two.
+_RUN = re.compile(r"(\D)\1{2,}")
+
+
+def decode(word: str, model, breaks: float | None = None) -> str:
+    """The letters most probably meant by ``word``: Viterbi over its lattice, with states of two letters.
+
+    With ``breaks``, a sign may also end a word at this cost; the words are set apart by spaces.
+    """
+    best: dict = {(0, 0): (0.0, None)}  # state: score, path back
     last = ""
-    for ch in word.lower():
+    for ch in _RUN.sub(r"\1\1", word.lower()):
         cls = int(FOLD[ord(ch)]) if ord(ch) < len(FOLD) else 27 * ch.isalpha()
         ways = []
         if cls:
@@ -105,71 +112,98 @@ def decode(word: str, model: np.ndarray) -> str:
         else:
             ways += [(ord(x) - 96, x, _SIGN) for x in RESEMBLES.get(ch, "")]
             ways.append((None, "", _DROP if ch.isdigit() or ch in RESEMBLES else -0.1))
+        between = breaks is not None and not ch.isalnum()
         last = ch
         now: dict = {}
-        for (a, b), (score, text) in best.items():
+        for (a, b), (score, path) in best.items():
             for cls, out, cost in ways:
-                key, s = ((a, b), score + cost) if cls is None else ((b, cls), score + cost + model[a, b, cls])
+                key, s = ((a, b), score + cost) if cls is None else ((b, cls), score + cost + model[a][b][cls])
                 if key not in now or s > now[key][0]:
-                    now[key] = (s, text + out)
+                    now[key] = (s, (path, out) if out else path)
+            if between and b:
+                s = score + breaks + model[a][b][0]
+                if (b, 0) not in now or s > now[b, 0][0]:
+                    now[b, 0] = (s, (path, " "))
         best = now
-    ends = [(s + (model[a, b, 0] if text else 0), text) for (a, b), (s, text) in best.items()]
-    return max(ends)[1]
+    path = max((score + (model[a][b][0] if b else 0), i, path) for i, ((a, b), (score, path)) in enumerate(best.items()))[2]
+    out = []
+    while path:
+        path, x = path
+        out.append(x)
+    return "".join(reversed(out))
 
 
 # Single letters set apart by one sign each.
 _LOOSE = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,2}){3,30}[^\W_](?!\S)")
-_EDGE = ".,;:!?\"'()[]{}<>"
-_LETTER = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
-_SIGNS = np.array([c < 128 and (chr(c).isdigit() or chr(c) in "@$!|+*#%") or c in (0xAC, 0xA3, 0xA1) for c in range(256)])
-_GAP = np.array([chr(c) in " .-_*\n" for c in range(256)])
+_BEFORE, _AFTER = ".,;:?\"'()[]{}<>", ".,;:?\"'()[]{}<>!"
+# Kinds of code points; those from 0x10000 on count as letters.
+_LETTER = np.array([chr(c).isalpha() for c in range(0x10000)] + [True])
+_SIGNS = np.array([chr(c) in "0123456789@$!|+*#%€£¡" for c in range(0x10001)])
+_WEAK = _SIGNS | np.array([chr(c) in "._-(<" for c in range(0x10001)])  # signs if letters are on both sides
+_SPACE = np.array([c < 256 and chr(c).encode("latin-1") in bw.SPACES for c in range(0x10001)])
+_GAP = np.array([chr(c) in " .-_*\n" for c in range(0x10001)])
+
+
+def _words(span: str, model, breaks) -> str:
+    """The different words restored from ``span``, decoded at each of the costs ``breaks``."""
+    found = dict.fromkeys(w for c in breaks for w in decode(span, model, c).split(" "))
+    return " ".join(w for w in found if len(w) > 2)
 
 
-def _restore(span: str, model: np.ndarray, cache: dict) -> str:
+def _restore(span: str, model, cache: dict) -> str:
+    """Words of an odd run, as one word and with its signs as breaks; with and without a last ``!``."""
     got = cache.get(span)
     if got is None:
         if len(cache) > 50_000:
             for key in [k for k in cache if isinstance(k, str)]:
                 del cache[key]
-        got = cache[span] = decode(span, model)
+        spans = dict.fromkeys((span.lstrip(_BEFORE).rstrip(_AFTER), span.strip(_BEFORE)))
+        got = " ".join(_words(x, model, (None,) if x.isalnum() else (None, 0.0)) for x in spans if len(x) > 2)
+        if len(span) <= 200:
+            cache[span] = got
     return got
 
 
 def restored(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: dict) -> tuple[list[int], list[str]]:
-    """(text, word): what the odd spans of some texts stand for.
+    """(text, words): what the odd spans of some texts stand for.
 
-    Odd are words with a sign or digit before a letter or a letter three times running, and runs of single letters.
+    Odd are runs without white space that have a sign or digit next to a letter, a point, dash or bracket between letters, or a
+    letter three times running, however long; and runs of single letters.
     """
     owner: list[int] = []
     words: list[str] = []
     if len(data) < 3:
         return owner, words
-    letter = _LETTER[data]
-    odd = np.zeros(len(data), bool)
-    odd[1:] = letter[1:] & _SIGNS[data[:-1]]
-    odd[2:] |= (data[2:] < 128) & letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
+    if ("cube",) not in cache:
+        cache["cube",] = model.tolist()
+    cube, raw, cuts = cache["cube",], data.tobytes(), offsets.tolist()
+    texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+    joined = "\n" + "\n".join(texts) + "\n"
+    first = 1 + np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])  # of each text in joined
+    cp = np.minimum(np.frombuffer(joined.encode("utf-32-le"), np.uint32), 0x10000)
+    letter, sign, weak, space = _LETTER[cp], _SIGNS[cp], _WEAK[cp], _SPACE[cp]
+    before = np.maximum.accumulate(np.where(weak, 0, np.arange(len(cp))))  # the last character that is no sign
+    odd = np.zeros(len(cp), bool)
+    odd[1:] = letter[1:] & (sign[:-1] | weak[:-1] & letter[before[:-1]]) | sign[1:] & letter[:-1]
+    odd[2:] |= letter[2:] & (cp[2:] == cp[1:-1]) & (cp[1:-1] == cp[:-2])
     at = np.flatnonzero(odd)
-    raw = data.tobytes()
     if len(at):
-        cuts = np.concatenate([[-1], np.flatnonzero(bw.SPACE_TABLE[data]), [len(data)]])
-        k, text = np.searchsorted(cuts, at), np.searchsorted(offsets, at, "right") - 1
-        begin, first = np.unique(np.maximum(cuts[k - 1] + 1, offsets[text]), return_index=True)
-        k, text = k[first], text[first]
-        end = np.minimum(cuts[k], offsets[text + 1])
-        fine = np.flatnonzero(end - begin <= 40)  # longer runs are not words
-        for b, e, t in zip(begin[fine].tolist(), end[fine].tolist(), text[fine].tolist()):
-            span = raw[b:e].decode("utf-8", "replace").strip(_EDGE)
-            if len(span) > 2:
+        cuts = np.flatnonzero(space)
+        k = np.unique(np.searchsorted(cuts, at))
+        begin, end = cuts[k - 1] + 1, cuts[k]
+        for b, e, t in zip(begin.tolist(), end.tolist(), (np.searchsorted(first, begin, "right") - 1).tolist()):
+            got = _restore(joined[b:e], cube, cache)
+            if got:
                 owner.append(t)
-                words.append(_restore(span, model, cache))
-    single = np.zeros(len(data), bool)
-    gap = _GAP[data]
+                words.append(got)
+    single = np.zeros(len(cp), bool)
+    gap = _GAP[cp]
     single[1:-1] = gap[:-2] & letter[1:-1] & gap[2:]
-    loose = np.flatnonzero(single[:-4] & single[2:-2] & single[4:]) if len(data) > 4 else at[:0]
-    for t in np.unique(np.searchsorted(offsets, loose, "right") - 1).tolist():
-        for m in _LOOSE.finditer(raw[offsets[t]:offsets[t + 1]].decode("utf-8", "replace")):
+    loose = np.flatnonzero(single[:-4] & single[2:-2] & single[4:]) if len(cp) > 4 else at[:0]
+    for t in np.unique(np.searchsorted(first, loose, "right") - 1).tolist():
+        for m in _LOOSE.finditer(texts[t]):
             owner.append(t)
-            words.append(_restore(m.group(), model, cache))
+            words.append(decode(m.group(), cube))
     return owner, words
 
 

@@ -34,6 +34,21 @@ def test_decoding(characters, hidden, meant):
     assert toxicity.decode(hidden, characters) == meant
 
 
+def _restored(characters, *texts):
+    data, offsets = toxicity.bw.string_buffers(toxicity.pa.array(texts, toxicity.pa.string()))
+    out = [set() for _ in texts]
+    for t, words in zip(*toxicity.restored(data, offsets, characters, {})):
+        out[t].update(words.split())
+    return out
+
+
+@pytest.mark.parametrize("text,meant", [("an id.iot here", "idiot"), ("stu-pid", "stupid"), ("s_tupid", "stupid"), ("i-d-i-o-t!", "idiot"), ("so i.d.i.o.t.", "idiot"),
+                                        ("stu(pid", "stupid"), ("an idio+", "idiot"), ("id" + "i" * 60 + "ot", "idiot"), ("M" + "ö" * 30 + "ron", "moron"),
+                                        ("http://a.example/" + "river/" * 20 + "m0r0n", "moron"), ("stupid,m0r0n", "moron")])
+def test_odd_runs(characters, text, meant):
+    assert meant in _restored(characters, "the river", None, text)[2], _restored(characters, text)
+
+
 def test_trigram_counts(spark):
     cube = toxicity.character_model(spark.createDataFrame([("ab ab",), (None,), ("",)], "text string"))
     assert np.allclose(np.exp(cube).sum(axis=2), 1)
