@@ -133,15 +133,18 @@ def decode(word: str, model, breaks: float | None = None) -> str:
     return "".join(reversed(out))
 
 
-# Single letters set apart by one sign each.
-_LOOSE = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,2}){3,30}[^\W_](?!\S)")
+# Single letters set apart by signs, with no letter or apostrophe next to them.
+_SINGLE = r"(?:[^\W_]|[@$!|+#%€£¡])"
+_LOOSE = re.compile(rf"(?<![^\W_])(?<!['’]){_SINGLE}(?:[ \t.\-_*]{{1,3}}{_SINGLE}){{2,}}(?![^\W_])")
+_APART = re.compile(r"[ \t.\-_*]+")
+_BREAKS = (None, -1.5, 0.0, 2.0)  # a trigram model alone can't tell where words end: several costs of a break
 _BEFORE, _AFTER = ".,;:?\"'()[]{}<>", ".,;:?\"'()[]{}<>!"
 # Kinds of code points; those from 0x10000 on count as letters.
 _LETTER = np.array([chr(c).isalpha() for c in range(0x10000)] + [True])
 _SIGNS = np.array([chr(c) in "0123456789@$!|+*#%€£¡" for c in range(0x10001)])
 _WEAK = _SIGNS | np.array([chr(c) in "._-(<" for c in range(0x10001)])  # signs if letters are on both sides
 _SPACE = np.array([c < 256 and chr(c).encode("latin-1") in bw.SPACES for c in range(0x10001)])
-_GAP = np.array([chr(c) in " .-_*\n" for c in range(0x10001)])
+_ALNUM = np.array([chr(c).isalnum() for c in range(0x10000)] + [True])
 
 
 def _words(span: str, model, breaks) -> str:
@@ -164,6 +167,17 @@ def _restore(span: str, model, cache: dict) -> str:
     return got
 
 
+def _join(span: str, model) -> str:
+    """Words of a run of single letters; gaps that are wider than its narrowest also end words."""
+    gaps = _APART.findall(span)
+    least = min(map(len, gaps))
+    found = [_words(span, model, _BREAKS)]
+    if max(map(len, gaps)) > least:
+        wide = re.compile(rf"[ \t.\-_*]{{{least + 1},}}")
+        found += [_words(x, model, (None,)) for x in wide.split(span) if len(x) > 2]
+    return " ".join(dict.fromkeys(w for f in found for w in f.split()))
+
+
 def restored(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: dict) -> tuple[list[int], list[str]]:
     """(text, words): what the odd spans of some texts stand for.
 
@@ -196,14 +210,18 @@ def restored(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, cache: di
             if got:
                 owner.append(t)
                 words.append(got)
-    single = np.zeros(len(cp), bool)
-    gap = _GAP[cp]
-    single[1:-1] = gap[:-2] & letter[1:-1] & gap[2:]
-    loose = np.flatnonzero(single[:-4] & single[2:-2] & single[4:]) if len(cp) > 4 else at[:0]
+    alone = _ALNUM[cp]
+    lone = np.zeros(len(cp), bool)
+    lone[1:-1] = (alone | sign)[1:-1] & ~alone[:-2] & ~alone[2:]
+    at = np.flatnonzero(lone)
+    near = np.diff(at) <= 4
+    loose = at[:-2][near[:-1] & near[1:] & (letter[at[:-2]] | letter[at[1:-1]] | letter[at[2:]])] if len(at) > 2 else at[:0]
     for t in np.unique(np.searchsorted(first, loose, "right") - 1).tolist():
         for m in _LOOSE.finditer(texts[t]):
-            owner.append(t)
-            words.append(decode(m.group(), cube))
+            got = _join(m.group(), cube) if any(c.isalpha() for c in m.group()) else ""
+            if got:
+                owner.append(t)
+                words.append(got)
     return owner, words
 
 

@@ -49,6 +49,13 @@ def test_odd_runs(characters, text, meant):
     assert meant in _restored(characters, "the river", None, text)[2], _restored(characters, text)
 
 
+@pytest.mark.parametrize("text,meant", [("you i d i o t.", "idiot"), ("(i d i o t", "idiot"), ("m.o.r.o.n.", "moron"), ("m-o-r-o-n!", "moron"), ("such a s t u p i d", "stupid"),
+                                        ("y o u i d i o t", "idiot"), ("y o u   i d i o t, yes", "idiot"), ("a n d", "and"), ("a - n - d", "and"),
+                                        (" ".join("an" + "and" * 20 + "moron"), "moron"), ("I D 1 0 T", "idiot")])
+def test_loose_runs(characters, text, meant):
+    assert meant in _restored(characters, "a", text)[1], _restored(characters, text)
+
+
 def test_trigram_counts(spark):
     cube = toxicity.character_model(spark.createDataFrame([("ab ab",), (None,), ("",)], "text string"))
     assert np.allclose(np.exp(cube).sum(axis=2), 1)
