@@ -7,11 +7,16 @@ next ones; windows run on across partitions.  A task hands on only links that jo
 a crowd of near copies makes as many rows as it has members, and the links of all passes are
 united into components.
 
+Vectors that crowd a part of the space stand further apart than a window.  So runs of keys with a common
+beginning that outgrow the window are compared whole: cut into blocks, each pair of blocks one matrix
+product.  Besides, the ``HUBS`` vectors with most links are compared with all others, which finds the
+members of a crowd that only its centre holds together.
+
 All links of a vector lie within its component, so these are then counted exactly there: components
 are cut into blocks and every pair of blocks is one matrix product.  No pairs are written.
 
 The number of passes follows from the number of vectors: a pair right at the threshold is missed by
-all passes in ``MISS`` of cases at most if the vectors spread evenly, closer pairs much more rarely.
+all passes in ``MISS`` of cases at most, however the vectors spread, closer pairs much more rarely.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do vectors
 of different lengths.  A null id has a null component and is kept; rows that repeat an id share one.
@@ -39,6 +44,8 @@ WINDOW = 64
 MISS = 0.005
 ROWS = 20_000  # of a pass's rows a task sorts
 BLOCK = 512
+RUN_BLOCK = 2048
+HUBS = 256
 
 
 def passes(n: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
@@ -48,6 +55,11 @@ def passes(n: int, threshold: float, window: int = WINDOW, miss: float = MISS) -
     return max(4, math.ceil(math.log(miss) / math.log(max(1e-9, 1 - min(found, 0.999)))))
 
 
+def prefix_bits(n: int, window: int = WINDOW) -> int:
+    """Bits after which a run of keys fits the window if the vectors spread evenly; what ``passes`` counts on."""
+    return min(BITS, max(0, math.floor(math.log2(max(1, n) / window))))
+
+
 def _class_rows(single: bool):
     """(vec_id, dims, h1, h2, vec): raw bytes of each usable vector and a hash of its direction."""
     kind = np.float32 if single else np.float64
@@ -161,6 +173,78 @@ def _edge_links(kind, threshold: float):
     return run
 
 
+def _forest(near: np.ndarray):
+    """Links of a symmetric boolean matrix that join its components."""
+    unseen = np.ones(len(near), bool)
+    for root in range(len(near)):
+        todo = [root] if unseen[root] else []
+        unseen[root] = False
+        while todo:
+            v = todo.pop()
+            new = np.flatnonzero(near[v] & unseen)
+            unseen[new] = False
+            todo += new.tolist()
+            yield from ((v, w) for w in new.tolist())
+
+
+def _run_links(kind, threshold: float):
+    """Links that join sets, of runs of (pass, dims, prefix, i, j): the rows of block i with those of block j."""
+
+    def links(run):
+        x = unit(matrix([r[2] for r in run], run[0][0][1], kind))
+        second = np.array([r[1] for r in run], bool)
+        if run[0][0][3] == run[0][0][4]:
+            near = x @ x.T >= threshold
+        else:
+            near = np.zeros((len(x), len(x)), bool)
+            near[np.ix_(~second, second)] = x[~second] @ x[second].T >= threshold
+            near |= near.T
+        return [(run[v][3], run[w][3]) for v, w in _forest(near)]
+
+    def run(batches):
+        held, sets = [], _Sets()
+
+        def done(rows):
+            got = [l for l in links(rows) if sets.join(*l)] if rows else []
+            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("pass", "dims", "prefix", "i", "j")))
+            for key, second, vec, rep in zip(keys, *(batch.column(c).to_pylist() for c in ("second", "vec", "rep"))):
+                if held and held[0][0] != key:
+                    yield done(held)
+                    held = []
+                held.append((key, second, vec, rep))
+        yield done(held)
+
+    return run
+
+
+def _hub_links(hubs: dict[int, tuple[np.ndarray, np.ndarray]], kind, threshold: float):
+    """Links of the vectors with the hubs (ids, unit vectors) of their length, one a vector; hubs that share a vector are joined as well."""
+
+    def run(batches):
+        sets = _Sets()
+        for batch in batches:
+            dims, reps = batch.column("dims").to_numpy(), batch.column("rep").to_numpy()
+            out = []
+            for d, (ids, h) in hubs.items():
+                own = np.flatnonzero(dims == d)
+                if not len(own):
+                    continue
+                near = unit(matrix(batch.column("vec").take(pa.array(own)), d, kind)) @ h.T >= threshold
+                near |= reps[own][:, None] == ids[None, :]
+                hit = np.flatnonzero(near.any(axis=1))
+                first = near[hit].argmax(axis=1)
+                both = np.zeros((len(ids), len(ids)), bool)
+                np.logical_or.at(both, first, near[hit])
+                out += [*zip(ids[first].tolist(), reps[own][hit].tolist()), *((int(ids[a]), int(ids[b])) for a, b in np.argwhere(both))]
+            out = [l for l in out if l[0] != l[1] and sets.join(*l)]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in out], pa.int64()), pa.array([g[1] for g in out], pa.int64())], ["a", "b"])
+
+    return run
+
+
 def _count_rows(kind, threshold: float):
     """Runs of (component, i, j): links of the rows of block i with those of block j."""
 
@@ -213,7 +297,24 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     found = cut_lineage(keyed.repartitionByRange(max(1, n * n_passes // ROWS), *order).sortWithinPartitions(*order).mapInArrow(
         _window_rows(kind, threshold), _OUT))
     across = found.where("edge is not null").groupBy("edge").applyInPandas(_edge_links(kind, threshold), "a long, b long")
-    comp = components(found.where("a is not null").select("a", "b").union(across))
+    # runs of a common prefix that outgrow the window
+    place = ["pass", "dims", "prefix"]
+    keyed = keyed.withColumn("prefix", F.shiftright("key", BITS - prefix_bits(n))).drop("key")
+    long = keyed.groupBy(*place).count().where(F.col("count") > WINDOW + 1).select(*place, F.ceil(F.col("count") / RUN_BLOCK).cast("int").alias("blocks"))
+    part = keyed.join(cut_lineage(long), place).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    part = part.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        *place, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("second"), "rep", "vec")
+    block = [*place, "i", "j"]
+    whole = part.repartition(*block).sortWithinPartitions(*block).mapInArrow(_run_links(kind, threshold), "a long, b long")
+    links = cut_lineage(found.where("a is not null").select("a", "b").union(across).union(whole))
+    # vectors that hold a crowd together
+    most = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").count().where("count > 2").orderBy(F.desc("count"), "rep").limit(HUBS)
+    hubs: dict = {}
+    for r in heads.join(F.broadcast(most), "rep").select("rep", "dims", "vec").collect():  # HUBS rows at most
+        hubs.setdefault(r["dims"], []).append((r["rep"], bytes(r["vec"])))
+    hubs = {d: (np.array([i for i, _ in x]), unit(matrix([v for _, v in x], d, kind))) for d, x in hubs.items()}
+    centred = heads.select("dims", "rep", "vec").mapInArrow(_hub_links(hubs, kind, threshold), "a long, b long")
+    comp = components(links.union(centred))
     # exact number of links within the components
     member = heads.join(comp, F.col("rep") == F.col("node")).drop("node")
     sizes = member.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))

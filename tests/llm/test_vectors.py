@@ -52,6 +52,24 @@ def test_windows_run_on_across_partitions(spark, monkeypatch):
     test_near_vectors(spark, "float")
 
 
+@pytest.mark.parametrize("hubs", [0, 256])
+def test_star_wider_than_the_window(spark, monkeypatch, hubs):
+    monkeypatch.setattr(projection, "HUBS", hubs)
+    monkeypatch.setattr(projection, "RUN_BLOCK", 200)
+    monkeypatch.setattr(projection, "WINDOW", 4)
+    monkeypatch.setattr(projection.passes, "__defaults__", (4, projection.MISS))
+    monkeypatch.setattr(projection.prefix_bits, "__defaults__", (4,))
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(64)
+    side = rng.standard_normal((1500, 64))
+    side -= np.outer(side @ centre / (centre @ centre), centre)  # copies at 0.91 to the centre, 0.83 to one another
+    copies = 0.91 * centre / np.linalg.norm(centre) + np.sqrt(1 - 0.91**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.vstack([centre, copies, rng.standard_normal((1500, 64))])
+    got = {r["vec_id"]: r for r in projection.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    held = sum(got[i]["component_id"] == 0 for i in range(1501))
+    assert held >= (1501 if hubs else 1485) and got[0]["n_links"] == held - 1
+
+
 @pytest.mark.parametrize("kind", KINDS)
 def test_top_products(spark, kind, monkeypatch):
     monkeypatch.setattr(mtree, "SUBTREE", 64)
