@@ -166,3 +166,81 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decode(encode(read(spark, sf_dir, "documents"), pieces), pieces)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
                       F.col("decoded").eqNullSafe(F.translate("text", "▁", " ")).alias("round_trip"))
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS.format('text')} AS w FROM documents),
+f AS (SELECT doc_id, part, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM d),
+g AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN g USING (doc_id) GROUP BY part, fails),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT *, CAST(i AS INT) AS step, substr(filter_order, i, 1) AS x FROM o, range(1, 6) AS r(i)),
+m AS (SELECT *, list_min([strpos(filter_order, substr(fails, i, 1)) FOR i IN range(1, length(fails) + 1)]) AS gone FROM c, o),
+t AS (SELECT m.part, s.filter_order, s.step, s.x, sum(CASE WHEN coalesce(gone, 9) > s.step THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN gone = s.step THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN gone < s.step AND contains(fails, s.x) THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = s.x THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN gone = s.step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = s.step THEN toxic ELSE 0 END) AS toxic_lost
+      FROM m JOIN s USING (filter_order) GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM t
+"""
+
+
+@register("op11_filter_audit", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import filter_audit
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import align_tokenizers
+    return align_tokenizers(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def _ring_sql(shards: int = 8, vnodes: int = 128, ring: int = 1 << 16, sub: int = 16) -> str:
+    """The ring in rounds; CRC-32 from its polynomial (a fixed value), byte by byte."""
+    position = "CAST('0x' || substr({0}, 1, 4) AS BIGINT)"
+    sql = f"""
+WITH t AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT doc_id, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mark, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+      [CAST('0x' || h AS BIGINT) FOR h IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')] AS b FROM documents),
+e AS (SELECT doc_id, mark, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+      lambda a, x: xor(a >> 8, tab[CAST((xor(a, x) & 255) + 1 AS INTEGER)])), 4294967295) AS crc FROM d, t),
+k AS (SELECT {position.format("md5('shard-' || (i // " + str(vnodes) + ") || '-' || (i % " + str(vnodes) + "))")} AS pos, i // {vnodes} AS shard, i FROM range({shards * vnodes}) r(i)),
+nodes AS (SELECT row_number() OVER (ORDER BY pos, i) - 1 AS node, shard, pos FROM k),
+placed AS (SELECT e.*, {position.format('mark')} AS p, coalesce((SELECT min(node) FROM nodes WHERE pos >= {position.format('mark')}), 0) AS arc FROM e),
+r AS (SELECT *, row_number() OVER (PARTITION BY arc ORDER BY CASE WHEN p > (SELECT max(pos) FROM nodes) THEN p - {ring} ELSE p END,
+             crc % {sub}, mark, size, crc, doc_id) - 1 AS place FROM placed),
+cap AS (SELECT i AS shard, (SELECT count(*) FROM e) // {shards} + CASE WHEN i < (SELECT count(*) FROM e) % {shards} THEN 1 ELSE 0 END AS room FROM range({shards}) s(i)),
+w0 AS (SELECT doc_id, size, crc, arc, place, arc AS node FROM r),
+left0 AS (SELECT shard, room, room AS free FROM cap)"""
+    for i in range(shards):
+        sql += f""",
+q{i} AS (SELECT w.*, shard, row_number() OVER (PARTITION BY shard ORDER BY arc, place) AS nth FROM w{i} w JOIN nodes USING (node)),
+p{i} AS (SELECT q.*, free, room FROM q{i} q JOIN left{i} USING (shard)),
+left{i + 1} AS (SELECT shard, room, free - least(free, coalesce(n, 0)) AS free FROM left{i} LEFT JOIN (SELECT shard, count(*) AS n FROM q{i} GROUP BY shard) USING (shard)),
+open{i} AS (SELECT node FROM nodes JOIN left{i + 1} USING (shard) WHERE free > 0),
+w{i + 1} AS (SELECT doc_id, size, crc, arc, place, coalesce((SELECT min(o.node) FROM open{i} o WHERE o.node > p.node), (SELECT min(o.node) FROM open{i} o)) AS node
+       FROM p{i} p WHERE nth > free)"""
+    placed = " UNION ALL ".join(f"SELECT doc_id, size, crc, shard, room - free + nth - 1 AS slot FROM p{i} WHERE nth <= free" for i in range(shards))
+    return sql + f"""
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(slot AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard FROM ({placed})
+"""
+
+
+@register("op13_ring", _ring_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ring import shard_documents
+    out = shard_documents(read(spark, sf_dir, "documents"), shards=8, keep=["doc_id"])
+    return out.select("rest.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
