@@ -45,22 +45,22 @@ def rate(cond: Column) -> Column:
     return F.avg(F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def new_repeat(df: DataFrame, key: str, date: str, by: Sequence[str]) -> DataFrame:
-    """AGG-09 new vs repeat distinct customers per group.
-
-    first = min(date) over the *whole* fact per customer (computed as a
-    per-customer aggregate joined back, which shuffles by customer once instead
-    of a window that sorts each customer's rows); new = distinct customers whose
-    date equals first inside the cell; repeat = all - new.  Both distinct counts
-    come from one (cell, customer) aggregate -- "has a row on the first date" --
-    and a plain count per cell, not from two COUNT(DISTINCT) expansions.
+def new_repeat(df: DataFrame, key: str, date: str, by: Sequence[str], *measures: Column) -> DataFrame:
+    """AGG-09 new vs repeat distinct customers per group, in one pass over the rows.
+
+    Rows are summed up to one per (group, customer) with its first date there and the ``measures`` (sums
+    or counts, aliased); the customer's first date over the whole fact is a window over these rows, of
+    which a customer has at most one a group.  A customer is new in the groups that hold its first date;
+    repeat = all - new.  The measures are then summed per group.  Rows without a customer count in them alone.
     """
-    first = df.groupBy(key).agg(F.min(date).alias("_first"))
-    x = df.where(F.col(key).isNotNull()).select(*by, key, date).join(first, key)
-    per = x.groupBy(*by, key).agg(F.max((F.col(date) == F.col("_first")).cast("int")).alias("_new"))
-    g = per.groupBy(*by).agg(F.coalesce(F.sum("_new"), F.lit(0)).cast("bigint").alias("new_customers"),
-                             F.count(F.lit(1)).alias("_all"))
-    return g.withColumn("repeat_customers", F.col("_all") - F.col("new_customers")).drop("_all")
+    per = df.groupBy(*by, key).agg(F.min(date).alias("_d"), *measures)
+    names = [c for c in per.columns if c not in {*by, key, "_d"}]
+    per = per.withColumn("_first", F.min("_d").over(Window.partitionBy(key)))
+    own = F.col(key).isNotNull()
+    return per.groupBy(*by).agg(
+        F.count(F.when(own & (F.col("_d") == F.col("_first")), 1)).alias("new_customers"),
+        F.count(F.when(own & (F.col("_d") > F.col("_first")), 1)).alias("repeat_customers"),
+        *(F.sum(c).alias(c) for c in names))
 
 
 def summary(df: DataFrame, measures: dict[str, Column]) -> DataFrame:

@@ -1,27 +1,44 @@
 """Multi-series forecasting as set operations.
 
-All series are fitted in one distributed job: every statistic is a grouped
-aggregate keyed by the series, so a million series cost one shuffle each for
-the trend fit, the weekday effect and the residual spread - no per-series
-driver loop and no Python in the hot path.  A user-supplied per-series model
-goes through ``forecast_with`` (``groupBy().applyInPandas``).
+The daily series is written once (``daily_table``), so its source is read once whatever is fitted,
+scored or plotted afterwards.  Trend, weekday effects and residual spread of every series come from
+one grouped aggregate: sums of y, t*y and y*y by weekday are all that least squares needs, and days
+without a row add nothing to them, so the zero-filled series is never built for a fit.  What depends
+on the calendar alone (days, sum of t and of t*t by weekday) has a closed form.  All folds of a
+backtest are columns of the same aggregate.  A user-supplied per-series model goes through
+``forecast_with`` (``groupBy().applyInPandas``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import dow_sun0
+from ..session import shared_table_path
+from ..sources.io import materialize
+
+
+def daily_table(series: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
+    """The series (one row per key and day with a value) written to the shared folder and read back."""
+    return materialize(series.select(*keys, ts, y), shared_table_path(series.sparkSession, "daily_series"))
+
+
+def _bounds(series: DataFrame, ts: str) -> tuple[dt.date, dt.date]:
+    """First and last day of a written series (one row to the driver)."""
+    first, last = series.agg(F.to_date(F.min(ts)), F.to_date(F.max(ts))).first()
+    return (first, last) if first else (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
 
 
 def zero_fill(series: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
     """FC-01 one row per (series, day) between the global first and last day; missing = 0.
 
     Each series key row is expanded with ``explode(sequence(first, last))``; the
-    global bounds are one scalar subquery, so no calendar table is cross joined.
+    global bounds are one scalar subquery, so no calendar table is cross joined.  The series
+    is read for the bounds, the keys and the values: pass a written one (``daily_table``).
     """
     keys = list(keys)
     b = series.select(F.struct(F.min(ts).alias("s"), F.max(ts).alias("e"))).scalar()
@@ -31,62 +48,102 @@ def zero_fill(series: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFr
         .withColumn(y, F.coalesce(F.col(y), F.lit(0.0)))
 
 
-def _fit(train: DataFrame, keys: list[str], ts: str, y: str, origin) -> tuple[DataFrame, DataFrame]:
-    t = F.datediff(F.col(ts), origin)
-    x = train.withColumn("_t", t.cast("double"))
-    trend = x.groupBy(*keys).agg(F.regr_slope(y, "_t").alias("_b"), F.regr_intercept(y, "_t").alias("_a"),
-                                 F.max(ts).alias("_last"))
-    trend = trend.withColumns({"_b": F.coalesce("_b", F.lit(0.0)), "_a": F.coalesce("_a", F.lit(0.0))})
-    r = x.join(trend, keys).withColumn("_res", F.col(y) - (F.col("_a") + F.col("_b") * F.col("_t"))) \
-        .withColumn("_dow", dow_sun0(ts))
-    eff = r.groupBy(*keys, "_dow").agg(F.avg("_res").alias("_eff"))
-    sd = r.join(eff, keys + ["_dow"]).groupBy(*keys).agg(
-        F.coalesce(F.stddev_samp(F.col("_res") - F.col("_eff")), F.lit(0.0)).alias("_sd"))
-    return trend.join(sd, keys), eff
+def weekday_calendar(first: dt.date, last: dt.date) -> list[tuple[int, int, int]]:
+    """(days, sum of t, sum of t*t) of each weekday, Sunday first, from ``first`` to ``last``; t is 0 on ``first``.
+
+    A weekday's days are t0, t0 + 7, ..., so the sums are those of an arithmetic series and of its squares.
+    """
+    span, out = (last - first).days, []
+    for w in range(7):
+        t0 = (w - first.isoweekday()) % 7
+        n = (span - t0) // 7 + 1 if span >= t0 else 0
+        i, ii = n * (n - 1) // 2, (n - 1) * n * (2 * n - 1) // 6
+        out.append((n, n * t0 + 7 * i, n * t0 * t0 + 14 * t0 * i + 49 * ii))
+    return out
+
+
+def weekday_sums(series: DataFrame, keys: Sequence[str], ts: str, y: str, first: dt.date, cuts: Sequence[dt.date],
+                 *more: Column) -> DataFrame:
+    """One row per series: for each cut k and weekday w the sums ``_y``, ``_ty`` and ``_yy`` (suffix ``k_w``) up to the cut."""
+    t, v = F.datediff(ts, F.lit(first)).cast("double"), F.col(y).cast("double")
+    sums = []
+    for k, cut in enumerate(cuts):
+        for w in range(7):
+            own = (F.col(ts) <= F.lit(cut)) & (dow_sun0(ts) == w)
+            sums += [F.coalesce(F.sum(F.when(own, x)), F.lit(0.0)).alias(f"{name}{k}_{w}")
+                     for name, x in (("_y", v), ("_ty", t * v), ("_yy", v * v))]
+    return series.groupBy(*keys).agg(*sums, *more)
+
+
+def _fitted(k: int, first: dt.date, cut: dt.date) -> Column:
+    """struct(a, b, effect by weekday, sd) of the fit up to cut ``k`` from the columns of ``weekday_sums``.
+
+    y(t) = a + b t + effect(weekday): least squares in t, then the mean residual of each weekday;
+    sd is the sample standard deviation of what is left.  A one-day series has a = b = 0.
+    """
+    cal = weekday_calendar(first, cut)
+    n, st, stt = (sum(c[i] for c in cal) for i in range(3))
+    sy, sty = (sum((F.col(f"{name}{k}_{w}") for w in range(1, 7)), F.col(f"{name}{k}_0")) for name in ("_y", "_ty"))
+    var = n * stt - st * st
+    b = (n * sty - st * sy) / float(var) if var else F.lit(0.0)
+    fit = F.struct(((sy - b * st) / float(n) if var else F.lit(0.0)).alias("a"), b.alias("b"))
+
+    def rest(f: Column) -> Column:
+        a, b = f.getField("a"), f.getField("b")
+        effects, squares = [], F.lit(0.0)
+        for w, (m, mt, mtt) in enumerate(cal):
+            own = F.col(f"_y{k}_{w}"), F.col(f"_ty{k}_{w}"), F.col(f"_yy{k}_{w}")
+            e = (own[0] - a * m - b * mt) / float(m) if m else F.lit(0.0)
+            effects.append(e)
+            squares = squares + own[2] - 2 * a * own[0] - 2 * b * own[1] + a * a * m + 2 * a * b * mt + b * b * mtt - e * e * m
+        sd = F.sqrt(F.greatest(squares, F.lit(0.0)) / float(n - 1)) if n > 1 else F.lit(0.0)
+        return F.struct(a.alias("a"), b.alias("b"), F.array(*effects).alias("effect"), sd.alias("sd"))
+
+    return F.transform(F.array(fit), rest)[0]
+
+
+def _yhat(fit: str, ts: str, first: dt.date) -> Column:
+    return F.col(f"{fit}.a") + F.col(f"{fit}.b") * F.datediff(ts, F.lit(first)) + F.get(F.col(f"{fit}.effect"), dow_sun0(ts))
 
 
 def forecast(series: DataFrame, keys: Sequence[str], ts: str, y: str, h: int = 14, z: float = 1.96,
-             floor_zero: bool = True, origin: str | None = None) -> DataFrame:
-    """FC-03 trend x weekday regression per series with +-z*sd bounds, horizon h days.
+             floor_zero: bool = True) -> DataFrame:
+    """FC-03 trend x weekday regression per series with +-z*sd bounds, for the h days after the last one.
 
-    y(t) = a + b t + effect(weekday) ; sd = residual standard deviation after
-    the weekday effect.  ``origin`` fixes the day index 0 (default: global min).
+    Missing days between the first and the last day of all series count as 0.  ``series`` is read
+    twice (bounds, sums): pass a written one (``daily_table``).
     """
     keys = list(keys)
-    o = F.lit(origin).cast("date") if origin else series.agg(F.min(ts)).scalar()
-    params, eff = _fit(series, keys, ts, y, o)
-    fut = params.withColumn(ts, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", h))))
-    fut = fut.withColumn("_dow", dow_sun0(ts)).join(eff, keys + ["_dow"], "left")
-    t = F.datediff(F.col(ts), o).cast("double")
-    yhat = F.col("_a") + F.col("_b") * t + F.coalesce(F.col("_eff"), F.lit(0.0))
-    lo, hi = yhat - z * F.col("_sd"), yhat + z * F.col("_sd")
+    first, last = _bounds(series, ts)
+    fit = weekday_sums(series, keys, ts, y, first, [last]).select(*keys, _fitted(0, first, last).alias("_fit"))
+    days = F.sequence(F.lit(last + dt.timedelta(1)), F.lit(last + dt.timedelta(h)))
+    fut = fit.withColumn(ts, F.explode(days)).withColumn("_yhat", _yhat("_fit", ts, first))
+    out = [F.col("_yhat"), F.col("_yhat") - z * F.col("_fit.sd"), F.col("_yhat") + z * F.col("_fit.sd")]
     if floor_zero:
-        yhat, lo, hi = F.greatest(yhat, F.lit(0.0)), F.greatest(lo, F.lit(0.0)), F.greatest(hi, F.lit(0.0))
-    return fut.select(*keys, ts, yhat.alias("forecast"), lo.alias("lower_bound"), hi.alias("upper_bound"))
+        out = [F.greatest(c, F.lit(0.0)) for c in out]
+    return fut.select(*keys, ts, *(c.alias(n) for c, n in zip(out, ("forecast", "lower_bound", "upper_bound"))))
 
 
 def backtest(series: DataFrame, keys: Sequence[str], ts: str, y: str, h: int = 7, folds: int = 3) -> DataFrame:
     """FC-05 rolling-origin evaluation: for fold f the cut is last_day - f*h; fit on days
     up to the cut, score the next h days; MAE / RMSE / MAPE per series over all folds.
 
-    The fold id is a column, so all folds of all series fit in the same grouped jobs.
+    Every fold's sums and the scored days' values (at most folds*h a series) come from one grouped
+    aggregate.  Folds that leave no day to fit on aren't scored.  ``series`` is read twice, as in ``forecast``.
     """
     keys = list(keys)
-    b = series.select(F.struct(F.max(ts).alias("e"), F.min(ts).alias("o"))).scalar()
-    x = series.withColumns({"_end": b.getField("e"), "_origin": b.getField("o")}) \
-        .withColumn("_fold", F.explode(F.sequence(F.lit(1), F.lit(folds))))
-    x = x.withColumn("_cut", F.date_sub("_end", F.col("_fold") * h))
-    train = x.where(F.col(ts) <= F.col("_cut"))
-    test = x.where((F.col(ts) > F.col("_cut")) & (F.col(ts) <= F.date_add("_cut", h)))
-    fk = keys + ["_fold"]
-    params, eff = _fit(train, fk, ts, y, F.col("_origin"))
-    p = test.join(params, fk).withColumn("_dow", dow_sun0(ts)).join(eff, fk + ["_dow"], "left")
-    t = F.datediff(F.col(ts), F.col("_origin")).cast("double")
-    yhat = F.greatest(F.col("_a") + F.col("_b") * t + F.coalesce(F.col("_eff"), F.lit(0.0)), F.lit(0.0))
-    err = p.withColumn("_err", yhat - F.col(y))
-    return err.groupBy(*keys).agg(
+    first, last = _bounds(series, ts)
+    cuts = [c for c in (last - dt.timedelta(h * f) for f in range(1, folds + 1)) if c >= first]
+    actual = F.collect_list(F.when(F.col(ts) > F.lit(last - dt.timedelta(h * folds)), F.struct(F.to_date(ts).alias("d"), F.col(y).cast("double").alias("v"))))
+    fit = weekday_sums(series, keys, ts, y, first, cuts, actual.alias("_actual"))
+    fits = F.array(*(F.struct(F.lit(c).alias("cut"), _fitted(k, first, c).alias("fit")) for k, c in enumerate(cuts)))
+    x = fit.select(*keys, F.map_from_entries("_actual").alias("_actual"), F.explode(fits).alias("_f"))
+    x = x.select(*keys, "_actual", F.col("_f.fit").alias("_fit"), F.explode(F.sequence(F.date_add("_f.cut", 1), F.date_add("_f.cut", h))).alias(ts))
+    x = x.withColumn("_y", F.coalesce(F.try_element_at("_actual", F.col(ts)), F.lit(0.0)))
+    x = x.withColumn("_err", F.greatest(_yhat("_fit", ts, first), F.lit(0.0)) - F.col("_y"))
+    return x.groupBy(*keys).agg(
         F.avg(F.abs("_err")).alias("mae"), F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
-        F.avg(F.try_divide(F.abs("_err"), F.nullif(F.col(y), F.lit(0.0)))).alias("mape"),
+        F.avg(F.try_divide(F.abs("_err"), F.nullif(F.col("_y"), F.lit(0.0)))).alias("mape"),
         F.count(F.lit(1)).alias("n_scored"))
 
 
@@ -101,11 +158,13 @@ def forecast_with(series: DataFrame, keys: Sequence[str], fn: Callable, schema:
 
 def seasonal_naive(series: DataFrame, keys: Sequence[str], ts: str, y: str, h: int = 14,
                    weeks: int = 4) -> DataFrame:
-    """FC-02 same weekday of the last ``weeks`` weeks, averaged, for the next h days."""
+    """FC-02 same weekday of the last ``weeks`` weeks, averaged, for the next h days; one aggregate."""
     keys = list(keys)
-    last = series.groupBy(*keys).agg(F.max(ts).alias("_last"))
-    x = series.join(last, keys).where(F.col(ts) > F.date_sub("_last", 7 * weeks))
-    prof = x.groupBy(*keys, dow_sun0(ts).alias("_dow")).agg(F.avg(y).alias("forecast"))
-    fut = last.withColumn(ts, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", h)))) \
-        .withColumn("_dow", dow_sun0(ts))
-    return fut.join(prof, keys + ["_dow"], "left").select(*keys, ts, F.coalesce("forecast", F.lit(0.0)).alias("forecast"))
+    first, last = _bounds(series, ts)
+    since = max(first, last - dt.timedelta(7 * weeks - 1))
+    recent = F.col(ts) >= F.lit(since)
+    means = [F.coalesce(F.sum(F.when(recent & (dow_sun0(ts) == w), F.col(y).cast("double"))), F.lit(0.0)) / float(max(n, 1))
+             for w, (n, _, _) in enumerate(weekday_calendar(since, last))]
+    prof = series.groupBy(*keys).agg(F.array(*means).alias("_mean"))
+    fut = prof.withColumn(ts, F.explode(F.sequence(F.lit(last + dt.timedelta(1)), F.lit(last + dt.timedelta(h)))))
+    return fut.select(*keys, ts, F.get("_mean", dow_sun0(ts)).alias("forecast"))

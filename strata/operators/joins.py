@@ -14,16 +14,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-# Literal relations at or under this many rows may be broadcast explicitly.
-LITERAL_BROADCAST_MAX_ROWS = 10_000
+# Literal relations hold this many rows at most: they are written out in code.
+LITERAL_MAX_ROWS = 10_000
 
 
 def broadcast_literal(df: DataFrame, n_rows: int) -> DataFrame:
     """Broadcast a relation whose row count is known up front (inline VALUES, 1-row aggs)."""
-    if n_rows > LITERAL_BROADCAST_MAX_ROWS:
-        return df
+    if n_rows > LITERAL_MAX_ROWS:
+        raise ValueError(f"{n_rows} rows aren't a literal relation: join them on a key or with range_join")
     return F.broadcast(df)
 
 
@@ -81,20 +82,40 @@ def tier_join(df: DataFrame, x: str, tiers: DataFrame, lo: str = "lower_bound",
     return df.join(t, (F.col(x) >= t[lo]) & (F.col(x) < t[hi]), "left")
 
 
-def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str,
-               width: float, how: str = "inner", key: str | None = None) -> DataFrame:
-    """JOIN-08 half-open range join for large interval tables: bin + equi join + residual.
+def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str, how: str = "inner",
+               key: str | None = None) -> DataFrame:
+    """JOIN-08 half-open range join lo <= x < hi for two large relations: all pairs, by a sorted sweep.
 
-    Each interval is exploded into the bins it overlaps (width chosen so an
-    interval spans few bins), each point gets one bin; the equi join on the bin
-    shuffles both sides by bin, and the residual predicate removes false
-    candidates.  ``how='left'`` re-attaches unmatched points by ``key``.
+    Quantile cut points of the points and interval ends together deal everything into slots: a cut point,
+    or what lies between two of them, with about as many points and ends in each slot whatever their
+    distribution or the intervals' lengths.  An interval is split at the cut points:
+
+    * slots that it covers whole match all their points without a look at the values: an equi join
+      on the slot, which AQE splits where a slot (a value that many points share) is hot.  An interval
+      has a row per covered slot, so a long one has at most 2 * SLOTS rows;
+    * in the slots of its two ends (if these aren't cut points) points and intervals are sorted and
+      swept: each interval's points are one run of the sorted points.  What a slot's sweep holds are the
+      ends in it, never the intervals that run through it.
+
+    Null or empty intervals and null points match nothing.  ``how='left'`` re-attaches unmatched points
+    by the unique ``key``.  x, lo and hi are numbers, dates or timestamps.
     """
-    iv = intervals.withColumn(
-        "_bin", F.explode(F.sequence(F.floor(F.col(lo) / width).cast("long"),
-                                     F.floor(F.col(hi) / width).cast("long"))))
-    pts = df.withColumn("_bin", F.floor(F.col(x) / width).cast("long"))
-    hit = pts.join(iv, "_bin").where((F.col(x) >= F.col(lo)) & (F.col(x) < F.col(hi))).drop("_bin")
+    from .windows import _slots, quantile_cuts, slot_of
+    iv = intervals.where(F.col(lo) < F.col(hi))
+    ends = df.select(F.col(x).alias("v")).union(iv.select(lo)).union(iv.select(hi))
+    cuts = quantile_cuts(ends, "v", _slots(df.sparkSession))
+    pts = df.where(F.col(x).isNotNull()).withColumn("_slot", slot_of(F.col(x), cuts))
+    iv = iv.withColumns({"_a": slot_of(F.col(lo), cuts), "_b": slot_of(F.col(hi), cuts)})
+    # whole slots: a cut point at lo belongs to the interval, one at hi doesn't
+    first = F.col("_a") + (F.col("_a") % 2 == 0).cast("int")
+    whole = iv.where(first < F.col("_b")).withColumn("_slot", F.explode(F.sequence(first, F.col("_b") - 1))).drop("_a", "_b")
+    hit = pts.join(whole, "_slot").drop("_slot")
+    part = iv.withColumn("_slot", F.explode(F.array_distinct(F.filter(F.array("_a", "_b"), lambda s: s % 2 == 0)))).drop("_a", "_b")
+    names = [*df.columns, *intervals.columns]
+    schema = T.StructType([*df.schema.fields, *intervals.schema.fields])
+    swept = pts.groupBy("_slot").cogroup(part.groupBy("_slot")).applyInArrow(
+        _sweep(df.columns, x, intervals.columns, lo, hi), schema)
+    hit = hit.select(*names).unionByName(swept)
     if how == "inner":
         return hit
     if key is None:
@@ -103,6 +124,24 @@ def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str,
     return hit.unionByName(miss, allowMissingColumns=True)
 
 
+def _sweep(point_cols: Sequence[str], x: str, interval_cols: Sequence[str], lo: str, hi: str):
+    """All pairs lo <= x < hi of one slot: points in order, each interval's matches one run of them."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(points: pa.Table, intervals: pa.Table) -> pa.Table:
+        points = points.select(list(point_cols)).sort_by(x)
+        at = points.column(x).to_numpy()
+        a, b = (np.searchsorted(at, intervals.column(c).cast(points.column(x).type).to_numpy()) for c in (lo, hi))
+        n = np.maximum(b - a, 0)
+        # positions a, a + 1, ..., b - 1 of every interval, one after the other
+        take = np.arange(n.sum()) + np.repeat(a - (np.cumsum(n) - n), n)
+        left, right = points.take(pa.array(take)), intervals.take(pa.array(np.repeat(np.arange(len(n)), n)))
+        return pa.Table.from_arrays([*left.columns, *(right.column(c) for c in interval_cols)], [*point_cols, *interval_cols])
+
+    return run
+
+
 def valid_join(ev: DataFrame, ent: DataFrame, key: str, date: str,
                start: str, end: str) -> DataFrame:
     """JOIN-09 equi join + event date BETWEEN entity validity dates."""

@@ -1,123 +1,145 @@
 """Batch keyword (BM25) and vector search.
 
-The reference runs a hosted search service; here a batch of queries is
-answered with joins and grouped aggregates over an inverted index built from
-the whole corpus: postings (doc, document length, term, tf), written once as a
-table in the shared folder and read by every pass; document frequencies and
-corpus statistics are aggregates of it.  Queries join on term, so each query
-touches only the postings of its essential terms.  Vector search is exact cosine,
-block of queries by part of the corpus.
+The reference runs a hosted search service; here a batch of queries is answered from an inverted index
+whose postings are kept in blocks of documents of about the same length, each with what bounds the
+weights in it.  A search reads the blocks of its terms once; a block whose bound can't reach the k-th
+best score of any query is skipped as a whole.  Vector search is exact cosine, block of queries by part
+of the corpus.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import round_half
-from ..session import cut_lineage, shared_table_path
+from ..session import shared_table_path
 from ..sources.io import materialize
-from .joins import scalar_struct
 from .text import tokens
 from .windows import top_k_per_salted
 
 K1, B = 1.2, 0.75
 
-
-def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
-    """Inverted index: postings (key, dl, term, tf).  The document length dl is the size of
-    the document's token array, carried through the grouping instead of joined back.  One
-    tokenisation of the whole texts; ``key`` is unique; documents without a token hold no
-    postings."""
-    toks = corpus.select(key, F.filter(tokens(col), lambda t: F.length(t) > 0).alias("_t")).where(F.size("_t") > 0)
-    return toks.select(key, F.size("_t").alias("dl"), F.explode("_t").alias("term")) \
-        .groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+# documents of a part of the index (what one task scores) and, of each length class of a part, blocks
+PART = 4096
+BLOCKS = 16
+# length classes an octave: documents of a block differ in length by a factor of 2 ** (1 / CLASSES) at most
+CLASSES = 2
+# scores are snapped to 1e-9; blocks are skipped only if their bound lies this far below the threshold
+_MARGIN = 1e-6
 
 
-def index_stats(index: DataFrame, key: str) -> DataFrame:
-    """Corpus statistics (n_docs, avgdl) of an inverted index as a 1-row frame."""
-    per_doc = index.groupBy(key).agg(F.max("dl").alias("dl"))
-    return per_doc.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-
+def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
+    """Block postings of a corpus, written to the shared folder: one row per (part, block, term).
 
-# rarest terms per query whose documents seed the score threshold of the pruning pass
-SEED_TERMS = 4
-# margin below the threshold: pruned documents score at least this much below it, so the
-# 1e-9 snapping of scores can never turn a pruned document into a tie
-_PRUNE_MARGIN = 1e-6
+    ``keys``, ``tfs`` and ``dls`` are the block's documents that hold the term, how often, and their
+    lengths; ``tf_max`` and ``dl_min`` bound the weight of any of them whatever the corpus' mean length
+    is.  ``tokens`` and ``heads`` (documents that begin with the term) add up to the corpus' tokens and
+    documents.  Texts are tokenised once and dealt by document, so counting, grouping and writing take
+    no further shuffle; ``key`` is unique; documents without a token hold no postings.
+    """
+    parts = max(1, -(-corpus.count() // PART))
+    toks = corpus.select(key, F.filter(tokens(col), lambda t: F.length(t) > 0).alias("_t")).where(F.size("_t") > 0)
+    dl = F.size("_t")
+    toks = toks.select(
+        F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"),
+        (F.floor(F.log2(dl) * CLASSES) * BLOCKS + F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS))).cast("int").alias("block"),
+        key, dl.alias("dl"), "_t").repartition("part")
+    one = toks.select("part", "block", key, "dl", F.posexplode("_t").alias("_i", "term")) \
+        .groupBy("part", "block", "term", key, "dl").agg(F.count(F.lit(1)).alias("tf"), F.min("_i").alias("_i"))
+    rows = one.groupBy("part", "block", "term").agg(
+        F.collect_list(F.struct(F.col(key).alias("k"), "tf", "dl")).alias("_p"), F.max("tf").alias("tf_max"), F.min("dl").alias("dl_min"),
+        F.sum("tf").alias("tokens"), F.sum((F.col("_i") == 0).cast("long")).alias("heads"))
+    rows = rows.select("part", "block", "term", "tf_max", "dl_min", "tokens", "heads",
+                       F.col("_p.k").alias("keys"), F.col("_p.tf").alias("tfs"), F.col("_p.dl").alias("dls"))
+    return materialize(rows, shared_table_path(corpus.sparkSession, "block_index"))
+
+
+def _weight(tf, dl, avgdl):
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
+
+
+def _score_part(qkey: str, key: str, avgdl: float, k: int):
+    """Top k documents of one part for one block of queries, best blocks first."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.assign(bound=pdf["idf"] * _weight(pdf["tf_max"], pdf["dl_min"], avgdl))
+        queries, flat = np.unique(np.concatenate(pdf["queries"].to_numpy()), return_inverse=True)
+        pdf["at"] = np.split(flat, np.cumsum(pdf["queries"].map(len))[:-1])
+        blocks = []
+        for _, g in pdf.groupby("block", sort=True):
+            most = np.zeros(len(queries))
+            for at, bound in zip(g["at"], g["bound"]):
+                most[at] += bound
+            blocks.append((most, g))
+        blocks.sort(key=lambda b: -b[0].max())
+        theta = np.zeros(len(queries))
+        best: list[list[tuple]] = [[] for _ in queries]
+        for most, g in blocks:
+            live = (most > 0) & (most >= theta - _MARGIN)
+            if not live.any():
+                continue
+            row_of = np.cumsum(live) - 1
+            docs, flat = np.unique(np.concatenate(g["keys"].to_numpy()), return_inverse=True)
+            score = np.zeros((int(live.sum()), len(docs)))
+            ends = np.cumsum(g["keys"].map(len))[:-1]
+            for at, idf, own, tf, dl in zip(g["at"], g["idf"], np.split(flat, ends), g["tfs"], g["dls"]):
+                at = at[live[at]]
+                if len(at):
+                    score[row_of[at][:, None], own] += idf * _weight(tf, dl, avgdl)
+            score = np.floor(score * 1e9 + 0.5) / 1e9
+            for q, line in zip(np.flatnonzero(live), score):
+                hits = np.flatnonzero((line > 0) & (line >= theta[q]))
+                if len(hits):
+                    best[q] = sorted(best[q] + [(-line[i], docs[i]) for i in hits])[:k]
+                    if len(best[q]) == k:
+                        theta[q] = -best[q][-1][0]
+        return pd.DataFrame([(queries[q], d, -s) for q, own in enumerate(best) for s, d in own], columns=[qkey, key, "score"])
+
+    return run
 
 
 def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey: str, qcol: str,
-                k: int = 8, where=None) -> DataFrame:
+                k: int = 8, where=None, index: DataFrame | None = None) -> DataFrame:
     """TXT-11 exact BM25 top-k documents per query (k1=1.2, b=0.75; distinct query terms;
-    ties by document key).  ``where`` filters the corpus first (attribute filters).
-
-    Joining every query term with its postings pairs each query with every document
-    sharing any word with it: a term such as "the" is one hot join key whose postings
-    cover the corpus.  The search therefore prunes exactly, in the manner of MaxScore:
-
-    1. weights: one BM25 term weight per posting of the written index; per term its document frequency and
-       maximum weight, so ``ub = idf * max weight`` bounds what the term can add;
-    2. seed: documents holding one of the query's SEED_TERMS rarest terms are scored
-       exactly; the k-th best seed score ``theta`` is a lower bound of the final k-th score;
-    3. essential terms: the query terms sorted by ``ub`` whose running sum of bounds
-       reaches ``theta``; a document holding only the other (common, low-bound) terms
-       scores below ``theta`` and cannot enter the top k, so only essential terms' postings
-       produce candidates (a query without k seed documents keeps all its terms);
-    4. the essential terms' postings give the candidates and part of their score; the
-       pruned terms are added by (document, term) lookups; then top-k per query.
-
-    The hot postings of common terms are read only through (document, term) equi-joins
-    for candidates, never expanded per query.
+    ties by document key).  ``where`` filters the corpus first (attribute filters); ``index`` is
+    what ``build_index`` made of the filtered corpus, if it is kept from an earlier search.
+
+    Queries are dealt to blocks of ``QUERY_BLOCK``.  The index rows of a block's terms are read once,
+    with the queries that hold the term and its idf beside them, and grouped by part: a task sums the
+    terms' weights for all documents of a part and all queries of a block.  It takes the part's blocks
+    in order of their bounds (the sum over a query's terms of idf times the largest weight in the
+    block) and keeps each query's k best so far, so a block whose bound lies below a query's k-th score
+    isn't scored for it, and a block that no query needs isn't touched.  What is left out scores less
+    than k documents of the same part, so the result is exact.  (Query, document) pairs are never
+    shuffled but for the k best of a part.
     """
     if where is not None:
         corpus = corpus.where(where)
-    # the inverted index is written once as a table in the shared folder and read by every pass;
-    # BM25 weights are derived from (tf, dl) when it is read
-    index = materialize(build_index(corpus, key, col), shared_table_path(corpus.sparkSession, "bm25_index"))
-    st = scalar_struct(index_stats(index, key))
-    tfn = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / st.getField("avgdl")))
-    w = index.select(key, "term", tfn.alias("w"))
-    terms = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("wmax"))
-    idf = F.log(1 + (st.getField("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    q = queries.select(qkey, F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
-    qt = cut_lineage(q.join(terms, "term").select(qkey, "term", "df", idf.alias("idf"),
-                                                  (idf * F.col("wmax")).alias("ub")))
-
-    order = [F.desc("score"), F.asc(key)]
-
-    def split_by(terms: DataFrame, flag) -> tuple[DataFrame, DataFrame]:
-        """(generating, looked-up) terms of each query as (query, term, idf) relations."""
-        x = terms.withColumn("_gen", flag)
-        g = x.where(F.col("_gen")).select(qkey, "term", "idf")
-        r = x.where(~F.col("_gen")).select(qkey, "term", "idf")
-        return g, r
-
-    def exact(gen: DataFrame, rest: DataFrame) -> DataFrame:
-        """Exact scores of the documents holding a ``gen`` term of their query: the postings of
-        ``gen`` give the candidates and their part of the score; the query's ``rest`` terms
-        are looked up per candidate by (document, term)."""
-        a = gen.join(w, "term").groupBy(qkey, key).agg(F.sum(F.col("idf") * F.col("w")).alias("_a"))
-        b = a.select(qkey, key).join(rest, qkey).join(w, [key, "term"]) \
-            .groupBy(qkey, key).agg(F.sum(F.col("idf") * F.col("w")).alias("_b"))
-        return a.join(b, [qkey, key], "left") \
-            .select(qkey, key, round_half(F.col("_a") + F.coalesce(F.col("_b"), F.lit(0.0)), 9).alias("score"))
-
-    rare = qt.withColumn("_r", F.row_number().over(Window.partitionBy(qkey).orderBy("df", "term")))
-    seed = top_k_per_salted(exact(*split_by(rare, F.col("_r") <= SEED_TERMS)), qkey, order, k, [key])
-    theta = seed.groupBy(qkey).agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_theta")) \
-        .where(F.col("_n") >= k).select(qkey, "_theta")
-    run = F.sum("ub").over(Window.partitionBy(qkey).orderBy("ub", "term")
-                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    flagged = qt.join(theta, qkey, "left").withColumn("_run", run)
-    essential = F.col("_theta").isNull() | (F.col("_run") >= F.col("_theta") - _PRUNE_MARGIN)
-    return top_k_per_salted(exact(*split_by(flagged, essential)), qkey, order, k, [key])
+    if index is None:
+        index = build_index(corpus, key, col)
+    n_tokens, n_docs = index.agg(F.sum("tokens"), F.sum("heads")).first()
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    df = index.groupBy("term").agg(F.sum(F.size("keys")).alias("df"))
+    q = queries.select(F.col(qkey).alias("_q"), F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
+    q = q.groupBy(F.pmod(F.xxhash64("_q"), F.lit(blocks)).alias("_block"), "term").agg(F.sort_array(F.collect_set("_q")).alias("queries"))
+    q = q.join(df, "term").select("_block", "term", "queries", F.log(1 + (F.lit(n_docs or 0) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    kq, kk = queries.schema[qkey].dataType.simpleString(), corpus.schema[key].dataType.simpleString()
+    found = index.drop("tokens", "heads").join(q, "term").groupBy("part", "_block").applyInPandas(
+        _score_part(qkey, key, (n_tokens or 0) / max(n_docs or 0, 1), k), f"{qkey} {kq}, {key} {kk}, score double")
+    return top_k_per_salted(found, qkey, [F.desc("score"), F.asc(key)], k, [key])
 
 
 # rows of a block of queries: what one task holds beside its Arrow batch of documents
 QUERY_BLOCK = 1024
+VECTOR_PART = 1 << 15
+
+
+def _has_direction(vec: str) -> Column:
+    """A finite square sum above 0: false for null and zero vectors and null or non-finite components."""
+    squares = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x)
+    return (squares > 0) & (squares < float("inf")) & ~F.isnan(squares)
 
 
 def vector_search(corpus: DataFrame, key: str, vec: str, queries: DataFrame, qkey: str, qvec: str,
@@ -127,15 +149,16 @@ def vector_search(corpus: DataFrame, key: str, vec: str, queries: DataFrame, qke
     Documents are dealt to parts and queries to blocks by a hash; every part meets every block
     once, as one product of two matrices of unit vectors, and hands on its k best documents per
     query.  No (query, document) rows are written: what is shuffled are the vectors, once per
-    block of queries or part of documents, and k rows per query and part.
+    block of queries or part of documents, and k rows per query and part.  A part holds about
+    ``VECTOR_PART`` documents.  Vectors that are null or zero or hold null or non-finite
+    components have no cosine: as documents they are never found, as queries they find nothing.
     """
-    spark = corpus.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    q = queries.select(F.col(qkey).alias("_q"), F.col(qvec).cast("array<double>").alias("_v"))
+    parts = max(1, -(-corpus.count() // VECTOR_PART))
+    q = queries.select(F.col(qkey).alias("_q"), F.col(qvec).cast("array<double>").alias("_v")).where(_has_direction("_v"))
     blocks = q.agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("b")).select(F.greatest("b", F.lit(1)).alias("b"))
     q = q.join(F.broadcast(blocks)).withColumn("_block", F.pmod(F.xxhash64("_q"), "b")).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select("_part", "_block", "_q", "_v")
-    d = corpus.select(F.col(key).alias("_k"), F.col(vec).cast("array<double>").alias("_v")).withColumn(
+    d = corpus.select(F.col(key).alias("_k"), F.col(vec).cast("array<double>").alias("_v")).where(_has_direction("_v")).withColumn(
         "_part", F.pmod(F.xxhash64("_k"), F.lit(parts)).cast("int"))
     d = d.join(F.broadcast(blocks)).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).select("_part", "_block", "_k", "_v")
     kq, kk = queries.schema[qkey].dataType.simpleString(), corpus.schema[key].dataType.simpleString()

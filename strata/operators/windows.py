@@ -9,9 +9,10 @@ number here is computed distributed:
   the partition), and add the number of rows in all earlier partitions.  The
   offsets table has one row per partition - a size bound known before the
   job runs - and is the only broadcast.
-* ``rank_distributed``: aggregate counts per distinct value first (partial
-  aggregation collapses a hot value before the shuffle), run the distributed
-  cumulative sum over the distinct values, and join back on the value.
+* ``rank_distributed``: quantile cut points of the ranked column deal the rows into slots (a value
+  that is a cut point, or lies between two of them); a slot's rank offset is the rows of all better
+  slots, a row at a cut point has that rank, and only rows between cut points are sorted, slot by slot.
+  A value that many rows share is a cut point, so it is never sorted or joined.
 """
 
 from __future__ import annotations
@@ -21,11 +22,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_table_path
+from ..sources.io import materialize
 
 _LOW33 = (1 << 33) - 1
 
 
+# slots that cut points make at most: beyond SLOTS shuffle partitions a slot gets longer (its sort spills)
+SLOTS = 512
+
+
+def _slots(spark) -> int:
+    return min(SLOTS, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def quantile_cuts(df: DataFrame, c: str, n: int) -> list:
+    """Distinct values, in order, that cut the non-null values of ``c`` into about ``n`` runs of equal length.
+    At most n - 1 values come to the driver, whatever the number of rows."""
+    got = df.agg(F.percentile_approx(c, [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else None
+    return sorted(set(got or []))
+
+
+def slot_of(v: Column, cuts: list) -> Column:
+    """2 * i between cut points i - 1 and i, 2 * i + 1 at cut point i, null for null: a binary search as nested CASEs."""
+    if not cuts:
+        return F.when(v.isNotNull(), F.lit(0))
+
+    def find(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        return F.when(v < cuts[mid], find(lo, mid)).when(v == cuts[mid], F.lit(2 * mid + 1)).otherwise(find(mid + 1, hi))
+
+    return F.when(v.isNotNull(), find(0, len(cuts)))
+
+
 def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
@@ -57,30 +88,32 @@ def row_number_distributed(df: DataFrame, order: Sequence, name: str = "rn",
 
 def rank_distributed(df: DataFrame, c: str, name: str = "rank", descending: bool = True,
                      with_total: str | None = None) -> DataFrame:
-    """WIN-09 RANK() OVER (ORDER BY c [DESC] NULLS LAST) computed distributed.
+    """WIN-09 RANK() OVER (ORDER BY c [DESC] NULLS LAST) computed distributed; ``c`` is a number, date or timestamp.
 
     rank(v) = 1 + number of rows with a strictly better value; nulls rank after all values.
+    The input runs once: its rows are written to the shared folder.  Cut points and slot counts read
+    column ``c`` of the written rows, the result reads them once more.  Ties carry over slots by
+    construction, as equal values are in one slot, and one that is larger than a slot is a cut point.
     """
-    vals = df.groupBy(c).agg(F.count(F.lit(1)).alias("_cnt"))
-    order = [F.col(c).desc_nulls_last()] if descending else [F.col(c).asc_nulls_last()]
-    # cumulative counts over distinct values via the distributed row-number recipe
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(vals.repartitionByRange(n, *order).sortWithinPartitions(*order))
-    part_tot = ranged.withColumn("_pid", F.spark_partition_id())
-    totals = part_tot.groupBy("_pid").agg(F.sum("_cnt").alias("_ptot"))
-    offsets = totals.select("_pid", F.coalesce(F.sum("_ptot").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    within = part_tot.withColumn(
-        "_before", F.sum("_cnt").over(Window.partitionBy("_pid").orderBy(*order)
-                                      .rowsBetween(Window.unboundedPreceding, -1)))
-    ranks = within.join(F.broadcast(offsets), "_pid").select(
-        c, (F.col("_off") + F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("bigint").alias(name))
-    # null-safe on both sides: a null value has a rank too
-    out = df.join(ranks.withColumnRenamed(c, "_v"), F.col(c).eqNullSafe(F.col("_v")), "left").drop("_v")
+    spark = df.sparkSession
+    rows = materialize(df, shared_table_path(spark, "rank_rows"))
+    cuts = quantile_cuts(rows.select(F.col(c).alias("v")), "v", _slots(spark))
+    slot = slot_of(F.col(c), cuts)
+    counts = rows.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per slot: at most 2 * SLOTS + 2, whatever the number of rows
+    order = F.col("_slot").desc_nulls_last() if descending else F.col("_slot").asc_nulls_last()
+    before = F.sum("_n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.coalesce("_slot", F.lit(-1)).alias("_slot"), F.coalesce(before, F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_rows"))
+    x = rows.withColumn("_slot", F.coalesce(slot, F.lit(-1))).join(F.broadcast(offsets), "_slot")
+    by = F.col(c).desc() if descending else F.col(c).asc()
+    between = x.where((F.col("_slot") >= 0) & (F.col("_slot") % 2 == 0)).withColumn(
+        "_r", F.rank().over(Window.partitionBy("_slot").orderBy(by)))
+    at = x.where((F.col("_slot") < 0) | (F.col("_slot") % 2 == 1)).withColumn("_r", F.lit(1))
+    out = between.unionByName(at).withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
     if with_total:
-        # the total comes from the checkpointed counts, not from a second run of the input lineage
-        out = out.withColumn(with_total, ranged.agg(F.sum("_cnt").cast("bigint")).scalar())
-    return out
+        out = out.withColumn(with_total, F.col("_rows").cast("bigint"))
+    return out.drop("_slot", "_off", "_rows", "_r")
 
 
 def rank_desc(df: DataFrame, c: str, name: str = "rank") -> DataFrame:

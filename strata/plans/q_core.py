@@ -10,6 +10,7 @@ from ..operators import aggs as A
 from ..operators import joins as J
 from ..operators import sets as S
 from ..operators import windows as W
+from ..session import shared_table_path
 from ..sources import io
 from .catalog import register
 from .roles import AS_OF_EVENTS as EV, AS_OF_ORDERS as ORD, R, Roles
@@ -79,6 +80,36 @@ def src_month_spine(spark, d):
 
 
 # ================================================================== projections / predicates
+@register("src_csv_ingest", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal, CAST(c_acctbal AS BIGINT) < 0 AS in_debt, 'csv' AS load_source, "
+          "DATE '2024-01-31' AS load_date FROM customer", dbl="c_acctbal")
+def src_csv_ingest(spark, d):
+    """SRC-02/03/10/11/14 CSV load: header skipped, quoted fields, empty fields null, a declared schema with
+    comments, default columns, staged once and read through a view."""
+    path = shared_table_path(spark, "csv")
+    T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("string")) \
+        .write.option("header", "true").option("quoteAll", "true").csv(path)
+    sch = io.schema([("c_custkey", "bigint"), ("c_name", "string"), ("c_mktsegment", "string"), ("c_acctbal", "double")],
+                    {"c_acctbal": "balance in dollars"})
+    rows = io.conform(io.read_csv(spark, path, sch), sch)
+    rows = io.stage(io.with_defaults(rows, {"load_source": "csv", "load_date": F.lit("2024-01-31").cast("date")}))
+    io.view("strata_loaded_customers", rows)
+    return spark.sql("SELECT c_custkey, c_name, c_mktsegment, c_acctbal, CAST(round(c_acctbal) AS BIGINT) < 0 AS in_debt, load_source, load_date "
+                     "FROM strata_loaded_customers")
+
+
+@register("src_retype_swap", "SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus FROM orders")
+def src_retype_swap(spark, d):
+    """SRC-15 type change of a catalog table's column with validation and a swap of names."""
+    import uuid
+    name, path = f"strata_retype_{uuid.uuid4().hex[:8]}", shared_table_path(spark, "retype")
+    T(spark, d, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey"), "o_orderstatus") \
+        .write.option("path", path).saveAsTable(name)
+    typed = shared_table_path(spark, "retyped")
+    io.retype_table(spark, name, "o_custkey", "bigint", typed)
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry: the files stay where they are
+    return spark.read.parquet(typed)
+
+
 @register("prj_bucket_ladder", "SELECT CASE WHEN l_quantity < 10 THEN 'S' WHEN l_quantity < 25 THEN 'M' "
           "WHEN l_quantity < 40 THEN 'L' ELSE 'XL' END AS qty_band, count(*) AS n, sum(l_extendedprice) AS revenue "
           "FROM lineitem GROUP BY 1", dbl="revenue")
@@ -306,11 +337,11 @@ def join_tier_range(spark, d):
 @register("join_range_binned", "SELECT s.s_suppkey, count(o.o_orderkey) AS orders_in_band FROM supplier s "
           "JOIN orders o ON o.o_totalprice >= s.s_acctbal * 50 AND o.o_totalprice < s.s_acctbal * 50 + 5000 GROUP BY 1")
 def join_range_binned(spark, d):
-    """JOIN-08 range join to a large interval table: bins + equi join + residual filter."""
+    """JOIN-08 range join to a large interval table: slots between quantile cut points, sorted sweep."""
     s = T(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") * 50).alias("lo"),
                                        (F.col("s_acctbal") * 50 + 5000).alias("hi"))
     o = T(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    x = J.range_join(o, "o_totalprice", s, "lo", "hi", width=5000.0)
+    x = J.range_join(o, "o_totalprice", s, "lo", "hi")
     return x.groupBy("s_suppkey").agg(F.count("o_orderkey").alias("orders_in_band"))
 
 
@@ -885,12 +916,10 @@ def _user_model_sql() -> str:
 @register("fc_forecast_with_user_model", _user_model_sql(), dbl="forecast")
 def fc_forecast_with_user_model(spark, d):
     """FC-04 / UDF-05 user-supplied per-series model (applyInPandas over the zero-filled series)."""
-    from ..marts import spa as SP
     from ..operators.forecast import zero_fill
     from ..operators.udf import apply_per_group, linear_trend_forecast
-    keys = ["location_city", "service_category"]
-    dd = SP.daily_demand(Roles(spark, d).appointments())
-    s = zero_fill(dd.select(*keys, "ts", F.col("appointment_count").alias("y")), keys, "ts", "y")
+    from .q_spa import KEYS as keys, _daily
+    s = zero_fill(_daily(spark, d), keys, "ts", "y")
     return apply_per_group(s, keys, linear_trend_forecast(14),
                            "ts date, forecast double, location_city string, service_category string")
 

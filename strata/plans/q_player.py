@@ -350,14 +350,17 @@ def q03_retention_rates(spark, d):
 @register("src_refresh_rankings_dag", f"WITH {R('game_events', 'ord_sessions')}, {_PPE_SQL}, {_PPU_SQL}, {_TIERS_SQL}, "
           f"{_RANK_SQL} SELECT * FROM ranks", dbl="total_points percentile")
 def src_refresh_rankings_dag(spark, d):
-    """SRC-05/06/13 dependency-ordered refresh: points per event -> points per user -> rankings,
-    each materialised (overwrite) in the shared folder before the next table reads it; points
-    per event is bucketed by user, so points per user aggregates it without a shuffle."""
-    from .refresh import refresh
+    """SRC-05/06/13 refresh of a chain of derived tables: points per event -> points per user -> rankings.
+    Stale tables are rebuilt (overwrite) after their inputs, fresh ones opened; points per event is bucketed
+    by user, so points per user aggregates it without a shuffle."""
+    import hashlib
+
+    from .refresh import Derived, refresh, refresh_root
     r = Roles(spark, d)
     graph = {
-        "points_per_event": ((), lambda i: P.points_per_event(r.game_events(), r.ord_sessions()), ["user_id"]),
-        "points_per_user": (("points_per_event",), lambda i: P.points_per_user(i["points_per_event"])),
-        "user_rankings": (("points_per_user",), lambda i: P.user_rankings(i["points_per_user"], P.tiers_frame(spark))),
+        "points_per_event": Derived(("lineitem", "orders"), lambda i: P.points_per_event(r.game_events(), r.ord_sessions()), ("user_id",)),
+        "points_per_user": Derived(("points_per_event",), lambda i: P.points_per_user(i["points_per_event"])),
+        "user_rankings": Derived(("points_per_user",), lambda i: P.user_rankings(i["points_per_user"], P.tiers_frame(spark))),
     }
-    return refresh(spark, graph)["user_rankings"]
+    root = refresh_root(spark, hashlib.sha256(d.encode()).hexdigest()[:12])
+    return refresh(spark, graph, {t: r.t(t) for t in ("lineitem", "orders")}, root).tables["user_rankings"]

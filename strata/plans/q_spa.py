@@ -52,14 +52,14 @@ _PROV_SQL = (
     "WHERE a.is_available GROUP BY 1, 2, 3)) GROUP BY 1, 2, 3)")
 
 
-def _series(spark, d):
-    appt = Roles(spark, d).appointments()
-    dd = S.daily_demand(appt)
-    return FC.zero_fill(dd.select(*KEYS, "ts", F.col("appointment_count").alias("y")), KEYS, "ts", "y")
+def _daily(spark, d):
+    """The demand series (days with a completed appointment), written once: events are read by that write alone."""
+    dd = S.daily_demand(Roles(spark, d).appointments())
+    return FC.daily_table(dd.select(*KEYS, "ts", F.col("appointment_count").alias("y")), KEYS, "ts", "y")
 
 
 def _forecast(spark, d):
-    return FC.forecast(_series(spark, d), KEYS, "ts", "y", h=14)
+    return FC.forecast(_daily(spark, d), KEYS, "ts", "y", h=14)
 
 
 def _recommend(spark, d, start, end):
@@ -87,7 +87,7 @@ def mart_daily_demand(spark, d):
 @register("fc_zero_fill", f"WITH {_SERIES_SQL} SELECT location_city, service_category, ts, y FROM zf", dbl="y")
 def fc_zero_fill(spark, d):
     """FC-01 zero-filled daily series per key (T15: the raw view has no zero rows)."""
-    return _series(spark, d)
+    return FC.zero_fill(_daily(spark, d), KEYS, "ts", "y")
 
 
 @register("fc_forecast", f"WITH {_SERIES_SQL}, {_FC_SQL} SELECT * FROM fc", dbl="forecast lower_bound upper_bound")
@@ -112,7 +112,7 @@ def q14_forecast_next_week(spark, d):
           "ON p.location_city = f.location_city AND p.service_category = f.service_category AND p.dow = dayofweek(f.ts)", dbl="forecast")
 def fc_seasonal_naive(spark, d):
     """FC-02 seasonal-naive forecast: mean of the same weekday over the last 4 weeks."""
-    return FC.seasonal_naive(_series(spark, d), KEYS, "ts", "y", h=14)
+    return FC.seasonal_naive(_daily(spark, d), KEYS, "ts", "y", h=14)
 
 
 _BT_SQL = (
@@ -131,14 +131,14 @@ _BT_SQL = (
 @register("fc_backtest", _BT_SQL + "SELECT * FROM bt", dbl="mae rmse mape")
 def fc_backtest(spark, d):
     """FC-05 rolling-origin backtest (3 folds x 7 days): MAE, RMSE, MAPE per series."""
-    return FC.backtest(_series(spark, d), KEYS, "ts", "y", h=7, folds=3)
+    return FC.backtest(_daily(spark, d), KEYS, "ts", "y", h=7, folds=3)
 
 
 @register("q25_largest_errors", _BT_SQL + "SELECT location_city, service_category, mae FROM bt ORDER BY mae DESC, location_city, service_category LIMIT 10",
           dbl="mae")
 def q25_largest_errors(spark, d):
     """Q-25 series with the largest backtest errors."""
-    b = FC.backtest(_series(spark, d), KEYS, "ts", "y", h=7, folds=3)
+    b = FC.backtest(_daily(spark, d), KEYS, "ts", "y", h=7, folds=3)
     return W.top_k(b.select(*KEYS, "mae"), [F.desc("mae"), F.asc("location_city"), F.asc("service_category")], 10)
 
 
@@ -147,8 +147,9 @@ def q25_largest_errors(spark, d):
           "WHERE location_city = 'Austin' AND service_category = 'purchase'", dbl="value")
 def q22_history_and_forecast(spark, d):
     """Q-22 / FC-06 plot data of one series: history and rounded forecast side by side."""
-    s = _series(spark, d).where((F.col("location_city") == "Austin") & (F.col("service_category") == "purchase"))
-    f = _forecast(spark, d).where((F.col("location_city") == "Austin") & (F.col("service_category") == "purchase"))
+    daily, one = _daily(spark, d), (F.col("location_city") == "Austin") & (F.col("service_category") == "purchase")
+    s = FC.zero_fill(daily, KEYS, "ts", "y").where(one)
+    f = FC.forecast(daily, KEYS, "ts", "y", h=14).where(one)
     return s.select("ts", F.col("y").alias("value"), F.lit("history").alias("kind")).unionByName(
         f.select("ts", F.round("forecast", 2).alias("value"), F.lit("forecast").alias("kind")))
 

@@ -9,7 +9,8 @@ from ..operators import govern as G
 from ..operators import search as SE
 from ..operators import text as TX
 from ..operators import windows as W
-from ..sources.io import scan
+from ..session import shared_table_path
+from ..sources.io import materialize, scan
 from .catalog import register
 from .roles import AS_OF_ORDERS as ORD, R, Roles
 
@@ -217,6 +218,22 @@ def txt_bm25_filtered(spark, d):
                           scan(spark, d, "benchmark"), "item_id", "text", k=8, where=F.col("lang") == "en")
 
 
+def _search_sql(table: str, text: str) -> str:
+    """The BM25 ranking of ``_BM25_SQL`` over another table."""
+    return _BM25_SQL.replace("unnest(" + sql_tokens("text") + ") AS term FROM documents", f"unnest({sql_tokens(text)}) AS term FROM {table}")
+
+
+@register("txt_corpus_search", f"WITH corpus AS ({_corpus_sql()}), calls_only AS (SELECT * FROM corpus WHERE doc_type = 'CALL'), "
+          f"{_search_sql('calls_only', 'content')} SELECT r.item_id, r.doc_id, c.call_reason, r.score, r.rank FROM ranked r "
+          "JOIN calls_only c USING (doc_id) WHERE rank <= 5", dbl="score")
+def txt_corpus_search(spark, d):
+    """TXT-10/11 search over the redacted corpus (calls with summary and promise, notes), filtered by its attributes:
+    the 5 calls nearest to every benchmark passage, with their reason."""
+    corpus = materialize(txt_search_corpus(spark, d), shared_table_path(spark, "search_corpus")).where(F.col("doc_type") == "CALL")
+    hits = SE.bm25_search(corpus, "doc_id", "content", scan(spark, d, "benchmark"), "item_id", "text", k=5)
+    return hits.join(corpus.select("doc_id", "call_reason"), "doc_id").select("item_id", "doc_id", "call_reason", "score", "rank")
+
+
 @register("txt_vector_search", "WITH c AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m FROM (SELECT label, unnest(embedding) AS v, "
           "generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2), cent AS (SELECT label AS query_label, list(m ORDER BY i) AS centroid "
           "FROM c GROUP BY 1), sc AS (SELECT cent.query_label, e.vec_id, list_dot_product(CAST(e.embedding AS DOUBLE[]), cent.centroid) / "

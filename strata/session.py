@@ -26,6 +26,7 @@ BASE_CONF = {
     # checkpoint files of RDDs no longer referenced are deleted from the shared folder
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

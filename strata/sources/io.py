@@ -56,9 +56,9 @@ def conform(df: DataFrame, sch: T.StructType) -> DataFrame:
 
 # ---------------------------------------------------------------- CSV ingest
 def read_csv(spark: SparkSession, path: str, sch: T.StructType, quote: str = '"') -> DataFrame:
-    """SRC-03: header skipped, optional quote enclosure, '' -> NULL, declared order."""
+    """SRC-03: header skipped, optional quote enclosure (a doubled quote stands for one), '' -> NULL, declared order."""
     return (spark.read.schema(sch)
-            .option("header", "true").option("quote", quote)
+            .option("header", "true").option("quote", quote).option("escape", quote)
             .option("nullValue", "").option("emptyValue", None)
             .option("mode", "PERMISSIVE").csv(path))
 
@@ -100,18 +100,27 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     return df.sparkSession.read.parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+def materialize_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
+                         name: str | None = None) -> DataFrame:
     """SRC-06 CTAS clustered for co-located reads: written bucketed and sorted by ``keys`` as an
-    external catalog table whose files live at ``path`` (the shared folder), then read back.
-    A later aggregation or join on ``keys`` with the same bucket count needs no shuffle."""
+    external catalog table whose files live at ``path``, then read back.  A later aggregation or join on
+    ``keys`` with the same bucket count needs no shuffle.  ``name`` is the table's (else a new one)."""
     import uuid
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"strata_{os.path.basename(path.rstrip('/'))}_{uuid.uuid4().hex[:8]}"
+    name = name or f"strata_{os.path.basename(path.rstrip('/'))}_{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
+def open_bucketed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int, name: str) -> DataFrame:
+    """The table that ``materialize_bucketed`` wrote, entered into the catalog again if this session's has no such name."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """SRC-10 staging table: reliable checkpoint in the shared checkpoint folder."""
     from ..session import cut_lineage
@@ -157,8 +166,39 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def retype(df: DataFrame, column: str, dtype: str) -> DataFrame:
-    """SRC-15 column type change (add typed column, replace)."""
-    return df.withColumn(column, F.col(column).cast(dtype))
+    """SRC-15 column type change (add typed column, replace); values that don't fit become null."""
+    return df.withColumn(column, F.col(column).try_cast(dtype))
+
+
+def retype_table(spark: SparkSession, table: str, column: str, dtype: str, path: str | None = None) -> None:
+    """SRC-15 change a catalog table's column type by swapping tables.
+
+    The new table is written beside the old one (at ``path``, or managed) and held against it: as many
+    rows, and as many values in the column.  Only then are the names swapped, and the old table is dropped
+    when the new one stands in its place.  Whatever fails before leaves the old table under its name.
+    """
+    import uuid
+    mark = uuid.uuid4().hex[:8]
+    new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
+
+    def facts(name: str):
+        return tuple(spark.table(name).agg(F.count(F.lit(1)), F.count(column)).first())
+
+    try:
+        w = retype(spark.table(table), column, dtype).write
+        (w.option("path", path) if path else w).saveAsTable(new)
+        if facts(new) != facts(table):
+            raise ValueError(f"{table}.{column} holds values that are no {dtype}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
 
 
 def catalog_counts(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,11 +2,11 @@
 
 Sources are file streams over arriving parquet files.  Sinks never collect to
 the driver: append streams write parquet; aggregate streams run in ``update``
-mode and ``foreachBatch`` upserts the changed keys into a versioned table in
-the shared checkpoint folder (rewrite-and-swap, no table format needed), so a
-restarted query resumes from its checkpoint and re-running a batch rewrites
-the same version.  ``run`` drives a query to completion with
-``trigger(availableNow=True)`` - the batch refresh of a dynamic table - and
+mode and ``foreachBatch`` upserts the changed keys into a table kept by key
+bucket in the shared checkpoint folder, of which a micro-batch rewrites the
+buckets it touches.  A restarted query resumes from its checkpoint, and
+re-running a batch rewrites what it wrote.  ``run`` drives a query to completion
+with ``trigger(availableNow=True)`` - the batch refresh of a dynamic table - and
 the same query runs continuously with ``processingTime``.
 """
 
@@ -43,73 +43,88 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-class VersionedTable:
-    """Upsert target kept as versioned parquet folders ``v000001, v000002, ...``.
+class BucketTable:
+    """Upsert target kept by key bucket: ``_bucket=<b>/_batch=<e>`` is bucket b after micro-batch e.
 
-    Version ``e + 1`` is the state after micro-batch ``e``.  Committed versions are
-    discovered from the shared folder (a ``_SUCCESS`` marker), so a restarted query
-    resumes from the state its checkpoint expects, and a re-executed batch reads the
-    state before its epoch and rewrites the same version (idempotent).
+    A micro-batch reads the newest earlier state of the buckets that its keys fall in and writes these
+    buckets alone, by Spark's dynamic partition overwrite; all others stay as they are.  Rows of batch e
+    only ever replace rows of batch e, so running a batch again after a failure reads the same state and
+    rewrites the same folders, and a job that dies while it commits loses nothing.  A batch counts once
+    its marker is there.  Of every bucket the newest two states are kept: the current one and the one a
+    repeated batch starts from.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], bucket_by: Sequence[str] | None = None, buckets: int = 32):
         self.spark, self.path, self.keys = spark, path, list(keys)
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[int]:
-        p, fs = self._fs()
-        if not fs.exists(p):
+        self.bucket_by, self.buckets = list(bucket_by or keys), buckets
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
+        p = self._path(folder)
+        if not self._fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v") and name[1:].isdigit() and fs.exists(
-                    self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[1:]))
-        return sorted(out)
-
-    def latest(self, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
-            return None
-        return self.spark.read.parquet(os.path.join(self.path, f"v{vs[-1]:06d}"))
+        names = [st.getPath().getName() for st in self._fs.listStatus(p)]
+        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+    def batches(self) -> list[int]:
+        """Numbers of the committed micro-batches."""
+        return self._numbers(os.path.join(self.path, "_committed"), "e")
+
+    def states(self, before: int | None = None) -> dict[int, int]:
+        """The micro-batch that wrote each bucket's newest committed state (of those ``before`` one)."""
+        done = {e for e in self.batches() if before is None or e < before}
+        out = {}
+        for b in self._numbers(self.path, "_bucket="):
+            own = [e for e in self._numbers(os.path.join(self.path, f"_bucket={b}"), "_batch=") if e in done]
+            if own:
+                out[b] = own[-1]
+        return out
+
+    def latest(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """The table's rows as of the last committed micro-batch (or the last one ``before``)."""
+        dirs = [os.path.join(self.path, f"_bucket={b}", f"_batch={e}") for b, e in self.states(before).items()
+                if buckets is None or b in set(buckets)]
+        return self.spark.read.parquet(*dirs) if dirs else None
 
     def upsert(self, batch: DataFrame, epoch: int, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None):
-        """Replace rows of changed keys (or ``combine(old, batch)`` them) and write version epoch + 1."""
-        v = epoch + 1
-        old = self.latest(before=v)
-        if old is None:
-            merged = batch
-        elif combine is not None:
-            merged = combine(old, batch)
-        else:
-            new = batch.select(*(F.col(k).alias(f"_new_{k}") for k in self.keys))
-            same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.keys]  # a null key is a key
-            merged = old.join(new, same, "left_anti").unionByName(batch)
-        merged.write.mode("overwrite").parquet(os.path.join(self.path, f"v{v:06d}"))
-
-
-def replace_overlapping(key: str, start: str, end: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """Upsert rule for session windows: a changed session replaces every stored session of
-    the same key whose interval it overlaps (the stored ones were merged into it)."""
-    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
-        n = new.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-        keep = old.join(n, (old[key] == n["_k"]) & (old[start] < n["_e"]) & (n["_s"] < old[end]), "left_anti")
-        return keep.unionByName(new)
-    return combine
+        """Replace rows of changed keys (or ``combine(old, batch)`` them) in the buckets that ``batch`` touches."""
+        bucket = F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+        batch = batch.persist()  # two jobs read it; the stream's own state must not be run twice
+        try:
+            touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most as many as buckets
+            old = self.latest(before=epoch, buckets=touched)
+            if old is None:
+                merged = batch
+            elif combine is not None:
+                merged = combine(old, batch)
+            else:
+                new = batch.select(*(F.col(k).alias(f"_new_{k}") for k in self.keys))
+                same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.keys]  # a null key is a key
+                merged = old.join(new, same, "left_anti").unionByName(batch)
+            (merged.withColumns({"_bucket": bucket, "_batch": F.lit(epoch)}).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_batch").parquet(self.path))
+        finally:
+            batch.unpersist()
+        self._fs.mkdirs(self._path(os.path.join(self.path, "_committed", f"e{epoch}")))
+        for b in touched:
+            folder = os.path.join(self.path, f"_bucket={b}")
+            for e in self._numbers(folder, "_batch=")[:-2]:
+                self._fs.delete(self._path(os.path.join(folder, f"_batch={e}")), True)
 
 
 def run_upsert(df: DataFrame, name: str, keys: Sequence[str], mode: str = "update",
-               after: Callable[[VersionedTable, int], None] | None = None,
-               combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run an aggregate stream to completion; each micro-batch is upserted into a versioned table."""
+               after: Callable[[BucketTable, int], None] | None = None,
+               combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+               bucket_by: Sequence[str] | None = None, base: str | None = None) -> DataFrame:
+    """Run an aggregate stream to completion; each micro-batch is upserted into a table kept by key bucket.
+
+    ``base`` names the folder of table and checkpoint, so that a later run goes on from there.
+    """
     spark = df.sparkSession
-    base = scratch(spark, name)
-    tbl = VersionedTable(spark, os.path.join(base, "table"), keys)
+    base = base or scratch(spark, name)
+    tbl = BucketTable(spark, os.path.join(base, "table"), keys, bucket_by)
 
     def sink(batch: DataFrame, epoch: int):
         tbl.upsert(batch, epoch, combine)
@@ -123,10 +138,10 @@ def run_upsert(df: DataFrame, name: str, keys: Sequence[str], mode: str = "updat
     return out if out is not None else spark.createDataFrame([], df.schema)
 
 
-def run_append(df: DataFrame, name: str) -> DataFrame:
-    """Run an append stream to completion into a parquet sink and read it back."""
+def run_append(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
+    """Run an append stream to completion into a parquet sink and read it back; ``base`` as in ``run_upsert``."""
     spark = df.sparkSession
-    base = scratch(spark, name)
+    base = base or scratch(spark, name)
     q = (df.writeStream.outputMode("append").format("parquet").option("path", os.path.join(base, "out"))
          .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -134,95 +149,30 @@ def run_append(df: DataFrame, name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stream definitions
-def session_spans(events: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
-    """Map-side combine for gap sessions: each input partition collapses its events per
-    (key, gap-wide time bucket) to a span (first, last, count).  Two events of one bucket are
-    less than a gap apart, so a span never straddles a session boundary; a key's rows leave
-    the partition as at most one span per bucket, whatever its share of the events."""
-    import pandas as pd
-
-    gap = gap_minutes * 60 * 1_000_000
-    key_type = events.schema[key].dataType.simpleString()
-    schema = f"{key} {key_type}, span_start timestamp, span_last timestamp, span_events long"
-
-    def combine(batches):
-        parts = []
-        for b in batches:
-            t = b[ts].to_numpy().astype("datetime64[us]").astype("int64")
-            x = pd.DataFrame({key: b[key].to_numpy(), "_b": t // gap, "_t": t})
-            parts.append(x.groupby([key, "_b"], dropna=False)["_t"].agg(["min", "max", "count"]).reset_index())
-        if parts:
-            x = pd.concat(parts).groupby([key, "_b"], dropna=False) \
-                .agg({"min": "min", "max": "max", "count": "sum"}).reset_index()
-            yield pd.DataFrame({key: x[key], "span_start": pd.to_datetime(x["min"], unit="us"),
-                                "span_last": pd.to_datetime(x["max"], unit="us"),
-                                "span_events": x["count"].astype("int64")})
-
-    return events.select(key, ts).mapInPandas(combine, schema)
-
-
 def session_stream(events: DataFrame, key: str, ts: str, gap_minutes: int = 30,
-                   watermark: str = "2 days") -> DataFrame:
-    """STR-09 gap sessions per key as a custom stateful operator (update mode).
-
-    Spark's own session windows run only in append mode (a session appears after the
-    watermark closes it) or complete mode (state and output = every session ever).
-    Here events are first combined map-side into spans (``session_spans``); each key's
-    state holds only the sessions the watermark can still extend, as (start, last event,
-    count) in microseconds.  A micro-batch merges its spans into them (spans less than a
-    gap apart share a session), emits every session that changed -- the stored copies it
-    absorbed are replaced by the sink (``replace_overlapping``) -- and keeps the sessions
-    ending after the watermark (on the spans' last event); an event-time timeout drops the
-    state once the watermark passes them.
+                   watermark: str = WATERMARK) -> DataFrame:
+    """STR-09 gap sessions per key by Spark's session windows (append mode): a session is written once,
+    when the watermark has passed its end, and its state is dropped.  With
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` (set by ``build_session``) Spark
+    merges each input partition's sessions before the shuffle: a hot key leaves it as one row per session.
     """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    gap = gap_minutes * 60 * 1_000_000
-    key_type = events.schema[key].dataType.simpleString()
-    out_schema = f"{key} {key_type}, session_start timestamp, session_end timestamp, events long"
-    state_schema = "starts array<long>, lasts array<long>, counts array<long>"
-
-    def us(col):
-        return col.to_numpy().astype("datetime64[us]").astype("int64")
-
-    def step(k, batches, state):
-        if state.hasTimedOut:                   # every open session is past the watermark and was emitted
-            state.remove()
-            return
-        old = [np.asarray(x, dtype="int64") for x in state.get] if state.exists else [np.empty(0, "int64")] * 3
-        bs = list(batches)
-        start = np.concatenate([old[0]] + [us(b["span_start"]) for b in bs])
-        last = np.concatenate([old[1]] + [us(b["span_last"]) for b in bs])
-        cnt = np.concatenate([old[2]] + [b["span_events"].to_numpy().astype("int64") for b in bs])
-        fresh = np.concatenate([np.zeros(len(old[0]), bool)] + [np.ones(len(b), bool) for b in bs])
-        if len(start) == 0:
-            return
-        o = np.argsort(start, kind="stable")
-        start, last, cnt, fresh = start[o], last[o], cnt[o], fresh[o]
-        # a span opens a new session when it starts at least one gap after everything before it
-        opens = np.ones(len(start), bool)
-        opens[1:] = start[1:] - np.maximum.accumulate(last)[:-1] >= gap
-        at = np.flatnonzero(opens)
-        s_start, s_last = start[at], np.maximum.reduceat(last, at)
-        s_cnt, s_fresh = np.add.reduceat(cnt, at), np.logical_or.reduceat(fresh, at)
-        if s_fresh.any():
-            yield pd.DataFrame({key: [k[0]] * int(s_fresh.sum()),
-                                "session_start": pd.to_datetime(s_start[s_fresh], unit="us"),
-                                "session_end": pd.to_datetime(s_last[s_fresh] + gap, unit="us"),
-                                "events": s_cnt[s_fresh]})
-        wm = state.getCurrentWatermarkMs() * 1000
-        keep = s_last + gap > wm
-        if keep.any():
-            state.update((s_start[keep].tolist(), s_last[keep].tolist(), s_cnt[keep].tolist()))
-            state.setTimeoutTimestamp(int(s_last[keep].max() + gap) // 1000)
-        else:
-            state.remove()
-
-    spans = session_spans(events, key, ts, gap_minutes).withWatermark("span_last", watermark)
-    return spans.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "update", GroupStateTimeout.EventTimeTimeout)
+    w = events.withWatermark(ts, watermark).groupBy(F.session_window(ts, f"{gap_minutes} minutes").alias("w"), key)
+    return w.agg(F.count(F.lit(1)).alias("events")).select(
+        key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "events")
+
+
+def with_closing(events: DataFrame, ts: str, folder: str) -> DataFrame:
+    """``events`` and the rows of a second file source, which holds nothing until ``close_stream`` writes to it."""
+    spark = events.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    end = spark.readStream.schema(f"{ts} timestamp").parquet(folder)
+    return events.unionByName(end, allowMissingColumns=True)
+
+
+def close_stream(spark: SparkSession, ts: str, folder: str) -> None:
+    """End of input: one row without key far in the future takes the watermark past every open window."""
+    spark.sql(f"SELECT timestamp'9000-01-01' AS {ts}").write.mode("append").parquet(folder)
 
 
 def ad_engagement_stream(purch: DataFrame, as_of: str, days: int = 30) -> DataFrame:
