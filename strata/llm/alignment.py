@@ -24,8 +24,9 @@ Null ids and repeated rows stay rows of their own.  No documents give no rows.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,12 @@ from strata.session import shared_table_path
 
 from . import bytewords as bw
 
-SLICE = 2 << 20
-CACHE = 48 << 20  # bytes of cached chunks, about
+SLICE = 1 << 20
+LINE = 4096  # characters of chunks encoded as one line
 MARK = "▁"
+# Fixed value: the pattern by which byte-level vocabularies of this kind cut a text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_BATCH = 1 << 17  # characters encoded together
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -72,79 +74,106 @@ def terminal_tokens(successor: np.ndarray) -> np.ndarray:
         successor = further
 
 
+class _Table:
+    """Byte strings by id, one after the other, for lookups of many ids at once."""
+
+    def __init__(self, raw: list[bytes]):
+        self.raw = raw
+        self.flat = np.frombuffer(b"".join(raw) + b"\0", np.uint8)
+        self.size = np.array([len(r) for r in raw], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def join(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids' bytes one after the other, and where each id's bytes end."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(self.start[ids] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
+
+
 class Aligner:
-    """Chunks as (tokens of a, tokens of b, linked pairs as bytes, groups as text); None where bytes differ."""
+    """Aligned chunks of texts.
+
+    The byte-level vocabulary is encoded by ranks: its ids are the order of its merges, which is checked.
+    """
 
     def __init__(self, byte_level: str, pieces: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        import tiktoken
+        with open(byte_level, encoding="utf-8") as f:
+            model = json.load(f)["model"]
         alphabet = byte_alphabet()
-        self.a_raw = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
-            self.a_raw[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if any(model["vocab"][x + y] != 256 + i for i, (x, y) in enumerate(merges)):
+            raise ValueError("ids aren't in the order of the merges")
+        raw = {i: bytes(alphabet[c] for c in t) for t, i in model["vocab"].items() if i < 256 + len(merges)}
+        self.a = tiktoken.Encoding("byte_level", pat_str=WORDS, mergeable_ranks={r: i for i, r in raw.items()}, special_tokens={})
+        self.a_table = _Table([raw[i] for i in range(len(raw))])
+        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_raw = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
-        self.a_size, self.b_size = (np.array([len(x) for x in raw]) for raw in (self.a_raw, self.b_raw))
+        self.b_table = _Table([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)])
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in names):
             raise ValueError("a piece runs on into a space: texts can't be cut there")
-        self.cache: dict[str, tuple[int, int, bytes, str] | None] = {}
-        self.held = 0
-
-    def _align(self, chunks: list[str]) -> None:
-        """Encode and align chunks, all at once."""
-        a = [x.ids for x in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
-        b = self.b.encode(chunks, num_threads=1)
-        same = []
-        for c, x, y in zip(chunks, a, b):
-            want = b" " + c.encode()
-            if want == b"".join([self.a_raw[i] for i in x]) == b"".join([self.b_raw[i] for i in y]):
-                same.append((c, x, y))
-            else:
-                self.cache[c] = None
-        if not same:
-            return
-        a_ids, b_ids = (np.concatenate([np.array(s[k], np.int64) for s in same]) for k in (1, 2))
-        a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+        self.digits = _Table([b"%d," % i for i in range(max(len(raw), len(names)))])
+
+    def _encode(self, lines: list[list[str]]) -> tuple[list, list, list]:
+        """Lines of chunks as ids of both tokenizers, and the chunks of lines that both reproduce; a line
+        that isn't reproduced is tried again chunk by chunk."""
+        texts = [" ".join(x) for x in lines]
+        a, b, kept = [], [], []
+        for line, t, y in zip(lines, texts, self.b.encode(texts, num_threads=1)):
+            x = self.a.encode_ordinary(" " + t)
+            want = b" " + t.encode()
+            if want == b"".join([self.a_table.raw[i] for i in x]) == b"".join([self.b_table.raw[i] for i in y]):
+                a.append(x)
+                b.append(y)
+                kept += line
+            elif len(line) > 1:
+                for into, got in zip((a, b, kept), self._encode([[c] for c in line])):
+                    into += got
+        return a, b, kept
+
+    def chunks(self, chunks: list[str]) -> dict[str, tuple[int, int, bytes, bytes]]:
+        """(tokens of a, tokens of b, linked pairs, groups as text) of the chunks that both tokenizers reproduce."""
+        lines, size = [[]], 0
+        for c in chunks:
+            if size > LINE:
+                lines.append([])
+                size = 0
+            lines[-1].append(c)
+            size += len(c) + 1
+        a, b, kept = self._encode(lines if chunks else [])
+        if not kept:
+            return {}
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (a, b))
+        a_ends, b_ends = np.cumsum(self.a_table.size[a]), np.cumsum(self.b_table.size[b])
         last = terminal_tokens(overlap_successors(a_ends, b_ends))
         # terminal tokens are b's; a's token with the same label that comes last ends with it
-        n = len(a_ids)
-        ends_b = np.flatnonzero(last[n:] == n + np.arange(len(b_ids)))
-        ends_a = np.searchsorted(last[:n], n + ends_b, "right") - 1
-        pairs = (a_ids[ends_a] << 32 | b_ids[ends_b]).astype("<i8").tobytes()
-        a_text, b_text = [str(i) for i in a_ids.tolist()], [str(i) for i in b_ids.tolist()]
-        groups, i, j = [], 0, 0
-        for x, y in zip((ends_a + 1).tolist(), (ends_b + 1).tolist()):
-            groups.append(f"{','.join(a_text[i:x])}|{','.join(b_text[j:y])}" if x > i + 1 or y > j + 1 else f"{a_text[i]}|{b_text[j]}")
-            i, j = x, y
-        stop = np.searchsorted(ends_b, np.cumsum([len(s[2]) for s in same]) - 1) + 1
-        at = 0
-        for (c, x, y), end in zip(same, stop.tolist()):
-            got = (len(x), len(y), pairs[8 * at:8 * end], ";".join(groups[at:end]))
-            self.cache[c] = got
-            self.held += 300 + len(c) + len(got[2]) + len(got[3])
-            at = end
-
-    def align(self, texts: list[str | None]) -> list[list[tuple] | None]:
-        """The chunks of every text in order; None for texts without tokens."""
-        if self.held > CACHE:
-            self.cache, self.held = {}, 0
-        chunks = [_CUT.split(t) if t else [] for t in texts]
-        new, size = [], 0
-        for c in set().union(*chunks).difference(self.cache):
-            new.append(c)
-            size += len(c)
-            if size >= _BATCH:
-                self._align(new)
-                new, size = [], 0
-        if new:
-            self._align(new)
-        get = self.cache.__getitem__
-        out = [list(map(get, c)) for c in chunks]
-        return [None if not x or None in x else x for x in out]
+        n = len(a)
+        end_b = np.flatnonzero(last[n:] == n + np.arange(len(b)))
+        end_a = np.searchsorted(last[:n], n + end_b, "right") - 1
+        pairs = (a[end_a] << 32 | b[end_b]).astype("<i8").tobytes()
+        # groups in order, each a's tokens and then b's, ids in digits with a sign behind each
+        group_a, group_b = np.searchsorted(end_a, np.arange(n)), np.searchsorted(end_b, np.arange(len(b)))
+        at_a = np.arange(n) + np.append(0, end_b + 1)[group_a]
+        at_b = np.arange(len(b)) + end_a[group_b] + 1
+        ids = np.empty(n + len(b), np.int64)
+        ids[at_a], ids[at_b] = a, b
+        text, stop = self.digits.join(ids)
+        text[stop[at_a[end_a]] - 1], text[stop[at_b[end_b]] - 1] = ord("|"), ord(";")
+        text = text.tobytes()
+        ends = np.cumsum([len(c) + 1 if c.isascii() else len(c.encode()) + 1 for c in kept])
+        groups = np.append(0, np.searchsorted(b_ends[end_b], ends, "right"))
+        n_a, n_b = (np.diff(np.append(0, np.searchsorted(e, ends, "right"))).tolist() for e in (a_ends, b_ends))
+        cut = np.append(0, stop[at_b[end_b]])[groups].tolist()
+        groups = (8 * groups).tolist()
+        return {c: (x, y, pairs[p:q], text[r:s - 1]) for c, x, y, p, q, r, s in zip(kept, n_a, n_b, groups, groups[1:], cut, cut[1:])}
+
+    def align(self, texts: list[str | None]) -> list[list[tuple]]:
+        """The aligned chunks of every text in order; none for texts without tokens."""
+        cut = [_CUT.split(t) if t else [] for t in texts]
+        found = self.chunks(list(set().union(*cut)))
+        out = [list(map(found.get, c)) for c in cut]
+        return [[] if None in x else x for x in out]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -158,9 +187,9 @@ _SLICE_DDL = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>,
 
 
 def _groups_sha256(chunks: list[tuple]) -> str:
-    h = hashlib.sha256(chunks[0][3].encode())
+    h = hashlib.sha256(chunks[0][3])
     for at in range(1, len(chunks), 10_000):
-        h.update((";" + ";".join([c[3] for c in chunks[at:at + 10_000]])).encode())
+        h.update(b";" + b";".join([c[3] for c in chunks[at:at + 10_000]]))
     return h.hexdigest()
 
 
@@ -173,8 +202,6 @@ def _slice_rows(byte_level: str, pieces: str):
             for part in bw.slices(batch, "text", SLICE):
                 n_a, n_b, n_links, sha, links = [], [], [], [], []
                 for got in aligner.align(part.column("text").to_pylist()):
-                    if got is None:
-                        got = []
                     raw = b"".join([c[2] for c in got])
                     n_a.append(sum([c[0] for c in got]))
                     n_b.append(sum([c[1] for c in got]))

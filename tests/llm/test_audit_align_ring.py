@@ -267,5 +267,21 @@ def test_written_shards_hold_all_columns(spark, tmp_path):
     assert [r["n"] - r["m"] for r in back.groupBy("shard").agg({"slot": "max", "*": "count"}).toDF("shard", "n", "m").collect()] == [1] * 4
 
 
+def test_words_are_cut_alike_for_all_code_points(tokenizers):
+    """The pattern and ranks that the aligner encodes by against the tokenizer itself."""
+    a = alignment.Aligner(A, B).a
+    texts = [f"a{chr(c)}b {chr(c)}1{chr(c)} {chr(c)}{chr(c)}.{chr(c)}" for c in range(1, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(texts), 2000):
+        part = texts[at:at + 2000]
+        for t, e in zip(part, tokenizers[0].encode_batch_fast(part, add_special_tokens=False)):
+            assert a.encode_ordinary(t) == e.ids, t
+
+
+def test_alignment_of_a_long_word(tokenizers):
+    word = "".join(random.Random(4).choice("etaoinshr") for _ in range(200_000))
+    (got,) = alignment.Aligner(A, B).align([f"one {word} two"])
+    assert ";".join(c[3].decode() for c in got) == ";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in _groups(tokenizers, f"one {word} two"))
+
+
 def test_byte_alphabet_is_a_permutation():
     assert sorted(alignment.byte_alphabet().values()) == list(range(256))
