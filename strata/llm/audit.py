@@ -22,7 +22,7 @@ from itertools import permutations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
@@ -88,8 +88,7 @@ def failure_cells(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     cell = rows.groupBy("body", "part", "mask", "good", "toxic").agg(
         F.sum("n").alias("n"), F.min("doc_id").alias("first"), F.min_by("n", "doc_id").alias("n_first"),
         F.sum(F.when(F.isnull("doc_id"), F.col("n")).otherwise(0)).alias("n_null"))
-    least = cell.groupBy("body").agg(F.min("first").alias("least"))
-    cell = cell.join(least, "body")
+    cell = cell.withColumn("least", F.min("first").over(Window.partitionBy("body")))
     own = F.col("n_null") + F.when(F.col("first") == F.col("least"), F.col("n_first")).otherwise(0)
     split = F.explode(F.array(F.struct(F.col("mask"), own.alias("n")), F.struct((F.col("mask") + 16).alias("mask"), (F.col("n") - own).alias("n"))))
     cell = cell.select("part", "good", "toxic", split.alias("s")).select("part", "s.mask", "s.n", "good", "toxic").where("n > 0")
