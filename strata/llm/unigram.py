@@ -8,6 +8,11 @@ places at once, and the Viterbi recurrence runs over places within units, for al
 equal scores the path with the earlier beginning of its last piece wins.  A character without a piece of
 its own costs the smallest score less ``PENALTY`` and is written as byte pieces.
 
+Memory is bounded by bytes, not by texts or units: texts are worked on in slices, a long text in segments
+cut between units, the cache of units is dropped at ``CACHE`` bytes, and a unit of over ``LONG`` bytes (a
+text without spaces) is walked window by window: the recurrence looks back one piece at most, so what is
+kept of earlier windows is one back pointer a byte.
+
 Decoding joins the pieces, byte pieces as their bytes, turns markers into spaces and takes off the first
 one.  It gives the text back, but for markers in the text itself, which come back as spaces.
 
@@ -23,6 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +37,13 @@ from . import bytewords as bw
 
 MARK = "▁"
 PENALTY = 10.0
-CACHE = 300_000
+CACHE = 48 << 20  # bytes of cached units, about
+LONG = 4096  # bytes of a unit from which it is walked by itself
+WINDOW = 1 << 15  # characters walked at a time
+SEGMENT = 1 << 20  # characters of a text split into units at a time
+
+
+_SPACE_AFTER = re.compile(f"[^ {MARK}](?= )")
 
 
 class DoubleArray:
@@ -104,11 +116,17 @@ class Pieces:
             self.raw[i] = bytes([b])
         joined = set("".join(p for p in normal if len(p) > 1))
         alone = "".join(c for c in "\n\t\r" if c not in joined)
-        if any(re.search(f"[^{MARK}]{MARK}", p) for p in normal):
+        self.cut = not any(re.search(f"[^{MARK}]{MARK}", p) for p in normal)
+        if not self.cut:
             self.unit = re.compile(r"(?s).+")
         else:
             self.unit = re.compile(f"[{alone}]|{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" if alone else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.cache: dict[str, bytes] = {}
+        self.held = 0
+        # all pieces' bytes one after the other, for decoding by array lookups
+        self.flat = np.frombuffer(b"".join(self.raw) + b"\0", np.uint8)
+        self.size = np.array([len(r) for r in self.raw], np.int64)
+        self.start = np.cumsum(self.size) - self.size
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -130,26 +148,40 @@ class Pieces:
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.cache) > CACHE:
-            self.cache = {}
-        units = [self.unit.findall((" " + t).replace(" ", MARK)) if t else [] for t in texts]
-        new = list(set().union(*units).difference(self.cache))
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            self.cache.update(zip(part, self._encode_units(part)))
+        short = [t if t is None or len(t) <= SEGMENT else "" for t in texts]
+        out = self._encode_texts(short)
+        for i, t in enumerate(texts):
+            if t is not None and len(t) > SEGMENT:
+                out[i] = b"".join(self._encode_texts([s], joined=True)[0] for s in (_segments(" " + t) if self.cut else [" " + t]))
+        return out
+
+    def _encode_texts(self, texts: list[str | None], joined: bool = False) -> list[bytes | None]:
+        if self.held > CACHE:
+            self.cache, self.held = {}, 0
+        lead = "" if joined else " "  # a segment has its space already
+        units = [self.unit.findall((lead + t).replace(" ", MARK)) if t else [] for t in texts]
+        new, size = [], 0
+        for u in set().union(*units).difference(self.cache):
+            if len(u) > LONG:
+                self._keep([u], [self._encode_long(u)])
+                continue
+            new.append(u)
+            size += len(u)
+            if size > 1 << 19:
+                self._keep(new, self._encode_units(new))
+                new, size = [], 0
+        if new:
+            self._keep(new, self._encode_units(new))
         get = self.cache.__getitem__
         return [None if t is None else b"".join(map(get, u)) for t, u in zip(texts, units)]
 
-    def _encode_units(self, units: list[str]) -> list[bytes]:
-        raw = [u.encode("utf-8", "replace") for u in units]
-        data = np.frombuffer(b"".join(raw) + b"\0", np.uint8)
-        first = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-        n = int(first[-1])
-        unit = np.repeat(np.arange(len(raw)), np.diff(first))
-        starts = np.flatnonzero((data[:n] & 0xC0) != 0x80)
-        end_of = first[unit[starts] + 1]
-        char_end = np.minimum(np.append(starts[1:], n), end_of)
-        # walk the trie from every character at once
+    def _keep(self, units: list[str], ids: list[bytes]) -> None:
+        for u, i in zip(units, ids):
+            self.cache[u] = i
+            self.held += 160 + len(u) + len(i)
+
+    def _matches(self, data: np.ndarray, starts: np.ndarray, char_end: np.ndarray, end_of: np.ndarray):
+        """(begin, end, piece) of all pieces that begin at ``starts``; -1 for characters without a piece of their own."""
         state, at, live = np.zeros(len(starts), np.int64), starts.copy(), np.arange(len(starts))
         begin, end, piece = [], [], []
         single = np.zeros(len(starts), bool)
@@ -166,7 +198,49 @@ class Pieces:
         begin.append(starts[~single])
         end.append(char_end[~single])
         piece.append(np.full((~single).sum(), -1))
-        begin, end, piece = (np.concatenate(x) for x in (begin, end, piece))
+        return (np.concatenate(x) for x in (begin, end, piece))
+
+    def _encode_long(self, unit: str) -> bytes:
+        """The best path of one long unit, window by window."""
+        data = np.frombuffer(unit.encode("utf-8", "replace") + b"\0", np.uint8)
+        n = len(data) - 1
+        starts = np.flatnonzero((data[:n] & 0xC0) != 0x80)
+        char_end = np.append(starts[1:], n)
+        back_from, back_piece = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32)
+        best, get = {0: 0.0}, float("-inf")
+        for lo in range(0, len(starts), WINDOW):
+            part = starts[lo:lo + WINDOW]
+            begin, end, piece = self._matches(data, part, char_end[lo:lo + WINDOW], np.full(len(part), n))
+            order = np.lexsort((end, begin))
+            begin, end, piece = begin[order], end[order], piece[order]
+            score = np.where(piece >= 0, self.scores[piece], self.unknown).tolist()
+            came: dict[int, tuple[int, int]] = {}
+            for a, b, p, x in zip(begin.tolist(), end.tolist(), piece.tolist(), score):
+                total = best[a] + x
+                if total > best.get(b, get):
+                    best[b] = total
+                    came[b] = (a, p)
+            to = np.fromiter(came, np.int64, len(came))
+            back_from[to], back_piece[to] = np.array(list(came.values()), np.int64).reshape(-1, 2).T
+            last = int(char_end[min(lo + WINDOW, len(starts)) - 1])
+            best = {b: v for b, v in best.items() if b >= last}
+        ids, at = [], n
+        while at > 0:
+            a, p = int(back_from[at]), int(back_piece[at])
+            ids.extend([p] if p >= 0 else [self.byte_ids[c] for c in data[a:at][::-1].tolist()])
+            at = a
+        return np.array(ids[::-1], "<u4").tobytes()
+
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        raw = [u.encode("utf-8", "replace") for u in units]
+        data = np.frombuffer(b"".join(raw) + b"\0", np.uint8)
+        first = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        n = int(first[-1])
+        unit = np.repeat(np.arange(len(raw)), np.diff(first))
+        starts = np.flatnonzero((data[:n] & 0xC0) != 0x80)
+        end_of = first[unit[starts] + 1]
+        char_end = np.minimum(np.append(starts[1:], n), end_of)
+        begin, end, piece = self._matches(data, starts, char_end, end_of)
         score = np.where(piece >= 0, self.scores[piece], self.unknown)
         depth = begin - first[unit[begin]] if n else begin
         order = np.argsort(depth, kind="stable")
@@ -214,9 +288,27 @@ class Pieces:
         bounds = np.searchsorted(owner, np.arange(len(raw) + 1)).tolist()
         return [flat[4 * x:4 * y] for x, y in zip(bounds, bounds[1:])]
 
-    def decode(self, ids) -> str:
-        text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if text.startswith(" ") else text
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of ids one after the other; ``ends`` says where each text's ids end."""
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        data = self.flat[np.repeat(self.start[ids] - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        cuts = np.append(0, stop)[np.append(0, ends)].tolist()
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            text = data[a:b].tobytes().decode("utf-8", "replace").replace(MARK, " ")
+            out.append(text[1:] if text.startswith(" ") else text)
+        return out
+
+
+def _segments(text: str):
+    """Parts of a text cut before spaces that follow other characters, where units end."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE_AFTER.search(text, at + SEGMENT)
+        end = cut.start() + 1 if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 def encode(docs: DataFrame, pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,9 +337,18 @@ def decode(encoded: DataFrame, pieces) -> DataFrame:
     def run(batches):
         p = pieces.value
         for batch in batches:
-            at = list(batch.schema.names).index("ids")
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([None if x is None else p.decode(x) for x in batch.column(at).to_pylist()], pa.string())],
-                [*batch.schema.names, "decoded"])
+            column = batch.column(batch.schema.names.index("ids"))
+            ends = np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy())
+            at = 0
+            while at < batch.num_rows:  # rows of about 2^18 ids at a time
+                done = int(ends[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, done + (1 << 18), "right")))
+                part = column.slice(at, to - at)
+                texts = p.decode(part.flatten().to_numpy(), ends[at:to] - done)
+                none = part.is_null().to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(at, to - at).columns, pa.array([None if x else t for x, t in zip(none, texts)], pa.string())],
+                    [*batch.schema.names, "decoded"])
+                at = to
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))

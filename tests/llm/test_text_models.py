@@ -201,7 +201,7 @@ def test_unigram_round_trip_and_best_paths(pieces):
     texts = TEXTS + pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist()[:300]
     for t, ids in zip(texts, pieces.encode(texts)):
         ids = np.frombuffer(ids, "<u4")
-        assert pieces.decode(ids) == t
+        assert pieces.decode(ids, np.array([len(ids)])) == [t]
         if len(t) < 400:
             bytes_ = set(pieces.byte_ids)
             lost = "".join(c for c in t.replace(" ", unigram.MARK) if c.encode() not in set(pieces.raw[3 + 256:]))
@@ -209,6 +209,31 @@ def test_unigram_round_trip_and_best_paths(pieces):
             assert not t or math.isclose(score, _best_score(pieces, t), rel_tol=1e-9, abs_tol=1e-6)
 
 
+def test_unigram_of_long_words_and_texts(pieces, monkeypatch):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcdeé日😀 ▁\n") for _ in range(rng.randint(1, 900))) for _ in range(40)] + ["x" * 5000, "ab" * 3000 + " c", "", None, " " * 50]
+    plain = pieces.encode(texts)
+    for name, value in (("LONG", 5), ("WINDOW", 7), ("SEGMENT", 60)):
+        monkeypatch.setattr(unigram, name, value)
+        pieces.cache, pieces.held = {}, 0
+        assert pieces.encode(texts) == plain
+    monkeypatch.setattr(unigram, "CACHE", 10)
+    assert [pieces.encode([t])[0] for t in texts] == plain and pieces.held < 1 << 20
+    ids = [np.frombuffer(p or b"", "<u4") for p in plain]
+    got = pieces.decode(np.concatenate(ids), np.cumsum([len(i) for i in ids]))
+    assert got == [(t or "").replace("▁", " ") for t in texts]
+
+
+def test_unigram_of_a_word_of_a_million_letters(pieces):
+    import resource
+    rng = random.Random(3)
+    word = "".join(rng.choice("etaoinshr") for _ in range(1_000_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    ids = np.frombuffer(pieces.encode([word])[0], "<u4")
+    assert pieces.decode(ids, np.array([len(ids)])) == [word]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # KB
+
+
 def _unigram_proto(path, scores):
     """The model file with its kind set to unigram and these scores."""
 
