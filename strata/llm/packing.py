@@ -69,23 +69,24 @@ class ChunkTokenizer:
                 self.runs.update(zip(line, self._encode_each(line)))
 
     def _add(self, chunks: list[str]) -> None:
-        split, plain, other = {}, set(), []
-        for c in chunks:
-            core = c.rstrip(SIGNS)
+        cores = [c.rstrip(SIGNS) for c in chunks]
+        whole, runs, signed, other = [], [], [], []
+        for c, core, low in zip(chunks, cores, "\n".join(cores).lower().split("\n")):  # no chunk holds a line feed
             # letters that neither case nor composition changes into anything but letters
-            if core.isalpha() and (core.isascii() or (core.lower().isalpha() and unicodedata.is_normalized("NFC", core))):
-                run = core.lower() if core.isascii() else core
-                split[c] = (run, c[len(core):])
-                plain.add(run)
-                if len(core) < len(c) and c[len(core):] not in self.cache:
-                    other.append(c[len(core):])
+            if core.isalpha() and (core.isascii() or (low.isalpha() and unicodedata.is_normalized("NFC", core))):
+                run = low if core.isascii() else core
+                if len(core) == len(c):
+                    whole.append(c)
+                    runs.append(run)
+                else:
+                    signed.append((c, run, c[len(core):]))
             else:
                 other.append(c)
-        self._encode_runs([r for r in plain if r not in self.runs])
-        other = list(set(other))
+        self._encode_runs(list({*runs, *(x[1] for x in signed)}.difference(self.runs)))
+        other = list({*other, *(x[2] for x in signed)}.difference(self.cache))
         self.cache.update(zip(other, self._encode_each(other)))
-        for c, (run, signs) in split.items():
-            self.cache[c] = self.runs[run] + self.cache[signs] if signs else self.runs[run]
+        self.cache.update(zip(whole, map(self.runs.__getitem__, runs)))
+        self.cache.update([(c, self.runs[run] + self.cache[signs]) for c, run, signs in signed])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
