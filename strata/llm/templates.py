@@ -1,16 +1,22 @@
 """Line dedup by a fixed-depth tree of log templates.
 
-A line is its words; words with a digit are variable fields.  The tree has two levels under its root:
-the number of words, then the first ``DEPTH`` words.  In a leaf
+A line is its words; words with a digit are variable fields, unless most words of the line are (then all of
+them count as they stand).  The tree has two levels under its root: the number of words, then the first
+``DEPTH`` words.  In a leaf
 
 * lines that are equal up to variable fields share a template;
-* of the other lines, a place at which one word stands in ``SHARE`` of the leaf is constant and every
-  other place is a variable field; if ``CONSTANT`` of the places are constant, the lines that agree
-  there share a template.
-
-A template recurs if it stands in ``min_docs`` different texts and, so that copies of a document or
-passage don't make templates of its own lines (they are other operators' work), if the line before
-or the line after it, if there is one, differs in half of these texts.  Lines of recurring templates are dropped.
+* the other lines of ``LONG`` words or more fall into groups by their frequent words, level by level: at
+  level j a word is constant at its place if ``min_docs * 4**j`` of the leaf's lines have it there, all
+  other places are variable fields, and lines with the same constant words in ``CONSTANT`` of their places
+  share a template.  A line takes the lowest level at which ``min_docs`` lines agree with it, so a
+  leaf holds any number of templates, and ordinary lines that crowd it only raise the level.
+
+A template that ``min_docs`` rows hold is common.  Copies of a document share all its lines, which doesn't
+make them templates (copies are other operators' work), so only texts that stand for themselves count: texts
+with at least half of their words in lines that aren't common, each told by what these lines say, and texts
+of few common words (``FEW``), each told by all it says.  A template recurs if ``min_docs`` different ones of
+them hold it.  What copies share counts once that way, and the lines of a header or footer don't depend on
+one another.  Lines of recurring templates are dropped, wherever they stand.
 
 Only lines in leaves of ``min_docs`` lines or more are looked at word by word.  Which leaves those are is
 broadcast as a bitmap of fixed size; more leaves than it can tell apart cost time, not results.
@@ -34,9 +40,10 @@ from . import bytewords as bw
 from .carry import rest
 
 DEPTH = 3
-SHARE = 0.9
 CONSTANT = 0.6
+LEVELS = 16
 LONG = 6  # words of a line that is looked at word by word
+FEW = 40  # common words of a text that may consist of common lines alone
 BITS = 1 << 23
 _U = np.uint64
 _FIELD = _U(0x5BD1E9955BD1E995)
@@ -56,21 +63,32 @@ class _Lines:
         self.at = np.flatnonzero(new)  # first word of each line
         self.text, self.number = text[self.at], number[self.at]
         self.words = np.diff(np.append(self.at, len(text)))
+        end = self.at + self.words
         digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
         variable = digits[w.ends] > digits[w.starts]
-        self.tokens = np.where(variable, _FIELD, w.hashes)
-        place = np.arange(len(text)) - np.repeat(self.at, self.words)
-        placed = np.concatenate([[_U(0)], np.cumsum(bw.mix(self.tokens + place.astype(np.uint64) * _U(0x9E3779B97F4A7C15)), dtype=np.uint64)])
-        end = self.at + self.words
-        self.template = bw.mix(placed[end] - placed[self.at] + self.words.astype(np.uint64))
-        self.leaf = bw.mix(placed[np.minimum(end, self.at + DEPTH)] - placed[self.at] + self.words.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F))
         fields = np.concatenate([[0], np.cumsum(variable)])
-        self.constant = 2 * (fields[end] - fields[self.at]) <= self.words
-        before = np.concatenate([[_U(0)], self.template[:-1]]) if len(self.at) else self.template
-        after = np.concatenate([self.template[1:], [_U(0)]]) if len(self.at) else self.template
-        edge = np.ones(len(self.at) + 1, bool)
-        edge[1:-1] = self.text[1:] != self.text[:-1]
-        self.before, self.after = np.where(edge[:-1], _U(0), before), np.where(edge[1:], _U(0), after)
+        variable &= np.repeat(2 * (fields[end] - fields[self.at]) <= self.words, self.words)
+        self.tokens = np.where(variable, _FIELD, w.hashes)
+        place = (np.arange(len(text)) - np.repeat(self.at, self.words)).astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+
+        def spans(tokens, to):
+            total = np.concatenate([[_U(0)], np.cumsum(bw.mix(tokens + place), dtype=np.uint64)])
+            return total[to] - total[self.at]
+
+        size = self.words.astype(np.uint64)
+        self.template = bw.mix(spans(self.tokens, end) + size)
+        self.exact = bw.mix(spans(w.hashes, end) + size)
+        self.leaf = bw.mix(spans(self.tokens, np.minimum(end, self.at + DEPTH)) + size * _U(0xC2B2AE3D27D4EB4F))
+        order = np.lexsort((self.number, self.template, self.text))  # the first line of each template in a text
+        self.first = np.zeros(len(self.at), bool)
+        if len(order):
+            t, x = self.template[order], self.text[order]
+            self.first[order[np.concatenate([[True], (t[1:] != t[:-1]) | (x[1:] != x[:-1])])]] = True
+        self.head = np.ones(len(self.at), bool)
+        self.head[1:] = self.text[1:] != self.text[:-1]
+
+
+_LINE = "key long, line int, words int, template long, leaf long, exact long, first boolean, head boolean"
 
 
 def _line_rows(batches):
@@ -78,11 +96,10 @@ def _line_rows(batches):
         for part in bw.slices(batch, "text"):
             x = _Lines(*bw.string_buffers(part.column("text")))
             key = part.column("key").to_numpy()
-            ok = x.constant
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[x.text[ok]]), pa.array(x.number[ok].astype(np.int32)), pa.array(x.words[ok].astype(np.int32)),
-                 *(pa.array(h[ok].view(np.int64)) for h in (x.template, x.leaf, x.before, x.after))],
-                ["key", "line", "words", "template", "leaf", "before", "after"])
+                [pa.array(key[x.text]), pa.array(x.number.astype(np.int32)), pa.array(x.words.astype(np.int32)),
+                 *(pa.array(h.view(np.int64)) for h in (x.template, x.leaf, x.exact)), pa.array(x.first), pa.array(x.head)],
+                [c.split()[0] for c in _LINE.split(", ")])
 
 
 def _open_rows(bitmap: np.ndarray):
@@ -93,30 +110,20 @@ def _open_rows(bitmap: np.ndarray):
             for part in bw.slices(batch, "text"):
                 x = _Lines(*bw.string_buffers(part.column("text")))
                 slot = (x.leaf % _U(BITS)).astype(np.int64)
-                own = np.flatnonzero(x.constant & (x.words >= LONG) & (bitmap[slot >> 3] >> (slot & 7) & 1).astype(bool))
+                own = np.flatnonzero((x.words >= LONG) & (bitmap[slot >> 3] >> (slot & 7) & 1).astype(bool))
                 key = part.column("key").to_numpy()
                 n = x.words[own]
                 first = np.concatenate([[0], np.cumsum(n)])
                 index = np.arange(first[-1]) - np.repeat(first[:-1], n) + np.repeat(x.at[own], n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[x.text[own]]), pa.array(x.number[own].astype(np.int32)),
-                     *(pa.array(h[own].view(np.int64)) for h in (x.template, x.leaf, x.before, x.after)),
+                     *(pa.array(h[own].view(np.int64)) for h in (x.template, x.leaf)),
                      pa.ListArray.from_arrays(first.astype(np.int32), x.tokens[index].view(np.int64))],
-                    ["key", "line", "template", "leaf", "before", "after", "tokens"])
+                    ["key", "line", "template", "leaf", "tokens"])
 
     return run
 
 
-def _recurring(rows: DataFrame, by: str, min_docs: int) -> DataFrame:
-    """Values of ``by`` in enough texts with enough different neighbours."""
-    many = rows.groupBy(by).count().where(F.col("count") >= min_docs).select(by)
-    seen = rows.join(cut_lineage(many), by)
-    seen = seen.withColumns({c: F.nullif(c, F.lit(0)) for c in ("before", "after")})  # 0: the text's edge
-    n = seen.groupBy(by).agg(F.countDistinct("key").alias("k"), *(f(c).alias(c[0] + str(i)) for c in ("before", "after") for i, f in enumerate((F.countDistinct, F.count))))
-    varied = F.expr(f"(b0 >= {min_docs} and 2 * b0 >= b1) or (a0 >= {min_docs} and 2 * a0 >= a1)")
-    return cut_lineage(n.where((F.col("k") >= min_docs) & varied).select(by))
-
-
 def _bitmap(leaves: DataFrame) -> np.ndarray:
     """BITS bits, set where a leaf's hash falls: BITS / 8 bytes whatever the number of leaves."""
     rows = leaves.groupBy(F.expr(f"bitmap_bucket_number(pmod(leaf, {BITS}) + 1)").alias("b")).agg(
@@ -128,31 +135,52 @@ def _bitmap(leaves: DataFrame) -> np.ndarray:
     return out
 
 
+def _groups(own: DataFrame, min_docs: int) -> DataFrame:
+    """(key, line, template): the group of each line of ``own`` (key, line, leaf, tokens) that has one."""
+    pairs = own.select("key", "line", "leaf", F.size("tokens").alias("words"), F.posexplode("tokens").alias("place", "word"))
+    often = pairs.groupBy("leaf", "place", "word").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs)
+    line = pairs.join(often, ["leaf", "place", "word"]).groupBy("key", "line", "leaf", "words").agg(
+        F.array_sort(F.collect_set(F.struct("place", "word", "c"))).alias("at"))
+
+    def constant(j):
+        return F.filter("at", lambda x: x["c"] >= F.lit(min_docs) * F.pow(F.lit(4.0), j))
+
+    levels = F.filter(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda j: F.size(constant(j)) >= CONSTANT * F.col("words"))
+    level = line.withColumn("level", F.explode(levels)).select(
+        "key", "line", "level", F.xxhash64("leaf", "words", F.transform(constant(F.col("level")), lambda x: F.struct(x["place"], x["word"]))).alias("template"))
+    level = cut_lineage(level)
+    enough = level.groupBy("template", "level").count().where(F.col("count") >= min_docs).select("template", "level")
+    return level.join(enough, ["template", "level"]).groupBy("key", "line").agg(F.min_by("template", "level").alias("template"))
+
+
 def template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10) -> DataFrame:
     """(key, line): lines of recurring templates; key = xxhash64(id, text), lines counted from 0."""
     spark = docs.sparkSession
     d = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     path = shared_table_path(spark, "lines")
-    d.mapInArrow(_line_rows, "key long, line int, words int, template long, leaf long, before long, after long").write.parquet(path)
+    d.mapInArrow(_line_rows, _LINE).write.parquet(path)
     lines = spark.read.parquet(path)
-    known = _recurring(lines.select("key", "template", "before", "after"), "template", min_docs)
-    dropped = lines.select("key", "line", "template").join(known, "template").select("key", "line")
+    known = cut_lineage(lines.where("first").groupBy("template").count().where(F.col("count") >= min_docs).select("template"))
     # the other lines, leaf by leaf
     other = lines.where(F.col("words") >= LONG).select("leaf", "template").join(known, "template", "left_anti")
     crowded = cut_lineage(other.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"))
     bitmap = spark.sparkContext.broadcast(_bitmap(crowded))
     path = shared_table_path(spark, "leaf_lines")
-    d.mapInArrow(lambda b: _open_rows(bitmap.value)(b), "key long, line int, template long, leaf long, before long, after long, tokens array<long>").write.parquet(path)
+    d.mapInArrow(lambda b: _open_rows(bitmap.value)(b), "key long, line int, template long, leaf long, tokens array<long>").write.parquet(path)
     own = spark.read.parquet(path).join(known, "template", "left_anti").join(crowded, "leaf")
-    size = own.groupBy("leaf").agg(F.count("*").alias("n"), F.max(F.size("tokens")).alias("words"))
-    word = own.select("leaf", F.posexplode("tokens").alias("place", "word")).groupBy("leaf", "place", "word").agg(F.count("*").alias("c"))
-    fixed = word.join(size, "leaf").where(F.col("c") >= SHARE * F.col("n"))
-    tree = fixed.groupBy("leaf").agg(F.max("words").alias("words"), F.collect_list(F.struct("place", "word")).alias("fixed")).where(
-        F.size("fixed") >= CONSTANT * F.col("words"))
-    agree = F.forall("fixed", lambda f: F.col("tokens")[f["place"]] == f["word"])
-    member = cut_lineage(own.join(tree.select("leaf", "fixed"), "leaf").where(agree).select("key", "line", "leaf", "before", "after"))
-    general = _recurring(member, "leaf", min_docs)
-    return dropped.union(member.join(general, "leaf").select("key", "line"))
+    common = lines.join(known, "template").select("key", "line", "template").unionByName(_groups(own, min_docs))
+    common = cut_lineage(common.distinct())  # of repeated rows once
+    # what each text says beside its common lines; a key's rows are alike, so their sums are a multiple of one row's
+    said = lines.join(common.select("key", "line", F.lit(1).alias("c")), ["key", "line"], "left")
+    alone, word, line = F.isnull("c"), F.col("words").cast("long"), F.col("exact").cast("decimal(20,0)")
+    text = said.groupBy("key").agg(
+        F.sum(F.col("head").cast("long")).alias("rows"), F.sum(F.when(alone, word).otherwise(0)).alias("own"),
+        F.sum(F.when(alone, 0).otherwise(word)).alias("shared"), F.sum(F.when(alone, line)).alias("rest"), F.sum(line).alias("all"))
+    mark = F.when(F.col("own") >= F.col("shared"), F.xxhash64(F.lit(0), F.col("rest") / F.col("rows"))).when(
+        F.col("shared") <= FEW * F.col("rows"), F.xxhash64(F.lit(1), F.col("all") / F.col("rows")))
+    votes = text.select("key", mark.alias("vote")).where("vote is not null")
+    recurring = common.join(votes, "key").select("template", "vote").distinct().groupBy("template").count().where(F.col("count") >= min_docs)
+    return common.join(recurring.select("template"), "template").select("key", "line")
 
 
 def _drop_rows(batches):

@@ -114,32 +114,98 @@ def test_sketches_fill_every_bin_and_estimate_jaccard():
 
 
 def _brute_templates(rows, min_docs):
-    """Texts' lines whose words agree up to words with digits, by the rules of the operator."""
-    seen = {}
-    for key in {(i, t) for i, t in rows if t is not None}:
-        lines = [(n, x) for n, x in enumerate(key[1].split("\n")) if cases.WORD.findall(x)]
-        marks = [tuple("<*>" if any(c in "0123456789" for c in w) else w for w in cases.WORD.findall(x)) for _, x in lines]
-        for j, (n, _) in enumerate(lines):
-            if 2 * sum(w == "<*>" for w in marks[j]) <= len(marks[j]):
-                seen.setdefault(marks[j], []).append((key, n, marks[j - 1] if j else None, marks[j + 1] if j + 1 < len(marks) else None))
-    out = set()
-    for places in seen.values():
-        for side in (2, 3):
-            near = [p[side] for p in places if p[side] is not None]
-            if len({p[0] for p in places}) >= min_docs and len(set(near)) >= min_docs and 2 * len(set(near)) >= len(near):
-                out |= {(p[0], p[1]) for p in places}
-    return out
+    """(text, line number) of the lines to drop, from the definition."""
+    def mark(x):
+        w = cases.WORD.findall(x)
+        fields = ["<*>" if any(c in "0123456789" for c in v) else v for v in w]
+        return tuple(fields if 2 * fields.count("<*>") <= len(w) else w)
+
+    texts = [((i, t), [(n, mark(x), tuple(cases.WORD.findall(x))) for n, x in enumerate(t.split("\n")) if cases.WORD.findall(x)]) for i, t in rows if t is not None]
+    rows_of = Counter(m for _, lines in texts for m in {m for _, m, _ in lines})
+    template = {(key, n): m for key, lines in texts for n, m, _ in lines if rows_of[m] >= min_docs}
+    # groups of the other long lines
+    leaf = {}
+    for key, lines in texts:
+        for n, m, _ in lines:
+            if (key, n) not in template and len(m) >= templates.LONG:
+                leaf.setdefault((len(m), m[:templates.DEPTH]), []).append((key, n, m))
+    for own in leaf.values():
+        c = Counter((p, w) for _, _, m in own for p, w in enumerate(m))
+        for j in reversed(range(templates.LEVELS)):
+            shape = {(key, n): tuple(w if c[p, w] >= min_docs * 4 ** j else None for p, w in enumerate(m)) for key, n, m in own}
+            size = Counter(shape[key, n] for key, n, _ in own)
+            for key, n, m in own:
+                x = shape[key, n]
+                if size[x] >= min_docs and len(m) - x.count(None) >= templates.CONSTANT * len(m):
+                    template[key, n] = (j, x)
+    votes = {}
+    for key, lines in texts:
+        alone = [e for n, _, e in lines if (key, n) not in template]
+        shared = [e for n, _, e in lines if (key, n) in template]
+        own, common = sum(map(len, alone)), sum(map(len, shared))
+        vote = (0, *sorted(alone)) if own >= common else (1, *sorted(alone + shared)) if common <= templates.FEW else None
+        for n, _, _ in lines:
+            if vote and (key, n) in template:
+                votes.setdefault(template[key, n], set()).add(vote)
+    return {at for at, m in template.items() if len(votes.get(m, ())) >= min_docs}
+
+
+def _template_case(spark, rows, min_docs=10):
+    """Rows dropped by the operator, after it has been held against brute force."""
+    got = templates.drop_template_lines(cases.frame(spark, [(*r, None, None, None, "x", 7, "c") for r in rows]), min_docs=min_docs).collect()
+    gone = _brute_templates(rows, min_docs)
+    want = Counter((i, None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if ((i, t), n) not in gone)) for i, t in rows)
+    assert Counter((r["rest"]["doc_id"], r["text"]) for r in got) == want
+    return got
+
+
+def test_blocks_of_boilerplate_go_whole(spark):
+    rng = random.Random(1)
+    header, footer = "Home | About | Contact us\nToday's offers on this page", "All rights reserved by the owners\nRead our terms of use\nTel: 555-1234 555-9999"
+    rows = [(i, f"{header}\n{cases.prose(rng, 60)}\n{cases.prose(rng, 40)}\n{footer}") for i in range(60)]
+    got = _template_case(spark, rows)
+    assert all(r["n_dropped"] == 5 and r["text"].count("\n") == 1 for r in got)
+
+
+def test_documents_of_boilerplate_alone(spark):
+    rows = [(i, f"copyright notice of this site for everyone\nPosted by {'alice bob carol dave'.split()[i % 4]}\nTel: 555-1234 555-{i:04}") for i in range(80)]
+    rows += [(100 + i, f"{t}\nclick here to read more about gadgets {'abcdefghijklmnopqrstuvwxyz'[i % 26] * 4}{'xyz'[i % 3]} today\nPosted by alice") for i, (_, t) in enumerate(rows[:70])]
+    got = _template_case(spark, rows)
+    assert all("copyright" not in r["text"] and "Posted" not in r["text"] and "click" not in r["text"] for r in got)
+
+
+def test_copies_switch_nothing_off_and_lose_nothing(spark):
+    rng = random.Random(2)
+    banner = "subscribe to our letter and never miss a story"
+    body = "\n".join(cases.prose(rng, 12) for _ in range(9))
+    rows = [(i, f"{cases.prose(rng, 50)}\n{banner}") for i in range(40)]
+    rows += [(100 + i, f"{body}\n{banner}") for i in range(90)]  # copies
+    lines = body.split("\n")
+    for i in range(90):  # near copies, each with a line of its own
+        own = list(lines)
+        own[i % 9] = cases.prose(rng, 12)
+        rows.append((300 + i, "\n".join([*own, banner])))
+    for r in _template_case(spark, rows):
+        assert r["n_dropped"] == 1 and banner not in r["text"]
+
+
+def test_several_templates_in_a_crowded_leaf(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    line = {0: lambda: f"the user has {word()} left the red room at noon", 1: lambda: f"the user has come to {word()} the old house again",
+            2: lambda: f"the user has {' '.join(word() for _ in range(7))}"}
+    rows = [(i, f"{cases.prose(rng, 40)}\n{line[i % 3]()}") for i in range(150)]
+    got = _template_case(spark, rows)
+    assert Counter((r["rest"]["doc_id"] % 3, r["n_dropped"]) for r in got) == {(0, 1): 50, (1, 1): 50, (2, 0): 50}
 
 
 def test_template_lines(spark):
-    rows = cases.documents()
-    got = templates.drop_template_lines(cases.frame(spark), min_docs=10).collect()
-    gone = _brute_templates([r[:2] for r in rows], 10)
-    want = Counter()
-    for i, t, *_ in rows:
-        want[(i, None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if ((i, t), n) not in gone))] += 1
-    assert Counter((r["rest"]["doc_id"], r["text"]) for r in got) == want
-    assert sum(r["n_dropped"] for r in got) == 12
+    rows = [r[:2] for r in cases.documents()]
+    _template_case(spark, rows)
+    # with a page of their own the twelve pages stand for themselves: number line and shared passage go
+    rng = random.Random(11)
+    own = [(i, f"{t}\n{cases.prose(rng, 120)}" if i is not None and 300 <= i < 312 else t) for i, t in rows]
+    assert sum(r["n_dropped"] for r in _template_case(spark, own)) == 24
 
 
 def test_template_with_variable_words(spark):
