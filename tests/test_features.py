@@ -186,7 +186,7 @@ def test_bm25_blocks_equal_the_definition(spark, monkeypatch):
                 s = sum(math.log(1 + (len(tf) - df[t] + 0.5) / (df[t] + 0.5)) * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for t in own)
                 score[d] = math.floor(s * 1e9 + 0.5) / 1e9
         want[r.item_id] = [d for d, _ in sorted(score.items(), key=lambda x: (-x[1], x[0]))[:8]]
-    for part, blocks in ((4096, 16), (16, 2)):
+    for part, blocks in ((2048, 1), (16, 2)):
         monkeypatch.setattr(SE, "PART", part)
         monkeypatch.setattr(SE, "BLOCKS", blocks)
         got = {}
