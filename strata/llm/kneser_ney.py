@@ -236,7 +236,8 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     good = trusted.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
-    model = cut_lineage(train(d.join(good.where(~held_out("doc_id")), "doc_id", "left_semi")))
+    # texts meet their ids by a merge at every size: a plan that broadcasts few ids would only look cheaper on small tables
+    model = cut_lineage(train(d.join(good.where(~held_out("doc_id")).hint("merge"), "doc_id", "left_semi")))
     sums = cut_lineage(perplexity(d, model, "doc_id", "text"))
     rows = d.select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("key")).join(sums, "key")
     test = rows.join(good.where(held_out("doc_id")), "doc_id", "left_semi").where("perplexity is not null")
