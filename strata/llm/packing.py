@@ -23,6 +23,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,18 +89,29 @@ class ChunkTokenizer:
         self.cache.update(zip(whole, map(self.runs.__getitem__, runs)))
         self.cache.update([(c, self.runs[run] + self.cache[signs]) for c, run, signs in signed])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+    def encode(self, texts: pa.Array) -> tuple[bytes, np.ndarray]:
+        """Little-endian unsigned 32-bit ids of the texts one after the other, and where each text's ids end (in ids)."""
         if len(self.cache) > CACHE:
             self.cache = {"": b""}
         if len(self.runs) > CACHE:
             self.runs = {}
-        chunks = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list(set().union(*chunks).difference(self.cache))
+        texts = texts.fill_null("")
+        for space in "\n\t\r":
+            texts = pc.replace_substring(texts, space, " ")
+        lists = pc.split_pattern(texts, " ")
+        chunks = lists.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        new = [c for c in distinct if c not in self.cache]
         for at in range(0, len(new), 10_000):
             self._add(new[at:at + 10_000])
-        get = self.cache.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+        raw = [self.cache[c] for c in distinct]
+        table = np.frombuffer(b"".join(raw), "<u4")
+        size = np.array([len(r) for r in raw], np.int64) // 4
+        start = np.cumsum(size) - size
+        own = chunks.indices.to_numpy()
+        ends = np.cumsum(size[own])
+        ids = table[np.repeat(start[own] - (ends - size[own]), size[own]) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids.tobytes(), np.append(0, ends)[np.cumsum(pc.list_value_length(lists).to_numpy())]
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}
@@ -112,11 +124,14 @@ def _piece_rows(path: str, window: int, end_id: int):
         tok = _tokenizers.get(path) or _tokenizers.setdefault(path, ChunkTokenizer(path))
         row = 0
         for batch in batches:
-            for part in bw.slices(batch, "text", 1 << 20):
+            for part in bw.slices(batch, "text", 1 << 22):
                 out = []
                 ids = part.column("doc_id").to_pylist()
-                for doc, got in zip(ids, tok.encode([t or "" for t in part.column("text").to_pylist()])):
-                    got += end
+                flat, ends = tok.encode(part.column("text"))
+                at = 0
+                for doc, to in zip(ids, (4 * ends).tolist()):
+                    got = flat[at:to] + end
+                    at = to
                     n = len(got) // 4
                     out += [(doc, s, min(window, n - s), zlib.crc32(got[4 * s:4 * min(s + window, n)]), n, row) for s in range(0, n, window)]
                     row += 1
