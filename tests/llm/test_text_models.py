@@ -109,11 +109,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit / sum(r["predicted"] for r in rows) > 0.9 and hit / sum(r["toxic"] for r in rows) > 0.7
 
 
+def _plain_symbols(text):
+    return ["^"] * (kn.ORDER - 1) + [" " if x.isspace() or x < " " else "0" if x.isdecimal() else x.lower() if len(x.lower()) == 1 else x for x in text]
+
+
 def _plain_model(texts):
     """Interpolated modified Kneser-Ney by its definition."""
     level = defaultdict(Counter)
     for t in texts:
-        c = [0] * (kn.ORDER - 1) + [int(kn.CLASS[min(ord(x), len(kn.CLASS) - 1)]) for x in t]
+        c = _plain_symbols(t)
         for i in range(kn.ORDER - 1, len(c)):
             level[kn.ORDER][tuple(c[i - kn.ORDER + 1:i + 1])] += 1
     for n in range(kn.ORDER - 1, 0, -1):
@@ -131,7 +135,7 @@ def _plain_model(texts):
 
     def p(n, g):
         if n == 0:
-            return 1 / 64
+            return 1 / (len(level[1]) + 1)
         same = {h: v for h, v in level[n].items() if h[:-1] == g[:-1]}
         if not same:
             return p(n - 1, g[1:])
@@ -142,22 +146,63 @@ def _plain_model(texts):
     return p
 
 
-@pytest.mark.parametrize("shard", [10**9, 40])
-def test_perplexity_equals_the_definition(spark, monkeypatch, shard):
-    monkeypatch.setattr(kn, "SHARD", shard)
-    train = ["the quiet river", "the stone house, 12 windows", "über die Brücke"]
-    test = ["the river house", "zzz %%% 99", "", None, "the river house"]
-    model = kn.train(spark.createDataFrame([(t,) for t in train], "text string"))
-    docs = spark.createDataFrame(list(enumerate(test)), "doc_id long, text string")
-    got = {r["doc_id"]: r["perplexity"] for r in docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).join(kn.perplexity(docs, model), "key").collect()}
-    p = _plain_model(train)
-    for i, t in enumerate(test):
+@pytest.mark.parametrize("slices", [1, 3])
+def test_perplexity_equals_the_definition(spark, slices):
+    train = ["the quiet river", "the stone house, 12 windows", "über die Brücke", "Тихая река 34\x00и дом", "静かな川", "the quiet river"]
+    test = ["the river house", "zzz %%% 99", "", None, "the river house", "ТИХИЙ дом", "川の家 \U0010ffff", "über\tdie Brücke İ"]
+    docs = spark.createDataFrame(list(enumerate(train + test)) + [(None, "the river"), (0, train[0])], "doc_id long, text string")
+    seen = kn.grams(docs, spark.range(len(train)).where("id <> 5").selectExpr("cast(id as int) id"), slices)
+    model = kn.train(seen)
+    got = {(r["doc_id"], r["text"]): r["perplexity"] for r in docs.withColumn("key", F.xxhash64("doc_id", "text")).join(kn.perplexity(docs, seen, model, slices), "key").collect()}
+    p = _plain_model(train[:5] + train[:1])  # the repeated row counts as it stands
+    assert len(got) == len(train) + len(test) + 1
+    for (_, t), x in got.items():
         if not t:
-            assert got[i] is None
+            assert x is None
             continue
-        c = [0] * (kn.ORDER - 1) + [int(kn.CLASS[ord(x)]) for x in t]
+        c = _plain_symbols(t)
         log = [math.log(p(kn.ORDER, tuple(c[j:j + kn.ORDER]))) for j in range(len(t))]
-        assert math.isclose(got[i], math.exp(-sum(log) / len(log)), rel_tol=1e-4)
+        assert math.isclose(x, math.exp(-sum(log) / len(log)), rel_tol=1e-9)
+
+
+def test_parts_of_long_texts(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcЖ川 1\n") for _ in range(rng.choice([1, 3, 40, 500]))) for _ in range(30)]
+    table = kn.pa.table({"id": kn.pa.array(range(30)), "key": kn.pa.array(range(30)), "text": kn.pa.array(texts)})
+    ids = kn.pa.table({"id": kn.pa.array([2, 3, 99])})
+    key = (kn.pa.scalar(5),)
+    whole = kn._slice_grams(key, table, ids)
+    values = whole.append_column("log_p", kn.pa.array(np.linspace(-1, -9, whole.num_rows)))
+    sums = kn._slice_sums(key, table, values)
+    expected = Counter()
+    for i in (2, 3):
+        c = _plain_symbols(texts[i].replace("^", " "))
+        expected.update("".join(c[j:j + kn.ORDER]).replace("^", chr(kn.BEGIN)) for j in range(len(texts[i])))
+    assert {g: n for g, n in zip(whole["gram"].to_pylist(), whole["c"].to_pylist()) if n} == expected
+    for part in (kn.ORDER - 1, 7, 100):
+        monkeypatch.setattr(kn, "PART", part)
+        assert kn._slice_grams(key, table, ids).equals(whole)
+        again = kn._slice_sums(key, table, values)
+        assert again["n"].equals(sums["n"]) and np.allclose(again["log_p"].to_numpy(), sums["log_p"].to_numpy())
+    assert sums["n"].to_pylist() == [len(t) for t in texts]
+    assert kn._slice_grams(key, table.slice(0, 0), ids).num_rows == 0
+
+
+def test_other_scripts_are_told_apart(spark):
+    """Good prose and gibberish of the same letters and word lengths, in Cyrillic and Greek."""
+    rng = random.Random(4)
+    words = {"ru": "тихая река течет мимо старого дома где каждое утро открывают окна сада".split(), "el": "το ήσυχο ποτάμι περνά δίπλα από παλιό σπίτι κάθε πρωί".split()}
+    rows, bad = [], set()
+    for i in range(2000):  # some 180 held-out rows a language set the quantiles
+        lang = rng.choice(["ru", "el"])
+        text = " ".join(rng.choice(words[lang]) for _ in range(40))
+        if i % 10 == 0:
+            bad.add(i)
+            text = " ".join("".join(rng.choice("".join(words[lang])) for _ in w) for w in text.split())
+        rows.append((i, text, lang))
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["kept"] for r in kn.quality(d, d.where("doc_id % 10 <> 0")).collect()}
+    assert not any(got[i] for i in bad) and sum(got.values()) > 0.95 * (2000 - len(bad))
 
 
 def test_quality_cases(spark):
