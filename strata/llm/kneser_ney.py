@@ -32,13 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import cut_lineage, shared_table_path
+from strata.session import shared_table_path
 
 from . import bytewords as bw
 
 ORDER = 5
 SLICE_BYTES = 32 << 20
-PART = 1 << 20  # symbols worked on at once; ORDER - 1 at least
+PART = 1 << 19  # symbols worked on at once; ORDER - 1 at least
 QUANTILES = (0.002, 0.995)
 BEGIN = 0x10FFFF  # stands before a text; no character
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -55,6 +55,13 @@ def _shuffles_deleted(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder as compressed Parquet and read back: cuts the lineage in less space than checkpoints."""
+    path = shared_table_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @lru_cache(1)
 def _symbols() -> np.ndarray:
     """Symbol of each code point."""
@@ -170,14 +177,11 @@ def slices(docs: DataFrame, text_col: str = "text") -> int:
 
 def grams(docs: DataFrame, trusted: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(slice, gram, c): distinct n-grams of each of ``n`` slices, c times in texts whose id is in ``trusted`` (first column); written."""
-    spark = docs.sparkSession
     texts = _dealt(docs, n, id_col, text_col)
     ids = trusted.select(F.col(trusted.columns[0]).cast(texts.schema["id"].dataType).alias("id")).where("id is not null").distinct()
     ids = ids.select(F.pmod(F.xxhash64("id"), F.lit(n)).alias("slice"), "id")
     out = texts.groupBy("slice").cogroup(ids.groupBy("slice")).applyInArrow(_slice_grams, "slice long, gram string, c long")
-    path = shared_table_path(spark, "grams")
-    out.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema("slice long, gram string, c long").parquet(path)
+    return _written(out, "grams")
 
 
 def _discounts(level: DataFrame) -> list[float]:
@@ -200,9 +204,9 @@ def train(counts: DataFrame) -> DataFrame:
 
     The symbols seen and one unseen share the probability of order 0.
     """
-    levels = {ORDER: cut_lineage(counts.where("c > 0").groupBy("gram").agg(F.sum("c").alias("c")))}
+    levels = {ORDER: _written(counts.where("c > 0").groupBy("gram").agg(F.sum("c").alias("c")), "counts")}
     for n in range(ORDER - 1, 0, -1):
-        levels[n] = cut_lineage(levels[n + 1].groupBy(F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("c")))
+        levels[n] = _written(levels[n + 1].groupBy(F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("c")), "counts")
     even = 1.0 / (levels[1].count() + 1)
     out, lower = None, None
     for n in range(1, ORDER + 1):
@@ -215,7 +219,7 @@ def train(counts: DataFrame) -> DataFrame:
             g = g.withColumn("p_low", F.lit(even))
         else:
             g = _join(g.withColumn("suffix", F.substring("gram", 2, n - 1)), lower, "suffix")
-        g = cut_lineage(g.select("gram", "ctx", (F.col("own") + F.col("weight") * F.col("p_low")).alias("p"), "weight"))
+        g = _written(g.select("gram", "ctx", (F.col("own") + F.col("weight") * F.col("p_low")).alias("p"), "weight"), "model")
         lower = g.select(F.col("gram").alias("suffix"), F.col("p").alias("p_low"))
         rows = g.select(F.lit(n).alias("order"), F.lit(0).alias("kind"), F.col("gram").alias("key"), F.log("p").alias("value")).union(
             g.groupBy("ctx").agg(F.first("weight").alias("w")).select(F.lit(n), F.lit(1), "ctx", F.log("w")))
@@ -244,7 +248,7 @@ def log_probabilities(seen: DataFrame, model: DataFrame) -> DataFrame:
 
 def perplexity(docs: DataFrame, seen: DataFrame, model: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, n, perplexity) per distinct (id, text), key = xxhash64(id, text); ``seen`` are the n-grams of the ``n`` slices of ``docs``."""
-    logs = cut_lineage(log_probabilities(seen, model))
+    logs = _written(log_probabilities(seen, model), "logs")
     values = _join(seen.select("slice", "gram"), logs, "gram").select("slice", "gram", "log_p")
     texts = _dealt(docs, n, id_col, text_col).select("slice", "key", "text")
     sums = texts.groupBy("slice").cogroup(values.groupBy("slice")).applyInArrow(_slice_sums, "key long, log_p double, n long")
@@ -267,8 +271,7 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     n = slices(d)
     with _shuffles_deleted(docs.sparkSession):
         seen = grams(d, good.where(~held_out("doc_id")), n)
-        model = cut_lineage(train(seen))
-        sums = cut_lineage(perplexity(d, seen, model, n))
+        sums = _written(perplexity(d, seen, train(seen), n), "perplexity")
     rows = d.select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("key")).join(sums, "key")
     test = rows.join(good.where(held_out("doc_id")), "doc_id", "left_semi").where("perplexity is not null")
     low, high = (F.percentile_approx("perplexity", q, 100_000).alias(c) for q, c in zip(quantiles, ("low", "high")))
