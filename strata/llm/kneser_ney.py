@@ -37,7 +37,7 @@ from strata.session import shared_table_path
 from . import bytewords as bw
 
 ORDER = 5
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 48 << 20
 PART = 1 << 19  # symbols worked on at once; ORDER - 1 at least
 QUANTILES = (0.002, 0.995)
 BEGIN = 0x10FFFF  # stands before a text; no character
