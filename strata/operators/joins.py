@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +83,7 @@ def tier_join(df: DataFrame, x: str, tiers: DataFrame, lo: str = "lower_bound",
 
 
 def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str, how: str = "inner",
-               key: str | None = None) -> DataFrame:
+               key: str | None = None, count: Mapping[str, str] | None = None) -> DataFrame:
     """JOIN-08 half-open range join lo <= x < hi for two large relations: all pairs, by a sorted sweep.
 
     Quantile cut points of the points and interval ends together deal everything into slots: a cut point,
@@ -99,8 +99,16 @@ def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str, ho
 
     Null or empty intervals and null points match nothing.  ``how='left'`` re-attaches unmatched points
     by the unique ``key``.  x, lo and hi are numbers, dates or timestamps.
+
+    ``count`` ({output: point column}) counts each interval's matches with a value in that column where
+    they are found, in place of the pairs, whose number grows with points times intervals: a run of the
+    sweep is its length, and whole slots are a difference of two running counts over the slots (at most
+    2 * SLOTS rows).  An interval with a match has one to three rows (whole slots, either end), to be
+    added up by whoever groups them.
     """
     from .windows import _slots, quantile_cuts, slot_of
+    if count is not None and how != "inner":
+        raise ValueError("counts are of an inner range_join")
     iv = intervals.where(F.col(lo) < F.col(hi))
     ends = df.select(F.col(x).alias("v")).union(iv.select(lo)).union(iv.select(hi))
     cuts = quantile_cuts(ends, "v", _slots(df.sparkSession))
@@ -108,9 +116,12 @@ def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str, ho
     iv = iv.withColumns({"_a": slot_of(F.col(lo), cuts), "_b": slot_of(F.col(hi), cuts)})
     # whole slots: a cut point at lo belongs to the interval, one at hi doesn't
     first = F.col("_a") + (F.col("_a") % 2 == 0).cast("int")
-    whole = iv.where(first < F.col("_b")).withColumn("_slot", F.explode(F.sequence(first, F.col("_b") - 1))).drop("_a", "_b")
-    hit = pts.join(whole, "_slot").drop("_slot")
+    whole = iv.where(first < F.col("_b"))
     part = iv.withColumn("_slot", F.explode(F.array_distinct(F.filter(F.array("_a", "_b"), lambda s: s % 2 == 0)))).drop("_a", "_b")
+    if count is not None:
+        return _counts(pts, x, whole.withColumn("_a", first), part, intervals, lo, hi, len(cuts), count)
+    whole = whole.withColumn("_slot", F.explode(F.sequence(first, F.col("_b") - 1))).drop("_a", "_b")
+    hit = pts.join(whole, "_slot").drop("_slot")
     names = [*df.columns, *intervals.columns]
     schema = T.StructType([*df.schema.fields, *intervals.schema.fields])
     swept = pts.groupBy("_slot").cogroup(part.groupBy("_slot")).applyInArrow(
@@ -124,16 +135,57 @@ def range_join(df: DataFrame, x: str, intervals: DataFrame, lo: str, hi: str, ho
     return hit.unionByName(miss, allowMissingColumns=True)
 
 
+def _counts(pts: DataFrame, x: str, whole: DataFrame, part: DataFrame, intervals: DataFrame, lo: str, hi: str,
+            n_cuts: int, count: Mapping[str, str]) -> DataFrame:
+    """``range_join``'s counts: of whole slots ``_a`` to ``_b`` - 1 by running counts, of the ends' slots by the sweep."""
+    counted = {"_pairs": F.lit(1), **{n: F.col(c) for n, c in count.items()}}
+    # one row per slot, empty ones too: how many points lie in the slots before it
+    slots = pts.sparkSession.range(2 * n_cuts + 2).select(F.col("id").cast("int").alias("_slot"))
+    slots = slots.join(pts.groupBy("_slot").agg(*(F.count(c).alias(n) for n, c in counted.items())), "_slot", "left")
+    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select("_slot", F.struct(*(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in counted)).alias("_n"))
+    a, b = (F.broadcast(slots.select(F.col("_slot").alias(s), F.col("_n").alias(f"_n{s}"))) for s in ("_a", "_b"))
+    whole = whole.join(a, "_a").join(b, "_b").select(
+        *intervals.columns, *((F.col(f"_n_b.{n}") - F.col(f"_n_a.{n}")).alias(n) for n in counted))
+    schema = T.StructType([*intervals.schema.fields, *(T.StructField(n, T.LongType()) for n in counted)])
+    pts = pts.select("_slot", x, *(c.isNotNull().alias(n) for n, c in counted.items()))
+    swept = pts.groupBy("_slot").cogroup(part.groupBy("_slot")).applyInArrow(
+        _sweep_counts(x, intervals.columns, lo, hi, list(counted)), schema)
+    return whole.unionByName(swept).where(F.col("_pairs") > 0).drop("_pairs")
+
+
+def _runs(points, intervals, x: str, lo: str, hi: str):
+    """The points in order, and of each interval where the run of its matches begins and ends."""
+    import numpy as np
+
+    points = points.sort_by(x)
+    at = points.column(x).to_numpy()
+    a, b = (np.searchsorted(at, intervals.column(c).cast(points.column(x).type).to_numpy()) for c in (lo, hi))
+    return points, a, np.maximum(a, b)
+
+
+def _sweep_counts(x: str, interval_cols: Sequence[str], lo: str, hi: str, counted: Sequence[str]):
+    """The intervals of one slot, each with the number of its matches that hold a value."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(points: pa.Table, intervals: pa.Table) -> pa.Table:
+        points, a, b = _runs(points, intervals, x, lo, hi)
+        upto = (np.concatenate([[0], np.cumsum(points.column(c).to_numpy(), dtype="int64")]) for c in counted)
+        return pa.Table.from_arrays([*(intervals.column(c) for c in interval_cols), *(pa.array(n[b] - n[a]) for n in upto)],
+                                    [*interval_cols, *counted])
+
+    return run
+
+
 def _sweep(point_cols: Sequence[str], x: str, interval_cols: Sequence[str], lo: str, hi: str):
     """All pairs lo <= x < hi of one slot: points in order, each interval's matches one run of them."""
     import numpy as np
     import pyarrow as pa
 
     def run(points: pa.Table, intervals: pa.Table) -> pa.Table:
-        points = points.select(list(point_cols)).sort_by(x)
-        at = points.column(x).to_numpy()
-        a, b = (np.searchsorted(at, intervals.column(c).cast(points.column(x).type).to_numpy()) for c in (lo, hi))
-        n = np.maximum(b - a, 0)
+        points, a, b = _runs(points.select(list(point_cols)), intervals, x, lo, hi)
+        n = b - a
         # positions a, a + 1, ..., b - 1 of every interval, one after the other
         take = np.arange(n.sum()) + np.repeat(a - (np.cumsum(n) - n), n)
         left, right = points.take(pa.array(take)), intervals.take(pa.array(np.repeat(np.arange(len(n)), n)))

@@ -51,6 +51,20 @@ def test_range_join_equals_all_pairs(spark, kind):
     assert {r.pid for r in left if r.iid is not None} == {p for p, x in xs if x == 5.0}
 
 
+@pytest.mark.parametrize("kind", ["hot", "skewed", "ties"])
+def test_range_join_counts_are_those_of_all_pairs(spark, kind):
+    rng = random.Random(kind)
+    a = spark.createDataFrame([(i, x, i if i % 3 else None) for i, x in enumerate(_points(kind, rng))], "pid long, x double, v long")
+    iv = [(i % 50, *sorted((rng.uniform(0, 60), rng.uniform(0, 60)))) for i in range(60)]
+    iv += [(100, -1e9, 1e9), (101, 5.0, 5.0), (None, 5.0, math.nextafter(5.0, 9)), (105, 200.0, 300.0), (100, -1e9, 1e9)]
+    b = spark.createDataFrame(iv, "iid long, lo double, hi double")
+    want = J.range_join(a, "x", b, "lo", "hi").groupBy("iid").agg(F.count("v").alias("n"), F.count("pid").alias("m")).collect()
+    x = J.range_join(a, "x", b, "lo", "hi", count={"n": "v", "m": "pid"})
+    assert x.count() <= 3 * len(iv)  # never a row a pair
+    got = x.groupBy("iid").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in want} and len(got) == len(want)
+
+
 def test_range_join_of_dates_and_of_nothing(spark):
     days = spark.range(40).select(F.col("id").alias("pid"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     iv = spark.sql("SELECT 1L AS iid, date'2024-01-05' AS lo, date'2024-01-08' AS hi")
