@@ -855,8 +855,18 @@ def gen_sessions(spark, d):
                                     F.max("log_in").alias("last_login"))
 
 
+# customers whose sessions one task draws: at most 59 each
+GEN_CUSTOMERS = 10_000
+
+
+def _gen_tasks(c) -> int:
+    return max(1, -(-c.count() // GEN_CUSTOMERS))
+
+
 def gen_session_rows(spark, d, lo: int = 20, span: int = 40):
     c = T(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    # dealt before the fan-out: a small file of keys is one task, whatever it grows to
+    c = c.repartition(_gen_tasks(c))
     s = K.fan_out(c, "user_id", lo, span, salt="nsess")
     return s.select("user_id", "seq", K.ts_between(["user_id", "seq"], "login", "2024-01-01 00:00:00", 30).alias("log_in"))
 
@@ -867,13 +877,19 @@ def gen_session_rows(spark, d, lo: int = 20, span: int = 40):
           "substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(seq AS VARCHAR)), 1, 12) AS match_id FROM s) "
           "SELECT kills, count(*) AS events, sum(assists) AS assists, count(DISTINCT match_id) AS matches FROM e GROUP BY 1", big="assists")
 def gen_game_events(spark, d):
-    """GEN-10 game events from synthesised sessions: stats by salted hash buckets, md5-prefix match ids."""
+    """GEN-10 game events from synthesised sessions: stats by salted hash buckets, md5-prefix match ids.
+
+    Events are dealt by match id to as many tasks as drew them, so matches are told apart task by task:
+    a table of all ids that a task has seen is no larger than its share, whatever the number of customers.
+    """
     s = gen_session_rows(spark, d)
     e = s.select("user_id", K.bucket(["user_id", "seq"], "kills", 10).alias("kills"),
                  K.bucket(["user_id", "seq"], "assists", 6).alias("assists"),
                  F.substring(F.md5(F.concat_ws("-", F.col("user_id").cast("string"), F.col("seq").cast("string"))), 1, 12).alias("match_id"))
-    return e.groupBy("kills").agg(F.count(F.lit(1)).alias("events"), F.sum("assists").alias("assists"),
-                                  F.countDistinct("match_id").alias("matches"))
+    e = e.select("kills", "assists", "match_id").repartition(_gen_tasks(T(spark, d, "customer")), "match_id")
+    one = e.groupBy("kills", "match_id").agg(F.count(F.lit(1)).alias("events"), F.sum("assists").alias("assists"))
+    return one.groupBy("kills").agg(F.sum("events").alias("events"), F.sum("assists").alias("assists"),
+                                    F.count("match_id").alias("matches"))
 
 
 @register("expr_variant_path", "SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_total FROM events GROUP BY 1",
