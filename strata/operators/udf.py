@@ -14,11 +14,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 
+# characters that a model sees at once (or one row): what it makes of them is held beside the Arrow batch
+SLICE_CHARS = 1 << 20
+
+
+def _slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Runs of rows with about ``SLICE_CHARS`` characters; a longer row stands alone."""
+    size = pd.Series(0, index=pdf.index, dtype="int64")
+    for c in pdf.columns:
+        if not pd.api.types.is_numeric_dtype(pdf[c]):
+            size += pdf[c].map(lambda v: len(v) if hasattr(v, "__len__") else 0).fillna(0).astype("int64")
+    slot = ((size.cumsum() - size) // SLICE_CHARS).to_numpy()
+    first = [0, *((slot[1:] != slot[:-1]).nonzero()[0] + 1), len(pdf)]
+    for a, b in zip(first[:-1], first[1:]):
+        yield pdf.iloc[a:b].reset_index(drop=True)
+
+
 def apply_text_model(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """UDF-04 row-wise model over batches: ``fn(batch_pdf) -> result_pdf`` (same row count)."""
+    """UDF-04 row-wise model over batches: ``fn(batch_pdf) -> result_pdf`` (same row count).
+
+    An Arrow batch has as many rows whatever their texts' lengths, so it's handed on in slices of
+    ``SLICE_CHARS`` characters.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield fn(b)
+            yield from map(fn, _slices(b))
     return df.mapInPandas(run, schema)
 
 
@@ -30,9 +50,10 @@ def apply_per_group(df: DataFrame, keys: Sequence[str], fn: Callable[[pd.DataFra
 def text_stats(pdf: pd.DataFrame) -> pd.DataFrame:
     """A small example model: sentence count, mean word length and a readability-like score."""
     t = pdf["text"].fillna("")
-    words = t.str.split()
-    n_words = words.str.len().clip(lower=1)
-    mean_len = words.map(lambda w: sum(len(x) for x in w) / max(len(w), 1))
+    # a text's words are let go before the next text's are made
+    counted = [(len(w), sum(map(len, w))) for w in (x.split() for x in t)]
+    n_words = pd.Series([max(n, 1) for n, _ in counted], index=t.index, dtype="int64")
+    mean_len = pd.Series([chars / max(n, 1) for n, chars in counted], index=t.index, dtype="float64")
     sentences = t.str.count(r"[.!?]").clip(lower=1)
     return pd.DataFrame({"doc_id": pdf["doc_id"], "sentences": sentences.astype("int64"),
                          "mean_word_len": mean_len.astype("float64"),

@@ -236,3 +236,56 @@ def test_promises_come_from_redacted_text(spark):
     turns = spark.createDataFrame([(1, 1, "assistant", text)], "conv_id int, turn int, role string, text string")
     got = TX.commitments(TX.redact(turns, "text"), "conv_id", "turn", "role", "text").first()["commitment"]
     assert got == ("Commitment: I will email you at [EMAIL] or [PHONE] or [PHONE], card [CARD], ssn [SSN], host [IP], born [DOB] today.")
+
+
+def test_a_text_model_sees_bounded_slices(spark, monkeypatch):
+    from strata.operators import udf
+    texts = ["a bb. " * 300, None, "", "one two! three", "x" * 5000, "y z?"] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    schema = "doc_id long, sentences long, mean_word_len double, words_per_sentence double"
+    want = udf.text_stats(df.toPandas())
+    monkeypatch.setattr(udf, "SLICE_CHARS", 4000)
+    slices = list(udf._slices(df.toPandas()))
+    assert sum(map(len, slices)) == len(texts) and len(slices) > 20
+    assert all(len(s) == 1 or s["text"].fillna("").str.len()[:-1].sum() < 4000 for s in slices)
+
+    def seen(pdf):
+        return udf.text_stats(pdf).assign(words_per_sentence=float(len(pdf)))
+
+    rows = udf.apply_text_model(df, seen, schema).collect()
+    assert [tuple(r)[:3] for r in rows] == [tuple(r)[:3] for r in want.itertuples(index=False)]
+
+
+def test_game_events_are_dealt_before_they_are_drawn(spark, tmp_path, monkeypatch):
+    from strata.plans import q_core
+    spark.range(100).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    want = sorted(map(tuple, q_core.gen_game_events(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(q_core, "GEN_CUSTOMERS", 10)
+    assert q_core.gen_session_rows(spark, str(tmp_path)).rdd.getNumPartitions() == 10
+    assert sorted(map(tuple, q_core.gen_game_events(spark, str(tmp_path)).collect())) == want
+    assert len(want) == 10 and 2000 <= sum(r[1] for r in want) < 6000
+
+
+def test_summaries_in_parts_are_those_of_one_part(spark, monkeypatch):
+    rows = [(i % 40, f"alpha w{i % 7} beta. gamma w{i % 5} delta? w{i} alone here!  . w{i % 3} w{i % 3} w{i} tail") for i in range(60)]
+    rows += [(100, None), (101, ""), (102, " .  ... "), (103, "one"), (None, "alpha gamma. w1 w2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r.doc_id: r.summary for r in TX.summarize(df, "doc_id", "text").collect()}
+    monkeypatch.setattr(TX, "SUMMARY_PART_BYTES", 200)
+    cut = TX.summarize(df, "doc_id", "text")
+    assert {r.doc_id: r.summary for r in cut.collect()} == want and set(want) == {*range(40), 103}
+    # the two rows of document 0 are one: its sentences at the same place come together
+    assert want[39] == "w39 alone here. w0 w0 w39 tail"
+    # no row a word is shuffled: texts, keys and the parts' terms are
+    assert "Join" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_index_has_a_task_a_part(spark, monkeypatch):
+    from strata.operators import search
+    docs = spark.createDataFrame([(i, f"w{i} w{i % 3} " * (1 + i % 9)) for i in range(90)], "doc_id long, text string")
+    monkeypatch.setattr(search, "PART", 4)
+    plans = []
+    monkeypatch.setattr(search, "materialize", lambda df, path: plans.append(df) or df)
+    search.build_index(docs, "doc_id", "text")
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 23)" in plan
