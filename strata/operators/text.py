@@ -4,7 +4,8 @@ Per-row work stays in JVM expressions: regex replacement/counting, and
 lexicon scoring as higher-order array functions over the token array, so
 classification and sentiment need no shuffle and no Python.  Only the
 extractive summary needs corpus statistics (document frequency), computed as
-a grouped aggregate and joined back.  Whole texts are processed.
+a grouped aggregate and handed back to parts of the documents, which array
+code scores.  Whole texts are processed.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import round_half
-
 # PII kinds in replacement order -> (pattern, placeholder).  Patterns use the
 # regex subset shared by Java and RE2 (no look-around, no back-references, no \b).
 PII_PATTERNS = [
@@ -117,6 +116,10 @@ def sentences(df: DataFrame, key: str, col: str) -> DataFrame:
         .where(F.length(F.trim("sentence")) > 0)
 
 
+# text of a part: what one task scores at once
+SUMMARY_PART_BYTES = 8 << 20
+
+
 def summarize(df: DataFrame, key: str, col: str, k: int = 2, out: str = "summary") -> DataFrame:
     """TXT-08 extractive k-sentence summary.
 
@@ -124,21 +127,71 @@ def summarize(df: DataFrame, key: str, col: str, k: int = 2, out: str = "summary
     df is counted over documents (distinct terms per document, aggregated), the
     top k sentences per document (ties by position) are re-emitted in their
     original order.
+
+    Documents are dealt to parts of about ``SUMMARY_PART_BYTES`` of text.  What is shuffled are the
+    texts and each part's distinct terms, never a row per word: a part's terms are counted where its
+    texts lie, summed by term and handed back with their weight.
     """
-    s = sentences(df, key, col)
-    tok = s.select(key, "pos", F.explode(tokens("sentence")).alias("term")).where(F.length("term") > 0)
-    tf = tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    from pyspark.sql.pandas.types import to_arrow_type
+    parts = max(1, -(-(df.agg(F.sum(F.octet_length(col).cast("bigint"))).first()[0] or 0) // SUMMARY_PART_BYTES))
+    dealt = df.select(F.pmod(F.xxhash64(key), F.lit(parts)).alias("_part"), key, col).repartition(parts, "_part")
+    terms = dealt.select("_part", key, F.explode(F.array_distinct(tokens(col))).alias("term")).where(F.length("term") > 0)
+    held = terms.distinct().groupBy("_part", "term").agg(F.count(F.lit(1)).alias("_n"))
     n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()
-    w = tf.join(dfreq, "term") \
-        .select(key, "term", (F.col("tf") * F.log(n_docs / F.col("df"))).alias("tfidf"))
-    # snapped to 1e-9, so that exact ties (repeated lines) break by position in every engine
-    sc = tok.join(w, [key, "term"]).groupBy(key, "pos").agg(round_half(F.sum("tfidf") / F.count(F.lit(1)), 9).alias("score"))
-    top = sc.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), F.asc("pos")))) \
-        .where(F.col("_r") <= k)
-    picked = top.join(s, [key, "pos"])
-    g = picked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("_s"))
-    return g.select(key, F.concat_ws(". ", F.transform("_s", lambda x: F.trim(x["sentence"]))).alias(out))
+    dfreq = F.sum("_n").over(Window.partitionBy("term"))
+    idf = held.select("_part", "term", dfreq.alias("df")).select("_part", "term", F.log(n_docs / F.col("df")).alias("idf"))
+    s = dealt.where(F.col(key).isNotNull()).select("_part", key, F.split(F.col(col), SENTENCE_SPLIT).alias("_s"))
+    s = s.withColumn("_t", F.transform("_s", lambda x: F.filter(tokens(x), lambda t: F.length(t) > 0)))
+    kind = df.schema[key].dataType
+    return s.groupBy("_part").cogroup(idf.groupBy("_part")).applyInArrow(
+        _pick_sentences(key, to_arrow_type(kind), k, out), f"`{key}` {kind.simpleString()}, `{out}` string")
+
+
+def _pick_sentences(key: str, key_type, k: int, out: str):
+    """The summaries of one part from its documents' sentences, their tokens and the part's weights."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def flat(column) -> tuple:
+        """The rows' lists one after the other, each element's row and its place there."""
+        n = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(n)), n)
+        return column.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+
+    def run(docs: pa.Table, weights: pa.Table) -> pa.Table:
+        keys = docs.column(key).combine_chunks().dictionary_encode()
+        doc = keys.indices.to_numpy(zero_copy_only=False).astype("int64")
+        text, row, pos = flat(docs.column("_s").combine_chunks())
+        word, line, _ = flat(flat(docs.column("_t").combine_chunks())[0])
+        found = []
+        if len(word):
+            # rows with the same key are one document, their sentences at the same place are one
+            places = int(pos.max()) + 1
+            ids, sentence = np.unique(doc[row] * places + pos, return_inverse=True)
+            term = pc.index_in(word, value_set=weights.column("term").combine_chunks()).to_numpy(zero_copy_only=False).astype("int64")
+            _, pair, tf = np.unique(doc[row[line]] * len(weights) + term, return_inverse=True, return_counts=True)
+            tfidf = tf[pair] * weights.column("idf").to_numpy()[term]
+            of = sentence[line]
+            n = np.bincount(of, minlength=len(ids))
+            # snapped to 1e-9, so that exact ties (repeated lines) break by position in every engine
+            score = np.floor(np.bincount(of, weights=tfidf, minlength=len(ids)) / np.maximum(n, 1) * 1e9 + 0.5) / 1e9
+            best = np.lexsort((ids, -score, ids // places))
+            best = best[n[best] > 0]
+            owner = ids[best] // places
+            rank = np.arange(len(best)) - np.searchsorted(owner, owner)
+            taken = np.flatnonzero(np.isin(sentence, best[rank < k]))
+            lines = sorted((d, p, t) for d, p, t in zip(doc[row[taken]].tolist(), pos[taken].tolist(), text.take(pa.array(taken)).to_pylist())
+                           if t.strip(" "))
+            for d, _, t in lines:
+                if found and found[-1][0] == d:
+                    found[-1][1].append(t.strip(" "))
+                else:
+                    found.append((d, [t.strip(" ")]))
+        return pa.Table.from_arrays([keys.dictionary.take(pa.array([d for d, _ in found], "int64")).cast(key_type),
+                                     pa.array([". ".join(x) for _, x in found], "string")], [key, out])
+
+    return run
 
 
 def commitments(turns: DataFrame, key: str, order: str, role_col: str, text_col: str,
