@@ -37,8 +37,9 @@ def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
     ``keys``, ``tfs`` and ``dls`` are the block's documents that hold the term, how often, and their
     lengths; ``tf_max`` and ``dl_min`` bound the weight of any of them whatever the corpus' mean length
     is.  ``tokens`` and ``heads`` (documents that begin with the term) add up to the corpus' tokens and
-    documents.  Texts are tokenised once and dealt by block, so counting, grouping and writing take
-    no further shuffle; ``key`` is unique; documents without a token hold no postings.
+    documents.  Texts are tokenised once and dealt by block to as many tasks as there are parts (so a
+    task's share doesn't grow with the corpus), and counting, grouping and writing take no further
+    shuffle; ``key`` is unique; documents without a token hold no postings.
     """
     parts = max(1, -(-corpus.count() // PART))
     toks = corpus.select(key, F.filter(tokens(col), lambda t: F.length(t) > 0).alias("_t")).where(F.size("_t") > 0)
@@ -46,7 +47,7 @@ def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
     toks = toks.select(
         F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"),
         (F.floor(F.log2(dl) * CLASSES) * BLOCKS + F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS))).cast("int").alias("block"),
-        key, dl.alias("dl"), "_t").repartition("part", "block")
+        key, dl.alias("dl"), "_t").repartition(parts, "part", "block")
     one = toks.select("part", "block", key, "dl", F.posexplode("_t").alias("_i", "term")) \
         .groupBy("part", "block", "term", key, "dl").agg(F.count(F.lit(1)).alias("tf"), F.min("_i").alias("_i"))
     rows = one.groupBy("part", "block", "term").agg(
