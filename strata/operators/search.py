@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -25,6 +27,8 @@ K1, B = 1.2, 0.75
 # documents of a part of the index (what one task scores) and, of each length class of a part, blocks
 PART = 2048
 BLOCKS = 1
+# characters of a part: more parts if the documents are long
+PART_CHARS = 1 << 24
 # length classes an octave: documents of a block differ in length by a factor of 2 ** (1 / CLASSES) at most
 CLASSES = 2
 # scores are snapped to 1e-9; blocks are skipped only if their bound lies this far below the threshold
@@ -38,26 +42,48 @@ def build_index(corpus: DataFrame, key: str, col: str) -> DataFrame:
     lengths; ``tf_max`` and ``dl_min`` bound the weight of any of them whatever the corpus' mean length
     is.  ``tokens`` and ``heads`` (documents that begin with the term) add up to the corpus' tokens and
     documents.  Texts are tokenised once and dealt by block to as many tasks as there are parts (so a
-    task's share doesn't grow with the corpus), and counting, grouping and writing take no further
-    shuffle; ``key`` is unique; documents without a token hold no postings.
+    task's share doesn't grow with the corpus), and counting and writing take no further shuffle: a
+    block's tokens are counted as arrays of numbers, with no row a token.  ``key`` is unique; documents
+    without a token hold no postings.
     """
-    parts = max(1, -(-corpus.count() // PART))
+    n, chars = corpus.agg(F.count(F.lit(1)), F.sum(F.length(col))).first()
+    parts = max(1, -(-n // PART), -(-(chars or 0) // PART_CHARS))
     toks = corpus.select(key, F.filter(tokens(col), lambda t: F.length(t) > 0).alias("_t")).where(F.size("_t") > 0)
     dl = F.size("_t")
     toks = toks.select(
         F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"),
         (F.floor(F.log2(dl) * CLASSES) * BLOCKS + F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS))).cast("int").alias("block"),
-        key, dl.alias("dl"), "_t").repartition(parts, "part", "block")
-    one = toks.select("part", "block", key, "dl", F.posexplode("_t").alias("_i", "term")) \
-        .groupBy("part", "block", "term", key, "dl").agg(F.count(F.lit(1)).alias("tf"), F.min("_i").alias("_i"))
-    rows = one.groupBy("part", "block", "term").agg(
-        F.collect_list(F.struct(F.col(key).alias("k"), "tf", "dl")).alias("_p"), F.max("tf").alias("tf_max"), F.min("dl").alias("dl_min"),
-        F.sum("tf").alias("tokens"), F.sum((F.col("_i") == 0).cast("long")).alias("heads"))
-    rows = rows.select("part", "block", "term", "tf_max", "dl_min", "tokens", "heads",
-                       F.col("_p.k").alias("keys"), F.col("_p.tf").alias("tfs"), F.col("_p.dl").alias("dls"))
+        F.col(key).alias("_k"), "_t").repartition(parts, "part", "block")
+    rows = toks.groupBy("part", "block").applyInArrow(
+        _postings, "part bigint, block int, term string, tf_max bigint, dl_min int, tokens bigint, heads bigint, "
+        f"keys array<{corpus.schema[key].dataType.simpleString()}>, tfs array<bigint>, dls array<int>")
     return materialize(rows, shared_table_path(corpus.sparkSession, "block_index"))
 
 
+def _postings(rows: pa.Table) -> pa.Table:
+    """One row per term of a block's documents; rows of one key and length count as one document."""
+    texts = rows.column("_t").combine_chunks()
+    size = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = texts.flatten().dictionary_encode()
+    term, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    keys = rows.column("_k").combine_chunks()
+    own = keys.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    _, at, doc = np.unique(own * (size.max() + 1) + size, return_index=True, return_inverse=True)
+    n = len(at)
+    pair, tf = np.unique(term * n + np.repeat(doc, size), return_counts=True)
+    of, held = pair // n, at[pair % n]
+    first = np.searchsorted(of, np.arange(len(words) + 1))
+    dls, starts = size[held].astype(np.int32), np.cumsum(size) - size
+    heads = np.bincount(np.unique(term[starts] * n + doc) // n, minlength=len(words))
+    lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), v) for v in (keys.take(pa.array(held)), pa.array(tf, pa.int64()), pa.array(dls))]
+    lo = first[:-1]
+    return pa.Table.from_arrays(
+        [pa.array(np.full(len(words), rows.column(c)[0].as_py()), t) for c, t in (("part", pa.int64()), ("block", pa.int32()))]
+        + [words, pa.array(np.maximum.reduceat(tf, lo), pa.int64()), pa.array(np.minimum.reduceat(dls, lo)), pa.array(np.add.reduceat(tf, lo), pa.int64()),
+           pa.array(heads, pa.int64()), *lists],
+        ["part", "block", "term", "tf_max", "dl_min", "tokens", "heads", "keys", "tfs", "dls"])
+
+
 def _weight(tf, dl, avgdl):
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
 
@@ -65,9 +91,6 @@ def _weight(tf, dl, avgdl):
 def _score_part(qkey: str, key: str, query_type, key_type, avgdl: float, k: int):
     """Top k documents of one part for one block of queries, best blocks first."""
 
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
     def flat(column) -> tuple[np.ndarray, np.ndarray]:
         """The rows' lists one after the other, and each element's row."""
         column = column.combine_chunks()
@@ -119,7 +142,9 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
     ties by document key).  ``where`` filters the corpus first (attribute filters); ``index`` is
     what ``build_index`` made of the filtered corpus, if it is kept from an earlier search.
 
-    Queries are dealt to blocks of ``QUERY_BLOCK``.  The index rows of a block's terms are read once,
+    Queries are dealt to blocks of ``QUERY_BLOCK``.  Their terms are written before they meet the index, so
+    that their size is known: few are broadcast and the rows of other terms stay where they are read, many
+    are joined by a shuffle.  The index rows of a block's terms are read once,
     with the queries that hold the term and its idf beside them, and grouped by part: a task sums the
     terms' weights for all documents of a part and all queries of a block.  It takes the part's blocks
     in order of their bounds (the sum over a query's terms of idf times the largest weight in the
@@ -134,10 +159,12 @@ def bm25_search(corpus: DataFrame, key: str, col: str, queries: DataFrame, qkey:
         index = build_index(corpus, key, col)
     n_tokens, n_docs = index.agg(F.sum("tokens"), F.sum("heads")).first()
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    df = index.groupBy("term").agg(F.sum(F.size("keys")).alias("df"))
     q = queries.select(F.col(qkey).alias("_q"), F.explode(F.array_distinct(tokens(qcol))).alias("term")).where(F.length("term") > 0)
     q = q.groupBy(F.pmod(F.xxhash64("_q"), F.lit(blocks)).alias("_block"), "term").agg(F.sort_array(F.collect_set("_q")).alias("queries"))
+    q = materialize(q, shared_table_path(corpus.sparkSession, "asked"))
+    df = index.join(q.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum(F.size("keys")).alias("df"))
     q = q.join(df, "term").select("_block", "term", "queries", F.log(1 + (F.lit(n_docs or 0) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    q = materialize(q, shared_table_path(corpus.sparkSession, "asked_idf"))
     kq, kk = queries.schema[qkey].dataType, corpus.schema[key].dataType
     score = _score_part(qkey, key, to_arrow_type(kq), to_arrow_type(kk), (n_tokens or 0) / max(n_docs or 0, 1), k)
     found = index.drop("tokens", "heads").join(q, "term").groupBy("part", "_block").applyInArrow(

@@ -289,3 +289,31 @@ def test_an_index_has_a_task_a_part(spark, monkeypatch):
     search.build_index(docs, "doc_id", "text")
     plan = plans[0]._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and ", 23)" in plan
+
+
+def test_index_counts_tokens_without_a_row_a_token(spark, monkeypatch):
+    from strata.operators import search
+    monkeypatch.setattr(search, "BLOCKS", 1)
+    docs = spark.createDataFrame([(1, "b a B"), (2, "c a a"), (2, "c a a"), (None, "a c d"), (4, ""), (5, None), (6, "a " * 9)], "doc_id long, text string")
+    plans, real = [], search.materialize
+    monkeypatch.setattr(search, "materialize", lambda df, path: plans.append(df) or real(df, path))
+    index = search.build_index(docs, "doc_id", "text")
+    got = {(r.block, r.term): (sorted(zip(r["keys"], r.tfs, r.dls), key=str), r.tf_max, r.dl_min, r.tokens, r.heads) for r in index.collect()}
+    assert {r.part for r in index.collect()} == {0}
+    assert got == {(3, "a"): ([(1, 1, 3), (2, 4, 3), (None, 1, 3)], 4, 3, 6, 1), (3, "b"): ([(1, 2, 3)], 2, 3, 2, 1),
+                   (3, "c"): ([(2, 2, 3), (None, 1, 3)], 2, 3, 3, 1), (3, "d"): ([(None, 1, 3)], 1, 3, 1, 0), (6, "a"): ([(6, 9, 9)], 9, 9, 9, 1)}
+    assert "Generate" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    # long documents make more parts
+    monkeypatch.setattr(search, "PART_CHARS", 10)
+    search.build_index(docs, "doc_id", "text")
+    assert ", 4)" in plans[1]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_search_leaves_postings_of_other_terms_where_they_are(spark):
+    from strata.operators import search
+    docs = spark.createDataFrame([(i, f"w{i} w{i % 3}") for i in range(90)], "doc_id long, text string")
+    asked = spark.createDataFrame([(7, "w1 w80"), (8, "none")], "item_id long, text string")
+    hits = search.bm25_search(docs, "doc_id", "text", asked, "item_id", "text", k=1)
+    assert [(r.item_id, r.doc_id, r["rank"]) for r in hits.collect()] == [(7, 80, 1)]
+    plan = hits._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin [term" in plan and "SortMergeJoin" not in plan
