@@ -16,7 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir, shared_table_path
+from ..sources.io import materialize
 
 # Booster settings of the two applications.
 RETAIL_GBT = dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
@@ -27,6 +28,8 @@ ROWS_PER_TASK = 100_000
 CHURN_FEATURES = ["days_since", "tenure_days", "total_orders", "purchase_frequency", "avg_order_value", "total_spend_12m",
                   "promo_share", "recent_lines", "satisfaction", "return_rate", "lifetime_value",
                   "product_diversity", "channel_diversity", "is_international"]
+# what the features and the label are measured on
+SALE_COLUMNS = ["customer_id", "sale_date", "order_id", "product_id", "channel", "net_revenue", "return_flag", "discount_pct"]
 # Leak-free rebooking features (T11: days_since_last_visit defines the label, so it is left out).
 REBOOK_FEATURES = ["tenure_days", "total_appointments", "completed_count", "no_show_rate", "cancellation_rate",
                    "avg_days_between_visits", "avg_duration_mins", "avg_days_booked_advance", "app_booking_pct",
@@ -38,15 +41,16 @@ def churn_features(sales: DataFrame, customers: DataFrame, cut: str, days: int,
 
     Features and legacy score are measured on the sales before the cut; the label is whether no sale
     follows in the ``days`` from the cut on, so no feature knows it.  The reference's features of e-mail,
-    web, survey and support data have no column here.
+    web, survey and support data have no column here.  The sales are read once and written, with the
+    columns needed: features and label are aggregates of what was written.
     """
     from ..marts.retail import customer_value
     at = F.lit(cut).cast("date")
+    sales = materialize(sales.where(F.col("sale_date") < F.date_add(at, days)).select(*SALE_COLUMNS), shared_table_path(sales.sparkSession, "churn_sales"))
     before = sales.where(F.col("sale_date") < at)
     wide = before.groupBy("customer_id").agg(F.countDistinct("product_id").alias("product_diversity"), F.countDistinct("channel").alias("channel_diversity"))
     abroad = customers.select("customer_id", (F.col("country") != home).alias("is_international"))
-    later = sales.where((F.col("sale_date") >= at) & (F.col("sale_date") < F.date_add(at, days))).select("customer_id").distinct() \
-        .withColumn("_back", F.lit(1))
+    later = sales.where(F.col("sale_date") >= at).select("customer_id").distinct().withColumn("_back", F.lit(1))
     x = customer_value(before, cut).join(wide, "customer_id").join(abroad, "customer_id", "left").join(later, "customer_id", "left")
     return x.select("customer_id", *[F.col(c).cast("double").alias(c) for c in CHURN_FEATURES],
                     F.col("_back").isNull().cast("int").alias("label"), F.col("legacy_churn_score").alias("legacy_score"))

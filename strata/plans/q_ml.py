@@ -206,7 +206,8 @@ def _kept_model(spark, d, name, tables, settings, fit):
 def _churn_model(spark, d):
     """(model, test rows); the split is a function of the rows, so every query has the same one."""
     from ..session import cut_lineage
-    sp = cut_lineage(MT.stratified_split(_features(spark, d), "customer_id", "label"))
+    # cut before the split too, which goes through its input twice (range bounds, then rows)
+    sp = cut_lineage(MT.stratified_split(cut_lineage(_features(spark, d)), "customer_id", "label"))
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
     model = _kept_model(spark, d, "churn", ("lineitem", "orders", "part", "customer", "nation", "region"), (CUT, DAYS, CH.CHURN_FEATURES, CH.RETAIL_GBT),
                         lambda: CH.fit_gbt(train, CH.CHURN_FEATURES, **CH.RETAIL_GBT))

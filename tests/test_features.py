@@ -317,3 +317,22 @@ def test_search_leaves_postings_of_other_terms_where_they_are(spark):
     assert [(r.item_id, r.doc_id, r["rank"]) for r in hits.collect()] == [(7, 80, 1)]
     plan = hits._jdf.queryExecution().toString()
     assert "BroadcastHashJoin [term" in plan and "SortMergeJoin" not in plan
+
+
+def test_churn_features_read_the_sales_once(spark, monkeypatch):
+    import datetime as dt
+
+    from strata.ml import churn
+    day = lambda n: dt.date(2001, 1, 1) + dt.timedelta(n)
+    row = lambda c, n, o, p="p": (c, day(n) if n is not None else None, o, p, f"c{o % 2}", 10.0, False, 0.1)
+    sales = spark.createDataFrame([row(1, 0, 1), row(1, 9, 2, "q"), row(1, 12, 3), row(2, 5, 4), row(2, 40, 5), row(3, 10, 6), row(None, 1, 7), row(4, None, 8)],
+                                  ", ".join(f"{c} {t}" for c, t in zip(["customer_id", "sale_date", "order_id", "product_id", "channel", "net_revenue", "return_flag", "discount_pct"],
+                                                                       "long date long string string double boolean double".split())))
+    customers = spark.createDataFrame([(1, "UNITED STATES"), (2, "PERU")], "customer_id long, country string")
+    written, real = [], churn.materialize
+    monkeypatch.setattr(churn, "materialize", lambda df, path: written.append(df) or real(df, path))
+    x = churn.churn_features(sales, customers, "2001-01-11", 20)
+    got = {r.customer_id: (r.total_orders, r.product_diversity, r.channel_diversity, r.is_international, r.label) for r in x.collect()}
+    assert got == {1: (2, 2, 2, 0, 0), 2: (1, 1, 1, 1, 1)}
+    # no join nor aggregate goes back to the sales that were handed in
+    assert len(written) == 1 and x._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
