@@ -139,11 +139,12 @@ def summarize(df: DataFrame, key: str, col: str, k: int = 2, out: str = "summary
     held = terms.distinct().groupBy("_part", "term").agg(F.count(F.lit(1)).alias("_n"))
     n_docs = df.select(key).distinct().agg(F.count(F.lit(1))).scalar()
     dfreq = F.sum("_n").over(Window.partitionBy("term"))
-    idf = held.select("_part", "term", dfreq.alias("df")).select("_part", "term", F.log(n_docs / F.col("df")).alias("idf"))
+    # a name and an attribute of its own: the weights and the texts come from one plan, whose part both sides would else share
+    idf = held.select(F.col("_part").alias("_of"), "term", dfreq.alias("df")).select("_of", "term", F.log(n_docs / F.col("df")).alias("idf"))
     s = dealt.where(F.col(key).isNotNull()).select("_part", key, F.split(F.col(col), SENTENCE_SPLIT).alias("_s"))
     s = s.withColumn("_t", F.transform("_s", lambda x: F.filter(tokens(x), lambda t: F.length(t) > 0)))
     kind = df.schema[key].dataType
-    return s.groupBy("_part").cogroup(idf.groupBy("_part")).applyInArrow(
+    return s.groupBy("_part").cogroup(idf.groupBy("_of")).applyInArrow(
         _pick_sentences(key, to_arrow_type(kind), k, out), f"`{key}` {kind.simpleString()}, `{out}` string")
 
 
