@@ -48,3 +48,12 @@ def test_call_insights(spark, tables):
     assert rows["1"].commitment == "Commitment: I will send the update to [EMAIL] today" and rows["1"].candidate_id == 11
     assert rows["4"].call_reason == "Drug test scheduling" and "[SSN]" in rows["4"].transcript_redacted
     assert rows["9"].candidate_id is None and all(r.summary for r in rows.values())
+
+
+def test_search_corpus(spark, tables):
+    rows = _compared(spark, tables, "txt_search_corpus")
+    calls = {r.doc_id: r for r in rows if r.doc_type == "CALL"}
+    assert set(calls) == {"1", "2", "3", "4", "9"} and len(rows) > len(calls)
+    assert calls["9"].content == ("assistant: Nobody ordered this. We're going to close it.\n"
+                                  "Summary: assistant: Nobody ordered this. We're going to close it.\nCommitment: We're going to close it.")
+    assert all(r.call_reason is None and r.content for r in rows if r.doc_type == "OPS_NOTE")
