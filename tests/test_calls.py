@@ -57,3 +57,7 @@ def test_search_corpus(spark, tables):
     assert calls["9"].content == ("assistant: Nobody ordered this. We're going to close it.\n"
                                   "Summary: assistant: Nobody ordered this. We're going to close it.\nCommitment: We're going to close it.")
     assert all(r.call_reason is None and r.content for r in rows if r.doc_type == "OPS_NOTE")
+
+
+def test_corpus_check(spark, tables):
+    assert [r.leaked for r in _compared(spark, tables, "gov_corpus_check")] == [0]
