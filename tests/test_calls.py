@@ -61,3 +61,9 @@ def test_search_corpus(spark, tables):
 
 def test_corpus_check(spark, tables):
     assert [r.leaked for r in _compared(spark, tables, "gov_corpus_check")] == [0]
+
+
+def test_corpus_search(spark, tables):
+    best = {r.item_id: r for r in _compared(spark, tables, "txt_corpus_search") if r["rank"] == 1}
+    assert {i: r.doc_id for i, r in best.items()} == {1: "1", 2: "4", 4: "1"}
+    assert best[2].call_reason == "Drug test scheduling"
