@@ -16,6 +16,8 @@ slice of about ``SLICE`` bytes of texts, or by the longest run without such a sp
 Counts of linked pairs are a sharded join: a slice of documents writes each of its distinct pairs once with
 how often it occurs, pairs are counted over the corpus, compared with the most frequent partner of their
 second id, and joined back to the slices by pair.  A pair that occurs everywhere is one row a slice.
+A slice's links are one value of two or four bytes a link: read as arrays, all the slices of a file would
+be held at once, with the levels of every link beside it.
 
 Texts that are null, empty or not reproduced by both tokenizers have no tokens: zeros and an empty string.
 Null ids and repeated rows stay rows of their own.  No documents give no rows.
@@ -180,10 +182,15 @@ _aligners: dict[tuple[str, str], Aligner] = {}
 
 _SLICE = pa.schema([
     ("slice", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())),
-    ("n_links", pa.list_(pa.int64())), ("groups_sha256", pa.list_(pa.string())), ("link", pa.list_(pa.int32())),
+    ("n_links", pa.list_(pa.int64())), ("groups_sha256", pa.list_(pa.string())), ("link", pa.binary()),
     ("pair", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))])
 _SLICE_DDL = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_links array<long>, groups_sha256 array<string>, "
-              "link array<int>, pair array<long>, n array<long>")
+              "link binary, pair array<long>, n array<long>")
+
+
+def _place_type(n: int) -> str:
+    """The places of ``n`` distinct pairs in as few bytes as hold them."""
+    return "<u2" if n <= 1 << 16 else "<u4"
 
 
 def _groups_sha256(chunks: list[tuple]) -> str:
@@ -209,7 +216,7 @@ def _slice_rows(byte_level: str, pieces: str):
                     sha.append(_groups_sha256(got) if got else "")
                     links.append(raw)
                 pair, link, n = np.unique(np.frombuffer(b"".join(links), "<i8"), return_inverse=True, return_counts=True)
-                row = [number, part.column("doc_id").to_pylist(), n_a, n_b, n_links, sha, link.astype(np.int32), pair, n]
+                row = [number, part.column("doc_id").to_pylist(), n_a, n_b, n_links, sha, link.astype(_place_type(len(pair))).tobytes(), pair, n]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _SLICE)], schema=_SLICE)
                 number += 1
 
@@ -221,9 +228,9 @@ _DOC = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best lo
 
 def _doc_rows(slice_: pa.Table, stats: pa.Table) -> pa.Table:
     """Sums over the links of one slice's documents; ``stats`` has the counts of its distinct pairs."""
-    col = {name: slice_.column(name).combine_chunks().flatten() for name in slice_.column_names if name != "slice"}
+    col = {name: slice_.column(name).combine_chunks().flatten() for name in slice_.column_names if name not in ("slice", "link")}
     place = stats.column("place").to_numpy()
-    link = col["link"].to_numpy()
+    link = np.frombuffer(slice_.column("link")[0].as_py(), _place_type(len(place)))
     ends = np.append(0, np.cumsum(col["n_links"].to_numpy()))
     sums = []
     for name in ("best", "total"):

@@ -285,3 +285,26 @@ def test_alignment_of_a_long_word(tokenizers):
 
 def test_byte_alphabet_is_a_permutation():
     assert sorted(alignment.byte_alphabet().values()) == list(range(256))
+
+
+def test_links_are_one_value_a_slice(spark):
+    """Arrays would be read with all the slices of a file at once, and the levels of every link beside them."""
+    rows = spark.read.parquet(alignment.write_slices(cases.frame(spark), A, B))
+    assert rows.schema["link"].dataType.simpleString() == "binary"
+    links, n_links = rows.selectExpr("sum(octet_length(link))", "sum(aggregate(n_links, 0L, (a, x) -> a + x))").first()
+    assert links == 2 * n_links > 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 1 << 16, (1 << 16) + 1])
+def test_links_to_any_number_of_pairs(n):
+    import pyarrow as pa
+    link = np.arange(n)[::-1].astype(alignment._place_type(n)).tobytes()
+    half = n // 2
+    slice_ = pa.table({"slice": [7], "doc_id": [[1, None]], "n_a": [[n, 0]], "n_b": [[n, 0]], "n_links": [[half, n - half]],
+                       "groups_sha256": [["x", ""]], "link": [link]})
+    stats = pa.table({"slice": pa.array([7] * n, "int64"), "place": pa.array(np.arange(n, dtype="int32")), "total": pa.array(np.arange(n)),
+                      "best": pa.array(np.arange(n) % 2)})
+    got = alignment._doc_rows(slice_, stats).to_pylist()
+    assert [r["doc_id"] for r in got] == [1, None] and [r["n_links"] for r in got] == [half, n - half]
+    assert [r["count_sum"] for r in got] == [sum(range(n - half, n)), sum(range(n - half))]
+    assert sum(r["n_best"] for r in got) == half
